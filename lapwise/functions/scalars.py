@@ -18,12 +18,12 @@ HOT_TRACK, COLD_TRACK = 40, 25
 FINISHED_PATTERN = r"finished|\+"
 
 
-def typed(schema: T.StructType, columns: Iterable[str]) -> list[Column]:
+def typed(schema: str, columns: Iterable[str]) -> list[Column]:
     """One select list that brings drifting columns to `schema`; bad values and absent columns become null."""
     have = set(columns)
     return [
         (F.col(f.name).try_cast(f.dataType) if f.name in have else F.lit(None).cast(f.dataType)).alias(f.name)
-        for f in schema
+        for f in T.StructType.fromDDL(schema)
     ]
 
 

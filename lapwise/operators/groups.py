@@ -133,8 +133,9 @@ def top_rows(df: DataFrame, order: Sequence[Column], n: int) -> DataFrame:
 
 
 def row_at_max(df: DataFrame, by: Sequence[str], score: Column, outputs: Sequence[str], tie: str) -> DataFrame:
-    """The `outputs` of the row with the greatest score per group; the smaller `tie` wins."""
-    best = F.min_by(F.struct(*outputs), F.struct((-score).alias("s"), F.col(tie).alias("t")))
+    """The `outputs` of the row with the greatest score per group; the smaller `tie` wins, null scores never."""
+    order = F.when(score.isNotNull(), F.struct((-score).alias("s"), F.col(tie).alias("t")))
+    best = F.min_by(F.struct(*outputs), order)
     best = best.alias("__best")
     grouped = df.groupBy(*by).agg(best) if by else df.agg(best)
     return grouped.select(*by, "__best.*")

@@ -6,14 +6,13 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lapwise.functions.scalars import full_name, seconds_of_intervals
 from lapwise.operators.groups import left_enrich
 from lapwise.operators.ordered import HotGroups
 
 
-def read_pages(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+def read_pages(spark: SparkSession, path: str, schema: str) -> DataFrame:
     """All pages of one endpoint; reading the folder is the union of the pages."""
     return spark.read.schema(schema).json(path)
 

@@ -9,18 +9,17 @@ import pandas as pd
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from lapwise.functions.scalars import typed
 
 
-def read_table(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
+def read_table(spark: SparkSession, path: str, schema: str | None = None) -> DataFrame:
     """One Parquet table; columns and filters reach the scan."""
     reader = spark.read.schema(schema) if schema else spark.read
     return reader.parquet(path)
 
 
-def read_glob(spark: SparkSession, pattern: str, schema: T.StructType) -> DataFrame:
+def read_glob(spark: SparkSession, pattern: str, schema: str) -> DataFrame:
     """All files that match a pattern in one scan; an empty frame if there are none."""
     try:
         return spark.read.schema(schema).parquet(pattern)
@@ -46,7 +45,7 @@ def _footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         yield pd.DataFrame({"path": batch["path"], "shape": shapes})
 
 
-def read_drifting(spark: SparkSession, folder: str, schema: T.StructType) -> DataFrame:
+def read_drifting(spark: SparkSession, folder: str, schema: str) -> DataFrame:
     """Files whose column sets and types drift, brought to one declared schema.
 
     Tasks read the footers; then there is one scan per distinct footer schema,
