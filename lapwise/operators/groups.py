@@ -47,7 +47,11 @@ def spread_join(
     # At most MAX_LISTED_GROUPS keys, so this side is always small.
     keys = hot.keys(spark)
     slices = keys.select(*hot.by, F.ceil(F.col("__n") / hot.limit).cast("int").alias("__slices"))
-    fact_salt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.coalesce("__slices", F.lit(1)))
+    if not set(hot.by) <= set(on):
+        raise ValueError(f"groups were checked on {list(hot.by)}, which {list(on)} does not refine")
+    # The slice follows from the row itself, so a task that runs again makes the same choice.
+    rest = [c for c in fact.columns if c not in on]
+    fact_salt = F.pmod(F.xxhash64(*rest), F.coalesce("__slices", F.lit(1))) if rest else F.lit(0)
     fact = null_safe_join(fact, F.broadcast(slices), hot.by).withColumn("__salt", fact_salt.cast("int")).drop("__slices")
     copies = F.sequence(F.lit(0), F.coalesce("__slices", F.lit(1)) - 1)
     dim = null_safe_join(dim, F.broadcast(slices), hot.by).withColumn("__salt", F.explode(copies)).drop("__slices")
@@ -75,16 +79,26 @@ def first_shared_key(left: DataFrame, right: DataFrame, candidates: Sequence[str
     raise ValueError(f"none of {list(candidates)} is in both tables")
 
 
+def calendar_join(fact: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
+    """Join a table with one row per race or season. The calendar bounds it, so it is broadcast."""
+    return null_safe_join(fact, F.broadcast(dim), on, how)
+
+
 def group_stats(
-    df: DataFrame, by: Sequence[str], outputs: Mapping[str, Column], hot: HotGroups | None = None
+    df: DataFrame,
+    by: Sequence[str],
+    outputs: Mapping[str, Column],
+    hot: HotGroups | None = None,
+    calendar: bool = False,
 ) -> DataFrame:
     """Attach unordered group aggregates to every row.
 
     Aggregate-and-join instead of an unordered window: the aggregation combines
-    map-side and the rows are not shuffled when the result is small.
+    map-side and the rows are not shuffled when the result is small. With
+    `calendar` the groups are races or seasons.
     """
     stats = df.groupBy(*by).agg(*[value.alias(out) for out, value in outputs.items()])
-    return spread_join(df, stats, by, hot)
+    return calendar_join(df, stats, by) if calendar else spread_join(df, stats, by, hot)
 
 
 def quantiles(
@@ -103,8 +117,7 @@ def quantiles(
         parts.append(cold.groupBy(*by).agg(*[F.percentile(value, F.lit(p)).alias(c) for c, p in points.items()]))
     if big is not None:
         placed = with_position(big, by, [value], "__at", hot)
-        sizes = big.groupBy(*by).agg(F.count(F.lit(1)).alias("__size"))
-        placed = spread_join(placed, sizes, by, hot)
+        placed = spread_join(placed, placed.groupBy(*by).agg(F.count(F.lit(1)).alias("__size")), by, hot)
         picks = []
         for c, p in points.items():
             at = (F.col("__size") - 1) * F.lit(p) + 1

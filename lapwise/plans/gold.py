@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lapwise.functions.scalars import flag, ratio
 from lapwise.operators import form
-from lapwise.operators.groups import group_stats, left_enrich, spread_join
+from lapwise.operators.groups import calendar_join, group_stats, left_enrich
 from lapwise.operators.ordered import BOUNDED, HotGroups, expanding, with_rank
 
 RACE = ("season", "round")
@@ -61,17 +61,17 @@ def constructor_form(df: DataFrame, mode: str = "race", hot: HotGroups | None =
     return form.team_form(df, "constructor_id", ORDER, "points", "constructor_rolling_points", hot=hot)
 
 
-def quali_gaps(df: DataFrame, hot: HotGroups | None = None) -> DataFrame:
+def quali_gaps(df: DataFrame) -> DataFrame:
     """Gap to the best qualifying time of the race, in seconds and per cent."""
-    df = group_stats(df, RACE, {"__pole": F.min("best_quali_seconds")}, hot)
+    df = group_stats(df, RACE, {"__pole": F.min("best_quali_seconds")}, calendar=True)
     gap = F.col("best_quali_seconds") - F.col("__pole")
     return df.select(
         "*", gap.alias("quali_gap_to_pole"), ratio(gap * 100, F.col("__pole")).alias("quali_gap_pct")
     ).drop("__pole")
 
 
-def stop_strategy(df: DataFrame, hot: HotGroups | None = None) -> DataFrame:
-    df = group_stats(df, RACE, {"__mean": F.avg("num_pit_stops")}, hot)
+def stop_strategy(df: DataFrame) -> DataFrame:
+    df = group_stats(df, RACE, {"__mean": F.avg("num_pit_stops")}, calendar=True)
     return df.select(
         "*",
         flag(F.col("num_pit_stops") >= 3).alias("pit_strategy_aggressive"),
@@ -119,7 +119,7 @@ def race_features(master: DataFrame, hot: HotGroups | None = None, team_mode: st
     df = circuit_history(df).drop("driver_circuit_wins", "driver_circuit_podiums")
     df = season_points(df)
     df = constructor_form(df, team_mode, hot)
-    df = stop_strategy(quali_gaps(df, hot), hot)
+    df = stop_strategy(quali_gaps(df))
     return targets(df).drop(*LEAKY)
 
 
@@ -151,8 +151,7 @@ def quali_vs_teammate(df: DataFrame, hot: HotGroups | None = None) -> DataFrame:
 def season_phase(df: DataFrame, schedule: DataFrame | None = None) -> DataFrame:
     """Progress through the season; with a schedule its last round counts, else the last round seen."""
     rounds = (schedule if schedule is not None else df).groupBy("season").agg(F.max("round").alias("__last"))
-    # One row per season.
-    df = spread_join(df, rounds, ["season"])
+    df = calendar_join(df, rounds, ["season"])
     progress = F.col("round") / F.col("__last")
     return df.select(
         "*",
@@ -164,7 +163,7 @@ def season_phase(df: DataFrame, schedule: DataFrame | None = None) -> DataFrame:
 
 def championship(df: DataFrame, hot: HotGroups | None = None) -> DataFrame:
     """Points behind the leader and competition rank, both before the race."""
-    df = group_stats(df, RACE, {"__top": F.max("season_cumulative_points")}, hot)
+    df = group_stats(df, RACE, {"__top": F.max("season_cumulative_points")}, calendar=True)
     df = df.withColumn("points_gap_to_leader", F.col("__top") - F.col("season_cumulative_points")).drop("__top")
     return with_rank(df, RACE, "season_cumulative_points", "championship_position", hot=hot)
 
@@ -193,7 +192,8 @@ def circuit_risk(df: DataFrame, full_history: bool = False) -> DataFrame:
         ratio(F.col("t__d"), F.col("t__n")).alias("circuit_dnf_rate"),
         F.when(n > 1, F.sqrt(variance)).alias("circuit_chaos_index"),
     )
-    out = left_enrich(df, stats, by)
+    # A circuit is used at most once per race, so this table has calendar size.
+    out = calendar_join(df, stats, by)
     return out.fillna({"circuit_dnf_rate": DEFAULT_DNF_RATE, "circuit_chaos_index": DEFAULT_CHAOS})
 
 
@@ -211,9 +211,9 @@ def interactions(df: DataFrame) -> DataFrame:
     )
 
 
-def dominance(df: DataFrame, hot: HotGroups | None = None) -> DataFrame:
+def dominance(df: DataFrame) -> DataFrame:
     """Team form relative to the field of the race."""
-    df = group_stats(df, RACE, {"__mean": F.avg("constructor_rolling_points")}, hot)
+    df = group_stats(df, RACE, {"__mean": F.avg("constructor_rolling_points")}, calendar=True)
     return df.withColumn("constructor_dominance", ratio(F.col("constructor_rolling_points"), F.col("__mean"))).drop("__mean")
 
 

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from lapwise.functions.scalars import flag, ratio
 from lapwise.operators import form
-from lapwise.operators.groups import first_shared_key, group_stats, left_enrich, median, prior_period, spread_join
+from lapwise.operators.groups import calendar_join, first_shared_key, group_stats, left_enrich, median, prior_period
 from lapwise.operators.ordered import BOUNDED, HotGroups
 from lapwise.operators.regression import stint_slope
 
@@ -26,7 +26,7 @@ def clean_laps(laps: DataFrame, seconds: str = "LapTime_seconds", hot: HotGroups
     """Laps with a positive time below the limit times the race median."""
     timed = laps.filter(F.col(seconds).isNotNull() & (F.col(seconds) > 0))
     middle = median(timed, RACE, seconds, "__median", hot)
-    out = spread_join(timed, middle, RACE, hot)
+    out = calendar_join(timed, middle, RACE)
     return out.filter(F.col(seconds) < CLEAN_LIMIT * F.col("__median")).drop("__median")
 
 
@@ -85,9 +85,10 @@ def lap_features(
     return form.rolling_mean(out, [driver], RACE, {"driver_consistency_5": F.col("lap_consistency")}, 5, BOUNDED)
 
 
-def pace(entries: DataFrame, hot: HotGroups | None = None) -> DataFrame:
+def pace(entries: DataFrame) -> DataFrame:
     """Mean lap against the field mean, and best lap in per cent over the race best."""
-    df = group_stats(entries, RACE, {"__mean": F.avg("avg_lap_time"), "__best": F.min("best_lap_time")}, hot)
+    field = {"__mean": F.avg("avg_lap_time"), "__best": F.min("best_lap_time")}
+    df = group_stats(entries, RACE, field, calendar=True)
     return df.select(
         "*",
         (F.col("avg_lap_time") - F.col("__mean")).alias("pace_vs_field"),
