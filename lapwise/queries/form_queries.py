@@ -342,7 +342,7 @@ def average_rank_of_ties(spark, sf_dir):
 
 GOLD_SQL = f"""
 gold_table AS (
-  SELECT {K}, constructor_id, circuit_id, race_date, grid, position, best_quali_seconds, q1_seconds, q2_seconds, q3_seconds,
+  SELECT {K}, constructor_id, circuit_id, CAST(race_date AS VARCHAR) AS race_date, grid, position, best_quali_seconds, q1_seconds, q2_seconds, q3_seconds,
          num_pit_stops,
          round(avg(position) OVER {LAST5}, 6) AS rolling_avg_position_5,
          round(avg(points) OVER {LAST5}, 6) AS rolling_avg_points_5,
@@ -369,4 +369,4 @@ gold_table AS (
 @query("race_features", _sql(" SELECT * FROM gold_table", TEAM_SQL, GOLD_SQL))
 def race_features(spark, sf_dir):
     df = gold.race_features(B.contest(spark, sf_dir), B.races_of(spark, sf_dir))
-    return rounded(df.drop("first_ts", "classified"))
+    return rounded(df.drop("first_ts", "classified").withColumn("race_date", F.col("race_date").cast("string")))
