@@ -82,7 +82,7 @@ if __name__ == "__main__":
     con = connect(sf)
     sql = entry.oracle_sql()
     for name, make in entry.queries().items():
-        if only and not any(o in name for o in only):
+        if only and not any(o in name or make.__module__.endswith(o) for o in only):
             continue
         start = time.time()
         try:
