@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable, Sequence
+from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline
-from pyspark.ml.feature import Imputer, StringIndexer, VectorAssembler
+from pyspark.ml.feature import Imputer, SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapwise.functions.scalars import finite, numeric_columns
+from lapwise.operators.groups import left_enrich
 from lapwise.operators.ordered import with_position
 from lapwise.plans.gold import IN_RACE, TARGETS
 
@@ -19,6 +20,9 @@ CATEGORICAL = ("driver_id", "driver_code", "driver_name", "constructor_id", "con
                "race_name")
 SUFFIX = "_enc"
 
+# An indexer keeps its labels on the driver; columns with more labels are coded through a table.
+MAX_LABELS = 100_000
+
 
 @dataclass(frozen=True)
 class FeatureSet:
@@ -50,14 +54,38 @@ def shaped(df: DataFrame, features: FeatureSet) -> DataFrame:
     return df.select(*keep, *[F.col(c).alias(f"__key_{c}") for c in features.categorical if c in have], *made.values())
 
 
-def preparation(features: FeatureSet) -> Pipeline:
+def wide_categoricals(df: DataFrame, features: FeatureSet, limit: int = MAX_LABELS) -> list[str]:
+    """Categoricals with too many labels for the driver."""
+    if not features.categorical:
+        return []
+    counts = df.agg(*[F.approx_count_distinct(c).alias(c) for c in features.categorical]).first()
+    return [c for c in features.categorical if counts[c] > limit]
+
+
+def coded(df: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
+    """Join label codes; unknown labels share the code after the last one."""
+    for column, table in tables.items():
+        last = table.agg(F.count(F.lit(1)).alias("__labels"))
+        df = left_enrich(df, table.withColumnRenamed("code", f"{column}{SUFFIX}"), [column])
+        # A one-row side.
+        df = df.join(F.broadcast(last))
+        df = df.withColumn(f"{column}{SUFFIX}", F.coalesce(f"{column}{SUFFIX}", "__labels").cast("double")).drop("__labels")
+    return df
+
+
+def preparation(features: FeatureSet, in_tables: Iterable[str] = ()) -> Pipeline:
     """Alphabetic codes, median imputation and the feature vector; fit it on the training rows only."""
+    narrow = [c for c in features.categorical if c not in set(in_tables)]
     stages = [
-        StringIndexer(inputCols=list(features.categorical), outputCols=[f"{c}{SUFFIX}" for c in features.categorical],
+        StringIndexer(inputCols=narrow, outputCols=[f"{c}{SUFFIX}" for c in narrow],
                       stringOrderType="alphabetAsc", handleInvalid="keep")
-    ] if features.categorical else []
+    ] if narrow else []
     stages.append(Imputer(strategy="median", inputCols=list(features.numeric), outputCols=[f"{c}__f" for c in features.numeric]))
-    inputs = [f"{c}__f" for c in features.numeric] + [f"{c}{SUFFIX}" for c in features.categorical]
+    # Trees read the codes as ordered numbers; adding 0.0 drops the indexer's category metadata.
+    if features.categorical:
+        plain = ", ".join(f"`{c}{SUFFIX}` + 0.0D AS `{c}{SUFFIX}__f`" for c in features.categorical)
+        stages.append(SQLTransformer(statement=f"SELECT *, {plain} FROM __THIS__"))
+    inputs = [f"{c}__f" for c in features.inputs]
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep"))
     return Pipeline(stages=stages)
 

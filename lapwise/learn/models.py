@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 from collections.abc import Mapping, Sequence
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 from pyspark.ml import Estimator, Model, PipelineModel
 from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
@@ -15,7 +15,19 @@ from pyspark.sql import functions as F
 
 from lapwise.functions.scalars import clip
 from lapwise.learn.evaluate import WinnerHitRate
-from lapwise.learn.features import FeatureSet, labelled, preparation, season_folds, shaped, time_split
+from lapwise.learn.features import (
+    MAX_LABELS,
+    FeatureSet,
+    coded,
+    label_codes,
+    labelled,
+    preparation,
+    season_folds,
+    shaped,
+    time_split,
+    wide_categoricals,
+)
+from lapwise.session import materialised
 
 SEED = 42
 
@@ -72,11 +84,12 @@ class Trained:
     features: FeatureSet
     preparation: PipelineModel
     model: Model
+    codes: dict[str, DataFrame] = field(default_factory=dict)
 
     def score(self, df: DataFrame, low: float | None = None, high: float | None = None) -> DataFrame:
         """Batch scoring; features that `df` lacks count as 0. Position predictions can be clipped."""
-        out = self.model.transform(self.preparation.transform(shaped(df, self.features)))
-        out = out.drop("features", *[f"{c}__f" for c in self.features.numeric], *self.features.inputs[len(self.features.numeric):])
+        out = self.model.transform(self.preparation.transform(coded(shaped(df, self.features), self.codes)))
+        out = out.drop("features", *[f"{c}__f" for c in self.features.inputs], *self.features.inputs[len(self.features.numeric):])
         # Give the categoricals their own type back.
         keys = [c for c in self.features.categorical if f"__key_{c}" in out.columns]
         out = out.drop(*keys).withColumnsRenamed({f"__key_{c}": c for c in keys})
@@ -94,7 +107,9 @@ class Trained:
     def save(self, path: str) -> None:
         self.preparation.write().overwrite().save(f"{path}/preparation")
         PipelineModel([self.model]).write().overwrite().save(f"{path}/model")
-        note = json.dumps({"numeric": self.features.numeric, "categorical": self.features.categorical})
+        for column, table in self.codes.items():
+            table.write.mode("overwrite").parquet(f"{path}/codes/{column}")
+        note = json.dumps({"numeric": self.features.numeric, "categorical": self.features.categorical, "codes": list(self.codes)})
         SparkSession.active().createDataFrame([(note,)], "value string").write.mode("overwrite").text(f"{path}/features")
 
     @staticmethod
@@ -104,14 +119,17 @@ class Trained:
             FeatureSet(tuple(note["numeric"]), tuple(note["categorical"])),
             PipelineModel.load(f"{path}/preparation"),
             PipelineModel.load(f"{path}/model").stages[0],
+            {c: SparkSession.active().read.parquet(f"{path}/codes/{c}") for c in note["codes"]},
         )
 
 
-def fit(train: DataFrame, features: FeatureSet, estimator: Estimator, label: str) -> Trained:
+def fit(train: DataFrame, features: FeatureSet, estimator: Estimator, label: str, max_labels: int = MAX_LABELS) -> Trained:
     """Fit preparation and model on the labelled training rows."""
     rows = shaped(labelled(train, label), features)
-    prepared = preparation(features).fit(rows)
-    return Trained(features, prepared, estimator.fit(prepared.transform(rows)))
+    codes = {c: materialised(label_codes(rows, c), "codes") for c in wide_categoricals(rows, features, max_labels)}
+    rows = coded(rows, codes)
+    prepared = preparation(features, codes).fit(rows)
+    return Trained(features, prepared, estimator.fit(prepared.transform(rows)), codes)
 
 
 def cross_validate(df: DataFrame, features: FeatureSet, estimator: Estimator, label: str, folds: int = 5) -> DataFrame:

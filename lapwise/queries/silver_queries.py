@@ -4,10 +4,11 @@ from pyspark.sql import functions as F
 
 from lapwise import bindings as B
 from lapwise.functions import scalars as S
-from lapwise.operators.groups import dedup_latest, left_enrich, median
+from lapwise.operators.groups import calendar_join, dedup_latest, group_stats, left_enrich, median
 from lapwise.operators.ordered import BOUNDED
 from lapwise.operators.quality import fill_rate, null_percent, quality_report
 from lapwise.plans import gold, integrate, silver
+from lapwise.plans.reports import distribution
 from lapwise.queries.registry import query
 
 EK = 'season, round, "Driver"'
@@ -150,8 +151,6 @@ SELECT season, round, driver_id, grid - coalesce(position, grid) AS position_gai
 FROM contest""",
 )
 def places_and_labels(spark, sf_dir):
-    from lapwise.operators.groups import group_stats
-
     df = group_stats(B.contest(spark, sf_dir), B.RACE, {"__n": F.count(F.lit(1))}, calendar=True)
     race = F.concat(F.lit("day "), F.col("circuit_id").cast("string"))
     return S.rounded(
@@ -247,8 +246,6 @@ SELECT season, round, driver_id, round(avg_track_temp, 6) AS avg_track_temp, CAS
        max_humidity FROM contest LEFT JOIN weather USING (season, round)""",
 )
 def weather_merge(spark, sf_dir):
-    from lapwise.operators.groups import calendar_join
-
     weather = silver.weather_features(B.samples(spark, sf_dir))
     # Weather has one row per race of the calendar.
     df = calendar_join(B.contest(spark, sf_dir), weather, B.RACE)
@@ -263,8 +260,6 @@ SELECT round((SELECT avg(CAST(rain > 0 AS INTEGER)) FROM weather), 6) AS rain_sh
 FROM daily LEFT JOIN (SELECT * FROM weather WHERE round <= 5) w USING (season, round)""",
 )
 def rain_share_and_coverage(spark, sf_dir):
-    from lapwise.operators.groups import calendar_join
-
     weather = silver.weather_features(B.samples(spark, sf_dir))
     rain = weather.agg(F.avg("had_rain").alias("rain_share")).withColumn("k", F.lit(1))
     joined = calendar_join(B.daily(spark, sf_dir).select(*B.RACE), weather.filter("round <= 5"), B.RACE)
@@ -411,8 +406,6 @@ SELECT "Compound", round(min(tire_deg_slope), 6) AS low, round(quantile_cont(tir
        round(max(tire_deg_slope), 6) AS high FROM reliable GROUP BY 1""",
 )
 def slope_distribution(spark, sf_dir):
-    from lapwise.plans.reports import distribution
-
     deg = integrate.reliable(integrate.tire_degradation(B.laps(spark, sf_dir, "week")))
     return S.rounded(distribution(deg, ["Compound"], "tire_deg_slope"))
 
@@ -482,8 +475,6 @@ SELECT season, round, driver_id, round(points * coalesce(CAST(rain > 0 AS INTEGE
 FROM contest LEFT JOIN weather USING (season, round)""",
 )
 def interactions(spark, sf_dir):
-    from lapwise.operators.groups import calendar_join
-
     df = calendar_join(B.contest(spark, sf_dir), silver.weather_features(B.samples(spark, sf_dir)), B.RACE)
     df = df.withColumn("constructor_rolling_points", F.col("points")).withColumn("driver_elo", F.lit(None).cast("double"))
     return S.rounded(gold.interactions(df).select(
