@@ -90,8 +90,9 @@ def ewm_before(
     """Exponentially weighted mean of earlier rows; a gap ages the weights but adds no value.
 
     Weights grow by 1/(1-alpha) per row, so rows are summed in blocks that
-    cannot overflow. Earlier blocks enter through the last block with a value;
-    anything older weighs less than a double can tell.
+    cannot overflow. Earlier rows enter through the last two blocks that hold a
+    value: a value before those is more than a block away from the last one and
+    weighs less than a double can tell.
     """
     hot = hot_groups(df, by) if hot is None else hot
     keep = df.columns
@@ -100,30 +101,42 @@ def ewm_before(
     df = df.withColumn("__eb", F.floor((F.col("__at") - 1) / EWM_BLOCK))
     offset = F.pmod(F.col("__at") - 1, F.lit(EWM_BLOCK)).cast("double")
     weight = F.pow(F.lit(grow), offset)
-    to_end = F.pow(F.lit(grow), offset - (EWM_BLOCK - 1))
 
-    def sums(w_: Column, v: Column) -> tuple[Column, Column]:
-        return F.sum(v * w_), F.sum(F.when(v.isNotNull(), w_))
+    def sums(v: Column) -> tuple[Column, Column]:
+        return F.sum(v * weight), F.sum(F.when(v.isNotNull(), weight))
 
     # Every block holds at most EWM_BLOCK rows.
     w = Window.partitionBy(*by, "__eb").orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
     local = []
     for out, v in values.items():
-        top, bottom = sums(weight, v)
+        top, bottom = sums(v)
         local += [top.over(w).alias(f"__t_{out}"), bottom.over(w).alias(f"__w_{out}")]
     rows = df.select("*", *local)
     ends = []
     for out, v in values.items():
-        top, bottom = sums(to_end, v)
-        ends.append(F.when(bottom.isNotNull(), F.struct(F.col("__eb"), top.alias("t"), bottom.alias("w"))).alias(f"__e_{out}"))
+        # Weights as seen from the block's last value.
+        top, bottom = sums(v)
+        last = F.max(F.when(v.isNotNull(), offset))
+        unit = F.pow(F.lit(grow), last)
+        place = (F.col("__eb") * EWM_BLOCK + last).alias("at")
+        ends.append(F.when(last.isNotNull(), F.struct(place, (top / unit).alias("t"), (bottom / unit).alias("w"))).alias(f"__e_{out}"))
     blocks = df.groupBy(*by, "__eb").agg(*ends)
+    blocks = expanding(blocks, by, ["__eb"], {f"__p_{out}": ("max", F.col(f"__e_{out}")) for out in values}, hot=hot)
+    for out in values:
+        own, before = F.col(f"__e_{out}"), F.col(f"__p_{out}")
+        aged = F.pow(F.lit(grow), before["at"] - own["at"])
+        both = F.struct(
+            own["at"].alias("at"), (own["t"] + F.coalesce(before["t"] * aged, F.lit(0.0))).alias("t"),
+            (own["w"] + F.coalesce(before["w"] * aged, F.lit(0.0))).alias("w"),
+        )
+        blocks = blocks.withColumn(f"__e_{out}", F.when(own.isNotNull(), both))
     blocks = expanding(blocks, by, ["__eb"], {f"__c_{out}": ("max", F.col(f"__e_{out}")) for out in values}, hot=hot)
     rows = null_safe_join(rows, blocks.select(*by, "__eb", *[f"__c_{out}" for out in values]), [*by, "__eb"])
     made = []
     for out in values:
         c = F.col(f"__c_{out}")
-        # One step back to the row before the block, and one block per empty block at most once.
-        scale = F.pow(F.lit(grow), -1.0 - F.least((F.col("__eb") - c["__eb"] - 1) * EWM_BLOCK, F.lit(EWM_BLOCK)))
+        # Rows between that value and this block; beyond a block's length only the mean itself matters.
+        scale = F.pow(F.lit(grow), -F.least(F.col("__eb") * EWM_BLOCK - c["at"], F.lit(float(EWM_BLOCK))))
         top = F.coalesce(f"__t_{out}", F.lit(0.0)) + F.coalesce(c["t"] * scale, F.lit(0.0))
         bottom = F.coalesce(f"__w_{out}", F.lit(0.0)) + F.coalesce(c["w"] * scale, F.lit(0.0))
         made.append(ratio(top, bottom).alias(out))

@@ -61,10 +61,14 @@ def hot_row_limit(spark: SparkSession) -> int:
     return int(spark.conf.get(HOT_ROWS_CONF, str(HOT_ROWS_DEFAULT)))
 
 
-def hot_groups(df: DataFrame, by: Sequence[str]) -> HotGroups:
-    """Find groups above the row limit: one partial aggregation over the key columns."""
-    limit = hot_row_limit(df.sparkSession)
-    sizes = df.groupBy(*by).agg(F.count(F.lit(1)).alias(N)).filter(F.col(N) > limit)
+def hot_groups(df: DataFrame, by: Sequence[str], size: Column | None = None, limit: int | None = None) -> HotGroups:
+    """Find groups above the row limit: one partial aggregation over the key columns.
+
+    `size` is another aggregate to compare with `limit`.
+    """
+    limit = hot_row_limit(df.sparkSession) if limit is None else limit
+    size = F.count(F.lit(1)) if size is None else size
+    sizes = df.groupBy(*by).agg(size.cast("long").alias(N)).filter(F.col(N) > limit)
     found = sizes.limit(MAX_LISTED_GROUPS + 1).collect()
     return HotGroups(
         by=tuple(by),
@@ -90,11 +94,11 @@ def split_hot(df: DataFrame, by: Sequence[str], hot: HotGroups) -> tuple[DataFra
         return df, None
     if hot.everything:
         return None, df
-    keys = F.broadcast(hot.keys(df.sparkSession).select(*hot.by))
     # `by` may be finer than the checked key: a hot coarse group covers its parts.
     on = list(hot.by)
     if not set(on) <= set(by):
         raise ValueError(f"groups were checked on {on}, which {list(by)} does not refine")
+    keys = F.broadcast(hot.keys(df.sparkSession).select(*on))
     return null_safe_join(df, keys, on, "left_anti"), null_safe_join(df, keys, on, "left_semi")
 
 

@@ -4,15 +4,17 @@ Each entrant meets every other entrant of a contest; the rating moves by the
 mean of K * (result - expected). Two modes:
 
 * "sequential": entrants are updated one after the other in finishing order,
-  so later ones meet ratings already changed in the same contest. This is a
-  chain by definition and runs inside one task per universe.
+  so later ones meet ratings already changed in the same contest. Inside a
+  contest this is a chain by definition.
 * "simultaneous": all entrants are updated from the ratings before the
   contest. The result does not depend on any order inside a contest.
 
-A universe (a competition) whose rows fit one task is folded there. Larger
-universes take the simultaneous form as one Spark job per contest. There the
-field's expected-score curve is summed at a few fixed ratings (a Chebyshev
-grid), not pair by pair, so the work is linear in the field.
+A universe (a competition) with little pair work is folded in one task. Larger
+universes run as one Spark job per contest with the ratings kept in a table.
+There the sequential mode needs one contest's field at a time. The
+simultaneous mode needs no field in one place: the expected-score curve is
+summed at a few fixed ratings (a Chebyshev grid), not pair by pair, so its
+work is linear in the field.
 """
 
 from __future__ import annotations
@@ -26,7 +28,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from lapwise.operators.groups import calendar_join, group_stats
-from lapwise.operators.ordered import HotGroups, expanding, hot_groups, null_safe_join, split_hot
+from lapwise.operators.ordered import expanding, hot_groups, null_safe_join, split_hot
 from lapwise.session import materialised
 
 # Step size, starting rating, rating scale.
@@ -34,6 +36,9 @@ K_FACTOR = 32.0
 START = 1500.0
 SCALE = 400.0
 
+# Pairs that one task may compare: some ten seconds of vectorised work.
+MAX_PAIRS = 2_000_000_000
+
 # The expected-score curve is analytic within pi * 400 / ln 10 = 546 points of the
 # real axis, so 16 nodes on cells of 200 points leave an error below 1e-14 per opponent.
 CELL = 200.0
@@ -75,7 +80,7 @@ def _fold(rows: pd.DataFrame, order: list[str], entity: str, rank: str, k: float
 
 def elo(
     df: DataFrame, universe: Sequence[str], order: Sequence[str], entity: str, rank: str, k: float = K_FACTOR,
-    mode: str = "sequential", hot: HotGroups | None = None,
+    mode: str = "sequential", max_pairs: int = MAX_PAIRS,
 ) -> DataFrame:
     """Rating of each entrant before each contest, as (universe, order, entity, rating).
 
@@ -84,26 +89,45 @@ def elo(
     if mode not in ("sequential", "simultaneous"):
         raise ValueError(f"unknown mode {mode}")
     df = df.select(*universe, *order, entity, rank)
-    hot = hot_groups(df, universe) if hot is None else hot
+    sequential = mode == "sequential"
+    order_ = list(order)
+    # Pairs per universe, from the field sizes.
+    fields = df.groupBy(*universe, *order).agg(F.count(F.lit(1)).cast("double").alias("__n"))
+    hot = hot_groups(fields, universe, F.sum(F.col("__n") * F.col("__n")), max_pairs)
     small, large = split_hot(df, universe, hot)
     parts = []
     if small is not None:
-        order_, entity_, rank_, sequential = list(order), entity, rank, mode == "sequential"
         schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + ", rating double"
 
         def fold(rows: pd.DataFrame) -> pd.DataFrame:
-            return _fold(rows, order_, entity_, rank_, k, sequential)
+            return _fold(rows, order_, entity, rank, k, sequential)
 
         parts.append(small.groupBy(*universe).applyInPandas(fold, schema).drop(rank))
     if large is not None:
-        if mode == "sequential":
-            raise ValueError("a sequential rating is one chain per universe and this universe is too large for one task; "
+        if sequential and not fields.filter(F.col("__n") * F.col("__n") > max_pairs).isEmpty():
+            raise ValueError("a sequential rating is one chain per contest and a field is too large for one task; "
                              "use mode='simultaneous'")
-        parts.append(_elo_by_contest(large, list(universe), list(order), entity, rank, k))
+        parts.append(_elo_by_contest(large, list(universe), order_, entity, rank, k, sequential))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
-def _elo_by_contest(df: DataFrame, universe: list[str], order: list[str], entity: str, rank: str, k: float) -> DataFrame:
+def _sequential_contest(field: DataFrame, contest: list[str], entity: str, rank: str, k: float) -> DataFrame:
+    """New ratings of one contest's field, entrant after entrant; the caller has checked the field size."""
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in field.schema) + ", new_rating double"
+
+    def update(rows: pd.DataFrame) -> pd.DataFrame:
+        rows = rows.sort_values([rank, entity], na_position="last", kind="stable").reset_index(drop=True)
+        ranks, new = rows[rank].to_numpy(dtype=float), rows["rating"].to_numpy(dtype=float).copy()
+        done = ~np.isnan(ranks)
+        new[done] = _contest_deltas(ranks[done], new[done], k, True)
+        return rows.assign(new_rating=new)
+
+    return field.groupBy(*contest).applyInPandas(update, schema)
+
+
+def _elo_by_contest(
+    df: DataFrame, universe: list[str], order: list[str], entity: str, rank: str, k: float, sequential: bool
+) -> DataFrame:
     """One job per step; step t holds the t-th contest of every universe. The calendar bounds the steps."""
     contests = df.select(*universe, *order).distinct()
     # One row per universe and contest of the calendar.
@@ -116,7 +140,12 @@ def _elo_by_contest(df: DataFrame, universe: list[str], order: list[str], entity
     for t in range(1, steps + 1):
         field = null_safe_join(df.filter(F.col("step") == t), state, [*universe, entity])
         field = field.withColumn("rating", F.coalesce("rating", F.lit(START)))
-        after = materialised(_one_contest(field, [*universe, *order], rank, k), f"contest-{t}")
+        field = field.drop("step")
+        if sequential:
+            after = _sequential_contest(field, [*universe, *order], entity, rank, k)
+        else:
+            after = _one_contest(field, [*universe, *order], rank, k)
+        after = materialised(after, f"contest-{t}")
         history.append(after.select(*universe, *order, entity, "rating"))
         moved = after.select(*universe, entity, F.col("new_rating").alias("rating"))
         state = materialised(null_safe_join(state, moved, [*universe, entity], "left_anti").unionByName(moved), f"ratings-{t}")

@@ -7,7 +7,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from lapwise.functions.scalars import finite
+from lapwise.functions.scalars import finite, ratio
 
 
 def stint_slope(df: DataFrame, by: Sequence[str], x: str, y: str, slope: str, fit: str, least: int = 3) -> DataFrame:
@@ -42,9 +42,11 @@ def correlations(df: DataFrame, candidates: Mapping[str, str], target: str, leas
     for name, column in candidates.items():
         x = finite(F.col(column).cast("double"))
         both = x.isNotNull() & y.isNotNull()
+        x, y_ = F.when(both, x), F.when(both, y)
         aggs += [
-            F.count(F.when(both, 1)).alias(f"n_{name}"),
-            F.corr(F.when(both, x), F.when(both, y)).alias(f"r_{name}"),
+            F.count(x).alias(f"n_{name}"),
+            # A constant side has no correlation; the built-in fails on it.
+            ratio(F.covar_pop(x, y_), F.stddev_pop(x) * F.stddev_pop(y_)).alias(f"r_{name}"),
         ]
     wide = df.agg(*aggs)
     rows = F.array(

@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import decimal
 import math
+import os
 import sys
 import time
 
@@ -79,6 +80,8 @@ if __name__ == "__main__":
     spark = build_session(master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g",
                                                 "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("OFF")
+    if os.environ.get("HOT_ROWS"):
+        spark.conf.set("spark.lapwise.hotGroupRows", os.environ["HOT_ROWS"])
     con = connect(sf)
     sql = entry.oracle_sql()
     for name, make in entry.queries().items():
