@@ -65,11 +65,9 @@ def wide_categoricals(df: DataFrame, features: FeatureSet, limit: int = MAX_LABE
 def coded(df: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
     """Join label codes; unknown labels share the code after the last one."""
     for column, table in tables.items():
-        last = table.agg(F.count(F.lit(1)).alias("__labels"))
-        df = left_enrich(df, table.withColumnRenamed("code", f"{column}{SUFFIX}"), [column])
-        # A one-row side.
-        df = df.join(F.broadcast(last))
-        df = df.withColumn(f"{column}{SUFFIX}", F.coalesce(f"{column}{SUFFIX}", "__labels").cast("double")).drop("__labels")
+        code = f"{column}{SUFFIX}"
+        df = left_enrich(df, table.withColumnRenamed("code", code), [column])
+        df = df.withColumn(code, F.coalesce(F.col(code), F.lit(table.count())).cast("double"))
     return df
 
 

@@ -28,34 +28,45 @@ def dedup_latest(df: DataFrame, keys: Sequence[str], order_col: str | None = Non
     return best.select(*[F.col(c) if c in keys else F.col(f"__row.{c}").alias(c) for c in df.columns])
 
 
+def _join(fact: DataFrame, dim: DataFrame, on: Sequence[str], how: str, null_safe: bool) -> DataFrame:
+    if null_safe:
+        return null_safe_join(fact, dim, on, how)
+    extra = [c for c in dim.columns if c not in on]
+    return fact.join(dim, list(on), how).select(*fact.columns, *extra)
+
+
 def spread_join(
     fact: DataFrame,
     dim: DataFrame,
     on: Sequence[str],
     hot: HotGroups | None = None,
     how: str = "left",
+    null_safe: bool = False,
 ) -> DataFrame:
     """Join `dim` (unique on `on`) to `fact`, salting the fact keys that are too large for one task.
 
     Hot keys get one copy of their dimension row per slice; other keys get one.
+    A check on coarser keys serves as proof that nothing is hot.
     """
-    hot = hot_groups(fact, on) if hot is None else hot
+    if hot is not None and not set(hot.by) <= set(on):
+        raise ValueError(f"groups were checked on {list(hot.by)}, which {list(on)} does not refine")
+    if hot is None or (not hot.none and set(hot.by) != set(on)):
+        hot = hot_groups(fact, on)
     if hot.none or hot.everything:
         # No group dominates: a plain join, broadcast by Spark if the measured size allows.
-        return null_safe_join(fact, dim, on, how)
-    spark = fact.sparkSession
+        return _join(fact, dim, on, how, null_safe)
     # At most MAX_LISTED_GROUPS keys, so this side is always small.
-    keys = hot.keys(spark)
+    keys = hot.keys(fact.sparkSession)
     slices = keys.select(*hot.by, F.ceil(F.col("__n") / hot.limit).cast("int").alias("__slices"))
-    if not set(hot.by) <= set(on):
-        raise ValueError(f"groups were checked on {list(hot.by)}, which {list(on)} does not refine")
     # The slice follows from the row itself, so a task that runs again makes the same choice.
     rest = [c for c in fact.columns if c not in on]
     fact_salt = F.pmod(F.xxhash64(*rest), F.coalesce("__slices", F.lit(1))) if rest else F.lit(0)
+    columns = fact.columns
     fact = null_safe_join(fact, F.broadcast(slices), hot.by).withColumn("__salt", fact_salt.cast("int")).drop("__slices")
     copies = F.sequence(F.lit(0), F.coalesce("__slices", F.lit(1)) - 1)
     dim = null_safe_join(dim, F.broadcast(slices), hot.by).withColumn("__salt", F.explode(copies)).drop("__slices")
-    return null_safe_join(fact, dim, [*on, "__salt"], how).drop("__salt")
+    out = _join(fact, dim, [*on, "__salt"], how, null_safe)
+    return out.select(*columns, *[c for c in out.columns if c not in columns and c != "__salt"])
 
 
 def left_enrich(
@@ -98,7 +109,7 @@ def group_stats(
     `calendar` the groups are races or seasons.
     """
     stats = df.groupBy(*by).agg(*[value.alias(out) for out, value in outputs.items()])
-    return calendar_join(df, stats, by) if calendar else spread_join(df, stats, by, hot)
+    return calendar_join(df, stats, by) if calendar else spread_join(df, stats, by, hot, null_safe=True)
 
 
 def quantiles(
@@ -117,7 +128,7 @@ def quantiles(
         parts.append(cold.groupBy(*by).agg(*[F.percentile(value, F.lit(p)).alias(c) for c, p in points.items()]))
     if big is not None:
         placed = with_position(big, by, [value], "__at", hot)
-        placed = spread_join(placed, placed.groupBy(*by).agg(F.count(F.lit(1)).alias("__size")), by, hot)
+        placed = spread_join(placed, placed.groupBy(*by).agg(F.count(F.lit(1)).alias("__size")), by, hot, null_safe=True)
         picks = []
         for c, p in points.items():
             at = (F.col("__size") - 1) * F.lit(p) + 1

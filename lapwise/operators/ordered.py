@@ -30,6 +30,8 @@ HOT_ROWS_CONF = "spark.lapwise.hotGroupRows"
 HOT_ROWS_DEFAULT = 2_000_000
 # Above this many hot groups none of them dominates, and all rows take the hot way.
 MAX_LISTED_GROUPS = 10_000
+# Range partitions sort with spilling, so this bounds only the number of shuffle blocks.
+MAX_RANGE_PARTS = 20_000
 
 POS, BLOCK, HOME, N = "__pos", "__block", "__home", "__n"
 
@@ -116,22 +118,31 @@ def _sort(order: Sequence[str | Column]) -> list[Column]:
 
 
 def _range_positions(df: DataFrame, by: Sequence[str], order: Sequence, name: str, hot: HotGroups) -> DataFrame:
-    """Exact 1-based position in each group from one global range sort."""
+    """Exact 1-based position in each group from one global range sort.
+
+    The sorted rows are numbered per partition and written, which fixes the
+    partition boundaries. What is left is a small table: where each group
+    starts in each partition, and how many of its rows lie in earlier ones.
+    """
     spark = df.sparkSession
-    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-hot.total * 4 // max(hot.limit, 1)))
-    placed = materialised(
-        df.repartitionByRange(parts, *_names(by), *_sort(order)).withColumn("__part", F.spark_partition_id()),
-        "ordered",
-    )
-    sizes = placed.groupBy(*by, "__part").agg(F.count(F.lit(1)).alias(N))
-    # One row per (group, partition), so at most `parts` rows per group.
+    wanted = min(-(-hot.total // max(hot.limit, 1)), MAX_RANGE_PARTS)
+    parts = max(int(spark.conf.get("spark.sql.shuffle.partitions")), wanted)
+    keys = [*_names(by), *_sort(order)]
+    placed = df.repartitionByRange(parts, *keys).sortWithinPartitions(*keys)
+    placed = materialised(placed.withColumn("__id", F.monotonically_increasing_id()), "ordered")
+    # The upper bits of the id are the partition, the lower ones the row in it.
+    placed = placed.withColumn("__part", F.shiftright("__id", 33))
+    runs = placed.groupBy(*by, "__part").agg(F.count(F.lit(1)).alias(N), F.min("__id").alias("__first"))
+    # One row per group and partition, so at most `parts` rows per group.
     earlier = Window.partitionBy(*by).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
-    before = sizes.select(*by, "__part", F.coalesce(F.sum(N).over(earlier), F.lit(0)).alias("__before"))
-    local = F.row_number().over(Window.partitionBy(*by, "__part").orderBy(*_sort(order)))
+    shift = F.coalesce(F.sum(N).over(earlier), F.lit(0)) + 1 - F.col("__first")
+    runs = runs.select(*by, "__part", shift.alias("__shift"))
+    # Listed hot groups are few, so all runs together are about as many as the partitions.
+    runs = runs if hot.everything else F.broadcast(runs)
     return (
-        null_safe_join(placed.withColumn(name, local), before, [*by, "__part"])
-        .withColumn(name, (F.col(name) + F.col("__before")).cast("long"))
-        .drop("__part", "__before")
+        null_safe_join(placed, runs, [*by, "__part"])
+        .withColumn(name, F.col("__id") + F.col("__shift"))
+        .drop("__id", "__part", "__shift")
     )
 
 

@@ -133,8 +133,12 @@ def _elo_by_contest(
     # One row per universe and contest of the calendar.
     step = F.row_number().over(Window.partitionBy(*universe).orderBy(*order)).alias("step")
     contests = contests.select("*", step)
-    df = materialised(calendar_join(df, contests, [*universe, *order]).repartition("step", *universe, entity), "contests")
-    steps = df.agg(F.max("step")).first()[0] or 0
+    contests = materialised(contests, "calendar")
+    steps = contests.agg(F.max("step")).first()[0] or 0
+    # One folder per step, so that each job reads its own contests only; several tasks write a large step.
+    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    slot = F.pmod(F.xxhash64(entity), F.lit(max(1, 4 * parts // max(steps, 1))))
+    df = materialised(calendar_join(df, contests, [*universe, *order]).repartition(F.col("step"), slot), "contests", "step")
     state = df.sparkSession.createDataFrame([], df.select(*universe, entity).schema.add("rating", "double"))
     history = []
     for t in range(1, steps + 1):

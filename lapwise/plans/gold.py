@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from lapwise.functions.scalars import flag, ratio
 from lapwise.operators import form
 from lapwise.operators.groups import calendar_join, group_stats, left_enrich
-from lapwise.operators.ordered import BOUNDED, HotGroups, expanding, with_rank
+from lapwise.operators.ordered import BOUNDED, HotGroups, expanding, rolling, with_rank
 
 RACE = ("season", "round")
 ORDER = ("season", "round")
@@ -41,17 +41,15 @@ def rolling_form(df: DataFrame) -> DataFrame:
     """Previous five races: mean finish, points, retirement rate, places gained; spread of places gained."""
     gained = F.col("grid") - F.coalesce("position", "grid")
     spread = F.col("grid") - F.coalesce(F.col("position"), F.lit(MISSING_FINISH))
-    df = form.rolling_mean(
-        df, ["driver_id"], ORDER,
-        {
-            "rolling_avg_position_5": F.col("position"),
-            "rolling_avg_points_5": F.col("points"),
-            "rolling_dnf_rate_5": F.col("dnf").cast("int"),
-            "rolling_positions_gained_5": gained,
-        },
-        5, PER_DRIVER,
-    )
-    return form.rolling_spread(df, ["driver_id"], ORDER, spread, "rolling_consistency", 5, PER_DRIVER)
+    means = {
+        "rolling_avg_position_5": F.col("position"),
+        "rolling_avg_points_5": F.col("points"),
+        "rolling_dnf_rate_5": F.col("dnf").cast("int"),
+        "rolling_positions_gained_5": gained,
+    }
+    outputs = {out: (lambda w, v=v: F.avg(v).over(w)) for out, v in means.items()}
+    outputs["rolling_consistency"] = lambda w: F.stddev_samp(spread).over(w)
+    return rolling(df, ["driver_id"], ORDER, outputs, -5, -1, PER_DRIVER)
 
 
 def constructor_form(df: DataFrame, mode: str = "race", hot: HotGroups | None = None) -> DataFrame:

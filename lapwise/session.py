@@ -46,12 +46,12 @@ def shared_dir(spark: SparkSession, label: str) -> str:
     return f"{shared_root(spark)}/lapwise/{label}-{uuid.uuid4().hex}"
 
 
-def materialised(df: DataFrame, label: str) -> DataFrame:
+def materialised(df: DataFrame, label: str, partition: str | None = None) -> DataFrame:
     """`df` written to the shared folder and read back.
 
     Fixes values that would differ if a lost task were run again (range
     boundaries, partition ids) and cuts the lineage for iterative jobs.
     """
     path = shared_dir(df.sparkSession, label)
-    df.write.parquet(path)
+    (df.write.partitionBy(partition) if partition else df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
