@@ -42,9 +42,9 @@ def rolling_spread(
 
 def team_form(
     df: DataFrame, team: str, order: Sequence[str], value: str, name: str, n: int = 10, mode: str = "race",
-    tie: str | None = None, hot: HotGroups | None = None,
+    tie: str | None = None, hot: HotGroups | None = None, source: DataFrame | None = None,
 ) -> DataFrame:
-    """Mean `value` per entrant of a team.
+    """Mean `value` per entrant of a team; `source` may hold the same rows with less lineage.
 
     "race": over the team's previous `n` races, so nothing leaks within a race.
     "rows": over the previous `n` rows in (order, tie), where an earlier
@@ -52,7 +52,7 @@ def team_form(
     """
     if mode == "rows":
         return rolling_mean(df, [team], [*order, tie], {name: F.col(value)}, n, hot)
-    races = df.groupBy(team, *order).agg(F.sum(value).alias("__sum"), F.count(value).alias("__count"))
+    races = (df if source is None else source).groupBy(team, *order).agg(F.sum(value).alias("__sum"), F.count(value).alias("__count"))
     # One row per team and race, so the calendar bounds each team's group.
     races = rolling(
         races, [team], order,

@@ -101,14 +101,17 @@ def group_stats(
     outputs: Mapping[str, Column],
     hot: HotGroups | None = None,
     calendar: bool = False,
+    source: DataFrame | None = None,
 ) -> DataFrame:
     """Attach unordered group aggregates to every row.
 
     Aggregate-and-join instead of an unordered window: the aggregation combines
     map-side and the rows are not shuffled when the result is small. With
-    `calendar` the groups are races or seasons.
+    `calendar` the groups are races or seasons. `source` is a frame with the
+    same rows but less lineage, from which the aggregates can be taken: a chain
+    of such steps on `df` itself would double the plan each time.
     """
-    stats = df.groupBy(*by).agg(*[value.alias(out) for out, value in outputs.items()])
+    stats = (df if source is None else source).groupBy(*by).agg(*[value.alias(out) for out, value in outputs.items()])
     return calendar_join(df, stats, by) if calendar else spread_join(df, stats, by, hot, null_safe=True)
 
 

@@ -27,8 +27,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from lapwise.operators.groups import calendar_join, group_stats
-from lapwise.operators.ordered import expanding, hot_groups, null_safe_join, split_hot
+from lapwise.operators.groups import calendar_join, group_stats, left_enrich
+from lapwise.operators.ordered import BOUNDED, expanding, hot_groups, null_safe_join, split_hot
 from lapwise.session import materialised
 
 # Step size, starting rating, rating scale.
@@ -198,9 +198,19 @@ def _one_contest(field: DataFrame, contest: list[str], rank: str, k: float) -> D
     return out.unionByName(idle)
 
 
-def against_field(df: DataFrame, ratings: DataFrame, contest: Sequence[str], entity: str) -> DataFrame:
-    """Join ratings back to the facts (default START) and compare with the mean of the contest."""
-    df = null_safe_join(df, ratings.select(*contest, entity, F.col("rating").alias("driver_elo")), [*contest, entity])
-    df = df.fillna({"driver_elo": START})
-    df = group_stats(df, list(contest), {"__mean": F.avg("driver_elo")}, calendar=True)
-    return df.withColumn("elo_vs_field", F.col("driver_elo") - F.col("__mean")).drop("__mean")
+def against_field(
+    df: DataFrame, ratings: DataFrame, contest: Sequence[str], entity: str, source: DataFrame | None = None
+) -> DataFrame:
+    """Join ratings back to the facts (default START) and compare with the mean of the contest.
+
+    Facts and ratings are unique per contest and entrant; `source` may hold the facts' rows with less lineage.
+    """
+    key = [*contest, entity]
+    named = ratings.select(*key, F.col("rating").alias("driver_elo"))
+
+    def rated(rows: DataFrame) -> DataFrame:
+        return left_enrich(rows, named, key, {"driver_elo": START}, BOUNDED)
+
+    entries = rated((df if source is None else source).select(*key))
+    out = group_stats(rated(df), list(contest), {"__mean": F.avg("driver_elo")}, calendar=True, source=entries)
+    return out.withColumn("elo_vs_field", F.col("driver_elo") - F.col("__mean")).drop("__mean")

@@ -52,29 +52,26 @@ def rolling_form(df: DataFrame) -> DataFrame:
     return rolling(df, ["driver_id"], ORDER, outputs, -5, -1, PER_DRIVER)
 
 
-def constructor_form(df: DataFrame, mode: str = "race", hot: HotGroups | None = None) -> DataFrame:
-    if mode == "rows":
-        return form.team_form(df, "constructor_id", ORDER, "points", "constructor_rolling_points", 10, mode, "driver_id", hot)
-    # Facts are unique per (race, team, driver); a race's team may still be large, so `hot` covers the race.
-    return form.team_form(df, "constructor_id", ORDER, "points", "constructor_rolling_points", hot=hot)
-
-
-def quali_gaps(df: DataFrame) -> DataFrame:
-    """Gap to the best qualifying time of the race, in seconds and per cent."""
-    df = group_stats(df, RACE, {"__pole": F.min("best_quali_seconds")}, calendar=True)
+def constructor_form(
+    df: DataFrame, mode: str = "race", hot: HotGroups | None = None, source: DataFrame | None = None
+) -> DataFrame:
+    """Mean points per entrant over the team's previous ten races; `hot` may describe the races or the teams."""
+    return form.team_form(
+        df, "constructor_id", ORDER, "points", "constructor_rolling_points", 10, mode, "driver_id", hot, source)
+
+
+def field_context(df: DataFrame, source: DataFrame | None = None) -> DataFrame:
+    """Against the field of the race: gap to the best qualifying time (s, %), stops against the mean, many stops."""
+    field = {"__pole": F.min("best_quali_seconds"), "__stops": F.avg("num_pit_stops")}
+    df = group_stats(df, RACE, field, calendar=True, source=source)
     gap = F.col("best_quali_seconds") - F.col("__pole")
-    return df.select(
-        "*", gap.alias("quali_gap_to_pole"), ratio(gap * 100, F.col("__pole")).alias("quali_gap_pct")
-    ).drop("__pole")
-
-
-def stop_strategy(df: DataFrame) -> DataFrame:
-    df = group_stats(df, RACE, {"__mean": F.avg("num_pit_stops")}, calendar=True)
     return df.select(
         "*",
+        gap.alias("quali_gap_to_pole"),
+        ratio(gap * 100, F.col("__pole")).alias("quali_gap_pct"),
         flag(F.col("num_pit_stops") >= 3).alias("pit_strategy_aggressive"),
-        (F.col("num_pit_stops") - F.col("__mean")).alias("pit_stops_vs_field"),
-    ).drop("__mean")
+        (F.col("num_pit_stops") - F.col("__stops")).alias("pit_stops_vs_field"),
+    ).drop("__pole", "__stops")
 
 
 def circuit_history(df: DataFrame) -> DataFrame:
@@ -116,8 +113,8 @@ def race_features(master: DataFrame, hot: HotGroups | None = None, team_mode: st
     df = rolling_form(master)
     df = circuit_history(df).drop("driver_circuit_wins", "driver_circuit_podiums")
     df = season_points(df)
-    df = constructor_form(df, team_mode, hot)
-    df = stop_strategy(quali_gaps(df))
+    df = constructor_form(df, team_mode, hot, master)
+    df = field_context(df, master)
     return targets(df).drop(*LEAKY)
 
 
@@ -141,8 +138,9 @@ def ewm_form(df: DataFrame) -> DataFrame:
     )
 
 
-def quali_vs_teammate(df: DataFrame, hot: HotGroups | None = None) -> DataFrame:
-    df = group_stats(df, [*RACE, "constructor_id"], {"__mean": F.avg("best_quali_seconds")}, hot)
+def quali_vs_teammate(df: DataFrame, hot: HotGroups | None = None, source: DataFrame | None = None) -> DataFrame:
+    """Gap to the team's mean qualifying time, which includes the driver."""
+    df = group_stats(df, [*RACE, "constructor_id"], {"__mean": F.avg("best_quali_seconds")}, hot, source=source)
     return df.withColumn("quali_vs_teammate", F.col("best_quali_seconds") - F.col("__mean")).drop("__mean")
 
 
@@ -159,21 +157,21 @@ def season_phase(df: DataFrame, schedule: DataFrame | None = None) -> DataFrame:
     ).drop("__last")
 
 
-def championship(df: DataFrame, hot: HotGroups | None = None) -> DataFrame:
+def championship(df: DataFrame, hot: HotGroups | None = None, source: DataFrame | None = None) -> DataFrame:
     """Points behind the leader and competition rank, both before the race."""
-    df = group_stats(df, RACE, {"__top": F.max("season_cumulative_points")}, calendar=True)
+    df = group_stats(df, RACE, {"__top": F.max("season_cumulative_points")}, calendar=True, source=source)
     df = df.withColumn("points_gap_to_leader", F.col("__top") - F.col("season_cumulative_points")).drop("__top")
     return with_rank(df, RACE, "season_cumulative_points", "championship_position", hot=hot)
 
 
-def circuit_risk(df: DataFrame, full_history: bool = False) -> DataFrame:
+def circuit_risk(df: DataFrame, full_history: bool = False, source: DataFrame | None = None) -> DataFrame:
     """Retirement rate and finish spread of the circuit.
 
     Only earlier races count unless `full_history`, which uses all races and so looks ahead.
     Race-level sums come first; a circuit then has one row per race.
     """
     p = F.col("position").cast("double")
-    races = df.groupBy("circuit_id", *RACE).agg(
+    races = (df if source is None else source).groupBy("circuit_id", *RACE).agg(
         F.sum(flag(F.col("dnf"))).alias("__d"), F.count(F.lit(1)).alias("__n"),
         F.sum(p).alias("__s"), F.sum(p * p).alias("__q"), F.count(p).alias("__c"),
     )
@@ -209,9 +207,9 @@ def interactions(df: DataFrame) -> DataFrame:
     )
 
 
-def dominance(df: DataFrame) -> DataFrame:
+def dominance(df: DataFrame, source: DataFrame | None = None) -> DataFrame:
     """Team form relative to the field of the race."""
-    df = group_stats(df, RACE, {"__mean": F.avg("constructor_rolling_points")}, calendar=True)
+    df = group_stats(df, RACE, {"__mean": F.avg("constructor_rolling_points")}, calendar=True, source=source)
     return df.withColumn("constructor_dominance", ratio(F.col("constructor_rolling_points"), F.col("__mean"))).drop("__mean")
 
 

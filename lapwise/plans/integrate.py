@@ -10,8 +10,10 @@ from pyspark.sql import functions as F
 from lapwise.functions.scalars import flag, ratio
 from lapwise.operators import form
 from lapwise.operators.groups import calendar_join, first_shared_key, group_stats, left_enrich, median, prior_period
-from lapwise.operators.ordered import BOUNDED, HotGroups
+from lapwise.operators.ordered import BOUNDED, HotGroups, with_rank
+from lapwise.operators.rating import against_field
 from lapwise.operators.regression import stint_slope
+from lapwise.plans import gold
 
 RACE = ("season", "round")
 
@@ -131,3 +133,42 @@ def merge_by_code(gold: DataFrame, extra: DataFrame, driver: str = "Driver", can
 def coverage(df: DataFrame, column: str) -> DataFrame:
     """Share of rows that a join filled, in per cent."""
     return df.agg((F.avg(F.col(column).isNotNull().cast("int")) * 100).alias("coverage_pct"))
+
+
+def season_table(master: DataFrame, hot: HotGroups | None = None) -> DataFrame:
+    """Final standings per season from race points: points, wins, competition rank."""
+    totals = master.groupBy("season", "driver_id").agg(
+        F.sum("points").alias("points"), F.sum(flag(F.col("position") == 1)).alias("wins")
+    )
+    totals = totals.withColumn("points", F.round("points", 6))
+    return with_rank(totals, ["season"], "points", "position", hot=hot)
+
+
+def complete_features(
+    master: DataFrame, weather: DataFrame, ratings: DataFrame, lap_table: DataFrame, tire_table: DataFrame, standings: DataFrame,
+    races: HotGroups | None = None,
+) -> DataFrame:
+    """The wide table: base features, then weather, advanced features, prior season, tyres and laps.
+
+    `master` is unique per race and driver, and so are all tables joined to it.
+    """
+    # All driver windows first: they share one shuffle.
+    df = gold.season_points(gold.circuit_history(gold.rolling_form(master)))
+    df = gold.ewm_form(gold.streaks(gold.targets(df)))
+    # Statistics come from the master table, so the plan grows by a scan per step and does not double.
+    df = gold.championship(df, races, gold.season_points(master))
+    df = gold.constructor_form(df, hot=races, source=master)
+    df = gold.quali_vs_teammate(df, races, master)
+    df = gold.field_context(df, master)
+    df = gold.season_phase(df, master)
+    df = gold.circuit_risk(df, source=master)
+    df = calendar_join(df, weather, RACE)
+    df = gold.interactions(against_field(df, ratings, RACE, "driver_id", master))
+    df = prior_season(df, standings, hot=BOUNDED)
+    df = merge_by_code(df, tire_table)
+    return merge_by_code(df, lap_table).drop(*gold.LEAKY)
+
+
+def added_columns(before: DataFrame, after: DataFrame) -> list[str]:
+    """Columns that a step added."""
+    return [c for c in after.columns if c not in set(before.columns)]

@@ -95,7 +95,7 @@ SELECT {K}, round(best_quali_seconds - pole, 6) AS quali_gap_to_pole,
 FROM (SELECT *, min(best_quali_seconds) OVER (PARTITION BY season, round) AS pole FROM contest)"""),
 )
 def quali_gap_to_pole(spark, sf_dir):
-    return _features(gold.quali_gaps(B.contest(spark, sf_dir)), "quali_gap_to_pole", "quali_gap_pct")
+    return _features(gold.field_context(B.contest(spark, sf_dir)), "quali_gap_to_pole", "quali_gap_pct")
 
 
 @query(
@@ -106,7 +106,7 @@ SELECT {K}, CAST(num_pit_stops >= 3 AS INTEGER) AS pit_strategy_aggressive,
 FROM contest"""),
 )
 def pit_stops_vs_field(spark, sf_dir):
-    return _features(gold.stop_strategy(B.contest(spark, sf_dir)), "pit_strategy_aggressive", "pit_stops_vs_field")
+    return _features(gold.field_context(B.contest(spark, sf_dir)), "pit_strategy_aggressive", "pit_stops_vs_field")
 
 
 VENUE = "(PARTITION BY driver_id, circuit_id ORDER BY season, round ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)"

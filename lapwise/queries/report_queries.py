@@ -11,9 +11,11 @@ from lapwise.operators.groups import calendar_join, latest_period, row_at_max, t
 from lapwise.operators.ordered import BOUNDED, rolling
 from lapwise.operators.rating import against_field, elo
 from lapwise.operators.regression import correlations
-from lapwise.plans import gold, history, questions, reports, silver
-from lapwise.queries.form_queries import CUM_SQL, GOLD_SQL, LAST5, NOW5, TARGETS_SQL, TEAM_SQL, VENUE
+from lapwise.plans import gold, history, integrate, questions, reports, silver
+from lapwise.queries.form_queries import CUM_SQL, GOLD_SQL, LAST5, NOW5, RISK_SQL, TARGETS_SQL, TEAM_SQL, VENUE
 from lapwise.queries.registry import query
+from lapwise.queries.silver_queries import CLEAN_SQL, DEG_SQL, LAP_FEATURES_SQL, TIRE_SQL, WEATHER_FEATURES_SQL
+from lapwise.session import materialised
 
 KEY = ["season", "round", "driver_id"]
 K = "season, round, driver_id"
@@ -402,7 +404,8 @@ def _hypotheses(spark, sf_dir):
     df = rolling_slope(df, ["driver_id"], gold.ORDER, "best_quali_seconds", "quali_trend", hot=BOUNDED)
     df = rolling(df, ["driver_id"], gold.ORDER, {"grid_spread": lambda w: F.stddev_samp("grid").over(w)}, -4, 0, BOUNDED)
     df = second_difference(df, ["driver_id", "season"], ["round"], "season_cumulative_points", "points_acceleration", BOUNDED)
-    df = gold.dominance(gold.constructor_form(df, hot=B.races_of(spark, sf_dir)))
+    base, races = B.contest(spark, sf_dir), B.races_of(spark, sf_dir)
+    df = gold.dominance(gold.constructor_form(df, hot=races, source=base), gold.constructor_form(base, hot=races))
     df = df.withColumn("home_advantage", F.col("rolling_avg_position_5") - F.col("circuit_avg_position"))
     found = correlations(df, {c: c for c in CANDIDATES}, "target_position")
     return quality.accepted_features(found, ["constructor_dominance"])
@@ -638,7 +641,7 @@ RACE_DATA_SQL = "race_data AS (SELECT g.*, e.rating FROM gold_table g JOIN elo e
 
 
 def race_data(spark, sf_dir, with_rating):
-    df = gold.quali_gaps(_targets(spark, sf_dir))
+    df = gold.field_context(_targets(spark, sf_dir))
     if with_rating:
         df = against_field(df, ratings(spark, sf_dir, "simultaneous"), B.RACE, "driver_id").withColumnRenamed("driver_elo", "rating")
     return df
@@ -663,3 +666,79 @@ def _register(name):
 
 for _name in questions.QUESTIONS:
     _register(_name)
+
+
+# ---- the wide table ---------------------------------------------------------------
+
+COMPLETE_SQL = (
+    "WITH RECURSIVE " + ",".join([
+        B.CONTEST_SQL, ELO_SQL, TEAM_SQL, CUM_SQL, TARGETS_SQL, RISK_SQL, B.WEATHER_SQL, WEATHER_FEATURES_SQL, B.laps_sql("day"),
+        CLEAN_SQL, LAP_FEATURES_SQL, DEG_SQL, TIRE_SQL,
+    ]) + f""",
+season_totals AS (
+  SELECT season, driver_id, round(sum(points), 6) AS points, CAST(sum(CASE WHEN position = 1 THEN 1 ELSE 0 END) AS BIGINT) AS wins
+  FROM contest GROUP BY 1, 2),
+season_table AS (SELECT *, rank() OVER (PARTITION BY season ORDER BY points DESC) AS position FROM season_totals),
+laps_by_entry AS (
+  SELECT season, round, "Driver" AS driver_id, avg_lap_time, lap_consistency, num_stints,
+         avg_lap_time - avg(avg_lap_time) OVER (PARTITION BY season, round) AS pace_vs_field
+  FROM per_entry LEFT JOIN stint_count USING (season, round, "Driver")),
+tire_by_entry AS (SELECT *, "Driver" AS driver_id FROM tire)
+SELECT season, round, g.driver_id, g.target_position,
+       round(t.constructor_rolling_points, 6) AS constructor_rolling_points,
+       round(cum.season_cumulative_points, 6) AS season_cumulative_points,
+       round(coalesce(v.d / v.n, 0.1), 6) AS circuit_dnf_rate,
+       round(w.avg_track_temp, 6) AS avg_track_temp, CAST(w.rain > 0 AS INTEGER) AS had_rain,
+       round(elo.rating, 6) AS driver_elo,
+       coalesce(p.position, 20) AS prev_season_position, coalesce(p.wins, 0) AS prev_season_wins,
+       CASE WHEN p.position <= 3 THEN 1 ELSE 0 END AS is_prev_top3,
+       round(l.avg_lap_time, 6) AS avg_lap_time, round(l.lap_consistency, 6) AS lap_consistency, l.num_stints,
+       round(l.pace_vs_field, 6) AS pace_vs_field, round(x.avg_tire_deg_slope, 6) AS avg_tire_deg_slope, x.stint_count_tire
+FROM gold g LEFT JOIN team_form t USING (constructor_id, season, round) JOIN cum USING (season, round, driver_id)
+LEFT JOIN venue v ON v.circuit_id = g.circuit_id AND v.season = g.season AND v.round = g.round
+LEFT JOIN weather w USING (season, round) JOIN elo USING (season, round, driver_id)
+LEFT JOIN season_table p ON p.season + 1 = g.season AND p.driver_id = g.driver_id
+LEFT JOIN laps_by_entry l USING (season, round, driver_id) LEFT JOIN tire_by_entry x USING (season, round, driver_id)"""
+)
+
+
+def complete_table(spark, sf_dir):
+    # Silver tables are written once; the gold steps scan them.
+    master = materialised(B.contest(spark, sf_dir), "master")
+    lap_rows = materialised(B.laps(spark, sf_dir), "laps")
+    lap_table = integrate.lap_features(lap_rows, hot=B.lap_races_of(spark, sf_dir), by_driver=B.entries_of(spark, sf_dir))
+    tires = integrate.tire_features(integrate.tire_degradation(lap_rows))
+    seasons = B.checked(B.daily(spark, sf_dir).select("season", "driver_id").distinct(), sf_dir, "entrants", ["season"])
+    return integrate.complete_features(
+        master, silver.weather_features(B.samples(spark, sf_dir)), ratings(spark, sf_dir, "simultaneous"), lap_table, tires,
+        integrate.season_table(master, seasons), B.races_of(spark, sf_dir))
+
+
+@query("complete_features", COMPLETE_SQL)
+def complete_features(spark, sf_dir):
+    df = complete_table(spark, sf_dir)
+    return rounded(df.select(
+        *KEY, "target_position", "constructor_rolling_points", "season_cumulative_points", "circuit_dnf_rate", "avg_track_temp",
+        "had_rain", "driver_elo", "prev_season_position", "prev_season_wins", "is_prev_top3", "avg_lap_time", "lap_consistency",
+        "num_stints", "pace_vs_field", "avg_tire_deg_slope", "stint_count_tire"))
+
+
+@query(
+    "briefing",
+    _with(TARGETS_SQL, HEALTH_SQL) + """
+SELECT 'season ' || max(season) || ' | data ' || (SELECT CASE WHEN count(*) FILTER (WHERE NOT passed) = 0 THEN 'HEALTHY'
+         ELSE 'ISSUES_FOUND' END FROM rules) || ', ' || count(*) || ' rows | 0 features accepted | MAE '
+       || printf('%.3f', round(avg(abs(grid - position)), 3)) || ' | retrain '
+       || CASE WHEN avg(abs(grid - position)) > 4 THEN 'true' ELSE 'false' END AS briefing FROM gold""",
+)
+def briefing(spark, sf_dir):
+    df = _targets(spark, sf_dir)
+    # Three one-row tables.
+    table = quality.profile(df, []).withColumn("k", F.lit(1))
+    health = quality.health_status(_rules(spark, sf_dir)).withColumn("k", F.lit(1))
+    errors = evaluate.regression_metrics(df, "target_position", "grid").withColumn("k", F.lit(1))
+    one = table.join(health, "k").join(errors, "k")
+    line = reports.briefing_line(
+        F.concat(F.lit("season "), F.col("latest_season").cast("string")), F.col("status"), F.col("total_rows"), F.lit(0),
+        F.round("mae", 3), evaluate.retrain_gate(F.col("mae"), F.lit(None).cast("double")).cast("string"))
+    return one.select(line.alias("briefing"))

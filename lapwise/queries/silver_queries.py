@@ -469,13 +469,159 @@ def sparse_columns(spark, sf_dir):
 @query(
     "interactions",
     f"""WITH {B.CONTEST_SQL}, {B.WEATHER_SQL}, {WEATHER_FEATURES_SQL}
-SELECT season, round, driver_id, round(points * coalesce(CAST(rain > 0 AS INTEGER), 0), 6) AS constructor_rain_interaction,
-       round(points * coalesce(avg_track_temp, 30), 6) AS constructor_temp_interaction,
-       round(grid * (2000.0 - 1500.0) / 500, 6) AS grid_elo_interaction
+SELECT season, round, driver_id, round(points * coalesce(CAST(rain > 0 AS INTEGER), 0), 8) AS constructor_rain_interaction,
+       round(points * coalesce(avg_track_temp, 30), 8) AS constructor_temp_interaction,
+       round(grid * (2000.0 - 1500.0) / 500, 8) AS grid_elo_interaction
 FROM contest LEFT JOIN weather USING (season, round)""",
 )
 def interactions(spark, sf_dir):
     df = calendar_join(B.contest(spark, sf_dir), silver.weather_features(B.samples(spark, sf_dir)), B.RACE)
     df = df.withColumn("constructor_rolling_points", F.col("points")).withColumn("driver_elo", F.lit(None).cast("double"))
     return S.rounded(gold.interactions(df).select(
-        "season", "round", "driver_id", "constructor_rain_interaction", "constructor_temp_interaction", "grid_elo_interaction"))
+        "season", "round", "driver_id", "constructor_rain_interaction", "constructor_temp_interaction", "grid_elo_interaction"), 8)
+
+
+# ---- the silver tables from untyped bronze rows: every event is one delivery of its day's entry ------
+
+DELIVERY_SQL = f"""
+delivery AS (
+  SELECT CAST(isoyear(CAST(ts AS DATE)) * 100 + week(CAST(ts AS DATE)) AS INTEGER) AS season,
+         CAST(isodow(CAST(ts AS DATE)) AS INTEGER) AS round, CAST(user_id AS VARCHAR) AS driver_id, ts, event_id, e.event_type,
+         e.value, clock, CAST(hour(ts) AS INTEGER) AS hour
+  FROM events e JOIN clocks USING (event_id)),
+silver_results AS (
+  SELECT season, round, driver_id, CAST(floor(value) AS INTEGER) AS grid,
+         CASE WHEN event_type <> 'error' THEN CAST(floor(value / 2) AS INTEGER) END AS position, value AS points,
+         CASE event_type WHEN 'error' THEN 'Engine' WHEN 'view' THEN 'Finished' ELSE '+1 Lap' END AS status,
+         {PARSED} AS fastest_lap_seconds
+  FROM (SELECT *, row_number() OVER (PARTITION BY season, round, driver_id ORDER BY ts DESC, event_id DESC) AS rn FROM delivery)
+  WHERE rn = 1),
+silver_quali AS (
+  SELECT season, round, driver_id, {PARSED} AS q1_seconds, CAST(CASE WHEN value > 50 THEN 90.5 END AS DOUBLE) AS q2_seconds
+  FROM (SELECT *, row_number() OVER (PARTITION BY season, round, driver_id ORDER BY ts DESC, event_id DESC) AS rn FROM delivery)
+  WHERE rn = 1),
+silver_stops AS (
+  SELECT season, round, driver_id, hour AS stop_number, coalesce(TRY_CAST(clock AS DOUBLE), {PARSED}) AS duration_seconds
+  FROM (SELECT *, row_number() OVER (PARTITION BY season, round, driver_id, hour ORDER BY ts DESC, event_id DESC) AS rn FROM delivery)
+  WHERE rn = 1)"""
+
+
+def _deliveries(spark, sf_dir):
+    """Bronze columns as drifting text."""
+    events = B.table(spark, sf_dir, "events").select("event_id", "ts", "user_id")
+    rows = events.join(_clocks(spark, sf_dir), "event_id")
+    return rows.select(
+        *[c.cast("string").alias(n) for c, n in zip(B.calendar_columns(F.to_date("ts")), B.RACE)],
+        F.col("user_id").cast("string").alias("driver_id"), F.col("ts").cast("string").alias("_ingested_at"),
+        "event_type", "value", "clock", F.hour("ts").cast("string").alias("stop_number"),
+    )
+
+
+def _bronze_results(spark, sf_dir):
+    kind = F.col("event_type")
+    return _deliveries(spark, sf_dir).select(
+        *silver.ENTRY, F.floor("value").cast("string").alias("grid"),
+        F.when(kind == "error", "R").otherwise(F.floor(F.col("value") / 2).cast("string")).alias("position"),
+        F.col("value").cast("string").alias("points"),
+        F.when(kind == "error", "Engine").when(kind == "view", "Finished").otherwise("+1 Lap").alias("status"),
+        F.col("clock").alias("fastest_lap_time"), "_ingested_at",
+    )
+
+
+def _bronze_quali(spark, sf_dir):
+    return _deliveries(spark, sf_dir).select(
+        *silver.ENTRY, F.col("clock").alias("q1"), F.when(F.col("value") > 50, "1:30.5").alias("q2"), "_ingested_at")
+
+
+def _bronze_stops(spark, sf_dir):
+    return _deliveries(spark, sf_dir).select(*silver.ENTRY, "stop_number", F.col("clock").alias("duration"), "_ingested_at")
+
+
+@query(
+    "silver_race_results",
+    f"""WITH {CLOCK_SQL}, {DELIVERY_SQL}
+SELECT season, round, driver_id, grid, position, points, status, round(fastest_lap_seconds, 6) AS fastest_lap_seconds,
+       grid - coalesce(position, grid) AS position_gained, status <> 'Engine' AS finished, status = 'Engine' AS dnf
+FROM silver_results""",
+)
+def silver_race_results(spark, sf_dir):
+    df = silver.race_results(_bronze_results(spark, sf_dir))
+    return S.rounded(df.select(*silver.ENTRY, "grid", "position", "points", "status", "fastest_lap_seconds", "position_gained",
+                               "finished", "dnf"))
+
+
+@query(
+    "silver_qualifying",
+    f"""WITH {CLOCK_SQL}, {DELIVERY_SQL}
+SELECT season, round, driver_id, round(q1_seconds, 6) AS q1_seconds, q2_seconds, CAST(NULL AS DOUBLE) AS q3_seconds,
+       round(least(q1_seconds, q2_seconds), 6) AS best_quali_seconds FROM silver_quali""",
+)
+def silver_qualifying(spark, sf_dir):
+    df = silver.qualifying(_bronze_quali(spark, sf_dir))
+    return S.rounded(df.select(*silver.ENTRY, "q1_seconds", "q2_seconds", "q3_seconds", "best_quali_seconds"))
+
+
+@query(
+    "silver_pit_stops",
+    f"""WITH {CLOCK_SQL}, {DELIVERY_SQL}
+SELECT season, round, driver_id, stop_number, round(duration_seconds, 6) AS duration_seconds,
+       coalesce(duration_seconds > 5, false) AS is_slow_stop, coalesce(duration_seconds > 15, false) AS is_problem_stop
+FROM silver_stops""",
+)
+def silver_pit_stops(spark, sf_dir):
+    df = silver.pit_stops(_bronze_stops(spark, sf_dir))
+    return S.rounded(df.select(*silver.ENTRY, "stop_number", "duration_seconds", "is_slow_stop", "is_problem_stop"))
+
+
+@query(
+    "silver_race_master",
+    f"""WITH {CLOCK_SQL}, {DELIVERY_SQL},
+stop_agg AS (
+  SELECT season, round, driver_id, max(stop_number) AS num_pit_stops, avg(duration_seconds) AS avg_pit_duration,
+         sum(duration_seconds) AS total_pit_time, CAST(bool_or(coalesce(duration_seconds > 5, false)) AS INTEGER) AS had_slow_stop
+  FROM silver_stops GROUP BY 1, 2, 3)
+SELECT season, round, driver_id, grid, position, points, round(least(q1_seconds, q2_seconds), 6) AS best_quali_seconds,
+       coalesce(num_pit_stops, 0) AS num_pit_stops, round(avg_pit_duration, 6) AS avg_pit_duration,
+       round(total_pit_time, 6) AS total_pit_time, had_slow_stop
+FROM silver_results LEFT JOIN silver_quali USING (season, round, driver_id) LEFT JOIN stop_agg USING (season, round, driver_id)""",
+)
+def silver_race_master(spark, sf_dir):
+    df = silver.race_master(
+        silver.race_results(_bronze_results(spark, sf_dir)), silver.qualifying(_bronze_quali(spark, sf_dir)),
+        silver.pit_stops(_bronze_stops(spark, sf_dir)))
+    return S.rounded(df.select(*silver.ENTRY, "grid", "position", "points", "best_quali_seconds", "num_pit_stops",
+                               "avg_pit_duration", "total_pit_time", "had_slow_stop"))
+
+
+@query(
+    "silver_laps",
+    "WITH " + B.laps_sql("day") + f"""
+SELECT season, round, CAST("Driver" AS VARCHAR) AS "Driver", CAST("LapNumber" AS DOUBLE) AS "LapNumber", "Compound",
+       CASE "Compound" WHEN 'SOFT' THEN 0 WHEN 'MEDIUM' THEN 1 WHEN 'HARD' THEN 2 WHEN 'INTERMEDIATE' THEN 3 ELSE -1 END
+         AS compound_encoded,
+       round("LapTime_seconds" - min("LapTime_seconds") OVER (PARTITION BY season, round, "LapNumber"), 6) AS delta_to_leader_seconds
+FROM laps1""",
+)
+def silver_laps(spark, sf_dir):
+    numbered = B.numbered_laps(spark, sf_dir)
+    # Untyped rows, delivered twice.
+    bronze = numbered.select(*[F.col(c).cast("string").alias(c) for c in numbered.columns]).withColumn("_ingested_at", F.lit("2024-02-01 00:00:00"))
+    again = bronze.withColumn("_ingested_at", F.lit("2024-01-31 00:00:00"))
+    df = silver.laps(bronze.unionByName(again), B.lap_races_of(spark, sf_dir))
+    return S.rounded(df.select(*B.ENTRY, "LapNumber", "Compound", "compound_encoded", "delta_to_leader_seconds"))
+
+
+@query(
+    "finite_values",
+    """
+SELECT event_id, CASE WHEN value > 0 AND event_type <> 'error' THEN round(ln(value), 6) END AS finite_log,
+       event_type IN ('view', 'click') AS member FROM events WHERE event_type IN ('view', 'click', 'error', 'purchase', 'signup')""",
+)
+def finite_values(spark, sf_dir):
+    kind = F.col("event_type")
+    # Errors give NaN, a zero gives minus infinity.
+    value = F.when(kind == "error", F.lit(float("nan"))).when(F.col("value") > 0, F.ln(F.when(F.col("value") > 0, F.col("value")))).otherwise(
+        F.lit(float("-inf")))
+    kinds = ["view", "click", "error", "purchase", "signup"]
+    df = B.table(spark, sf_dir, "events").filter(kind.isin(kinds))
+    return S.rounded(df.select("event_id", S.finite(value).alias("finite_log"), kind.isin("view", "click").alias("member")))
