@@ -52,7 +52,7 @@ clocks AS (
   FROM events)"""
 
 
-def _clocks(spark, sf_dir):
+def _clocks(spark, sf_dir, *columns):
     whole = F.floor("value").cast("string")
     rest = (F.floor("value") % 60).cast("string")
     kind = F.col("event_type")
@@ -62,7 +62,7 @@ def _clocks(spark, sf_dir):
         .when(kind == "purchase", F.concat(F.lit("1:02:"), rest))
         .when(kind == "signup", F.lit("x:1"))
     )
-    return B.table(spark, sf_dir, "events").select("event_id", "event_type", "value", clock.alias("clock"))
+    return B.table(spark, sf_dir, "events").select("event_id", "event_type", "value", *columns, clock.alias("clock"))
 
 
 PARSED = """CASE WHEN len(string_split(clock, ':')) = 2
@@ -508,9 +508,7 @@ silver_stops AS (
 
 def _deliveries(spark, sf_dir):
     """Bronze columns as drifting text."""
-    events = B.table(spark, sf_dir, "events").select("event_id", "ts", "user_id")
-    rows = events.join(_clocks(spark, sf_dir), "event_id")
-    return rows.select(
+    return _clocks(spark, sf_dir, "ts", "user_id").select(
         *[c.cast("string").alias(n) for c, n in zip(B.calendar_columns(F.to_date("ts")), B.RACE)],
         F.col("user_id").cast("string").alias("driver_id"), F.col("ts").cast("string").alias("_ingested_at"),
         "event_type", "value", "clock", F.hour("ts").cast("string").alias("stop_number"),

@@ -104,3 +104,40 @@ def test_ewm_over_a_long_gap(spark):
     got = form.ewm_before(d, ["k"], ["t"], {"e": F.col("x")}, hot=ordered.BOUNDED).filter("t = 3499").first()["e"]
     w = (2 / 3) ** 2
     assert got == pytest.approx((5 + 3 * w) / (1 + w))
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_top_k_limits_groups_before_the_shuffle(df):
+    plan = plan_of(groups.top_k(df, ["k"], [F.col("x").desc(), F.col("t")], 3))
+    assert "WindowGroupLimit" in plan and "Partial" in plan
+
+
+def test_dedup_combines_before_the_shuffle(df):
+    plan = plan_of(groups.dedup_latest(df, ["k"], "t"))
+    assert "partial_max" in plan and plan.count("Exchange") == 1
+
+
+def test_driver_windows_share_one_shuffle(spark):
+    from conftest import SF
+
+    from lapwise import bindings as B
+    from lapwise.plans import gold
+
+    master = B.contest(spark, SF)
+    before = plan_of(master).count("Exchange hashpartitioning")
+    df = gold.ewm_form(gold.streaks(gold.targets(gold.season_points(gold.circuit_history(gold.rolling_form(master))))))
+    assert plan_of(df).count("Exchange hashpartitioning") == before + 1
+
+
+def test_wide_plan_grows_by_scans_not_by_doubling(spark):
+    from conftest import SF
+
+    from lapwise import bindings as B
+    from lapwise.plans import gold
+    from lapwise.session import materialised
+
+    master = materialised(B.contest(spark, SF), "master")
+    assert plan_of(gold.race_features(master)).count("FileScan") <= 4
