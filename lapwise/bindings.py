@@ -27,6 +27,11 @@ def money(column: str):
     return F.col(column).cast("decimal(18,2)")
 
 
+def cents(column: str):
+    """A whole number of cents as a double: sums of these are exact in any order of rows."""
+    return F.round(F.col(column) * 100)
+
+
 # Results of the size check per (session, folder, limit, name); the tables do not change.
 _CHECKED: dict[tuple, HotGroups] = {}
 
@@ -51,11 +56,11 @@ daily AS (
          CAST(isodow(CAST(ts AS DATE)) AS INTEGER) AS round,
          CAST(ts AS DATE) AS race_date, user_id AS driver_id, user_id % 10 AS constructor_id,
          CAST(isodow(CAST(ts AS DATE)) AS INTEGER) AS circuit_id,
-         CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) AS points,
+         sum(round(value * 100)) AS points,
          min(ts) AS first_ts, bool_or(event_type = 'error') AS dnf,
-         min(CASE WHEN event_type = 'view' THEN value END) AS q1_seconds,
-         min(CASE WHEN event_type = 'click' THEN value END) AS q2_seconds,
-         min(CASE WHEN event_type = 'purchase' THEN value END) AS q3_seconds,
+         min(CASE WHEN event_type = 'view' THEN round(value * 100) END) AS q1_seconds,
+         min(CASE WHEN event_type = 'click' THEN round(value * 100) END) AS q2_seconds,
+         min(CASE WHEN event_type = 'purchase' THEN round(value * 100) END) AS q3_seconds,
          count(*) FILTER (WHERE event_type = 'click') AS num_pit_stops
   FROM events GROUP BY ALL)"""
 
@@ -76,12 +81,12 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
     day = F.to_date("ts").alias("race_date")
     kind = F.col("event_type")
     rows = events.groupBy(day, F.col("user_id").alias("driver_id")).agg(
-        F.sum(money("value")).cast("double").alias("points"),
+        F.sum(cents("value")).alias("points"),
         F.min("ts").alias("first_ts"),
         F.bool_or(kind == "error").alias("dnf"),
-        F.min(F.when(kind == "view", F.col("value"))).alias("q1_seconds"),
-        F.min(F.when(kind == "click", F.col("value"))).alias("q2_seconds"),
-        F.min(F.when(kind == "purchase", F.col("value"))).alias("q3_seconds"),
+        F.min(F.when(kind == "view", cents("value"))).alias("q1_seconds"),
+        F.min(F.when(kind == "click", cents("value"))).alias("q2_seconds"),
+        F.min(F.when(kind == "purchase", cents("value"))).alias("q3_seconds"),
         F.count(F.when(kind == "click", 1)).alias("num_pit_stops"),
     )
     race = calendar_columns(F.col("race_date"))
@@ -129,7 +134,7 @@ def laps_sql(grain: str = "day") -> str:
     return f"""
 laps0 AS (
   SELECT CAST({season} AS INTEGER) AS season, CAST({round_} AS INTEGER) AS round, user_id AS "Driver",
-         {COMPOUND_CASE} AS "Compound", value AS "LapTime_seconds", ts, event_id
+         {COMPOUND_CASE} AS "Compound", round(value * 100) AS "LapTime_seconds", ts, event_id
   FROM events),
 laps1 AS (
   SELECT *, row_number() OVER (PARTITION BY season, round, "Driver" ORDER BY ts, event_id) AS "LapNumber" FROM laps0),
@@ -152,7 +157,7 @@ def lap_rows(spark: SparkSession, sf_dir: str, grain: str = "day") -> DataFrame:
         race = [F.extract(F.lit("YEAROFWEEK"), day).cast("int").alias("season"), F.weekofyear(day).alias("round")]
     compound = F.coalesce(*[F.when(F.col("event_type") == e, F.lit(c)) for e, c in EVENT_COMPOUNDS.items()], F.lit("TEST"))
     return table(spark, sf_dir, "events").select(
-        *race, F.col("user_id").alias("Driver"), compound.alias("Compound"), F.col("value").alias("LapTime_seconds"), "ts",
+        *race, F.col("user_id").alias("Driver"), compound.alias("Compound"), cents("value").alias("LapTime_seconds"), "ts",
         "event_id",
     )
 
@@ -225,7 +230,7 @@ WEATHER_SQL = """
 samples AS (
   SELECT CAST(isoyear(CAST(ts AS DATE)) * 100 + week(CAST(ts AS DATE)) AS INTEGER) AS season,
          CAST(isodow(CAST(ts AS DATE)) AS INTEGER) AS round,
-         value AS track_temp, value / 2 AS air_temp, CAST(json_extract(props, '$.k') AS DOUBLE) AS humidity,
+         floor(value) AS track_temp, floor(value) / 2 AS air_temp, CAST(json_extract(props, '$.k') AS DOUBLE) AS humidity,
          CASE WHEN event_type = 'error' THEN value ELSE 0 END AS rainfall
   FROM events)"""
 
@@ -234,8 +239,8 @@ def samples(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weather samples under source-specific column names."""
     return table(spark, sf_dir, "events").select(
         *calendar_columns(F.to_date("ts")),
-        F.col("value").alias("TrackTemp"),
-        (F.col("value") / 2).alias("AirTemp"),
+        F.floor("value").cast("double").alias("TrackTemp"),
+        (F.floor("value").cast("double") / 2).alias("AirTemp"),
         F.get_json_object("props", "$.k").try_cast("double").alias("Humidity"),
         F.when(F.col("event_type") == "error", F.col("value")).otherwise(F.lit(0.0)).alias("Rainfall"),
     )
