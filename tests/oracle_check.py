@@ -77,7 +77,7 @@ if __name__ == "__main__":
 
     sf = sys.argv[1]
     only = sys.argv[2:]
-    spark = build_session(master="local[8]", **{"spark.sql.shuffle.partitions": "8", "spark.driver.memory": "8g",
+    spark = build_session(master="local[8]", **{"spark.sql.shuffle.partitions": os.environ.get("PARTITIONS", "8"), "spark.driver.memory": "8g",
                                                 "spark.ui.showConsoleProgress": "false"})
     spark.sparkContext.setLogLevel("OFF")
     if os.environ.get("HOT_ROWS"):
