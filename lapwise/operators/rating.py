@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 
 from lapwise.operators.groups import calendar_join, group_stats, left_enrich
 from lapwise.operators.ordered import BOUNDED, expanding, hot_groups, null_safe_join, split_hot
-from lapwise.session import materialised
+from lapwise.session import materialised, shared_dir
 
 # Step size, starting rating, rating scale.
 K_FACTOR = 32.0
@@ -38,6 +38,8 @@ SCALE = 400.0
 
 # Pairs that one task may compare: some ten seconds of vectorised work.
 MAX_PAIRS = 2_000_000_000
+# A row counts as this many pairs, which also bounds the rows of one task.
+ROW_COST = 500
 
 # The expected-score curve is analytic within pi * 400 / ln 10 = 546 points of the
 # real axis, so 16 nodes on cells of 200 points leave an error below 1e-14 per opponent.
@@ -91,9 +93,9 @@ def elo(
     df = df.select(*universe, *order, entity, rank)
     sequential = mode == "sequential"
     order_ = list(order)
-    # Pairs per universe, from the field sizes.
+    # Work per universe, from the field sizes.
     fields = df.groupBy(*universe, *order).agg(F.count(F.lit(1)).cast("double").alias("__n"))
-    hot = hot_groups(fields, universe, F.sum(F.col("__n") * F.col("__n")), max_pairs)
+    hot = hot_groups(fields, universe, F.sum(F.col("__n") * (F.col("__n") + ROW_COST)), max_pairs)
     small, large = split_hot(df, universe, hot)
     parts = []
     if small is not None:
@@ -140,7 +142,8 @@ def _elo_by_contest(
     slot = F.pmod(F.xxhash64(entity), F.lit(max(1, 4 * parts // max(steps, 1))))
     df = materialised(calendar_join(df, contests, [*universe, *order]).repartition(F.col("step"), slot), "contests", "step")
     state = df.sparkSession.createDataFrame([], df.select(*universe, entity).schema.add("rating", "double"))
-    history = []
+    # Every step writes one folder of the result, which is read back in one scan.
+    results = shared_dir(df.sparkSession, "contest-ratings")
     for t in range(1, steps + 1):
         field = null_safe_join(df.filter(F.col("step") == t), state, [*universe, entity])
         field = field.withColumn("rating", F.coalesce("rating", F.lit(START)))
@@ -149,14 +152,11 @@ def _elo_by_contest(
             after = _sequential_contest(field, [*universe, *order], entity, rank, k)
         else:
             after = _one_contest(field, [*universe, *order], rank, k)
-        after = materialised(after, f"contest-{t}")
-        history.append(after.select(*universe, *order, entity, "rating"))
+        after.write.parquet(f"{results}/step={t}")
+        after = df.sparkSession.read.schema(after.schema).parquet(f"{results}/step={t}")
         moved = after.select(*universe, entity, F.col("new_rating").alias("rating"))
         state = materialised(null_safe_join(state, moved, [*universe, entity], "left_anti").unionByName(moved), f"ratings-{t}")
-    out = history[0]
-    for part in history[1:]:
-        out = out.unionByName(part)
-    return out
+    return df.sparkSession.read.parquet(results).select(*universe, *order, entity, "rating")
 
 
 def _expected_at(node: Column, rating: Column) -> Column:
