@@ -5,14 +5,22 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lapwise.llm import exact_dedup, importance, mixing, token_count, url_rules
+from lapwise.llm import contamination, exact_dedup, importance, line_spread, mixing, token_count, url_rules, warc_bundles
 from lapwise.llm.common import table
 
 
+def op2_cut_spread_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_spread.cut_spread_lines(table(spark, sf_dir, "documents"))
+
+
 def op3_count_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op5_contaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op6_judge_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(table(spark, sf_dir, "pages"))
 
@@ -30,10 +38,23 @@ def op9_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.duplicate_groups(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op3_count_tokens, op6_judge_urls, op7_resample, op8_mix_sources, op9_exact_dedup)}
+def op10_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc_bundles.archive_round_trip(spark, table(spark, sf_dir, "pages"))
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op2_cut_spread_lines, op3_count_tokens, op5_contaminated, op6_judge_urls, op7_resample, op8_mix_sources,
+        op9_exact_dedup, op10_warc_bundles,
+    )
+}
 
 SQL = {
+    "op2_cut_spread_lines": line_spread.SQL,
+    "op5_contaminated": contamination.SQL,
     "op6_judge_urls": url_rules.SQL,
     "op8_mix_sources": mixing.SQL,
     "op9_exact_dedup": exact_dedup.SQL,
+    "op10_warc_bundles": warc_bundles.SQL,
 }
