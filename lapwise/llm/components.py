@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 from lapwise.session import materialised
 
 
-def _mark(edges: DataFrame) -> tuple[int, int]:
-    n, mark = edges.agg(F.count(F.lit(1)), F.bit_xor(F.xxhash64("a", "b"))).first()
-    return n, mark or 0
+def _unsettled(edges: DataFrame) -> bool:
+    """Whether some node has two smaller neighbours, or one and also a larger neighbour."""
+    ends = edges.select(F.col("a").alias("node"), F.lit(1).alias("up"), F.lit(0).alias("down"))
+    ends = ends.union(edges.select("b", F.lit(0), F.lit(1))).groupBy("node").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
+    return bool(ends.filter((F.col("up") > 1) | ((F.col("up") > 0) & (F.col("down") > 0))).limit(1).count())
 
 
 def _with_smallest(edges: DataFrame) -> DataFrame:
@@ -34,20 +36,14 @@ def connected_components(edges: DataFrame) -> DataFrame | None:
     edges = edges.select("a", "b").filter(F.col("a") != F.col("b"))
     edges = edges.select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
     edges = materialised(edges, "edges")
-    mark = _mark(edges)
-    if not mark[0]:
+    if not edges.limit(1).count():
         return None
-    while True:
+    while _unsettled(edges):
         both = edges.union(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
-        large = _with_smallest(both).filter(F.col("b") > F.col("a")).select(F.col("b").alias("a"), F.col("m").alias("b"))
-        # The smallest neighbour itself keeps its edge to `a` as part of another step.
-        large = large.union(_with_smallest(both).filter(F.col("m") < F.col("a")).select("a", F.col("m").alias("b")))
-        large = materialised(large.filter(F.col("a") != F.col("b")).distinct(), "large")
+        large = _with_smallest(both).filter(F.col("b") > F.col("a"))
+        large = large.select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         down = _with_smallest(large)
         small = down.select(F.col("b").alias("a"), F.col("m").alias("b")).union(down.select("a", F.col("m").alias("b")))
         edges = materialised(small.filter(F.col("a") != F.col("b")).distinct(), "edges")
-        before, mark = mark, _mark(edges)
-        if mark == before:
-            break
     nodes = edges.select(F.col("a").alias("node"), F.col("b").alias("component"))
     return nodes.union(edges.select("b", F.col("b").alias("c"))).distinct()

@@ -5,10 +5,25 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from lapwise.llm import contamination, exact_dedup, importance, line_spread, mixing, token_count, url_rules, warc_bundles
+from lapwise.llm import (
+    contamination,
+    exact_dedup,
+    importance,
+    jaccard_join,
+    line_spread,
+    mixing,
+    page_text,
+    token_count,
+    url_rules,
+    warc_bundles,
+)
 from lapwise.llm.common import table
 
 
+def op1_extract_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return page_text.extract_text(table(spark, sf_dir, "pages"))
+
+
 def op2_cut_spread_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_spread.cut_spread_lines(table(spark, sf_dir, "documents"))
 
@@ -17,6 +32,10 @@ def op3_count_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_count.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"))
 
 
+def op4_link_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.link_documents(table(spark, sf_dir, "documents"), n=4, percent=85)
+
+
 def op5_contaminated(spark: SparkSession, sf_dir: str) -> DataFrame:
     return contamination.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
@@ -45,8 +64,8 @@ def op10_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     f.__name__: f
     for f in (
-        op2_cut_spread_lines, op3_count_tokens, op5_contaminated, op6_judge_urls, op7_resample, op8_mix_sources,
-        op9_exact_dedup, op10_warc_bundles,
+        op1_extract_text, op2_cut_spread_lines, op3_count_tokens, op4_link_documents, op5_contaminated, op6_judge_urls,
+        op7_resample, op8_mix_sources, op9_exact_dedup, op10_warc_bundles,
     )
 }
 
