@@ -155,6 +155,12 @@ def contaminated(
     return pairs.groupBy(id_col, item_col).agg(best).select(id_col, item_col, "best.n_item", "best.n_shared")
 
 
+def without_contaminated(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
+    """The rows of `docs` whose id is in no pair."""
+    found = materialised(contaminated(docs, items, id_col=id_col, **options).select(F.col(id_col).alias("c_id")).distinct(), "found")
+    return docs.join(_sized(found, found.count()), docs[id_col] == found["c_id"], "left_anti")
+
+
 SQL = r"""
 WITH w AS (SELECT doc_id, list_filter(regexp_split_to_array(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                                                             '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents WHERE text IS NOT NULL),

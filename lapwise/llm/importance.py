@@ -18,7 +18,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from lapwise.llm.common import slices, uniform
+from lapwise.llm.common import slices, text_or_empty, uniform
 from lapwise.llm.hashing import batch_words, mix, ngrams
 from lapwise.session import materialised
 
@@ -101,6 +101,41 @@ def gumbel(*parts: Column) -> Column:
     return -F.log(-F.log(uniform(*parts)))
 
 
+def _scored(
+    docs: DataFrame, labels: DataFrame, keep_share: float | None, id_col: str, text_col: str, buckets: int, labelled_rows: int, seed: str
+) -> tuple[DataFrame, Column]:
+    """(id, text_key, n_grams, log_weight, key) of every row, and which of them are kept."""
+    spark = docs.sparkSession
+    sample = materialised(labelled_sample(labels, labelled_rows), "labelled")
+    known, good = sample.agg(F.count(F.lit(1)), F.count(F.when(F.col("quality") == 1, 1))).first()
+    share = keep_share if keep_share is not None else (good / known if known else 1.0)
+    clean = sample.filter((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).select("l_id")
+    text = text_or_empty(text_col)
+    # `labelled_rows` bounds this broadcast.
+    marked = docs.join(F.broadcast(clean), docs[id_col] == clean["l_id"], "left")
+    marked = marked.select(text.alias("text"), F.col("l_id").isNotNull().alias("is_target"))
+    ratios = spark.sparkContext.broadcast(log_ratios(gram_counts(marked, buckets), buckets))
+    schema = T.StructType(
+        [T.StructField("id", docs.schema[id_col].dataType), T.StructField("text_key", T.LongType()),
+         T.StructField("n_grams", T.LongType()), T.StructField("log_weight", T.DoubleType())]
+    )
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, 2, SLICE_BYTES):
+            gram, owner = buckets_of(batch.column(2), buckets)
+            n = np.bincount(owner, minlength=batch.num_rows)
+            weight = np.bincount(owner, weights=ratios.value[gram], minlength=batch.num_rows)
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0), batch.column(1), pa.array(n.astype(np.int64)), pa.array(weight.astype(np.float64))], names=schema.names
+            )
+
+    scores = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("text_key"), text.alias("text")).mapInArrow(run, schema)
+    scores = materialised(scores.withColumn("key", F.col("log_weight") + gumbel(F.lit(seed), F.col("id"))), "scores")
+    k = math.ceil(share * scores.count())
+    cut = kth_largest(scores, "key", k) if k else math.inf
+    return scores, F.lit(True) if cut is None else F.col("key") >= F.lit(float(cut))
+
+
 def resample(
     docs: DataFrame,
     labels: DataFrame,
@@ -121,33 +156,23 @@ def resample(
     keys. Without target labels all log weights are 0; without labels and
     share all rows are kept. An empty table gives no rows.
     """
-    spark = docs.sparkSession
-    sample = materialised(labelled_sample(labels, labelled_rows), "labelled")
-    known, good = sample.agg(F.count(F.lit(1)), F.count(F.when(F.col("quality") == 1, 1))).first()
-    share = keep_share if keep_share is not None else (good / known if known else 1.0)
-    clean = sample.filter((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).select("l_id")
-    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
-    # `labelled_rows` bounds this broadcast.
-    marked = docs.join(F.broadcast(clean), docs[id_col] == clean["l_id"], "left")
-    marked = marked.select(text.alias("text"), F.col("l_id").isNotNull().alias("is_target"))
-    ratios = spark.sparkContext.broadcast(log_ratios(gram_counts(marked, buckets), buckets))
+    scores, kept = _scored(docs, labels, keep_share, id_col, text_col, buckets, labelled_rows, seed)
+    return scores.select(F.col("id").alias(id_col), "n_grams", "log_weight", "key", kept.alias("kept"))
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in slices(batches, 1, SLICE_BYTES):
-            gram, owner = buckets_of(batch.column(1), buckets)
-            n = np.bincount(owner, minlength=batch.num_rows)
-            weight = np.bincount(owner, weights=ratios.value[gram], minlength=batch.num_rows)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(n.astype(np.int64)), pa.array(weight.astype(np.float64))],
-                names=["id", "n_grams", "log_weight"],
-            )
 
-    schema = T.StructType(
-        [T.StructField("id", docs.schema[id_col].dataType), T.StructField("n_grams", T.LongType()), T.StructField("log_weight", T.DoubleType())]
-    )
-    scores = docs.select(F.col(id_col).alias("id"), text.alias("text")).mapInArrow(run, schema)
-    scores = materialised(scores.withColumn("key", F.col("log_weight") + gumbel(F.lit(seed), F.col("id"))), "scores")
-    k = math.ceil(share * scores.count())
-    cut = kth_largest(scores, "key", k) if k else math.inf
-    kept = F.lit(True) if cut is None else F.col("key") >= F.lit(float(cut))
-    return scores.select(F.col("id").alias(id_col), "n_grams", "log_weight", "key", kept.alias("kept"))
+def kept_documents(
+    docs: DataFrame,
+    labels: DataFrame,
+    keep_share: float | None = None,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    buckets: int = BUCKETS,
+    labelled_rows: int = LABELLED_ROWS,
+    seed: str = "resample",
+) -> DataFrame:
+    """The rows of `docs` that `resample` keeps."""
+    scores, kept = _scored(docs, labels, keep_share, id_col, text_col, buckets, labelled_rows, seed)
+    scores = scores.filter(kept).select(F.col("id").alias("k_id"), F.col("text_key").alias("k_text"))
+    # The hash of the text tells rows with equal ids apart.
+    same = docs[id_col].eqNullSafe(scores["k_id"]) & (F.xxhash64(text_or_empty(text_col)) == scores["k_text"])
+    return docs.join(scores, same, "left_semi")

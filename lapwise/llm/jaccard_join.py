@@ -346,6 +346,13 @@ def linked_sets(links: Links, sets: DataFrame) -> DataFrame | None:
     return parts
 
 
+def _linked_rows(docs: DataFrame, n: int, percent: int, id_col: str, text_col: str) -> DataFrame:
+    """(id, key, size, part) of every row; rows of one part are linked. Rows without words are parts of their own."""
+    links = Links(docs, n, percent, id_col, text_col)
+    sets = links.sets()
+    return _with_component(sets, linked_sets(links, sets), "name", "part")
+
+
 def link_documents(
     docs: DataFrame,
     n: int = WORDS_PER_SHINGLE,
@@ -363,10 +370,7 @@ def link_documents(
     Null ids never name a component unless it has no other; rows with equal ids
     are linked each by its own text. An empty table gives no rows.
     """
-    links = Links(docs, n, percent, id_col, text_col)
-    sets = links.sets()
-    parts = linked_sets(links, sets)
-    rows = _with_component(sets, parts, "name", "part")
+    rows = _linked_rows(docs, n, percent, id_col, text_col)
     smallest = rows.filter("size > 0").groupBy(F.col("part").alias("s_part")).agg(F.min("id").alias("smallest"))
     # Copies may make one component hot; it joins with one row, a join that Spark can split.
     rows = rows.join(smallest, (F.col("size") > 0) & (F.col("part") == F.col("s_part")), "left")
@@ -374,8 +378,18 @@ def link_documents(
     return rows.select(F.col("id").alias(id_col), F.col("size").alias("n_shingles"), component.alias("component_id"))
 
 
-def one_of_each_group(docs: DataFrame, id_col: str = "doc_id", **options) -> DataFrame:
-    """The rows of `docs` whose id names their component."""
-    groups = link_documents(docs, id_col=id_col, **options)
-    gone = groups.filter(F.col(id_col) != F.col("component_id")).select(F.col(id_col).alias("g_id")).distinct()
-    return docs.join(gone, docs[id_col] == gone["g_id"], "left_anti")
+def one_of_each_group(
+    docs: DataFrame,
+    n: int = WORDS_PER_SHINGLE,
+    percent: int = PERCENT,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+) -> DataFrame:
+    """The rows of `docs` less those that are linked to a row that stays: of each component the row with the smallest id."""
+    rows = _linked_rows(docs, n, percent, id_col, text_col).filter("size > 0")
+    row = F.struct(F.col("id").isNull().alias("none"), "id", "key")
+    first = rows.groupBy(F.col("part").alias("f_part")).agg(F.min(row).alias("first"))
+    gone = rows.join(first, F.col("part") == F.col("f_part")).filter(row != F.col("first"))
+    gone = gone.select(F.col("id").alias("g_id"), F.col("key").alias("g_key"))
+    same = docs[id_col].eqNullSafe(gone["g_id"]) & (F.xxhash64(text_or_empty(text_col)) == gone["g_key"])
+    return docs.join(gone, same, "left_anti")
