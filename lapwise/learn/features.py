@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from lapwise.functions.scalars import finite, numeric_columns
 from lapwise.operators.groups import left_enrich
-from lapwise.operators.ordered import with_position
+from lapwise.operators.ordered import HotGroups, with_position
 from lapwise.plans.gold import IN_RACE, TARGETS
 
 # The categorical columns.
@@ -88,10 +88,14 @@ def preparation(features: FeatureSet, in_tables: Iterable[str] = ()) -> Pipeline
     return Pipeline(stages=stages)
 
 
+# The whole table is one group: always numbered by a range sort, never by one task.
+ONE_HOT_GROUP = HotGroups(everything=True)
+
+
 def label_codes(df: DataFrame, column: str) -> DataFrame:
     """Alphabetic code per distinct text value, as a table; a range sort numbers any number of values."""
     values = df.select(F.col(column).cast("string").alias(column)).distinct().withColumn("__all", F.lit(0))
-    out = with_position(values, ["__all"], [column], "code")
+    out = with_position(values, ["__all"], [column], "code", ONE_HOT_GROUP)
     return out.select(column, (F.col("code") - 1).alias("code"))
 
 
@@ -107,7 +111,7 @@ def time_split(df: DataFrame, last_train: int, season: str = "season") -> tuple[
 
 def fraction_split(df: DataFrame, order: Sequence[str], share: float = 0.8) -> tuple[DataFrame, DataFrame]:
     """The first `share` of rows in `order` for training, for data without seasons."""
-    placed = with_position(df.withColumn("__all", F.lit(0)), ["__all"], order, "__at")
+    placed = with_position(df.withColumn("__all", F.lit(0)), ["__all"], order, "__at", ONE_HOT_GROUP)
     total = placed.agg(F.max("__at")).first()[0] or 0
     cut = int(total * share)
     drop = ("__all", "__at")

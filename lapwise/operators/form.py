@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
@@ -20,7 +21,6 @@ from lapwise.operators.ordered import (
     with_position,
 )
 
-EWM_BLOCK = 1000
 
 
 def rolling_mean(
@@ -83,85 +83,102 @@ def streaks_before(
     )
 
 
+def _ewm_block(grow: float) -> int:
+    """Rows per block: weights stay far from overflow in one, and a value a block away weighs less than a double can tell."""
+    return max(2, int(200 / math.log(grow)))
+
+
+def _ewm_sums(v: Column, weight: Column) -> tuple[Column, Column]:
+    return F.sum(v * weight), F.sum(F.when(v.isNotNull(), weight))
+
+
+def _ewm_end(v: Column, grow: float, block: int, sums: tuple[Column, Column], last: Column) -> Column:
+    """(at, t, w) of a block as seen from its last value; null without one."""
+    unit = F.pow(F.lit(grow), last)
+    place = (F.col("__eb") * block + last).alias("at")
+    return F.when(last.isNotNull(), F.struct(place, (sums[0] / unit).alias("t"), (sums[1] / unit).alias("w")))
+
+
+def _ewm_add(own: Column, before: Column, grow: float) -> Column:
+    """A block's end with that of the block with values before it."""
+    aged = F.pow(F.lit(grow), before["at"] - own["at"])
+    both = F.struct(
+        own["at"].alias("at"), (own["t"] + F.coalesce(before["t"] * aged, F.lit(0.0))).alias("t"),
+        (own["w"] + F.coalesce(before["w"] * aged, F.lit(0.0))).alias("w"),
+    )
+    return F.when(own.isNotNull(), both)
+
+
 def ewm_before(
     df: DataFrame, by: Sequence[str], order: Sequence[str], values: Mapping[str, Column], span: int = 5,
     hot: HotGroups | None = None,
 ) -> DataFrame:
     """Exponentially weighted mean of earlier rows; a gap ages the weights but adds no value.
 
-    Weights grow by 1/(1-alpha) per row, so rows are summed in blocks that
-    cannot overflow. Earlier rows enter through the last two blocks that hold a
-    value: a value before those is more than a block away from the last one and
-    weighs less than a double can tell.
+    Weights grow by 1/(1-alpha) per row, so rows are summed in blocks whose
+    length follows from the span. Earlier rows enter through the last two
+    blocks that hold a value: a value before those is more than a block away
+    from the last one and weighs less than a double can tell. Without hot
+    groups everything is a window over the group; with them, block ends are
+    joined. A span of 1 is the last value.
     """
     hot = hot_groups(df, by) if hot is None else hot
     keep = df.columns
+    if span <= 1:
+        df = with_position(df, by, order, "__at", hot)
+        last = {f"__l_{out}": ("max", F.when(v.isNotNull(), F.struct(F.col("__at"), v.cast("double").alias("v")))) for out, v in values.items()}
+        df = expanding(df, by, order, last, hot=hot, position="__at")
+        return df.select(*keep, *[F.col(f"__l_{out}")["v"].alias(out) for out in values])
     grow = (span + 1) / (span - 1)
+    block = _ewm_block(grow)
     df = with_position(df, by, order, "__at", hot)
-    df = df.withColumn("__eb", F.floor((F.col("__at") - 1) / EWM_BLOCK))
-    offset = F.pmod(F.col("__at") - 1, F.lit(EWM_BLOCK)).cast("double")
+    df = df.withColumn("__eb", F.floor((F.col("__at") - 1) / block))
+    offset = F.pmod(F.col("__at") - 1, F.lit(block)).cast("double")
     weight = F.pow(F.lit(grow), offset)
 
-    def sums(v: Column) -> tuple[Column, Column]:
-        return F.sum(v * weight), F.sum(F.when(v.isNotNull(), weight))
-
-    # Every block holds at most EWM_BLOCK rows.
-    w = Window.partitionBy(*by, "__eb").orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
+    # Every block holds at most `block` rows.
+    whole = Window.partitionBy(*by, "__eb")
+    w = whole.orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
     local = []
     for out, v in values.items():
-        top, bottom = sums(v)
+        top, bottom = _ewm_sums(v, weight)
         local += [top.over(w).alias(f"__t_{out}"), bottom.over(w).alias(f"__w_{out}")]
     rows = df.select("*", *local)
-    ends = []
-    for out, v in values.items():
-        # Weights as seen from the block's last value.
-        top, bottom = sums(v)
-        last = F.max(F.when(v.isNotNull(), offset))
-        unit = F.pow(F.lit(grow), last)
-        place = (F.col("__eb") * EWM_BLOCK + last).alias("at")
-        ends.append(F.when(last.isNotNull(), F.struct(place, (top / unit).alias("t"), (bottom / unit).alias("w"))).alias(f"__e_{out}"))
-    blocks = df.groupBy(*by, "__eb").agg(*ends)
-    blocks = expanding(blocks, by, ["__eb"], {f"__p_{out}": ("max", F.col(f"__e_{out}")) for out in values}, hot=hot)
-    for out in values:
-        own, before = F.col(f"__e_{out}"), F.col(f"__p_{out}")
-        aged = F.pow(F.lit(grow), before["at"] - own["at"])
-        both = F.struct(
-            own["at"].alias("at"), (own["t"] + F.coalesce(before["t"] * aged, F.lit(0.0))).alias("t"),
-            (own["w"] + F.coalesce(before["w"] * aged, F.lit(0.0))).alias("w"),
-        )
-        blocks = blocks.withColumn(f"__e_{out}", F.when(own.isNotNull(), both))
-    blocks = expanding(blocks, by, ["__eb"], {f"__c_{out}": ("max", F.col(f"__e_{out}")) for out in values}, hot=hot)
-    rows = null_safe_join(rows, blocks.select(*by, "__eb", *[f"__c_{out}" for out in values]), [*by, "__eb"])
+    last = {out: F.max(F.when(v.isNotNull(), offset)) for out, v in values.items()}
+    if hot.none:
+        # Only a block's last row carries its end, so the largest earlier one is that of the last block with values.
+        ends = {
+            out: _ewm_end(v, grow, block, tuple(c.over(whole) for c in _ewm_sums(v, weight)), last[out].over(whole))
+            for out, v in values.items()
+        }
+        full = F.pmod(F.col("__at"), F.lit(block)) == 0
+        earlier = Window.partitionBy(*by).orderBy("__at").rowsBetween(Window.unboundedPreceding, -1)
+        rows = rows.select("*", *[F.when(full, e).alias(f"__e_{out}") for out, e in ends.items()])
+        rows = rows.select("*", *[F.max(f"__e_{out}").over(earlier).alias(f"__p_{out}") for out in values])
+        for out in values:
+            rows = rows.withColumn(f"__e_{out}", _ewm_add(F.col(f"__e_{out}"), F.col(f"__p_{out}"), grow))
+        rows = rows.select("*", *[F.max(f"__e_{out}").over(earlier).alias(f"__c_{out}") for out in values])
+    else:
+        ends = [
+            _ewm_end(v, grow, block, _ewm_sums(v, weight), last[out]).alias(f"__e_{out}") for out, v in values.items()
+        ]
+        blocks = df.groupBy(*by, "__eb").agg(*ends)
+        blocks = expanding(blocks, by, ["__eb"], {f"__p_{out}": ("max", F.col(f"__e_{out}")) for out in values}, hot=hot)
+        for out in values:
+            blocks = blocks.withColumn(f"__e_{out}", _ewm_add(F.col(f"__e_{out}"), F.col(f"__p_{out}"), grow))
+        blocks = expanding(blocks, by, ["__eb"], {f"__c_{out}": ("max", F.col(f"__e_{out}")) for out in values}, hot=hot)
+        rows = null_safe_join(rows, blocks.select(*by, "__eb", *[f"__c_{out}" for out in values]), [*by, "__eb"])
     made = []
     for out in values:
         c = F.col(f"__c_{out}")
         # Rows between that value and this block; beyond a block's length only the mean itself matters.
-        scale = F.pow(F.lit(grow), -F.least(F.col("__eb") * EWM_BLOCK - c["at"], F.lit(float(EWM_BLOCK))))
+        scale = F.pow(F.lit(grow), -F.least(F.col("__eb") * block - c["at"], F.lit(float(block))))
         top = F.coalesce(f"__t_{out}", F.lit(0.0)) + F.coalesce(c["t"] * scale, F.lit(0.0))
         bottom = F.coalesce(f"__w_{out}", F.lit(0.0)) + F.coalesce(c["w"] * scale, F.lit(0.0))
         made.append(ratio(top, bottom).alias(out))
     return rows.select(*keep, *made)
 
 
-def ewm_short(
-    df: DataFrame, by: Sequence[str], order: Sequence[str], values: Mapping[str, Column], span: int = 5
-) -> DataFrame:
-    """`ewm_before` in one window, for groups known to stay below EWM_BLOCK rows (one row per race)."""
-    grow = (span + 1) / (span - 1)
-    keep = df.columns
-    base = Window.partitionBy(*by).orderBy(*order)
-    df = df.withColumn("__wt", F.pow(F.lit(grow), F.row_number().over(base).cast("double")))
-    w = base.rowsBetween(Window.unboundedPreceding, -1)
-    wt = F.col("__wt")
-    return df.select(
-        *keep,
-        *[
-            ratio(F.sum(v * wt).over(w), F.sum(F.when(v.isNotNull(), wt)).over(w)).alias(out)
-            for out, v in values.items()
-        ],
-    )
-
-
 def rolling_slope(
     df: DataFrame, by: Sequence[str], order: Sequence[str], value: str, name: str, n: int = 5, least: int = 2,
     hot: HotGroups | None = None,

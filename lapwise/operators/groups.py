@@ -52,9 +52,18 @@ def spread_join(
         raise ValueError(f"groups were checked on {list(hot.by)}, which {list(on)} does not refine")
     if hot is None or (not hot.none and set(hot.by) != set(on)):
         hot = hot_groups(fact, on)
-    if hot.none or hot.everything:
+    if hot.none:
         # No group dominates: a plain join, broadcast by Spark if the measured size allows.
         return _join(fact, dim, on, how, null_safe)
+    if hot.everything:
+        # Too many hot keys to list: every key gets as many slices as the largest needs.
+        slices = -(-hot.largest // max(hot.limit, 1))
+        rest = [c for c in fact.columns if c not in on]
+        columns = fact.columns
+        fact = fact.withColumn("__salt", (F.pmod(F.xxhash64(*rest), F.lit(slices)) if rest else F.lit(0)).cast("int"))
+        dim = dim.withColumn("__salt", F.explode(F.sequence(F.lit(0), F.lit(slices - 1))))
+        out = _join(fact, dim, [*on, "__salt"], how, null_safe)
+        return out.select(*columns, *[c for c in out.columns if c not in columns and c != "__salt"])
     # At most MAX_LISTED_GROUPS keys, so this side is always small.
     keys = hot.keys(fact.sparkSession)
     slices = keys.select(*hot.by, F.ceil(F.col("__n") / hot.limit).cast("int").alias("__slices"))
@@ -91,8 +100,8 @@ def first_shared_key(left: DataFrame, right: DataFrame, candidates: Sequence[str
 
 
 def calendar_join(fact: DataFrame, dim: DataFrame, on: Sequence[str], how: str = "left") -> DataFrame:
-    """Join a table with one row per race or season. The calendar bounds it, so it is broadcast."""
-    return null_safe_join(fact, F.broadcast(dim), on, how)
+    """Join a table with one row per race or season; Spark broadcasts it if its measured size allows."""
+    return null_safe_join(fact, dim, on, how)
 
 
 def group_stats(

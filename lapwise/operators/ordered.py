@@ -45,7 +45,9 @@ class HotGroups:
     schema: T.StructType | None = None
     everything: bool = False
     limit: int = HOT_ROWS_DEFAULT
+    # Rows of all hot groups, listed or not, and of the largest one.
     total: int = field(default=0)
+    largest: int = field(default=0)
 
     @property
     def none(self) -> bool:
@@ -72,13 +74,18 @@ def hot_groups(df: DataFrame, by: Sequence[str], size: Column | None = None, lim
     size = F.count(F.lit(1)) if size is None else size
     sizes = df.groupBy(*by).agg(size.cast("long").alias(N)).filter(F.col(N) > limit)
     found = sizes.limit(MAX_LISTED_GROUPS + 1).collect()
+    everything = len(found) > MAX_LISTED_GROUPS
+    total, largest = sum(r[N] for r in found), max((r[N] for r in found), default=0)
+    if everything:
+        total, largest = sizes.agg(F.sum(N), F.max(N)).first()
     return HotGroups(
         by=tuple(by),
         rows=tuple(tuple(r) for r in found[:MAX_LISTED_GROUPS]),
         schema=sizes.schema,
-        everything=len(found) > MAX_LISTED_GROUPS,
+        everything=everything,
         limit=limit,
-        total=sum(r[N] for r in found),
+        total=total,
+        largest=largest,
     )
 
 

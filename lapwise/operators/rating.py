@@ -67,7 +67,8 @@ def _fold(rows: pd.DataFrame, order: list[str], entity: str, rank: str, k: float
     ratings: dict = {}
     rows = rows.sort_values([*order, rank, entity], na_position="last", kind="stable").reset_index(drop=True)
     before = np.empty(len(rows))
-    for _, index in rows.groupby(order, sort=False).indices.items():
+    contest = rows.groupby(order, sort=False, dropna=False).ngroup().to_numpy()
+    for index in np.split(np.arange(len(rows)), np.flatnonzero(np.diff(contest)) + 1):
         names = rows[entity].to_numpy()[index]
         old = np.array([ratings.get(e, START) for e in names])
         before[index] = old
@@ -133,7 +134,8 @@ def _elo_by_contest(
     """One job per step; step t holds the t-th contest of every universe. The calendar bounds the steps."""
     contests = df.select(*universe, *order).distinct()
     # One row per universe and contest of the calendar.
-    step = F.row_number().over(Window.partitionBy(*universe).orderBy(*order)).alias("step")
+    # A contest without a date comes last, as in `_fold`.
+    step = F.row_number().over(Window.partitionBy(*universe).orderBy(*[F.col(c).asc_nulls_last() for c in order])).alias("step")
     contests = contests.select("*", step)
     contests = materialised(contests, "calendar")
     steps = contests.agg(F.max("step")).first()[0] or 0

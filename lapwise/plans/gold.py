@@ -22,13 +22,14 @@ DEFAULT_DNF_RATE = 0.1
 DEFAULT_TRACK_TEMP = 30.0
 MISSING_FINISH = 20
 
-LEAKY = ("points", "status", "laps_completed", "time_millis", "fastest_lap_rank", "fastest_lap_time", "avg_speed_kph",
+# Columns that are known only after the race.
+LEAKY = ("had_slow_stop", "total_pit_time", "avg_pit_duration", "points", "status", "laps_completed", "time_millis", "fastest_lap_rank", "fastest_lap_time", "avg_speed_kph",
          "fastest_lap_seconds", "position_gained", "finished", "dnf")
 
 # Columns that describe the race itself; a model that predicts it must not read them.
 IN_RACE = ("num_pit_stops", "pit_strategy_aggressive", "pit_stops_vs_field", "avg_lap_time", "lap_consistency", "best_lap_time",
            "laps_completed_actual", "max_tyre_life", "pace_vs_field", "best_lap_pct", "num_stints",
-           "avg_tire_deg_slope", "max_tire_deg_slope", "min_tire_deg_slope", "stint_count_tire", "position", "classified")
+           "soft_deg_slope", "medium_deg_slope", "hard_deg_slope", "avg_tire_deg_slope", "max_tire_deg_slope", "min_tire_deg_slope", "stint_count_tire", "position", "classified")
 
 TARGETS = ("target_position", "target_podium", "target_points_finish", "target_winner")
 
@@ -131,10 +132,10 @@ def streaks(df: DataFrame) -> DataFrame:
 
 
 def ewm_form(df: DataFrame) -> DataFrame:
-    """Exponentially weighted finish and points-finish rate; a driver starts fewer races than the block limit."""
-    return form.ewm_short(
+    """Exponentially weighted finish and points-finish rate over all earlier races."""
+    return form.ewm_before(
         df, ["driver_id"], ORDER,
-        {"ewm_position_5": F.col("target_position"), "ewm_points_5": F.col("target_points_finish")},
+        {"ewm_position_5": F.col("target_position"), "ewm_points_5": F.col("target_points_finish")}, hot=PER_DRIVER,
     )
 
 

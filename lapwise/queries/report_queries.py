@@ -8,7 +8,7 @@ from lapwise.learn import evaluate
 from lapwise.operators import quality
 from lapwise.operators.form import rolling_slope, second_difference
 from lapwise.operators.groups import calendar_join, latest_period, row_at_max, top_k, top_rows
-from lapwise.operators.ordered import BOUNDED, rolling
+from lapwise.operators.ordered import BOUNDED, rolling, with_rank
 from lapwise.operators.rating import against_field, elo
 from lapwise.operators.regression import correlations
 from lapwise.plans import gold, history, integrate, questions, reports, silver
@@ -614,15 +614,65 @@ def ratings(spark, sf_dir, mode):
     return elo(df, ["universe"], B.RACE, "driver_id", "position", mode=mode).drop("universe")
 
 
-@query("rating_simultaneous", "WITH RECURSIVE " + B.CONTEST_SQL + "," + ELO_SQL + f" SELECT {K}, round(rating, 6) AS rating FROM elo")
+# A universe is an event type: each of its days is a contest of the users by what they scored.
+RATED_SQL = """
+scores AS (
+  SELECT event_type AS universe, CAST(isoyear(CAST(ts AS DATE)) * 100 + week(CAST(ts AS DATE)) AS INTEGER) AS season,
+         CAST(isodow(CAST(ts AS DATE)) AS INTEGER) AS round, user_id AS driver_id, sum(round(value * 100)) AS score
+  FROM events GROUP BY ALL),
+rated AS (SELECT *, rank() OVER (PARTITION BY universe, season, round ORDER BY score DESC NULLS LAST) AS position FROM scores),
+people AS (
+  SELECT universe, driver_id, row_number() OVER (PARTITION BY universe ORDER BY driver_id) AS i
+  FROM (SELECT DISTINCT universe, driver_id FROM rated)),
+fields AS (
+  SELECT universe, season, round, list(i ORDER BY position, driver_id) AS who, list(position ORDER BY position, driver_id) AS places,
+         row_number() OVER (PARTITION BY universe ORDER BY season, round) AS step
+  FROM rated JOIN people USING (universe, driver_id) GROUP BY universe, season, round),
+starts AS (SELECT universe, list(CAST(1500 AS DOUBLE)) AS r FROM people GROUP BY universe)"""
+
+
+def _moved(rating, now):
+    """SQL of a list of ratings in which the entrant at place j has moved; `now` are the ratings opponents are read from."""
+    return f"""list_transform({rating}, lambda x, k: CASE WHEN k = f.who[c.j] AND len(f.who) > 1 THEN
+      x + 32 * (len(list_filter(f.places, lambda p: p > f.places[c.j])) + 0.5
+                - list_sum(list_transform(f.who, lambda o: 1 / (1 + pow(10.0, ({now}[o] - {now}[f.who[c.j]]) / 400))))) / (len(f.who) - 1)
+      ELSE x END)"""
+
+
+def rating_sql(mode):
+    """One step per entrant; `held` are the ratings before the contest."""
+    opponents = "c.r" if mode == "sequential" else "c.held"
+    moved = _moved("c.r", opponents)
+    return "WITH RECURSIVE " + RATED_SQL + f""",
+c AS (
+  SELECT universe, CAST(1 AS BIGINT) AS step, CAST(1 AS BIGINT) AS j, r, r AS held FROM starts
+  UNION ALL
+  SELECT universe, CASE WHEN last THEN step + 1 ELSE step END, CASE WHEN last THEN 1 ELSE j + 1 END, r,
+         CASE WHEN last THEN r ELSE held END
+  FROM (SELECT c.universe, c.step, c.j, c.j = len(f.who) AS last, c.held, {moved} AS r
+        FROM c JOIN fields f ON f.universe = c.universe AND f.step = c.step))
+SELECT universe, season, round, driver_id, round(c.held[i], 6) AS rating
+FROM rated JOIN people USING (universe, driver_id) JOIN fields USING (universe, season, round)
+  JOIN c ON c.universe = rated.universe AND c.step = fields.step AND c.j = 1"""
+
+
+def universe_ratings(spark, sf_dir, mode):
+    day = F.to_date("ts")
+    scores = B.table(spark, sf_dir, "events").groupBy(
+        F.col("event_type").alias("universe"), *B.calendar_columns(day), F.col("user_id").alias("driver_id")
+    ).agg(F.sum(B.cents("value")).alias("score"))
+    rated = with_rank(scores, ["universe", *B.RACE], "score", "position")
+    return elo(rated, ["universe"], B.RACE, "driver_id", "position", mode=mode)
+
+
+@query("rating_simultaneous", rating_sql("simultaneous"))
 def rating_simultaneous(spark, sf_dir):
-    return rounded(ratings(spark, sf_dir, "simultaneous"))
+    return rounded(universe_ratings(spark, sf_dir, "simultaneous"))
 
 
-@query("rating_sequential")
+@query("rating_sequential", rating_sql("sequential"))
 def rating_sequential(spark, sf_dir):
-    # A chain inside each race; checked against a plain loop in the tests.
-    return rounded(ratings(spark, sf_dir, "sequential"))
+    return rounded(universe_ratings(spark, sf_dir, "sequential"))
 
 
 @query(

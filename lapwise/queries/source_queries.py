@@ -429,7 +429,7 @@ SELECT CAST(isoyear(CAST(ts AS DATE)) * 100 + week(CAST(ts AS DATE)) AS INTEGER)
 def stream_season_refresh(spark, sf_dir):
     stream = _events_stream(spark, sf_dir).select(B.calendar_columns(F.to_date("ts"))[0], "event_id", "user_id", "value")
     target = shared_dir(spark, "seasons")
-    live.refresh_on_arrival(stream, target, f"{target}-state").awaitTermination()
+    live.refresh_on_arrival(stream, target, f"{target}-state")
     return spark.read.parquet(target).groupBy("season").agg(F.count(F.lit(1)).alias("events"))
 
 
@@ -446,8 +446,7 @@ def stream_dedup_on_arrival(spark, sf_dir):
     """
 SELECT strftime(time_bucket(INTERVAL 1 HOUR, ts), '%Y-%m-%d %H:%M') AS hour, count(*) AS samples, max(value) AS max_track_temp,
        min(value) AS min_track_temp, round(CAST(sum(CAST(value AS DECIMAL(18,2))) AS DOUBLE) / count(*), 6) AS avg_track_temp
-FROM events GROUP BY time_bucket(INTERVAL 1 HOUR, ts)
-HAVING time_bucket(INTERVAL 1 HOUR, ts) + INTERVAL 1 HOUR <= (SELECT max(ts) FROM events) - INTERVAL 2 HOUR""",
+FROM events GROUP BY time_bucket(INTERVAL 1 HOUR, ts)""",
 )
 def stream_hourly_weather(spark, sf_dir):
     stream = _events_stream(spark, sf_dir).select("ts", "value")
@@ -456,7 +455,7 @@ def stream_hourly_weather(spark, sf_dir):
         [F.count(F.lit(1)).alias("samples"), F.max("value").alias("max_track_temp"), F.min("value").alias("min_track_temp"),
          F.sum(B.money("value")).alias("total")],
     )
-    table = live.run_to_table(hourly, "weather")
+    table = live.windows_to_table(hourly, "weather")
     return S.rounded(table.select(
         F.date_format("window_start", "yyyy-MM-dd HH:mm").alias("hour"), "samples", "max_track_temp", "min_track_temp",
         (F.col("total").cast("double") / F.col("samples")).alias("avg_track_temp")))

@@ -30,6 +30,7 @@ def read_glob(spark: SparkSession, pattern: str, schema: str) -> DataFrame:
 
 
 def _footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    import pyarrow as pa
     import pyarrow.parquet as pq
     from pyarrow import fs
 
@@ -40,17 +41,20 @@ def _footers(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
                 system, name = fs.FileSystem.from_uri(path)
                 with system.open_input_file(name) as file:
                     shapes.append(str(pq.read_schema(file).remove_metadata()))
-            except Exception:  # an unreadable file is reported, not fatal
+            except pa.ArrowInvalid:
+                # Not Parquet. Other errors, such as those of the network, fail the task and are tried again.
                 shapes.append(None)
         yield pd.DataFrame({"path": batch["path"], "shape": shapes})
 
 
-def read_drifting(spark: SparkSession, folder: str, schema: str) -> DataFrame:
+def read_drifting(spark: SparkSession, folder: str, schema: str, skip_unreadable: bool = False) -> DataFrame:
     """Files whose column sets and types drift, brought to one declared schema.
 
     Tasks read the footers; then there is one scan per distinct footer schema,
-    never one per file. Unreadable files are skipped with a warning. Values
-    that do not fit the declared type, and absent columns, become null.
+    never one per file. A file without a Parquet footer is an error, or left out
+    with a warning if `skip_unreadable`; damage below the footer always fails
+    the read, so rows are never lost in silence. Values that do not fit the
+    declared type, and absent columns, become null.
     """
     files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet")
     shapes = files.load(folder).select("path").mapInPandas(_footers, "path string, shape string")
@@ -58,11 +62,14 @@ def read_drifting(spark: SparkSession, folder: str, schema: str) -> DataFrame:
     groups: dict[str | None, list[str]] = {}
     for row in shapes.collect():
         groups.setdefault(row.shape, []).append(row.path)
-    for path in groups.pop(None, []):
+    unreadable = groups.pop(None, [])
+    if unreadable and not skip_unreadable:
+        raise ValueError(f"{len(unreadable)} files are not Parquet, first: {unreadable[0]}")
+    for path in unreadable:
         warnings.warn(f"skipped unreadable file {path}", stacklevel=2)
     out = None
     for _, paths in sorted(groups.items()):
-        scan = spark.read.option("ignoreCorruptFiles", "true").parquet(*paths)
+        scan = spark.read.option("ignoreCorruptFiles", "false").parquet(*paths)
         part = scan.select(*typed(schema, scan.columns))
         out = part if out is None else out.unionByName(part, allowMissingColumns=True)
     return spark.createDataFrame([], schema) if out is None else out

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from lapwise.session import shared_dir
+from lapwise.sources.scan import read_glob
 
 
 def read_landing(spark: SparkSession, path: str, schema: str, files_per_trigger: int | None = None) -> DataFrame:
@@ -32,13 +34,31 @@ def land_bronze(stream: DataFrame, target: str, checkpoint: str, partition: Sequ
     )
 
 
-def refresh_on_arrival(stream: DataFrame, target: str, checkpoint: str, partition: str = "season") -> StreamingQuery:
-    """Replace the partitions that a batch brings; other seasons stay. Repeating a batch gives the same table."""
+def refresh_on_arrival(stream: DataFrame, target: str, checkpoint: str, partition: str = "season") -> None:
+    """Replace the seasons that newly arrived files bring, by all their rows; other seasons stay.
 
-    def replace(batch: DataFrame, _: int) -> None:
-        batch.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(target)
+    Batches are first collected below the checkpoint, so a season may span any
+    number of them. Then one job replaces the partitions and notes the last
+    batch it covered. Repeating a batch or the whole call gives the same table.
+    """
+    spark = stream.sparkSession
+    arrived, applied = f"{checkpoint}-arrived", f"{checkpoint}-applied"
+
+    def collect(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{arrived}/__batch={number}")
 
-    return stream.writeStream.foreachBatch(replace).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    query = stream.writeStream.foreachBatch(collect).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+    query.start().awaitTermination()
+    done = read_glob(spark, applied, "batch bigint").agg(F.max("batch")).first()[0]
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stream.schema)
+    rows = read_glob(spark, arrived, f"{fields}, __batch bigint")
+    rows = rows.filter(F.col("__batch") > (-1 if done is None else done))
+    last = rows.agg(F.max("__batch")).first()[0]
+    if last is None:
+        return
+    rows = rows.drop("__batch")
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(partition).parquet(target)
+    spark.createDataFrame([(last,)], "batch bigint").write.mode("append").parquet(applied)
 
 
 def dedup_on_arrival(stream: DataFrame, keys: Sequence[str], time: str, delay: str) -> DataFrame:
@@ -54,7 +74,10 @@ def windowed(stream: DataFrame, time: str, width: str, delay: str, aggregates: S
 
 
 def run_to_table(stream: DataFrame, label: str, mode: str = "append") -> DataFrame:
-    """Run a stream over all available data into a table in the shared folder and read it back."""
+    """Run a stream over all available data into a table in the shared folder and read it back.
+
+    Rows that came behind the watermark are counted and reported as a warning.
+    """
     spark = stream.sparkSession
     target = shared_dir(spark, label)
     query = (
@@ -62,4 +85,42 @@ def run_to_table(stream: DataFrame, label: str, mode: str = "append") -> DataFra
         .option("checkpointLocation", f"{target}-state").trigger(availableNow=True).start()
     )
     query.awaitTermination()
+    _report_late(query, label)
     return spark.read.schema(stream.schema).parquet(target)
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows that the stateful operators of a finished run dropped behind the watermark."""
+    return sum(s.numRowsDroppedByWatermark for p in query.recentProgress for s in p.stateOperators)
+
+
+def _report_late(query: StreamingQuery, label: str) -> None:
+    late = late_rows(query)
+    if late:
+        warnings.warn(f"{label}: {late} rows came behind the watermark and were dropped", stacklevel=3)
+
+
+def windows_to_table(stream: DataFrame, label: str, keys: Sequence[str] = ("window_start", "window_end")) -> DataFrame:
+    """Run windowed aggregates over all available data to the end, the last windows included.
+
+    Append output would hold back windows that the watermark has not passed.
+    Updates are written per batch instead, and the last one of each window is
+    the result.
+    """
+    spark = stream.sparkSession
+    target = shared_dir(spark, label)
+
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{target}/__batch={number}")
+
+    query = (
+        stream.writeStream.foreachBatch(write).outputMode("update").option("checkpointLocation", f"{target}-state")
+        .trigger(availableNow=True).start()
+    )
+    query.awaitTermination()
+    _report_late(query, label)
+    fields = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in stream.schema)
+    rows = read_glob(spark, target, f"{fields}, __batch bigint")
+    rest = [c for c in stream.columns if c not in keys]
+    last = rows.groupBy(*keys).agg(F.max(F.struct("__batch", *rest)).alias("__last"))
+    return last.select(*[F.col(c) if c in keys else F.col(f"__last.{c}").alias(c) for c in stream.columns])

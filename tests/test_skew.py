@@ -98,6 +98,18 @@ def test_ewm_against_pandas_over_blocks(spark, hot, share):
         pd.testing.assert_series_equal(got, want, check_names=False, rtol=1e-12)
 
 
+@pytest.mark.parametrize(("span", "rows"), [(5, 6000), (1001, 6000), (1, 50), (2, 2500)])
+def test_ewm_of_any_span_and_length(spark, hot, span, rows):
+    r = random.Random(span)
+    x = [r.random() if r.random() < 0.9 else None for _ in range(rows)]
+    want = pd.Series(x, dtype=float).ewm(span=span).mean().shift(1) if span > 1 else pd.Series(x, dtype=float).ffill().shift(1)
+    d = spark.createDataFrame([(1, i, v) for i, v in enumerate(x)], "k int, t int, x double")
+    for limit in (1_000_000, 700):
+        hot(limit)
+        got = form.ewm_before(d, ["k"], ["t"], {"e": F.col("x")}, span).orderBy("t").toPandas()["e"]
+        pd.testing.assert_series_equal(got, want, check_names=False, rtol=1e-11)
+
+
 def test_ewm_over_a_long_gap(spark):
     """Earlier blocks still count when whole blocks have no value."""
     d = spark.createDataFrame([(1, i, float(i) if i in (3, 5) else None) for i in range(3500)], "k int, t int, x double")
@@ -106,6 +118,18 @@ def test_ewm_over_a_long_gap(spark):
     assert got == pytest.approx((5 + 3 * w) / (1 + w))
 
 
+def test_many_hot_keys_are_still_salted(spark, hot, monkeypatch):
+    monkeypatch.setattr(ordered, "MAX_LISTED_GROUPS", 3)
+    hot(20)
+    fact = spark.range(1000).selectExpr("id % 10 AS k", "id AS t")
+    dim = spark.range(10).selectExpr("id AS k", "id * 7 AS v")
+    found = ordered.hot_groups(fact, ["k"])
+    assert (found.everything, found.total, found.largest) == (True, 1000, 100)
+    out = groups.spread_join(fact, dim, ["k"], found)
+    assert "__salt" in plan_of(out)
+    assert sorted(map(tuple, out.collect())) == sorted((i % 10, i, i % 10 * 7) for i in range(1000))
+
+
 def plan_of(df):
     return df._jdf.queryExecution().executedPlan().toString()
 

@@ -1,5 +1,6 @@
 """Scans, landing pages, sinks and run history on small files."""
 
+import os
 import warnings
 
 import pytest
@@ -28,11 +29,25 @@ def test_drift(spark):
         file.write(b"not parquet")
     with warnings.catch_warnings(record=True) as seen:
         warnings.simplefilter("always")
-        df = scan.read_drifting(spark, folder, "a int, b double, c string")
+        df = scan.read_drifting(spark, folder, "a int, b double, c string", skip_unreadable=True)
+    with pytest.raises(ValueError, match="broken.parquet"):
+        scan.read_drifting(spark, folder, "a int")
     assert any("broken.parquet" in str(w.message) for w in seen) and path
     assert rows_of(df) == sorted([(1, 2.5, None), (7, None, None), (None, None, "note")], key=repr)
 
 
+def test_damaged_pages_fail_the_read(spark):
+    folder = shared_dir(spark, "drift")
+    spark.range(200_000).selectExpr("id AS a", "uuid() AS b").coalesce(1).write.parquet(folder)
+    [path] = [r[0].removeprefix("file:") for r in spark.read.format("binaryFile").load(folder).select("path").collect()]
+    with open(path, "r+b") as file:
+        file.seek(500_000)
+        file.write(b"\xff" * 200_000)
+    os.remove(os.path.join(os.path.dirname(path), "." + os.path.basename(path) + ".crc"))
+    with pytest.raises(Exception):  # noqa: B017
+        scan.read_drifting(spark, folder, "a bigint, b string").agg(F.sum("a"), F.max("b")).collect()
+
+
 def test_drift_without_files(spark):
     folder = shared_dir(spark, "drift")
     spark.createDataFrame([("junk",)], "v string").write.text(folder)

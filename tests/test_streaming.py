@@ -29,12 +29,30 @@ def test_refresh_replaces_only_arriving_seasons(spark):
     src, out = shared_dir(spark, "src"), shared_dir(spark, "gold")
     batch(spark, src, [1, 2], 2023)
     batch(spark, src, [3], 2024)
-    live.refresh_on_arrival(live.read_landing(spark, src, SCHEMA), out, f"{out}-state").awaitTermination()
+    live.refresh_on_arrival(live.read_landing(spark, src, SCHEMA), out, f"{out}-state")
     batch(spark, src, [9], 2024)
-    live.refresh_on_arrival(live.read_landing(spark, src, SCHEMA), out, f"{out}-state").awaitTermination()
+    live.refresh_on_arrival(live.read_landing(spark, src, SCHEMA), out, f"{out}-state")
     assert rows_of(spark.read.schema(SCHEMA).parquet(out).select("id", "season")) == [(1, 2023), (2, 2023), (9, 2024)]
 
 
+def test_a_season_may_span_batches(spark):
+    src, out = shared_dir(spark, "src"), shared_dir(spark, "gold")
+    for ids in ([1, 2], [3, 4], [5]):
+        batch(spark, src, ids, 2024)
+    live.refresh_on_arrival(live.read_landing(spark, src, SCHEMA, files_per_trigger=1), out, f"{out}-state")
+    live.refresh_on_arrival(live.read_landing(spark, src, SCHEMA, files_per_trigger=1), out, f"{out}-state")
+    assert sorted(r["id"] for r in spark.read.schema(SCHEMA).parquet(out).collect()) == [1, 2, 3, 4, 5]
+
+
+def test_last_windows_are_in_the_table(spark):
+    src = shared_dir(spark, "src")
+    for ids in ([1, 2], [70, 300], [301]):
+        batch(spark, src, ids, 2024)
+    stream = live.read_landing(spark, src, SCHEMA, files_per_trigger=1)
+    out = live.windows_to_table(live.windowed(stream, "ts", "1 hour", "30 days", [F.count(F.lit(1)).alias("n")]), "win")
+    assert sorted(r["n"] for r in out.collect()) == [1, 2, 2]
+
+
 def test_dedup_across_batches(spark):
     src = shared_dir(spark, "src")
     batch(spark, src, [1, 2], 2024)
