@@ -60,7 +60,7 @@ def duplicate_groups(
     )
     match = (
         parts["digest"].eqNullSafe(members["m_digest"])
-        & (parts["salt"] == members["m_salt"])
+        & parts["salt"].eqNullSafe(members["m_salt"])
         & parts["first"].eqNullSafe(members["m_first"])
     )
     return parts.join(members, match).select(
