@@ -5,13 +5,13 @@ from __future__ import annotations
 from collections.abc import Iterable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.ml import Pipeline
-from pyspark.ml.feature import Imputer, SQLTransformer, StringIndexer, VectorAssembler
+from pyspark.ml import Pipeline, PipelineModel
+from pyspark.ml.feature import SQLTransformer, StringIndexer, VectorAssembler
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from lapwise.functions.scalars import finite, numeric_columns
-from lapwise.operators.groups import left_enrich
+from lapwise.operators.groups import left_enrich, quantiles
 from lapwise.operators.ordered import HotGroups, with_position
 from lapwise.plans.gold import IN_RACE, TARGETS
 
@@ -71,21 +71,34 @@ def coded(df: DataFrame, tables: Mapping[str, DataFrame]) -> DataFrame:
     return df
 
 
-def preparation(features: FeatureSet, in_tables: Iterable[str] = ()) -> Pipeline:
-    """Alphabetic codes, median imputation and the feature vector; fit it on the training rows only."""
+def medians(rows: DataFrame, features: FeatureSet) -> DataFrame:
+    """(feature, median): exact medians of the known, finite values of the numeric features; features without any are absent."""
+    entries = [F.struct(F.lit(c).alias("feature"), finite(F.col(c).cast("double")).alias("value")) for c in features.numeric]
+    return quantiles(rows.select(F.inline(F.array(*entries))), ["feature"], "value", {"median": 0.5})
+
+
+def fit_preparation(rows: DataFrame, features: FeatureSet, in_tables: Iterable[str] = ()) -> PipelineModel:
+    """Alphabetic codes, median imputation and the feature vector, fit on the (training) rows only.
+
+    A feature without any value is filled with 0.
+    """
     narrow = [c for c in features.categorical if c not in set(in_tables)]
     stages = [
         StringIndexer(inputCols=narrow, outputCols=[f"{c}{SUFFIX}" for c in narrow],
                       stringOrderType="alphabetAsc", handleInvalid="keep")
     ] if narrow else []
-    stages.append(Imputer(strategy="median", inputCols=list(features.numeric), outputCols=[f"{c}__f" for c in features.numeric]))
+    if features.numeric:
+        # One row per feature.
+        known = {r["feature"]: r["median"] for r in medians(rows, features).collect()}
+        filled = ", ".join(f"coalesce(nanvl(`{c}`, NULL), {known.get(c, 0.0)!r}D) AS `{c}__f`" for c in features.numeric)
+        stages.append(SQLTransformer(statement=f"SELECT *, {filled} FROM __THIS__"))
     # Trees read the codes as ordered numbers; adding 0.0 drops the indexer's category metadata.
     if features.categorical:
         plain = ", ".join(f"`{c}{SUFFIX}` + 0.0D AS `{c}{SUFFIX}__f`" for c in features.categorical)
         stages.append(SQLTransformer(statement=f"SELECT *, {plain} FROM __THIS__"))
     inputs = [f"{c}__f" for c in features.inputs]
     stages.append(VectorAssembler(inputCols=inputs, outputCol="features", handleInvalid="keep"))
-    return Pipeline(stages=stages)
+    return Pipeline(stages=stages).fit(rows)
 
 
 # The whole table is one group: always numbered by a range sort, never by one task.

@@ -1,7 +1,8 @@
 """Training, validation, search and scoring on the gold table of the contest.
 
-The registered runs use a share of the trees so that they finish in seconds;
-the full settings are the defaults of `lapwise.learn.models`.
+Forests run with all their trees. The registered boosting runs use a share of
+their rounds, which follow one another, so that they finish in seconds; the
+full settings are the defaults of `lapwise.learn.models`.
 """
 
 from pyspark.sql import functions as F
@@ -9,7 +10,7 @@ from pyspark.sql import functions as F
 from lapwise import bindings as B
 from lapwise.functions.scalars import rounded
 from lapwise.learn import evaluate, models
-from lapwise.learn.features import choose_features, fraction_split, label_codes, labelled, season_folds, time_split
+from lapwise.learn.features import FeatureSet, choose_features, fraction_split, label_codes, labelled, medians, season_folds, time_split
 from lapwise.plans import gold, history
 from lapwise.queries.form_queries import GOLD_SQL, TEAM_SQL
 from lapwise.queries.registry import query
@@ -18,6 +19,10 @@ from lapwise.sources.scan import union_by_name
 
 LAST_TRAIN = 202403
 TREES = 0.02
+# Features whose medians are checked.
+MEDIANS = ("grid", "rolling_avg_position_5", "rolling_avg_points_5", "rolling_dnf_rate_5", "rolling_positions_gained_5",
+           "constructor_rolling_points", "rolling_consistency", "quali_gap_to_pole", "quali_gap_pct", "best_quali_seconds",
+           "circuit_avg_position", "circuit_races_count", "season_cumulative_points")
 EXCLUDE = ("season", "round", "target_position")
 
 
@@ -114,6 +119,18 @@ def numeric_feature_columns(spark, sf_dir):
     return rows.filter("filled > 0").select("feature")
 
 
+@query("imputation_medians", "WITH " + B.CONTEST_SQL + "," + TEAM_SQL + "," + GOLD_SQL + f"""
+SELECT feature, round(middle, 6) AS middle FROM (
+  SELECT {", ".join(f"median(CAST({c} AS DOUBLE)) AS {c}" for c in MEDIANS)}
+  FROM gold_table WHERE season <= {LAST_TRAIN} AND target_position IS NOT NULL)
+UNPIVOT (middle FOR feature IN (COLUMNS(*)))""")
+def imputation_medians(spark, sf_dir):
+    """The exact medians that missing values of training features get."""
+    df = gold.race_features(B.contest(spark, sf_dir), B.races_of(spark, sf_dir))
+    train, _ = time_split(labelled(df, "target_position"), LAST_TRAIN)
+    return rounded(medians(train, FeatureSet(MEDIANS)).withColumnRenamed("median", "middle"))
+
+
 def _compare(spark, sf_dir, label, estimators, metric_names, measure, higher):
     df = training_table(spark, sf_dir)
     features = _features(df)
@@ -157,7 +174,7 @@ def compare_winner_models(spark, sf_dir):
 def cross_validated_error(spark, sf_dir):
     df = training_table(spark, sf_dir)
     forest = models.regressors("target_position", TREES)["random_forest"]
-    folds = models.cross_validate(df, _features(df), forest, "target_position", 3)
+    folds = models.cross_validate(df, _features(df), forest, "target_position")
     return rounded(folds.agg(F.count(F.lit(1)).alias("folds"), F.avg("mae").alias("mae"), F.stddev_pop("mae").alias("spread")))
 
 

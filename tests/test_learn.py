@@ -6,7 +6,7 @@ from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
 
 from lapwise.learn import evaluate, models
-from lapwise.learn.features import FeatureSet, choose_features, fraction_split, label_codes, preparation, season_folds, shaped
+from lapwise.learn.features import FeatureSet, choose_features, fit_preparation, fraction_split, label_codes, season_folds, shaped
 from lapwise.session import shared_dir
 
 FEATURES = FeatureSet(("a", "b"), ("driver_id",))
@@ -32,7 +32,7 @@ def test_features_exclude_targets_and_in_race(spark):
 def test_median_and_codes_come_from_training_rows(spark):
     train = spark.createDataFrame([(1.0, 1.0, "b"), (3.0, None, "a"), (None, 3.0, "b")], "a double, b double, driver_id string")
     test = spark.createDataFrame([(None, 900.0, "zz"), (float("inf"), None, "a")], "a double, b double, driver_id string")
-    fitted = preparation(FEATURES).fit(shaped(train, FEATURES))
+    fitted = fit_preparation(shaped(train, FEATURES), FEATURES)
     got = [list(r["features"].toArray()) for r in fitted.transform(shaped(test, FEATURES)).collect()]
     # Medians 1 and 1 (the lower of two), codes a=0, b=1, unknown=2.
     assert got == [[1.0, 900.0, 2.0], [1.0, 1.0, 0.0]]
@@ -58,6 +58,15 @@ def test_tables_of_codes_score_like_the_indexer(spark, table):
     assert rows_of(again.select("season", "round", "driver_id", "prediction")) == rows_of(b.select("season", "round", "driver_id", "prediction"))
 
 
+def test_columns_of_the_race_itself_are_no_features(spark):
+    names = ["grid", "had_slow_stop", "total_pit_time", "avg_pit_duration", "soft_deg_slope", "medium_deg_slope", "hard_deg_slope", "pace_vs_field"]
+    from lapwise.plans import gold
+
+    d = spark.createDataFrame([tuple(1.0 for _ in names)], ", ".join(f"{n} double" for n in names))
+    assert choose_features(d.drop(*gold.LEAKY)).numeric == ("grid",)
+    assert {"had_slow_stop", "total_pit_time", "avg_pit_duration"} <= set(gold.LEAKY)
+
+
 def test_absent_features_count_as_zero(table):
     forest = RandomForestRegressor(labelCol="target_position", featuresCol="features", numTrees=2, maxDepth=2, seed=1)
     trained = models.fit(table, FEATURES, forest, "target_position")
