@@ -34,8 +34,8 @@ def test_median_and_codes_come_from_training_rows(spark):
     test = spark.createDataFrame([(None, 900.0, "zz"), (float("inf"), None, "a")], "a double, b double, driver_id string")
     fitted = fit_preparation(shaped(train, FEATURES), FEATURES)
     got = [list(r["features"].toArray()) for r in fitted.transform(shaped(test, FEATURES)).collect()]
-    # Medians 1 and 1 (the lower of two), codes a=0, b=1, unknown=2.
-    assert got == [[1.0, 900.0, 2.0], [1.0, 1.0, 0.0]]
+    # Exact medians 2 and 2 (the mean of the middle two), codes a=0, b=1, unknown=2.
+    assert got == [[2.0, 900.0, 2.0], [2.0, 2.0, 0.0]]
 
 
 def test_label_codes(spark):
