@@ -15,7 +15,7 @@ from lapwise.plans import gold, history, integrate, questions, reports, silver
 from lapwise.queries.form_queries import CUM_SQL, GOLD_SQL, LAST5, NOW5, RISK_SQL, TARGETS_SQL, TEAM_SQL, VENUE
 from lapwise.queries.registry import query
 from lapwise.queries.silver_queries import CLEAN_SQL, DEG_SQL, LAP_FEATURES_SQL, TIRE_SQL, WEATHER_FEATURES_SQL
-from lapwise.session import materialised
+from lapwise.session import materialised, shared_dir
 
 KEY = ["season", "round", "driver_id"]
 K = "season, round, driver_id"
@@ -497,6 +497,36 @@ def run_history_recent(spark, sf_dir):
     return rounded(history.display(history.recent(run_records(spark, sf_dir))))
 
 
+@query(
+    "run_history_retained",
+    f"""WITH {RUNS_SQL} SELECT run_id, round(mae, 6) AS model_mae FROM runs ORDER BY run_id DESC LIMIT 20""",
+)
+def run_history_retained(spark, sf_dir):
+    """Runs appended one half after the other, of which the last 20 are kept."""
+    records = materialised(run_records(spark, sf_dir), "records")
+    half, path = F.pmod(F.xxhash64("run_id"), F.lit(2)), shared_dir(spark, "runs")
+    for part in (0, 1):
+        history.append_run(records.filter(half == part), path)
+    kept = history.recent(spark.read.schema(records.schema).parquet(path))
+    return rounded(kept.select("run_id", "model_mae"))
+
+
+@query(
+    "added_columns",
+    _with(TARGETS_SQL) + """
+SELECT column_name, filled FROM (SELECT count(target_position) AS target_position, count(target_podium) AS target_podium,
+  count(target_points_finish) AS target_points_finish, count(target_winner) AS target_winner FROM gold)
+UNPIVOT (filled FOR column_name IN (COLUMNS(*)))""",
+)
+def added_columns(spark, sf_dir):
+    """The columns that the target step adds, with their filled rows."""
+    before = B.contest(spark, sf_dir)
+    after = gold.targets(before)
+    names = integrate.added_columns(before, after)
+    wide = after.agg(*[F.count(c).alias(c) for c in names])
+    return wide.select(F.inline(F.array(*[F.struct(F.lit(c).alias("column_name"), F.col(c).alias("filled")) for c in names])))
+
+
 @query(
     "run_history_trend",
     f"""WITH {RUNS_SQL}, last5 AS (SELECT * FROM runs ORDER BY run_id DESC LIMIT 5)

@@ -466,6 +466,20 @@ def sparse_columns(spark, sf_dir):
     return null_percent(df, above=50.0)
 
 
+@query(
+    "sparsely_filled_columns",
+    "WITH " + B.CONTEST_SQL + """
+SELECT column_name, round(100.0 * c / n, 1) AS fill_pct
+FROM (SELECT count(*) AS n, count(position) AS position, count(q1_seconds) AS q1_seconds, count(q2_seconds) AS q2_seconds,
+             count(q3_seconds) AS q3_seconds, count(grid) AS grid FROM contest)
+UNPIVOT (c FOR column_name IN (position, q1_seconds, q2_seconds, q3_seconds, grid))
+WHERE round(100.0 * c / n, 1) < 50""",
+)
+def sparsely_filled_columns(spark, sf_dir):
+    df = B.contest(spark, sf_dir).select("position", "q1_seconds", "q2_seconds", "q3_seconds", "grid")
+    return fill_rate(df, below=50.0)
+
+
 @query(
     "interactions",
     f"""WITH {B.CONTEST_SQL}, {B.WEATHER_SQL}, {WEATHER_FEATURES_SQL}

@@ -33,11 +33,11 @@ def scan_by_pattern(spark, sf_dir):
 
 @query(
     "scan_without_match",
-    "SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_orderkey IS NULL",
+    "SELECT l_orderkey, l_linenumber FROM lineitem WHERE l_returnflag = 'R'",
 )
 def scan_without_match(spark, sf_dir):
     nothing = scan.read_glob(spark, f"{sf_dir}/no_such_table_*.parquet", "l_orderkey bigint, l_linenumber int")
-    real = scan.read_glob(spark, f"{sf_dir}/lineitem*.parquet", LINE_SCHEMA).filter("l_orderkey IS NULL")
+    real = scan.read_glob(spark, f"{sf_dir}/lineitem*.parquet", LINE_SCHEMA).filter("l_returnflag = 'R'")
     return scan.union_by_name([nothing, real.select("l_orderkey", "l_linenumber")])
 
 
@@ -262,6 +262,20 @@ def land_session_laps(spark, sf_dir):
     return S.rounded(df.withColumn("stamped", F.col("_ingested_at").isNotNull()).drop("_ingested_at"))
 
 
+@query(
+    "land_session_weather",
+    """
+SELECT event_id, value AS track_temp, CAST(2024 AS INTEGER) AS season, CAST(7 AS INTEGER) AS round, 'R' AS session_type,
+       'Grand event' AS event_name,
+       round(CAST(date_diff('microsecond', CAST(CAST(ts AS DATE) AS TIMESTAMP), ts) AS DOUBLE) / 1000000, 6) AS time_seconds
+FROM events WHERE event_type = 'view'""",
+)
+def land_session_weather(spark, sf_dir):
+    since = (F.col("ts").cast("timestamp_ntz") - F.date_trunc("day", "ts").cast("timestamp_ntz")).alias("time")
+    samples = B.table(spark, sf_dir, "events").filter("event_type = 'view'").select("event_id", F.col("value").alias("track_temp"), since)
+    return S.rounded(landing.land_session(samples, 2024, 7, "R", "Grand event").drop("_ingested_at"))
+
+
 @query(
     "nanoseconds_to_seconds",
     "SELECT event_id, round(value, 6) AS lap_seconds FROM events",
@@ -343,10 +357,7 @@ def newest_json_report(spark, sf_dir):
     sinks.write_json(new, f"{folder}/report_20240201")
     pages = spark.read.schema("year int, orders bigint").option("recursiveFileLookup", "true").json(folder)
     # Reports are folders; the folder name carries the time.
-    name = F.regexp_extract(F.col("_metadata.file_path"), r"/(report_\d+)/", 1)
-    named = pages.withColumn("report", name)
-    last = named.agg(F.max("report").alias("report"))
-    return named.join(F.broadcast(last), "report", "left_semi").drop("report")
+    return scan.newest_file(pages, r"/(report_\d+)/")
 
 
 CATALOG_NOTES = {"points": "points of the race", "position": "finishing place, null if not finished"}

@@ -91,9 +91,14 @@ def first_table(spark: SparkSession, names: Sequence[str]) -> DataFrame:
     raise LookupError(f"none of {list(names)} exists")
 
 
-def newest_file(df: DataFrame) -> DataFrame:
-    """Rows of the newest file of a scan, where file names sort by time."""
-    named = df.withColumn("__file", F.col("_metadata.file_name"))
+def newest_file(df: DataFrame, pattern: str | None = None) -> DataFrame:
+    """Rows of the newest file of a scan, where file names sort by time.
+
+    For reports that are folders, `pattern` has a group for the part of the
+    path that carries the time.
+    """
+    name = F.regexp_extract("_metadata.file_path", pattern, 1) if pattern else F.col("_metadata.file_name")
+    named = df.withColumn("__file", name)
     last = named.agg(F.max("__file").alias("__file"))
     # A one-row side.
     return named.join(F.broadcast(last), "__file", "left_semi").drop("__file")
