@@ -2,7 +2,8 @@
 
 Two bag models over hashed unigrams and bigrams are estimated: one of all
 texts, one of labelled target texts. A document's log weight is the log ratio
-of its probability under the target and the raw model. Adding Gumbel noise
+of its probability under the target and the raw model, tempered by its length
+so that long documents do not lose to short ones. Adding Gumbel noise
 and keeping the k largest keys samples k documents without replacement in
 proportion to their weights.
 """
@@ -26,6 +27,8 @@ BUCKETS = 100_000
 # Labelled rows that the target model and the kept share are fitted on, at most.
 LABELLED_ROWS = 20_000
 SMOOTHING = 0.5
+# Long texts weigh by their mean log ratio, as much as so many n-grams would; short ones by their sum.
+EVIDENCE = 200
 SLICE_BYTES = 4 << 20
 
 
@@ -125,6 +128,7 @@ def _scored(
             gram, owner = buckets_of(batch.column(2), buckets)
             n = np.bincount(owner, minlength=batch.num_rows)
             weight = np.bincount(owner, weights=ratios.value[gram], minlength=batch.num_rows)
+            weight = weight * EVIDENCE / (EVIDENCE + n)
             yield pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(n.astype(np.int64)), pa.array(weight.astype(np.float64))], names=schema.names
             )
