@@ -29,16 +29,23 @@ def dedup_keep_latest(spark, sf_dir):
                      F.date_format("l_shipdate", "yyyy-MM-dd HH:mm:ss").alias("shipped"), *LINE_COLUMNS)
 
 
+ORDER_COLUMNS = ('o_orderkey', 'o_custkey', 'o_orderstatus', 'o_totalprice', 'o_orderdate', 'o_orderpriority')
+ORDER_NULLS = " + ".join(f"count(*) - count({c})" for c in ORDER_COLUMNS)
+
+
 @query(
     "dedup_quality_report",
-    """
-WITH d AS (SELECT l_orderkey, l_linenumber, max(l_returnflag) AS f FROM lineitem GROUP BY 1, 2)
-SELECT 'lineitem' AS table_name, (SELECT count(*) FROM d) AS rows, 3 AS columns, CAST(0 AS BIGINT) AS nulls_before,
-       CAST(0 AS BIGINT) AS nulls_after, (SELECT count(*) FROM lineitem) - (SELECT count(*) FROM d) AS duplicates_removed""",
+    f"""
+WITH o AS (SELECT * REPLACE (nullif(o_orderstatus, 'F') AS o_orderstatus) FROM orders),
+d AS (SELECT * FROM o QUALIFY row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) = 1)
+SELECT 'orders' AS table_name, (SELECT count(*) FROM d) AS rows, {len(ORDER_COLUMNS)} AS columns,
+       (SELECT {ORDER_NULLS} FROM o) AS nulls_before, (SELECT {ORDER_NULLS} FROM d) AS nulls_after,
+       (SELECT count(*) FROM o) - (SELECT count(*) FROM d) AS duplicates_removed""",
 )
 def dedup_quality_report(spark, sf_dir):
-    lines = B.table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", "l_returnflag")
-    return quality_report("lineitem", lines, dedup_latest(lines, ["l_orderkey", "l_linenumber"]))
+    # All columns; one status counts as missing. Of a customer's orders the latest stays.
+    orders = B.table(spark, sf_dir, "orders").withColumn("o_orderstatus", F.expr("nullif(o_orderstatus, 'F')"))
+    return quality_report("orders", orders, dedup_latest(orders, ["o_custkey"], "o_orderdate"))
 
 
 # Clock texts in good and bad forms, made from every event.
