@@ -6,7 +6,7 @@ import numpy as np
 import pyarrow as pa
 
 # Bytes hashed at a time; cuts fall on white space.
-CHUNK = 2 << 20
+CHUNK = 1 << 20
 
 
 def mix(x: np.ndarray) -> np.ndarray:

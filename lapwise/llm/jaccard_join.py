@@ -9,15 +9,18 @@ smaller partners. A scheme's segments are chosen by cost from the number of
 sets in the band, and a probe spends the units it can spare on leaving out its
 smallest, least selective segments. Every candidate is verified on its sets.
 
-Buckets of equal signatures are not expanded into pairs. Each is resolved by
-stars around one probe, and only between different components, so that copies
-cost one comparison each; what stars leave is compared pair by pair.
+Buckets of equal signatures are not expanded into pairs. The sets of a bucket
+are compared with one of its probes, the hub. Sets that are linked to the hub
+are one component. A set that is not can be linked to another only if their
+differences from the hub overlap, which a join on the rarest shingles of these
+differences finds.
 """
 
 from __future__ import annotations
 
 import math
 from collections.abc import Iterator, Sequence
+from functools import partial
 from typing import NamedTuple
 
 import numpy as np
@@ -32,9 +35,7 @@ from lapwise.llm.hashing import batch_words, mix, ngrams, sequence_hash
 from lapwise.session import materialised
 
 WORDS_PER_SHINGLE, PERCENT = 5, 80
-SLICE_BYTES = 4 << 20
-# Rounds of stars before the remaining pairs of a bucket are compared one by one.
-STAR_ROUNDS = 2
+SLICE_BYTES = 2 << 20
 # Rows up to which a side is broadcast; beyond it the join shuffles.
 BROADCAST_ROWS = 500_000
 # A band spans sizes up to this power of 1 / similarity.
@@ -270,9 +271,8 @@ class Links:
         texts = self.rows.join(F.broadcast(picked) if small else picked, match).select("name", "text")
         return materialised(texts.dropDuplicates(["name"]), "texts")
 
-    def verified(self, pairs: DataFrame, texts: DataFrame) -> DataFrame | None:
-        """The pairs (a, b) whose sets are linked; None without pairs."""
-        n, percent = self.n, self.percent
+    def _beside(self, pairs: DataFrame, texts: DataFrame) -> DataFrame | None:
+        """(a, b, ta, tb) of the pairs, with those of one `a` together; None without pairs."""
         pairs = materialised(pairs.select("a", "b"), "pairs")
         count = pairs.count()
         if not count:
@@ -282,18 +282,59 @@ class Links:
             texts = texts.join(ends, F.col("name") == F.col("e"), "left_semi")
         left = texts.select(F.col("name").alias("a"), F.col("text").alias("ta"))
         right = texts.select(F.col("name").alias("b"), F.col("text").alias("tb"))
-        both = pairs.join(left, "a").join(right, "b").select("a", "b", "ta", "tb")
+        return pairs.join(right, "b").join(left, "a").select("a", "b", "ta", "tb")
+
+    def verified(self, pairs: DataFrame, texts: DataFrame) -> DataFrame | None:
+        """The pairs (a, b) whose sets are linked; None without pairs."""
+        percent, sets_of = self.percent, partial(pair_sets, self.n)
+        both = self._beside(pairs, texts)
+        if both is None:
+            return None
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            kept: dict = {}
             for batch in slices(slices(batches, 2, SLICE_BYTES), 3, SLICE_BYTES):
                 linked = []
-                for x, y in zip(set_hashes(batch.column(2), n), set_hashes(batch.column(3), n)):
+                for x, y in sets_of(batch, kept):
                     shared = len(np.intersect1d(x, y, assume_unique=True))
                     linked.append(100 * shared >= percent * (len(x) + len(y) - shared))
                 yield batch.select([0, 1]).filter(pa.array(linked, pa.bool_()))
 
         return materialised(both.mapInArrow(run, "a long, b long"), "links")
 
+    def gaps(self, pairs: DataFrame, texts: DataFrame) -> DataFrame | None:
+        """(a, b, na, nb, gap): the sizes and the symmetric difference of every pair; None without pairs."""
+        sets_of = partial(pair_sets, self.n)
+        both = self._beside(pairs, texts)
+        if both is None:
+            return None
+        schema = "a long, b long, na long, nb long, gap array<long>"
+
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            kept: dict = {}
+            for batch in slices(slices(batches, 2, SLICE_BYTES), 3, SLICE_BYTES):
+                na, nb, gap = [], [], []
+                for x, y in sets_of(batch, kept):
+                    na.append(len(x))
+                    nb.append(len(y))
+                    gap.append(np.setxor1d(x, y, assume_unique=True).view(np.int64))
+                columns = [pa.array(na, pa.int64()), pa.array(nb, pa.int64()), pa.array(gap, pa.list_(pa.int64()))]
+                yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], names=["a", "b", "na", "nb", "gap"])
+
+        return both.mapInArrow(run, schema)
+
+
+def pair_sets(n: int, batch: pa.RecordBatch, kept: dict) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The two sets of each pair (a, b, ta, tb); the left one is hashed once for neighbouring pairs."""
+    names = batch.column(0).to_pylist()
+    new = [i for i, a in enumerate(names) if (names[i - 1] if i else kept.get("name")) != a]
+    left = iter(set_hashes(batch.column(2).take(pa.array(new, pa.int64())), n))
+    fresh = set(new)
+    for i, right in enumerate(set_hashes(batch.column(3), n)):
+        if i in fresh:
+            kept["name"], kept["set"] = names[i], next(left)
+        yield kept["set"], right
+
 
 def _with_component(rows: DataFrame, parts: DataFrame | None, name: str, out: str) -> DataFrame:
     if parts is None:
@@ -303,16 +344,51 @@ def _with_component(rows: DataFrame, parts: DataFrame | None, name: str, out: st
     return rows.withColumn(out, F.coalesce(f"{out}_part", name)).drop(f"{out}_node", f"{out}_part")
 
 
+def left_pairs(gaps: DataFrame, parts: DataFrame | None, percent: int) -> DataFrame:
+    """Pairs (a, b) around a common hub that may be linked although one of them is not linked to the hub.
+
+    `gaps` holds the symmetric difference of every set with its hub. The
+    difference of two sets is what is in one gap and not in the other, so with
+    r not linked to the hub, r and s can be linked only if their gaps overlap in
+    about half of s's gap or more. Both then share a shingle among the rarest of
+    their gaps, as many as the least overlap leaves over, plus one.
+    """
+    c = (100 - percent) / (100 + percent)
+    rows = _with_component(_with_component(gaps, parts, "a", "hub_part"), parts, "b", "part")
+    rows = materialised(rows.withColumn("d", F.size("gap")), "gaps")
+    # Least overlaps that some partner may need, with one to spare for rounding.
+    largest = F.col("nb") * (1 + 100 / percent) * c
+    outer = F.when(F.col("part") != F.col("hub_part"), F.col("d") + 1 - F.greatest(F.lit(1), F.ceil((F.col("d") - largest) / 2 - 1)))
+    inner = F.col("d") + 1 - F.greatest(F.lit(1), F.ceil((F.col("d") + c * (F.col("na") - F.col("nb"))) / 2 - 1))
+    rows = rows.select("a", "b", "part", "d", "nb", outer.alias("outer"), inner.alias("inner"), F.explode("gap").alias("h"))
+    uses = rows.groupBy(F.col("a").alias("u_a"), F.col("h").alias("u_h")).agg(F.count(F.lit(1)).alias("uses")).filter("uses > 1")
+    # Shingles of one gap only come first in the order and pair nothing, so their places need counting, not listing.
+    marked = rows.join(uses, (F.col("a") == F.col("u_a")) & (F.col("h") == F.col("u_h")), "left")
+    # A gap has no more rows than two sets have shingles.
+    order = Window.partitionBy("a", "b").orderBy(F.col("uses").asc_nulls_first(), "h")
+    marked = marked.withColumn("place", F.row_number().over(order)).filter("uses IS NOT NULL AND place <= greatest(outer, inner)")
+    marked = materialised(marked.select("a", "h", "b", "part", "d", "nb", "outer", "inner", "place"), "rare")
+    names = {"b": "x", "part": "px", "d": "dx", "nb": "nx", "place": "ix"}
+    left = marked.filter("place <= outer").drop("outer", "inner").withColumnsRenamed(names)
+    right = marked.filter("place <= inner").drop("outer", "inner")
+    right = right.withColumnsRenamed({k: v.replace("x", "y") for k, v in names.items()})
+    # The overlap that this very pair needs, and the places that its first common shingle must then have.
+    need = F.greatest(F.lit(1), F.ceil((F.col("dx") + F.col("dy") - c * (F.col("nx") + F.col("ny"))) / 2 - 1e-6))
+    early = (F.col("ix") <= F.col("dx") + 1 - need) & (F.col("iy") <= F.col("dy") + 1 - need)
+    pairs = left.join(right, ["a", "h"]).filter((F.col("px") != F.col("py")) & early)
+    return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
+
+
 def linked_sets(links: Links, sets: DataFrame) -> DataFrame | None:
     """(node, component) of the set names that have links; None without any."""
-    alive = links.buckets(links.schemes(sets))
-    texts = links.involved(sets, alive)
+    buckets = links.buckets(links.schemes(sets))
+    texts = links.involved(sets, buckets)
     found = parts = None
 
     def verify(pairs: DataFrame) -> None:
         nonlocal found, parts
         more = links.verified(pairs, texts)
-        if more is not None:
+        if more is not None and more.limit(1).count():
             found = more if found is None else found.union(more)
             parts = connected_components(found)
 
@@ -320,29 +396,20 @@ def linked_sets(links: Links, sets: DataFrame) -> DataFrame | None:
         pairs = _with_component(_with_component(pairs, parts, "a", "ca"), parts, "b", "cb")
         return pairs.filter("ca <> cb").select("a", "b")
 
-    bucket = Window.partitionBy("sig")
-    for turn in range(STAR_ROUNDS):
-        hub = F.min(F.when(F.col("probe"), F.col("name"))).over(bucket)
-        starred = alive.withColumn("hub", hub).filter("hub IS NOT NULL")
-        edges = starred.filter("name <> hub").groupBy(F.col("hub").alias("a"), F.col("name").alias("b"))
-        edges = materialised(edges.agg(F.count(F.lit(1)).alias("n")), "stars")
-        # First the hub that a set shares most buckets with; where that links, the others need no comparison.
-        verify(edges.groupBy("b").agg(F.max_by("a", F.struct("n", "a")).alias("a")))
-        rest = edges.groupBy("b").agg(F.max_by("a", F.struct("n", "a")).alias("best")).withColumnRenamed("b", "rest_b")
-        rest = edges.join(rest, (F.col("b") == F.col("rest_b")) & (F.col("a") == F.col("best")), "left_anti")
-        verify(crossing(rest))
-        # A hub has been compared with all others of its bucket. A bucket of one component is done.
-        alive = _with_component(starred.filter("name <> hub").select("sig", "name", "probe"), parts, "name", "part")
-        alive = alive.withColumn("low", F.min("part").over(bucket)).withColumn("high", F.max("part").over(bucket))
-        alive = alive.withColumn("probed", F.max("probe").over(bucket)).withColumn("main", F.mode("part").over(bucket))
-        alive = materialised(alive.filter("low <> high AND probed").select("sig", "name", "probe", "part", "main"), "buckets")
-        if not alive.limit(1).count():
-            return parts
-    # Of two sets in different components one at least is outside the bucket's main component.
-    left = alive.filter("part <> main").select("sig", F.col("name").alias("a"), F.col("part").alias("ca"), "probe")
-    right = alive.select("sig", F.col("name").alias("b"), F.col("part").alias("cb"), F.col("probe").alias("other"))
-    pairs = left.join(right, "sig").filter("ca <> cb AND (probe OR other)")
-    verify(pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
+    hub = F.min(F.when(F.col("probe"), F.col("name"))).over(Window.partitionBy("sig"))
+    stars = buckets.withColumn("a", hub).filter("a IS NOT NULL AND name <> a")
+    stars = materialised(stars.groupBy("a", F.col("name").alias("b")).agg(F.count(F.lit(1)).alias("n")), "stars")
+    # First the hub that a set shares most buckets with; where that links, the others need no comparison.
+    verify(stars.groupBy("b").agg(F.max_by("a", F.struct("n", "a")).alias("a")))
+    verify(crossing(stars))
+    # Hubs all of whose sets are in their component are done.
+    apart = _with_component(_with_component(stars, parts, "a", "ca"), parts, "b", "cb").filter("ca <> cb")
+    apart = apart.groupBy(F.col("a").alias("open_a")).agg(F.count(F.lit(1)).alias("apart"))
+    members = stars.groupBy("a").agg(F.count(F.lit(1)).alias("members")).filter("members > 1")
+    hubs = members.join(apart, F.col("a") == F.col("open_a")).select(F.col("a").alias("open_a"))
+    gaps = links.gaps(stars.join(hubs, F.col("a") == F.col("open_a"), "left_semi"), texts)
+    if gaps is not None:
+        verify(left_pairs(gaps, parts, links.percent))
     return parts
 
 
