@@ -229,7 +229,7 @@ class Links:
         return out
 
     def buckets(self, schemes: list[Scheme]) -> DataFrame:
-        """(sig, name, probe) of the signatures that different sets share and some set probes."""
+        """(sig, name, probe, size of the bucket) of the signatures that different sets share and some set probes."""
         n, percent = self.n, self.percent
 
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,10 +255,11 @@ class Links:
         name = F.col("tag").bitwiseAND(F.lit(~1))
         same = Window.partitionBy("sig")
         rows = rows.withColumn("low", F.min(name).over(same)).withColumn("high", F.max(name).over(same))
+        rows = rows.withColumn("size", F.count(F.lit(1)).over(same))
         rows = rows.withColumn("probed", F.bit_or("tag").over(same).bitwiseAND(F.lit(1)))
         rows = rows.filter((F.col("low") != F.col("high")) & (F.col("probed") == 1))
-        rows = rows.select("sig", name.alias("name"), (F.col("tag").bitwiseAND(F.lit(1)) == 1).alias("probe"))
-        return materialised(rows.groupBy("sig", "name").agg(F.max("probe").alias("probe")), "buckets")
+        rows = rows.select("sig", name.alias("name"), (F.col("tag").bitwiseAND(F.lit(1)) == 1).alias("probe"), "size")
+        return materialised(rows.groupBy("sig", "name").agg(F.max("probe").alias("probe"), F.max("size").alias("size")), "buckets")
 
     def involved(self, sets: DataFrame, buckets: DataFrame) -> DataFrame:
         """(name, text): one text for every set in a bucket."""
@@ -366,16 +367,18 @@ def left_pairs(gaps: DataFrame, parts: DataFrame | None, percent: int) -> DataFr
     marked = rows.join(uses, (F.col("a") == F.col("u_a")) & (F.col("h") == F.col("u_h")), "left")
     # A gap has no more rows than two sets have shingles.
     order = Window.partitionBy("a", "b").orderBy(F.col("uses").asc_nulls_first(), "h")
-    marked = marked.withColumn("place", F.row_number().over(order)).filter("uses IS NOT NULL AND place <= greatest(outer, inner)")
+    marked = marked.withColumn("place", F.row_number().over(order)).filter("uses IS NOT NULL AND (place <= outer OR place <= inner)")
     marked = materialised(marked.select("a", "h", "b", "part", "d", "nb", "outer", "inner", "place"), "rare")
     names = {"b": "x", "part": "px", "d": "dx", "nb": "nx", "place": "ix"}
     left = marked.filter("place <= outer").drop("outer", "inner").withColumnsRenamed(names)
-    right = marked.filter("place <= inner").drop("outer", "inner")
+    right = marked.filter("place <= inner").drop("inner").withColumnRenamed("outer", "oy")
     right = right.withColumnsRenamed({k: v.replace("x", "y") for k, v in names.items()})
     # The overlap that this very pair needs, and the places that its first common shingle must then have.
     need = F.greatest(F.lit(1), F.ceil((F.col("dx") + F.col("dy") - c * (F.col("nx") + F.col("ny"))) / 2 - 1e-6))
     early = (F.col("ix") <= F.col("dx") + 1 - need) & (F.col("iy") <= F.col("dy") + 1 - need)
-    pairs = left.join(right, ["a", "h"]).filter((F.col("px") != F.col("py")) & early)
+    # Two sets that are both apart from the hub are on both sides; one order is enough.
+    once = F.col("oy").isNull() | (F.col("x") < F.col("y"))
+    pairs = left.join(right, ["a", "h"]).filter((F.col("px") != F.col("py")) & once & early)
     return pairs.select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct()
 
 
@@ -396,8 +399,11 @@ def linked_sets(links: Links, sets: DataFrame) -> DataFrame | None:
         pairs = _with_component(_with_component(pairs, parts, "a", "ca"), parts, "b", "cb")
         return pairs.filter("ca <> cb").select("a", "b")
 
-    hub = F.min(F.when(F.col("probe"), F.col("name"))).over(Window.partitionBy("sig"))
-    stars = buckets.withColumn("a", hub).filter("a IS NOT NULL AND name <> a")
+    # The set with most company is the most central one: few sets differ much from it, and many buckets share it.
+    company = buckets.groupBy(F.col("name").alias("c_name")).agg(F.sum("size").alias("company"))
+    stars = buckets.join(company, F.col("name") == F.col("c_name"))
+    hub = F.max_by("name", F.when(F.col("probe"), F.struct("company", "name"))).over(Window.partitionBy("sig"))
+    stars = stars.withColumn("a", hub).filter("a IS NOT NULL AND name <> a")
     stars = materialised(stars.groupBy("a", F.col("name").alias("b")).agg(F.count(F.lit(1)).alias("n")), "stars")
     # First the hub that a set shares most buckets with; where that links, the others need no comparison.
     verify(stars.groupBy("b").agg(F.max_by("a", F.struct("n", "a")).alias("a")))
