@@ -18,7 +18,7 @@ from lapwise.llm.common import WORDS, global_positions, text_or_empty, uniform
 from lapwise.session import materialised
 
 # Rows that one window group of keys holds on average.
-BIN_ROWS = 10_000
+BIN_ROWS = 1_000
 
 
 def word_count(column: str) -> Column:
@@ -124,6 +124,22 @@ def mix_sources(
     )
 
 
+def mixed_documents(
+    docs: DataFrame, weights: DataFrame | None = None, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", **options
+) -> DataFrame:
+    """The rows of `docs` that the mix takes any words of, with size, source_size, target and taken.
+
+    Rows that agree in id, source and size share the largest `taken` of them.
+    """
+    mix = mix_sources(docs, weights, id_col=id_col, source_col=source_col, text_col=text_col, **options)
+    keys = [F.col(id_col).alias("m_id"), F.col("source").alias("m_source"), F.col("size").alias("__size")]
+    mix = mix.groupBy(*keys).agg(F.max("source_size").alias("__source_size"), F.max("target").alias("__target"), F.max("taken").alias("__taken"))
+    same = docs[id_col].eqNullSafe(mix["m_id"]) & docs[source_col].eqNullSafe(mix["m_source"])
+    rows = docs.join(mix.filter("__taken > 0"), same & (word_count(text_col) == mix["__size"])).drop("m_id", "m_source")
+    names = {f"__{c}": c for c in ("size", "source_size", "target", "taken")}
+    return rows.drop(*[c for c in names.values() if c in docs.columns]).withColumnsRenamed(names)
+
+
 SQL = r"""
 WITH w AS (SELECT doc_id, CASE WHEN max(quality) = 1 AND coalesce(max(toxic), 0) = 0 THEN 2.0 ELSE 0.5 END AS weight
            FROM labels WHERE doc_id IS NOT NULL GROUP BY doc_id),
