@@ -110,9 +110,10 @@ def _scored(
     """(id, text_key, n_grams, log_weight, key) of every row, and which of them are kept."""
     spark = docs.sparkSession
     sample = materialised(labelled_sample(labels, labelled_rows), "labelled")
-    known, good = sample.agg(F.count(F.lit(1)), F.count(F.when(F.col("quality") == 1, 1))).first()
+    is_clean = (F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)
+    known, good = sample.agg(F.count(F.lit(1)), F.count(F.when(is_clean, 1))).first()
     share = keep_share if keep_share is not None else (good / known if known else 1.0)
-    clean = sample.filter((F.col("quality") == 1) & (F.coalesce("toxic", F.lit(0)) == 0)).select("l_id")
+    clean = sample.filter(is_clean).select("l_id")
     text = text_or_empty(text_col)
     # `labelled_rows` bounds this broadcast.
     marked = docs.join(F.broadcast(clean), docs[id_col] == clean["l_id"], "left")
@@ -154,8 +155,8 @@ def resample(
 
     Raw counts cover all texts. Target texts are those labelled good and not
     toxic, from at most `labelled_rows` labels. k is `keep_share` of all rows;
-    None takes the share of the labels that are good. Rows that tie with the
-    k-th are kept too. A null or empty text has weight 0 (log) and competes by
+    None takes the share of the labels that are good and not toxic. Rows that
+    tie with the k-th are kept too. A null or empty text has weight 0 (log) and competes by
     its noise; a null id takes noise like any other; repeated rows get equal
     keys. Without target labels all log weights are 0; without labels and
     share all rows are kept. An empty table gives no rows.

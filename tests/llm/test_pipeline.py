@@ -39,6 +39,18 @@ def test_stages_and_run(spark, tmp_path):
     assert abs(sum(r["taken"] for r in got) - 1.5 * total) <= 3
 
 
+def test_toxic_rows_go(spark, tmp_path):
+    docs = [(i, f"u{i} " + " ".join(f"c{(7 * i + j) % 40}" for j in range(30)), "s0") for i in range(60)]
+    docs += [(100 + i, f"u{100 + i} " + " ".join(f"tox{(7 * i + j) % 40}" for j in range(30)), "s1") for i in range(20)]
+    labels = [(i, 1, int(i >= 100)) for i, _, _ in docs]
+    write(spark, str(tmp_path), docs, labels, [(0, "none of these words is in any text")])
+    sf = f"file://{tmp_path}"
+    kept = corpus_pipeline.select_quality(spark, spark.read.parquet(f"{sf}/documents.parquet"), sf)
+    assert {r["doc_id"] for r in kept.collect()} == set(range(60))
+    got = {r["doc_id"] for r in corpus_pipeline.run(spark, sf).collect()}
+    assert got and got <= set(range(60))
+
+
 def test_queries_and_entry():
     import __spark_entry__ as entry
 

@@ -27,6 +27,15 @@ def test_target_like_texts_stay(spark):
     assert {r["doc_id"]: r["n_grams"] for r in out} == {i: 2 * len(H.words(t)) - 1 for i, t, _ in rows}
 
 
+def test_toxic_labels_do_not_raise_the_kept_share(spark):
+    rows, marks = corpus()
+    toxic = {i for i, _, _ in rows if i % 5 == 1}
+    rows = [(i, t.replace("good", "tox") if i in toxic else t, s) for i, t, s in rows]
+    marks = [(i, q, int(i in toxic)) for i, q, _ in marks]
+    out = importance.resample(H.docs(spark, rows), labels(spark, marks)).collect()
+    assert {r["doc_id"] for r in out if r["kept"]} == {i for i, _, _ in rows if i % 5 > 1}
+
+
 def test_the_largest_keys_are_kept(spark):
     rows, marks = corpus(2)
     out = importance.resample(H.docs(spark, rows), labels(spark, marks), keep_share=0.4).collect()
