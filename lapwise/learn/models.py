@@ -27,7 +27,7 @@ from lapwise.learn.features import (
     time_split,
     wide_categoricals,
 )
-from lapwise.session import materialised
+from lapwise.session import materialised, shared_dir
 
 SEED = 42
 
@@ -133,6 +133,10 @@ def fit(train: DataFrame, features: FeatureSet, estimator: Estimator, label: str
     codes = {c: materialised(label_codes(rows, c), "codes") for c in wide_categoricals(rows, features, max_labels)}
     rows = coded(rows, codes)
     prepared = fit_preparation(rows, features, codes)
+    # Boosting cuts its lineage, which grows with every round, only if there is a folder for it.
+    context = train.sparkSession.sparkContext
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(shared_dir(train.sparkSession, "rounds"))
     return Trained(features, prepared, estimator.fit(prepared.transform(rows)), codes)
 
 

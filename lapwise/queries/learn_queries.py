@@ -1,8 +1,7 @@
 """Training, validation, search and scoring on the gold table of the contest.
 
-Forests run with all their trees. The registered boosting runs use a share of
-their rounds, which follow one another, so that they finish in seconds; the
-full settings are the defaults of `lapwise.learn.models`.
+All models run with the full settings of `lapwise.learn.models`. Boosting
+rounds follow one another, so boosting takes minutes on any table.
 """
 
 from pyspark.sql import functions as F
@@ -18,7 +17,6 @@ from lapwise.session import materialised, shared_dir
 from lapwise.sources.scan import union_by_name
 
 LAST_TRAIN = 202403
-TREES = 0.02
 # Features whose medians are checked.
 MEDIANS = ("grid", "rolling_avg_position_5", "rolling_avg_points_5", "rolling_dnf_rate_5", "rolling_positions_gained_5",
            "constructor_rolling_points", "rolling_consistency", "quali_gap_to_pole", "quali_gap_pct", "best_quali_seconds",
@@ -150,7 +148,7 @@ def compare_position_models(spark, sf_dir):
     def measure(scored):
         return evaluate.regression_metrics(scored, "target_position", "prediction")
 
-    return _compare(spark, sf_dir, "target_position", models.regressors("target_position", TREES), ["mae", "rmse", "r2"], measure, False)
+    return _compare(spark, sf_dir, "target_position", models.regressors("target_position"), ["mae", "rmse", "r2"], measure, False)
 
 
 @query("compare_podium_models")
@@ -158,7 +156,7 @@ def compare_podium_models(spark, sf_dir):
     def measure(scored):
         return evaluate.classification_metrics(scored, "target_podium", "prediction")
 
-    return _compare(spark, sf_dir, "target_podium", models.classifiers("target_podium", TREES),
+    return _compare(spark, sf_dir, "target_podium", models.classifiers("target_podium"),
                     ["f1", "accuracy", "precision", "recall"], measure, True)
 
 
@@ -167,13 +165,13 @@ def compare_winner_models(spark, sf_dir):
     def measure(scored):
         return evaluate.rank_metrics(evaluate.with_probability(scored), "probability_1", "target_winner", "driver_id")
 
-    return _compare(spark, sf_dir, "target_winner", models.classifiers("target_winner", TREES), ["top1_rate", "topk_rate"], measure, True)
+    return _compare(spark, sf_dir, "target_winner", models.classifiers("target_winner"), ["top1_rate", "topk_rate"], measure, True)
 
 
 @query("cross_validated_error")
 def cross_validated_error(spark, sf_dir):
     df = training_table(spark, sf_dir)
-    forest = models.regressors("target_position", TREES)["random_forest"]
+    forest = models.regressors("target_position")["random_forest"]
     folds = models.cross_validate(df, _features(df), forest, "target_position")
     return rounded(folds.agg(F.count(F.lit(1)).alias("folds"), F.avg("mae").alias("mae"), F.stddev_pop("mae").alias("spread")))
 
@@ -181,7 +179,7 @@ def cross_validated_error(spark, sf_dir):
 @query("searched_settings")
 def searched_settings(spark, sf_dir):
     df = training_table(spark, sf_dir)
-    _, table = models.search(df, _features(df), "target_winner", LAST_TRAIN, 0.005)
+    _, table = models.search(df, _features(df), "target_winner", LAST_TRAIN)
     return rounded(table)
 
 
@@ -189,7 +187,7 @@ def searched_settings(spark, sf_dir):
 def feature_importances(spark, sf_dir):
     df = training_table(spark, sf_dir)
     train, _ = time_split(df, LAST_TRAIN)
-    forest = models.regressors("target_position", TREES)["random_forest"]
+    forest = models.regressors("target_position")["random_forest"]
     return models.fit(train, _features(df), forest, "target_position").importances().limit(10)
 
 
@@ -197,7 +195,7 @@ def feature_importances(spark, sf_dir):
 def stored_model_scores(spark, sf_dir):
     df = training_table(spark, sf_dir)
     train, test = time_split(df, LAST_TRAIN)
-    forest = models.regressors("target_position", TREES)["random_forest"]
+    forest = models.regressors("target_position")["random_forest"]
     folder = shared_dir(spark, "model")
     models.fit(train, _features(df), forest, "target_position", max_labels=50).save(folder)
     # Scoring data may lack features; they count as 0.

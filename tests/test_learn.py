@@ -119,3 +119,24 @@ def test_search_uses_the_validation_season(table):
 def test_cross_validation(table):
     forest = RandomForestRegressor(labelCol="target_position", featuresCol="features", numTrees=2, maxDepth=3, seed=1)
     assert models.cross_validate(table, FEATURES, forest, "target_position", 2).count() == 2
+
+
+def test_registered_queries_train_in_full(spark, table, monkeypatch):
+    from types import SimpleNamespace
+
+    from lapwise.queries import learn_queries as queries
+
+    rounds = []
+
+    def fit(train, features, estimator, label):
+        rounds.append(estimator.getMaxIter())
+        return SimpleNamespace(score=lambda df: df)
+
+    monkeypatch.setattr(queries, "_compare", lambda spark, sf_dir, label, estimators, *_: {k: e.getMaxIter() for k, e in estimators.items() if "boosting" in k})
+    monkeypatch.setattr(queries, "training_table", lambda spark, sf_dir: table)
+    monkeypatch.setattr(models, "fit", fit)
+    monkeypatch.setattr(models, "WinnerHitRate", lambda truth: SimpleNamespace(evaluate=lambda scored: 0.5))
+    for query, full in ((queries.compare_position_models, 300), (queries.compare_podium_models, 300), (queries.compare_winner_models, 400)):
+        assert query(spark, "") == {"gradient_boosting": full, "sampled_boosting": full}
+    assert queries.searched_settings(spark, "").count() == 8
+    assert rounds == [n for n, *_ in models.SEARCH]
