@@ -1,8 +1,8 @@
 """Main text of HTML pages by structure and nearest-URL page differencing.
 
-Pages of a host are paired with the page nearest in URL path. Their lines (text
-blocks) are aligned by a longest common subsequence, and lines that both share
-are template. Marked regions decide where they can: menus, footers, forms,
+Pages of a host are paired with the page nearest in URL path that is no copy.
+Their lines (text blocks) are aligned by a longest common subsequence, and lines
+that both share are template. Marked regions decide where they can: menus, footers, forms,
 adverts and the like never count, and prose inside a marked article is kept
 even if another page repeats it. All other lines are decided by differencing.
 """
@@ -17,7 +17,7 @@ from typing import NamedTuple
 
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -27,6 +27,10 @@ from lapwise.session import materialised
 
 # Pages with lines to cut, up to which the cuts are broadcast.
 BROADCAST_ROWS = 100_000
+# Pages are copies if their alignment leaves at most one in so many of their characters.
+COPY = 20
+# Positions in which copies are followed in one group.
+BLOCK_ROWS = 4096
 SLICE_BYTES = 8 << 20
 
 # Names from the HTML standard.
@@ -214,6 +218,43 @@ def shared_places(a: Sequence[int], b: Sequence[int]) -> list[int]:
     return out[::-1]
 
 
+def are_copies(a: Sequence[int], a_sizes: Sequence[int], b: Sequence[int], b_sizes: Sequence[int]) -> bool:
+    """Whether nearly all of the characters of both pages are in lines that they share."""
+    if a == b:
+        return True
+    total = sum(a_sizes) + sum(b_sizes)
+    return COPY * (total - 2 * sum(a_sizes[i] for i in shared_places(a, b))) <= total
+
+
+def copy_runs(stand: DataFrame) -> DataFrame:
+    """(at, host, at0, at1): positions of the last page before and the first after the run of copies that a page is in.
+
+    Only pages whose prose differencing decides (`bare`) make runs.
+    """
+    before = stand.filter("bare").select((F.col("at") + 1).alias("b_at"), F.col("host").alias("b_host"), F.col("lines").alias("b_lines"), F.col("sizes").alias("b_sizes"))
+    pairs = stand.join(before, F.col("bare") & (F.col("at") == F.col("b_at")) & (F.col("host") == F.col("b_host")), "left")
+    pairs = pairs.select("at", "host", "lines", "sizes", "b_lines", "b_sizes")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            columns = zip(*[c.to_pylist() for c in batch.columns[2:]])
+            first = [old is None or not are_copies(new, n, old, m) for new, n, old, m in columns]
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(first, pa.bool_())], names=["at", "host", "first"])
+
+    runs = materialised(pairs.mapInArrow(compare, "at long, host string, first boolean"), "copy-runs")
+    runs = runs.withColumn("block", F.floor(F.col("at") / BLOCK_ROWS))
+    start = F.when(F.col("first"), F.col("at"))
+    # Firsts of the blocks around: a table of one row per block, which bounds the broadcast.
+    blocks = runs.groupBy("block").agg(F.min(start).alias("low"), F.max(start).alias("high"))
+    past, coming = Window.orderBy("block").rowsBetween(Window.unboundedPreceding, -1), Window.orderBy("block").rowsBetween(1, Window.unboundedFollowing)
+    blocks = blocks.select("block", F.max("high").over(past).alias("p_start"), F.min("low").over(coming).alias("n_start"))
+    place = Window.partitionBy("block").orderBy("at")
+    own = F.max(start).over(place.rowsBetween(Window.unboundedPreceding, 0))
+    following = F.min(start).over(place.rowsBetween(1, Window.unboundedFollowing))
+    runs = runs.select("at", "host", "block", own.alias("own"), following.alias("following")).join(F.broadcast(blocks), "block")
+    return runs.select("at", "host", (F.coalesce("own", "p_start") - 1).alias("at0"), F.coalesce("following", "n_start").alias("at1"))
+
+
 def article_level(lines: Sequence[Line]) -> int:
     return max((line.level for line in lines), default=0)
 
@@ -237,7 +278,7 @@ def page_key(html_col: str):
 
 
 def template_cuts(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> DataFrame:
-    """(c_id, c_key, cut): places of lines that a page shares with its nearest page, where differencing decides."""
+    """(c_id, c_key, cut): places of lines that a page shares with its nearest page that is no copy, where differencing decides."""
     kind = pages.schema[id_col].dataType
     url = text_or_empty(url_col)
     # One resource under several names: trailing slashes and .html do not make another page.
@@ -248,40 +289,40 @@ def template_cuts(pages: DataFrame, id_col: str, url_col: str, html_col: str) ->
     schema = T.StructType(
         [T.StructField("id", kind)] + [T.StructField(n, t) for n, t in (
             ("key", T.LongType()), ("host", T.StringType()), ("path", T.StringType()),
-            ("lines", T.ArrayType(T.LongType())), ("open", T.ArrayType(T.IntegerType())))]
+            ("lines", T.ArrayType(T.LongType())), ("sizes", T.ArrayType(T.IntegerType())), ("open", T.ArrayType(T.IntegerType())), ("bare", T.BooleanType()))]
     )
 
     def parse(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, 4, SLICE_BYTES):
-            hashes, places = [], []
+            hashes, sizes, places, bare = [], [], [], []
             for html in batch.column(4).to_pylist():
                 lines = page_lines(html)
                 hashes.append([xxhash.xxh64_intdigest(line.text.encode("utf-8", "replace")) - 2**63 for line in lines])
+                sizes.append([len(line.text) for line in lines])
                 places.append(open_places(lines))
+                bare.append(any(not lines[i].links for i in places[-1]))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:4], pa.array(hashes, pa.list_(pa.int64())), pa.array(places, pa.list_(pa.int32()))],
-                names=schema.names,
+                [*batch.columns[:4], pa.array(hashes, pa.list_(pa.int64())), pa.array(sizes, pa.list_(pa.int32())),
+                 pa.array(places, pa.list_(pa.int32())), pa.array(bare, pa.bool_())], names=schema.names,
             )
 
     parsed = materialised(rows.mapInArrow(parse, schema), "page-lines")
     # One page stands for each path of a host; positions order them by path, whatever the size of a host.
-    pick = F.struct(F.col("id").isNull().alias("none"), "id", "key", "lines")
-    stand = parsed.filter("host != ''").groupBy("host", "path").agg(F.min(pick).alias("page")).select("host", "path", "page.lines")
+    pick = F.struct(F.col("id").isNull().alias("none"), "id", "key", "lines", "sizes", "bare")
+    stand = parsed.filter("host != ''").groupBy("host", "path").agg(F.min(pick).alias("page")).select("host", "path", "page.lines", "page.sizes", "page.bare")
     stand = global_positions(stand, [F.col("host"), F.col("path")], "at")
     stand = materialised(stand, "page-order")
     before, after = (
-        stand.select(
-            (F.col("at") + step).alias(f"at{i}"), F.col("host").alias(f"host{i}"), F.col("path").alias(f"path{i}"), F.col("lines").alias(f"lines{i}")
-        )
-        for i, step in enumerate((1, -1))
+        stand.select(*[F.col(c).alias(f"{p}{i}") for c, p in (("at", "p_at"), ("host", "host"), ("path", "path"), ("lines", "lines"), ("sizes", "sizes"))])
+        for i in (0, 1)
     )
-    around = stand.select("at", F.col("host").alias("a_host"), F.col("path").alias("a_path"))
-    around = around.join(before, (F.col("at") == F.col("at0")) & (F.col("a_host") == F.col("host0")), "left")
-    around = around.join(after, (F.col("at") == F.col("at1")) & (F.col("a_host") == F.col("host1")), "left")
-    around = around.select("a_host", "a_path", "path0", "lines0", "path1", "lines1")
+    around = stand.select("at", F.col("path").alias("a_path")).join(copy_runs(stand).withColumnRenamed("host", "a_host"), "at")
+    around = around.join(before, (F.col("at0") == F.col("p_at0")) & (F.col("a_host") == F.col("host0")), "left")
+    around = around.join(after, (F.col("at1") == F.col("p_at1")) & (F.col("a_host") == F.col("host1")), "left")
+    around = around.select("a_host", "a_path", "path0", "lines0", "sizes0", "path1", "lines1", "sizes1")
     undecided = parsed.filter(F.size("open") > 0)
     paired = undecided.join(around, (F.col("host") == F.col("a_host")) & (F.col("path") == F.col("a_path")))
-    paired = paired.select("id", "key", "path", "open", "lines", "path0", "lines0", "path1", "lines1")
+    paired = paired.select("id", "key", "path", "open", "bare", "lines", "sizes", "path0", "lines0", "sizes0", "path1", "lines1", "sizes1")
     cuts = T.StructType(
         [T.StructField("c_id", kind), T.StructField("c_key", T.LongType()), T.StructField("cut", T.ArrayType(T.IntegerType()))]
     )
@@ -289,8 +330,9 @@ def template_cuts(pages: DataFrame, id_col: str, url_col: str, html_col: str) ->
     def align(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = []
-            for _, _, path, open_lines, lines, path0, lines0, path1, lines1 in zip(*[c.to_pylist() for c in batch.columns]):
-                sides = [(len(commonprefix([path, p])), q) for p, q in ((path0, lines0), (path1, lines1)) if q is not None]
+            for _, _, path, open_lines, bare, lines, sizes, *sides in zip(*[c.to_pylist() for c in batch.columns]):
+                sides = [(len(commonprefix([path, p])), q, n) for p, q, n in (sides[:3], sides[3:]) if q is not None]
+                sides = [side for side in sides if not (bare and are_copies(lines, sizes, *side[1:]))]
                 # The earlier page wins a tie.
                 nearest = max(sides, key=lambda side: side[0])[1] if sides else []
                 shared = set(shared_places(lines, nearest))
@@ -307,7 +349,8 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     The text is the article's lines in page order, joined by one space, with
     character references decoded and white space inside a line as one space.
     A null or empty html gives an empty text. A page without host, or alone on
-    its host, has no partner and loses only what structure marks. Repeated rows
+    its host, has no partner and loses only what structure marks; so does a
+    page without a marked region if its host holds nothing but copies of it. Repeated rows
     get equal texts; other columns are not read; an empty table gives no rows.
     """
     cuts = materialised(template_cuts(pages, id_col, url_col, html_col), "cuts")

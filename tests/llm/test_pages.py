@@ -75,6 +75,20 @@ def test_lines_of_the_nearest_page_are_cut(spark):
     assert all(r["n_chars"] == len(r["text"]) for r in out.collect())
 
 
+def test_copies_are_no_partners(spark, monkeypatch):
+    monkeypatch.setattr(page_text, "BLOCK_ROWS", 4)
+    story = "<p>" + "A long passage of the story. " * 20 + "</p>"
+    page = "<div>Menu</div>{}<div>All rights</div>"
+    rows = [(i, f"http://h.com/a/{i:02}", page.format(story + f"<p>Seen {i % 3}</p>")) for i in range(11)]
+    rows += [(20, "http://h.com/b", page.format("<p>Another tale.</p>")), (21, "http://h.com/c", page.format("<p>A third.</p>"))]
+    rows += [(30 + i, f"http://twin.net/{i}", page.format(story)) for i in range(2)]
+    text = {r["page_id"]: r["text"] for r in page_text.extract_text(pages(spark, rows)).collect()}
+    whole = " ".join(("A long passage of the story. " * 20).split())
+    assert [text[i] for i in range(11)] == [f"{whole} Seen {i % 3}" for i in range(11)]
+    assert text[20] == "Another tale." and text[21] == "A third."
+    assert text[30] == text[31] == f"Menu {whole} All rights"
+
+
 def test_marked_articles_keep_what_pages_share(spark):
     article = "<article><h1>Same</h1><p>A passage that repeats.</p><p>{}</p><p><a>Share</a></p></article>"
     rows = [(i, f"http://h.com/{i}", "<nav>n</nav>" + article.format(i)) for i in range(4)]
