@@ -79,17 +79,21 @@ ATTRIBUTE = re.compile(r"""\b(class|id|role|itemprop|hidden|aria-hidden|style)(?
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
+# Regions marked by class or id, by a main element or role, as an article.
+NAMED, MAIN, ARTICLE = 1, 2, 4
+
+
 class Line(NamedTuple):
     text: str
-    # 0 outside any marked main region, 1 inside one, 2 inside an article.
+    # Sum of the kinds of marked region around it: NAMED, MAIN, ARTICLE; 0 outside any.
     level: int
     # All of its text is in links.
     links: bool
 
 
 def _region(tag: str, attributes: str, in_main: int) -> tuple[bool, int]:
-    """(apart from the article, level of the main region) that an element starts."""
-    level = 2 if tag == "article" else 1 if tag == "main" else 0
+    """(apart from the article, kinds of main region) that an element starts."""
+    level = ARTICLE if tag == "article" else MAIN if tag == "main" else 0
     apart = tag in APART_TAGS or (tag == "header" and not in_main)
     if not attributes.strip(" /"):
         return apart, level
@@ -97,9 +101,9 @@ def _region(tag: str, attributes: str, in_main: int) -> tuple[bool, int]:
         name, value = name.lower(), next((v for v in values if v), "").lower()
         if name == "role":
             apart |= value in APART_ROLES
-            level = max(level, 1 if value == "main" else 2 if value == "article" else 0)
+            level |= MAIN if value == "main" else ARTICLE if value == "article" else 0
         elif name == "itemprop":
-            level = max(level, 2 if value == "articlebody" else 0)
+            level |= ARTICLE if value == "articlebody" else 0
         elif name == "hidden":
             apart = True
         elif name == "aria-hidden":
@@ -109,7 +113,7 @@ def _region(tag: str, attributes: str, in_main: int) -> tuple[bool, int]:
         elif tag not in ("html", "body"):
             for word in value.split():
                 if word in MAIN_NAMES:
-                    level = max(level, 1)
+                    level |= NAMED
                 parts = [p for p in re.split(r"[^a-z0-9]+", word) if p]
                 if not parts or parts[0] in NOT_A_REGION or parts[-1] in NOT_A_REGION:
                     continue
@@ -188,7 +192,7 @@ def page_lines(html: str) -> list[Line]:
             own_apart, own_level = _region(tag, attributes, level)
             if own_apart and not apart:
                 flush()
-            stack.append((tag, apart or own_apart, max(level, own_level), link or tag == "a"))
+            stack.append((tag, apart or own_apart, level | own_level, link or tag == "a"))
         _, apart, level, link = stack[-1]
     flush()
     return lines
@@ -255,21 +259,23 @@ def copy_runs(stand: DataFrame) -> DataFrame:
     return runs.select("at", "host", (F.coalesce("own", "p_start") - 1).alias("at0"), F.coalesce("following", "n_start").alias("at1"))
 
 
-def article_level(lines: Sequence[Line]) -> int:
-    return max((line.level for line in lines), default=0)
+def kept_places(lines: Sequence[Line]) -> list[int]:
+    """Lines in marked regions of any kind; all lines if there are none, or if more prose is outside than in them and no main is marked."""
+    inside = sum(len(line.text) for line in lines if line.level and not line.links)
+    outside = sum(len(line.text) for line in lines if not line.level and not line.links)
+    everything = not any(line.level for line in lines) or (outside > inside and not any(line.level & MAIN for line in lines))
+    return [i for i, line in enumerate(lines) if everything or line.level]
 
 
 def open_places(lines: Sequence[Line]) -> list[int]:
-    """Lines that differencing decides: all of a page without a main region, else those made of links."""
-    level = article_level(lines)
-    return [i for i, line in enumerate(lines) if line.level == level and (not level or line.links)]
+    """Kept lines that differencing decides: those outside marked regions, and those made of links."""
+    return [i for i in kept_places(lines) if not lines[i].level or lines[i].links]
 
 
 def main_text(html: str, cut: Sequence[int] = ()) -> str:
     """The article's lines less those at the places of `cut`, joined by one space."""
-    lines = page_lines(html)
-    level, gone = article_level(lines), set(cut)
-    return " ".join(line.text for i, line in enumerate(lines) if line.level == level and i not in gone)
+    lines, gone = page_lines(html), set(cut)
+    return " ".join(lines[i].text for i in kept_places(lines) if i not in gone)
 
 
 def page_key(html_col: str):

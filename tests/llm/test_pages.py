@@ -55,6 +55,17 @@ def test_structure(html, text):
     assert page_text.main_text(html) == text
 
 
+@pytest.mark.parametrize(("html", "text"), [
+    ("<div>Menu</div><main><p>A long story of its own.</p><article class='card'><p>Teaser</p></article><p>The end.</p></main>", "A long story of its own. Teaser The end."),
+    ("<div class='post-content'><p>Prose by name.</p></div><article class=card>Teaser</article><div>Foot</div>", "Prose by name. Teaser"),
+    ("<div>Prose that nothing marks, and much of it.</div><div class='post'>Card</div>", "Prose that nothing marks, and much of it. Card"),
+    ("<div>Menu</div><div class='post'>A whole story under one name.</div>", "A whole story under one name."),
+    ("<div>Much text beside the main region.</div><div role=main>m<article>a</article></div>", "m a"),
+])
+def test_small_regions_do_not_drop_the_rest(html, text):
+    assert page_text.main_text(html) == text
+
+
 def template(i, story):
     return f"<div class=a1><div>Menu</div><div>Home of {i % 2}</div><p>{story}</p><div><a href=/x>More</a></div><p>All rights</p></div>"
 
