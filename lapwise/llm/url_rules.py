@@ -47,7 +47,7 @@ def url_key(url: Column) -> Column:
 
 
 def declared_edges(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
-    """(a, b): the key of a page's URL and of its canonical link, else of its refresh redirect.
+    """(a, b): the key of a page's URL and those of its canonical link and of its refresh redirect.
 
     Relative targets are resolved against the page's URL. Each step is its own
     projection, so that no expression is spelt out many times.
@@ -67,7 +67,7 @@ def declared_edges(pages: DataFrame, url_col: str, html_col: str) -> DataFrame:
     )
     rows = rows.select("url", F.trim(attribute("link", "href")).alias("link"), attribute("meta", "content").alias("meta"))
     refresh = F.trim(F.regexp_extract("meta", r"""(?is)url\s*=\s*['"]?([^'"]*)""", 1))
-    rows = rows.select("url", F.when(F.col("link") != "", F.col("link")).otherwise(refresh).alias("to")).filter("to != ''")
+    rows = rows.select("url", F.explode(F.array(F.col("link"), refresh)).alias("to")).filter("to != ''")
     rows = rows.select(
         F.replace("to", F.lit("&amp;"), F.lit("&")).alias("to"),
         url_key(F.col("url")).alias("a"),

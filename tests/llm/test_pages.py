@@ -142,6 +142,20 @@ def test_aliases_of_blocked_urls_are_blocked(spark):
     assert url_rules.judge_urls(pages(spark, [])).count() == 0
 
 
+def test_a_page_gives_its_canonical_link_and_its_refresh(spark):
+    both = "<link rel=canonical href='{}'><meta http-equiv=refresh content='0; url={}'>"
+    rows = [
+        # Canonical to itself, refresh to a blocked URL; an alias of it; one with two harmless targets.
+        (1, "http://a.net/p", both.format("http://a.net/p", "http://g.com/de/1")),
+        (2, "http://b.net/q", "<link rel=canonical href='http://a.net/p'>"),
+        (3, "http://c.net/r", both.format("/r", "/s")), (4, "http://c.net/s", ""),
+        # The canonical link still joins where the refresh is harmless.
+        (5, "http://d.net/t", both.format("http://g.com/de/2", "/u")), (6, "http://d.net/u", None),
+    ]
+    got = {r["page_id"]: r["verdict"] for r in url_rules.judge_urls(pages(spark, rows)).collect()}
+    assert got == {1: "block", 2: "block", 3: "allow", 4: "allow", 5: "block", 6: "block"}
+
+
 ROWS = [(5, "http://a/1", "x" * 200), (3, "http://a/2\r\nX: y", "x" * 200), (9, None, "x" * 200), (9, None, "x" * 200), (1, "u", "short"),
         (2, "u", "short"), (4, "u", None), (6, "u", ""), (7, "u", "é" * 50), (8, "u", "é" * 50), (11, "u", "<p>\r\n\r\n" * 300_000), (None, "u", "x" * 200)]
 
