@@ -63,20 +63,10 @@ def _sized(df: DataFrame, rows: int) -> DataFrame:
     return F.broadcast(df) if rows <= BROADCAST_ROWS else df
 
 
-def _signs(hashes: int) -> list[int]:
-    """Fixed random bit patterns; the least of h XOR pattern over random h is a minimum under another order for each."""
-    out, state = [], 0x243F6A8885A308D3
-    for _ in range(hashes):
-        state = (state * 6364136223846793005 + 1442695040888963407) % 2**64
-        mixed = (state ^ (state >> 29)) * 0xBF58476D1CE4E5B9 % 2**64
-        mixed ^= mixed >> 32
-        out.append(mixed - 2**64 if mixed >= 2**63 else mixed)
-    return out
-
-
 def _minima(sets: DataFrame, by: str, size: str, hashes: int) -> DataFrame:
     """(by, size, j, low): size and the minimum under each hash function of the distinct (by, h)."""
-    lows = [F.min(F.col("h").bitwiseXOR(F.lit(s))).alias(f"m{j}") for j, s in enumerate(_signs(hashes))]
+    # A real hash for each function: minima of h XOR fixed patterns depend on each other.
+    lows = [F.min(F.xxhash64(F.col("h"), F.lit(j))).alias(f"m{j}") for j in range(hashes)]
     found = sets.groupBy(by).agg(F.count(F.lit(1)).alias(size), *lows)
     return found.select(by, size, F.posexplode(F.array(*[f"m{j}" for j in range(hashes)])).alias("j", "low"))
 

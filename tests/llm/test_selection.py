@@ -161,3 +161,13 @@ def test_needed_hashes(spark):
         contamination.needed_hashes(F.lit(10), F.lit(1024.0), 0.8, 1e-6).alias("loose"),
     ).first()
     assert 1 <= row["tight"] < 20 and row["loose"] > 1000
+
+
+def test_hash_functions_are_independent(spark):
+    both = spark.range(400).select((F.col("id") % 200).alias("id"), F.xxhash64("id").alias("h"))
+    one = spark.range(200).select("id", F.xxhash64("id").alias("h"))
+    a, b = (contamination._minima(x, "id", n, 64).select("id", "j", F.col("low").alias(n)) for x, n in ((both, "x"), (one, "y")))
+    wins = a.join(b, ["id", "j"]).groupBy("id").agg(F.sort_array(F.collect_list(F.when(F.col("x") == F.col("y"), F.col("j")))).alias("js")).collect()
+    # Which of two elements is the least differs from pair to pair, and is the first under half of the functions.
+    assert len({tuple(r["js"]) for r in wins}) == 200
+    assert abs(sum(len(r["js"]) for r in wins) / (200 * 64) - 0.5) < 0.05
