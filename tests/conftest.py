@@ -8,8 +8,6 @@ sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 from lapwise.operators.ordered import HOT_ROWS_CONF  # noqa: E402
 from lapwise.session import build_session  # noqa: E402
 
-SF = "/root/testdata/sf0.001"
-
 
 @pytest.fixture(scope="session")
 def spark():
@@ -31,13 +29,3 @@ def hot(spark):
 
     yield use
     spark.conf.unset(HOT_ROWS_CONF)
-
-
-def rows_of(df, digits=9):
-    """Rows as sorted tuples in column-name order, floats rounded."""
-    names = sorted(df.columns)
-
-    def plain(v):
-        return round(v, digits) + 0.0 if isinstance(v, float) else v
-
-    return sorted((tuple(plain(r[c]) for c in names) for r in df.collect()), key=repr)

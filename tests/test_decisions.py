@@ -2,7 +2,7 @@
 
 import pandas as pd
 import pytest
-from conftest import SF, rows_of
+from table_rows import SF, rows_of
 from pyspark.sql import functions as F
 
 from lapwise import bindings as B

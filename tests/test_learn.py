@@ -1,9 +1,9 @@
 """Preparation on training rows only, wide labels, evaluation, storage."""
 
 import pytest
-from conftest import rows_of
 from pyspark.ml.regression import RandomForestRegressor
 from pyspark.sql import functions as F
+from table_rows import rows_of
 
 from lapwise.learn import evaluate, models
 from lapwise.learn.features import FeatureSet, choose_features, fit_preparation, fraction_split, label_codes, season_folds, shaped

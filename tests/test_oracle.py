@@ -1,8 +1,8 @@
 """Every query against its SQL on the smallest tables; queries without SQL must run."""
 
 import pytest
-from conftest import SF
 from oracle_check import compare, connect
+from table_rows import SF
 
 from lapwise.queries import QUERIES, SQL
 

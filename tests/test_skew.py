@@ -4,7 +4,7 @@ import random
 
 import pandas as pd
 import pytest
-from conftest import rows_of
+from table_rows import rows_of
 from pyspark.sql import functions as F
 
 from lapwise.operators import form, groups, ordered
@@ -145,7 +145,7 @@ def test_dedup_combines_before_the_shuffle(df):
 
 
 def test_driver_windows_share_one_shuffle(spark):
-    from conftest import SF
+    from table_rows import SF
 
     from lapwise import bindings as B
     from lapwise.plans import gold
@@ -157,7 +157,7 @@ def test_driver_windows_share_one_shuffle(spark):
 
 
 def test_wide_plan_grows_by_scans_not_by_doubling(spark):
-    from conftest import SF
+    from table_rows import SF
 
     from lapwise import bindings as B
     from lapwise.plans import gold

@@ -4,7 +4,7 @@ import os
 import warnings
 
 import pytest
-from conftest import rows_of
+from table_rows import rows_of
 from pyspark.sql import functions as F
 
 from lapwise import schemas

@@ -1,6 +1,6 @@
 """Streams over folders that grow between runs."""
 
-from conftest import rows_of
+from table_rows import rows_of
 from pyspark.sql import functions as F
 
 from lapwise.session import shared_dir
