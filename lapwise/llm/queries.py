@@ -8,11 +8,14 @@ from pyspark.sql import DataFrame, SparkSession
 from lapwise.llm import (
     contamination,
     exact_dedup,
+    filter_audit,
     importance,
     jaccard_join,
     line_spread,
     mixing,
     page_text,
+    periodic_runs,
+    simhash_cover,
     token_count,
     url_rules,
     warc_bundles,
@@ -61,11 +64,25 @@ def op10_warc_bundles(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc_bundles.archive_round_trip(spark, table(spark, sf_dir, "pages"))
 
 
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = periodic_runs.planted(table(spark, sf_dir, "documents"))
+    return periodic_runs.run_digests(periodic_runs.periodic_runs(docs))
+
+
+def op12_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return filter_audit.filter_audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op13_link_near_copies(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash_cover.link_near_copies(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     f.__name__: f
     for f in (
         op1_extract_text, op2_cut_spread_lines, op3_count_tokens, op4_link_documents, op5_contaminated, op6_judge_urls,
-        op7_resample, op8_mix_sources, op9_exact_dedup, op10_warc_bundles,
+        op7_resample, op8_mix_sources, op9_exact_dedup, op10_warc_bundles, op11_periodic_runs, op12_filter_audit,
+        op13_link_near_copies,
     )
 }
 
@@ -76,4 +93,6 @@ SQL = {
     "op8_mix_sources": mixing.SQL,
     "op9_exact_dedup": exact_dedup.SQL,
     "op10_warc_bundles": warc_bundles.SQL,
+    "op11_periodic_runs": periodic_runs.SQL,
+    "op12_filter_audit": filter_audit.SQL,
 }

@@ -54,7 +54,7 @@ def test_toxic_rows_go(spark, tmp_path):
 def test_queries_and_entry():
     import __spark_entry__ as entry
 
-    assert {f"op{n}_" for n in range(1, 11)} == {q[: q.index("_") + 1] for q in queries.QUERIES}
+    assert {f"op{n}_" for n in range(1, 14)} == {q[: q.index("_") + 1] for q in queries.QUERIES}
     assert set(queries.SQL) <= set(queries.QUERIES) <= set(entry.queries())
     assert "pipeline" in entry.queries() and "pipeline" not in entry.oracle_sql()
 
