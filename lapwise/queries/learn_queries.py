@@ -1,8 +1,4 @@
-"""Training, validation, search and scoring on the gold table of the contest.
-
-All models run with the full settings of `lapwise.learn.models`. Boosting
-rounds follow one another, so boosting takes minutes on any table.
-"""
+"""Training, validation, search and scoring on the gold table of the contest, all with the full settings of `lapwise.learn.models`."""
 
 from pyspark.sql import functions as F
 
@@ -129,13 +125,13 @@ def imputation_medians(spark, sf_dir):
     return rounded(medians(train, FeatureSet(MEDIANS)).withColumnRenamed("median", "middle"))
 
 
-def _compare(spark, sf_dir, label, estimators, metric_names, measure, higher):
+def _compare(spark, sf_dir, label, settings, metric_names, measure, higher):
     df = training_table(spark, sf_dir)
     features = _features(df)
     train, test = time_split(df, LAST_TRAIN)
     tables = []
-    for tried, (name, estimator) in enumerate(estimators.items()):
-        scored = models.fit(train, features, estimator, label).score(labelled(test, label))
+    for tried, (name, trained) in enumerate(models.fit_all(train, features, settings, label).items()):
+        scored = trained.score(labelled(test, label))
         tables.append(evaluate.long_metrics(measure(scored), label, name, tried, metric_names))
     metrics = union_by_name(tables)
     wide = history.comparison_table(metrics, metric_names)
@@ -148,7 +144,7 @@ def compare_position_models(spark, sf_dir):
     def measure(scored):
         return evaluate.regression_metrics(scored, "target_position", "prediction")
 
-    return _compare(spark, sf_dir, "target_position", models.regressors("target_position"), ["mae", "rmse", "r2"], measure, False)
+    return _compare(spark, sf_dir, "target_position", models.regressors(), ["mae", "rmse", "r2"], measure, False)
 
 
 @query("compare_podium_models")
@@ -171,7 +167,7 @@ def compare_winner_models(spark, sf_dir):
 @query("cross_validated_error")
 def cross_validated_error(spark, sf_dir):
     df = training_table(spark, sf_dir)
-    forest = models.regressors("target_position")["random_forest"]
+    forest = models.regressors()["random_forest"]
     folds = models.cross_validate(df, _features(df), forest, "target_position")
     return rounded(folds.agg(F.count(F.lit(1)).alias("folds"), F.avg("mae").alias("mae"), F.stddev_pop("mae").alias("spread")))
 
@@ -187,7 +183,7 @@ def searched_settings(spark, sf_dir):
 def feature_importances(spark, sf_dir):
     df = training_table(spark, sf_dir)
     train, _ = time_split(df, LAST_TRAIN)
-    forest = models.regressors("target_position")["random_forest"]
+    forest = models.regressors()["random_forest"]
     return models.fit(train, _features(df), forest, "target_position").importances().limit(10)
 
 
@@ -195,7 +191,7 @@ def feature_importances(spark, sf_dir):
 def stored_model_scores(spark, sf_dir):
     df = training_table(spark, sf_dir)
     train, test = time_split(df, LAST_TRAIN)
-    forest = models.regressors("target_position")["random_forest"]
+    forest = models.regressors()["random_forest"]
     folder = shared_dir(spark, "model")
     models.fit(train, _features(df), forest, "target_position", max_labels=50).save(folder)
     # Scoring data may lack features; they count as 0.

@@ -111,9 +111,14 @@ def test_gate(spark):
 
 
 def test_search_uses_the_validation_season(table):
-    best, rates = models.search(table, FEATURES, "target_winner", 2022, trees=0.005, settings=models.SEARCH[:2])
-    assert rates.count() == 2 and best is not None
-    assert all(0.0 <= r["hit_rate"] <= 1.0 for r in rates.collect())
+    settings = [(5, 2, 0.3, 1.0, 1.0, 1, 0, 0), (8, 3, 0.3, 0.8, 0.8, 1, 0.1, 0.1)]
+    best, rates = models.search(table, FEATURES, "target_winner", 2022, settings=settings)
+    assert [r["trees"] for r in rates.orderBy("setting").collect()] == [5, 8]
+    found = {r["setting"]: r["hit_rate"] for r in rates.collect()}
+    assert all(0.0 <= r <= 1.0 for r in found.values())
+    held_out = table.filter("season = 2022")
+    # The shared pass gives the rate of the model alone.
+    assert evaluate.WinnerHitRate(truth="target_winner").evaluate(best.score(held_out)) == max(found.values())
 
 
 def test_cross_validation(table):
@@ -122,21 +127,20 @@ def test_cross_validation(table):
 
 
 def test_registered_queries_train_in_full(spark, table, monkeypatch):
-    from types import SimpleNamespace
-
+    from lapwise.learn import trees
     from lapwise.queries import learn_queries as queries
 
-    rounds = []
+    grown = []
+    fit_ensembles = models.fit_ensembles
 
-    def fit(train, features, estimator, label):
-        rounds.append(estimator.getMaxIter())
-        return SimpleNamespace(score=lambda df: df)
+    def noted(matrix, settings):
+        grown.append([s.trees for s in settings])
+        return fit_ensembles(matrix, [trees.replace(s, trees=1) for s in settings])
 
-    monkeypatch.setattr(queries, "_compare", lambda spark, sf_dir, label, estimators, *_: {k: e.getMaxIter() for k, e in estimators.items() if "boosting" in k})
     monkeypatch.setattr(queries, "training_table", lambda spark, sf_dir: table)
-    monkeypatch.setattr(models, "fit", fit)
-    monkeypatch.setattr(models, "WinnerHitRate", lambda truth: SimpleNamespace(evaluate=lambda scored: 0.5))
-    for query, full in ((queries.compare_position_models, 300), (queries.compare_podium_models, 300), (queries.compare_winner_models, 400)):
-        assert query(spark, "") == {"gradient_boosting": full, "sampled_boosting": full}
+    monkeypatch.setattr(queries, "LAST_TRAIN", 2022)
+    monkeypatch.setattr(models, "fit_ensembles", noted)
+    for query in (queries.compare_position_models, queries.compare_winner_models):
+        assert query(spark, "").count() == 3
     assert queries.searched_settings(spark, "").count() == 8
-    assert rounds == [n for n, *_ in models.SEARCH]
+    assert grown == [[200, 300, 300], [200, 400, 400], [300, 400, 500, 500, 600, 400, 500, 600]]
