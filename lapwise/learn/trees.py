@@ -22,6 +22,7 @@ the same choices again.
 
 from __future__ import annotations
 
+import ast
 import math
 import uuid
 from collections import OrderedDict
@@ -207,6 +208,13 @@ class Tree:
     value: np.ndarray
     gain: np.ndarray
 
+    def depth(self) -> int:
+        below = np.zeros(len(self.feature), int)
+        # Children come after their parents.
+        for node in reversed(np.flatnonzero(self.feature >= 0).tolist()):
+            below[node] = 1 + max(below[self.left[node]], below[self.right[node]])
+        return int(below[0])
+
     def packed(self) -> tuple[bytes, bytes]:
         return np.stack([self.feature, self.cut, self.left, self.right]).astype(np.int32).tobytes(), self.value.tobytes()
 
@@ -579,6 +587,9 @@ def fit_ensembles(matrix: Matrix, settings: Sequence[TreeSettings]) -> list[Tree
     return [TreeModel(s, matrix.edges, s.start(matrix.mean), t) for s, t in zip(settings, trees)]
 
 
+NODES_SCHEMA = "tree int, node int, feature int, cut int, left int, right int, threshold double, value double, gain double"
+
+
 @dataclass
 class TreeModel:
     """A fitted ensemble."""
@@ -631,15 +642,21 @@ class TreeModel:
 
     def nodes(self) -> DataFrame:
         """One row per node: tree, node, feature and threshold (null for leaves), left, right, value, gain."""
-        rows = []
-        for t, tree in enumerate(self.trees):
-            for n in range(len(tree.feature)):
-                f, c = int(tree.feature[n]), int(tree.cut[n])
-                inner = f >= 0
-                rows.append((t, n, f if inner else None, c if inner else None, float(self.edges[f][c]) if inner and c < len(self.edges[f]) else None,
-                             int(tree.left[n]) if inner else None, int(tree.right[n]) if inner else None, float(tree.value[n]), float(tree.gain[n])))
-        schema = "tree int, node int, feature int, cut int, threshold double, left int, right int, value double, gain double"
-        return SparkSession.active().createDataFrame(rows, schema)
+        spark = SparkSession.active()
+        if not self.trees:
+            return spark.createDataFrame([], NODES_SCHEMA)
+        sizes = [len(t.feature) for t in self.trees]
+        column = {c: np.concatenate([getattr(t, c) for t in self.trees]) for c in ("feature", "cut", "left", "right", "value", "gain")}
+        leaf = column["feature"] < 0
+        # Edges of all features one after the other.
+        offsets = np.concatenate([[0], np.cumsum([len(e) for e in self.edges])])
+        flat = np.concatenate([*self.edges, [0.0]])
+        column["threshold"] = flat[np.where(leaf, 0, offsets[column["feature"]] + column["cut"])]
+        made = {"tree": pa.array(np.repeat(np.arange(len(sizes)), sizes), pa.int32()),
+                "node": pa.array(np.concatenate([np.arange(n) for n in sizes]), pa.int32())}
+        made |= {c: pa.array(column[c], pa.int32(), mask=leaf) for c in ("feature", "cut", "left", "right")}
+        made |= {"threshold": pa.array(column["threshold"], mask=leaf), "value": pa.array(column["value"]), "gain": pa.array(column["gain"])}
+        return spark.createDataFrame(pa.table(made), NODES_SCHEMA)
 
     def save(self, path: str) -> None:
         """Nodes, bin edges and settings as tables below `path`."""
@@ -652,18 +669,13 @@ class TreeModel:
 
     @staticmethod
     def load(path: str) -> TreeModel:
-        import ast
-
         spark = SparkSession.active()
         settings = ast.literal_eval(spark.read.text(f"{path}/settings").first()[0])
         base = settings.pop("base")
         edges = [np.array(r["edges"]) for r in spark.read.parquet(f"{path}/edges").orderBy("feature").collect()]
-        whole = lambda v: -1 if v is None else v
-        grouped: dict[int, list] = {}
-        for r in spark.read.parquet(f"{path}/nodes").orderBy("tree", "node").collect():
-            grouped.setdefault(r["tree"], []).append([*[whole(r[c]) for c in ("feature", "cut", "left", "right")], r["value"], r["gain"]])
+        nodes = spark.read.parquet(f"{path}/nodes").toPandas().sort_values(["tree", "node"])
         trees = []
-        for rows in grouped.values():
-            columns = list(zip(*rows))
-            trees.append(Tree(*[np.array(c, np.int32) for c in columns[:4]], *[np.array(c, np.float64) for c in columns[4:]]))
+        for _, rows in nodes.groupby("tree"):
+            whole = [rows[c].fillna(-1).to_numpy(np.int32) for c in ("feature", "cut", "left", "right")]
+            trees.append(Tree(*whole, rows["value"].to_numpy(np.float64), rows["gain"].to_numpy(np.float64)))
         return TreeModel(TreeSettings(**settings), edges, base, trees)

@@ -1,11 +1,14 @@
 """Training, validation, search and scoring on the gold table of the contest, all with the full settings of `lapwise.learn.models`."""
 
+from dataclasses import replace
+
 from pyspark.sql import functions as F
 
 from lapwise import bindings as B
 from lapwise.functions.scalars import rounded
 from lapwise.learn import evaluate, models
 from lapwise.learn.features import FeatureSet, choose_features, fraction_split, label_codes, labelled, medians, season_folds, time_split
+from lapwise.learn.trees import TreeModel, TreeSettings
 from lapwise.plans import gold, history
 from lapwise.queries.form_queries import GOLD_SQL, TEAM_SQL
 from lapwise.queries.registry import query
@@ -198,3 +201,78 @@ def stored_model_scores(spark, sf_dir):
     scored = models.Trained.load(folder).score(test.drop("quali_gap_pct"), 1, 20)
     out = evaluate.driver_errors(scored, "prediction", "target_position", B.races_of(spark, sf_dir))
     return rounded(out.select("season", "round", "driver_id", "prediction", "predicted_rank", "target_position", "error"))
+
+
+MODELS = ("random_forest", "gradient_boosting", "second_order_boosting")
+MODEL_TASKS = ("target_position", "target_podium", "target_winner")
+
+
+@query("model_facts", "WITH " + B.CONTEST_SQL + f""",
+n AS (SELECT count(*) FILTER (WHERE season > {LAST_TRAIN} AND position IS NOT NULL) AS known, count(*) FILTER (WHERE season > {LAST_TRAIN}) AS all_rows
+      FROM contest),
+m AS (SELECT unnest({list(MODEL_TASKS)}) AS task), k AS (SELECT unnest({list(MODELS)}) AS model)
+SELECT task, model, CAST(CASE WHEN model = 'random_forest' THEN 200 WHEN task = 'target_winner' THEN 400 ELSE 300 END AS INTEGER) AS trees,
+       true AS within_depth, true AS importances_whole, CASE WHEN task = 'target_position' THEN known ELSE all_rows END AS scored_rows,
+       0.0::DOUBLE AS stored_difference FROM m, k, n""")
+def model_facts(spark, sf_dir):
+    """What must hold of every model: its trees and their depth, importances that sum to 1, and scores that storing does not change."""
+    df = training_table(spark, sf_dir)
+    train, test = time_split(df, LAST_TRAIN)
+    out = []
+    for task in MODEL_TASKS:
+        settings = models.regressors() if task == "target_position" else models.classifiers(task)
+        for name, trained in models.fit_all(train, _features(df), settings, task).items():
+            folder = shared_dir(spark, "model")
+            trained.model.save(folder)
+            again = TreeModel.load(folder)
+            rows = trained.model.transform(trained.prepared(labelled(test, task))).withColumnRenamed("prediction", "first")
+            difference = F.coalesce(F.max(F.abs(F.col("prediction") - F.col("first"))), F.lit(0.0))
+            total = again.importances().sum()
+            split = any((tree.feature >= 0).any() for tree in again.trees)
+            out.append(again.transform(rows).agg(F.count(F.lit(1)).alias("scored_rows"), difference.alias("stored_difference")).select(
+                F.lit(task).alias("task"), F.lit(name).alias("model"), F.lit(len(again.trees)).alias("trees"),
+                F.lit(max(tree.depth() for tree in again.trees) <= settings[name].depth).alias("within_depth"),
+                F.lit(abs(total - split) < 1e-9).alias("importances_whole"), "scored_rows", "stored_difference"))
+    return rounded(union_by_name(out))
+
+
+SPLIT_FEATURES = ("l_linenumber", "l_discount", "l_tax", "l_ship_year")
+
+
+@query("first_split", f"""
+WITH x AS (SELECT CAST(l_linenumber AS DOUBLE) AS l_linenumber, CAST(l_discount AS DOUBLE) AS l_discount, CAST(l_tax AS DOUBLE) AS l_tax,
+                  CAST(year(l_shipdate) AS DOUBLE) AS l_ship_year, CAST(l_quantity AS DOUBLE) AS quantity,
+                  CAST(l_returnflag = 'R' AS INTEGER)::DOUBLE AS returned FROM lineitem),
+a AS (SELECT avg(quantity) AS quantity_mean, 1 / (1 + exp(-(avg(returned) - 0.5) / 0.25)) AS chance, (avg(returned) - 0.5) / 0.25 AS base FROM x),
+y AS (SELECT 'quantity' AS label, quantity_mean - quantity AS g, 1.0 AS h, quantity_mean AS start, x.* FROM x, a
+      UNION ALL SELECT 'returned', chance - returned, chance * (1 - chance), base, x.* FROM x, a),
+u AS (SELECT label, g, h, start, feature, value FROM (SELECT label, g, h, start, {", ".join(SPLIT_FEATURES)} FROM y)
+      UNPIVOT (value FOR feature IN ({", ".join(SPLIT_FEATURES)}))),
+v AS (SELECT label, feature, value, sum(g) AS g, sum(h) AS h, min(start) AS start FROM u GROUP BY ALL),
+c AS (SELECT *, sum(g) OVER w AS gl, sum(h) OVER w AS hl, sum(g) OVER t AS ga, sum(h) OVER t AS ha FROM v
+      WINDOW w AS (PARTITION BY label, feature ORDER BY value), t AS (PARTITION BY label, feature)),
+s AS (SELECT *, greatest(abs(gl) - 0.5, 0) ^ 2 / (hl + 1) + greatest(abs(ga - gl) - 0.5, 0) ^ 2 / (ha - hl + 1) - greatest(abs(ga) - 0.5, 0) ^ 2 / (ha + 1) AS gain
+      FROM c WHERE hl >= 10 AND ha - hl >= 10)
+SELECT label, feature, value AS threshold, round(gain, 4) AS gain,
+       round(start - sign(gl) * greatest(abs(gl) - 0.5, 0) / (hl + 1) * 0.3, 6) AS low_score,
+       round(start - sign(ga - gl) * greatest(abs(ga - gl) - 0.5, 0) / (ha - hl + 1) * 0.3, 6) AS high_score
+FROM s QUALIFY row_number() OVER (PARTITION BY label ORDER BY gain DESC) = 1""")
+def first_split(spark, sf_dir):
+    """The first split of second-order boosting with penalties on both losses, with the scores on either side of it."""
+    items = B.table(spark, sf_dir, "lineitem").withColumn("l_ship_year", F.year("l_shipdate"))
+    items = items.select(
+        *[F.col(c).cast("double").alias(c) for c in SPLIT_FEATURES], F.col("l_quantity").cast("double").alias("quantity"),
+        (F.col("l_returnflag") == "R").cast("double").alias("returned"))
+    settings = TreeSettings(trees=1, depth=1, rate=0.3, least_weight=10, l1=0.5, l2=1, newton=True)
+    out = []
+    for label, logistic in (("quantity", False), ("returned", True)):
+        model = models.fit(items, FeatureSet(SPLIT_FEATURES), replace(settings, logistic=logistic), label).model
+        nodes = model.nodes()
+        # One tree of three nodes.
+        sides = nodes.agg(F.max(F.when(F.col("node") == 1, F.col("value"))).alias("low"), F.max(F.when(F.col("node") == 2, F.col("value"))).alias("high"),
+                          F.max(F.when(F.col("node") == 0, F.col("feature"))).alias("f"), F.max("threshold").alias("threshold"), F.max("gain").alias("gain"))
+        names = F.array(*[F.lit(c) for c in SPLIT_FEATURES])
+        out.append(sides.select(
+            F.lit(label).alias("label"), names[F.col("f")].alias("feature"), "threshold", F.round("gain", 4).alias("gain"),
+            F.round(F.col("low") + model.base, 6).alias("low_score"), F.round(F.col("high") + model.base, 6).alias("high_score")))
+    return union_by_name(out)
