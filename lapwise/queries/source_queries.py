@@ -452,6 +452,23 @@ def stream_dedup_on_arrival(spark, sf_dir):
     return live.run_to_table(once, "dedup").drop("ts")
 
 
+@query(
+    "stream_latest_on_arrival",
+    """
+SELECT user_id, event_type, strftime(ts, '%Y-%m-%d %H:%M:%S') AS at, event_id, value FROM events
+QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC, value DESC) = 1""",
+)
+def stream_latest_on_arrival(spark, sf_dir):
+    """The latest event per user and type; events arrive in four batches, out of order."""
+    folder = shared_dir(spark, "arrivals")
+    events = B.table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
+    for part in range(4):
+        events.filter(F.pmod("event_id", F.lit(4)) == part).coalesce(1).write.mode("append").parquet(folder)
+    stream = live.read_landing(spark, folder, "event_id bigint, ts timestamp, user_id bigint, event_type string, value double", 1)
+    latest = live.latest_to_table(stream, ["user_id", "event_type"], "ts", "60 days", "latest")
+    return latest.select("user_id", "event_type", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("at"), "event_id", "value")
+
+
 @query(
     "stream_hourly_weather",
     """

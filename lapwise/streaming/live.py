@@ -3,13 +3,15 @@
 from __future__ import annotations
 
 import warnings
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql import types as T
+from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle, StreamingQuery
 
-from lapwise.session import shared_dir
+from lapwise.operators.groups import dedup_latest
+from lapwise.session import materialised, shared_dir
 from lapwise.sources.scan import read_glob
 
 
@@ -66,6 +68,100 @@ def dedup_on_arrival(stream: DataFrame, keys: Sequence[str], time: str, delay: s
     return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
+class KeepLatest(StatefulProcessor):
+    """Per key the latest row that has arrived, held until the watermark passes its time; then it is sent on.
+
+    Rows compare by time, then by their other columns, nulls first, like the
+    batch form. A later row takes the place of the one that is held, and its
+    timer. The first field of `value` is the time, in microseconds.
+    """
+
+    def __init__(self, value: T.StructType, columns: Sequence[str], keys: Sequence[str]):
+        self.value, self.columns, self.keys = value, list(columns), list(keys)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.latest = handle.getValueState("latest", self.value)
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802, N803
+        held = self.latest.get()
+        best = held = None if held is None else tuple(held)
+        for row in rows:
+            # By position: names that begin with an underscore do not arrive as they were.
+            at = dict(zip(self.columns, row))
+            row = tuple(at[c] for c in self.value.names)
+            if best is None or _order(row) > _order(best):
+                best = row
+        if best != held:
+            if held is not None:
+                self.handle.deleteTimer(held[0] // 1000 + 1)
+            self.latest.update(best)
+            # Past the row's own time, so that the watermark has passed it.
+            self.handle.registerTimer(best[0] // 1000 + 1)
+        return iter(())
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
+        row = dict(zip(self.value.names, self.latest.get())) | dict(zip(self.keys, key))
+        self.latest.clear()
+        yield Row(**{c: row[c] for c in self.columns})
+
+    def close(self) -> None:
+        pass
+
+
+def _order(row: tuple) -> tuple:
+    return tuple((False,) if v is None else (True, v) for v in row)
+
+
+def keep_latest_on_arrival(stream: DataFrame, keys: Sequence[str], time: str, delay: str) -> DataFrame:
+    """The latest row of each key, sent on once the watermark has passed it; rows behind the watermark are dropped.
+
+    A key that comes again after that starts anew, so state holds only the keys
+    of the last `delay`. Rows without a time are left out. Needs the RocksDB state store (see `latest_to_table`).
+    """
+    times = [f.name for f in stream.schema if isinstance(f.dataType, T.TimestampType)]
+    inside = T.StructType([T.StructField(f.name, T.LongType() if f.name in times else f.dataType) for f in stream.schema])
+    value = T.StructType([inside[c] for c in [time, *[c for c in stream.columns if c not in (time, *keys)]]])
+    # Times pass through the state as microseconds, whole and free of zones; the watermark column goes along.
+    rows = stream.filter(F.col(time).isNotNull()).withColumn("__event", F.col(time)).withWatermark("__event", delay)
+    rows = rows.select(*[F.unix_micros(c).alias(c) if c in times else c for c in stream.columns], "__event")
+    processor = KeepLatest(value, stream.columns, keys)
+    latest = rows.groupBy(*keys).transformWithState(processor, inside, "Append", "EventTime")
+    return latest.select(*[F.timestamp_micros(c).alias(c) if c in times else c for c in stream.columns])
+
+
+def latest_to_table(stream: DataFrame, keys: Sequence[str], time: str, delay: str, label: str) -> DataFrame:
+    """The latest row of each key over all available data: what the stream has sent on, and what it still holds.
+
+    The rows held at the end are read from the state of the last batch. A key
+    sent on more than once keeps its latest row. Late rows are reported.
+    """
+    spark = stream.sparkSession
+    target = shared_dir(spark, label)
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(provider, None)
+    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        latest = keep_latest_on_arrival(stream, keys, time, delay)
+        query = (
+            latest.writeStream.format("parquet").outputMode("append").option("path", target)
+            .option("checkpointLocation", f"{target}-state").trigger(availableNow=True).start()
+        )
+        query.awaitTermination()
+        _report_late(query, label)
+        held = spark.read.format("statestore").option("path", f"{target}-state").option("stateVarName", "latest").load()
+        held = held.select(*[F.col(f"key.{c}" if c in keys else f"value.{c}").alias(c) for c in stream.columns])
+        held = held.select(*[F.timestamp_micros(f.name).alias(f.name) if isinstance(f.dataType, T.TimestampType) else f.name for f in stream.schema])
+        held = materialised(held, label)
+    finally:
+        if before is None:
+            spark.conf.unset(provider)
+        else:
+            spark.conf.set(provider, before)
+    sent = spark.read.schema(stream.schema).parquet(target)
+    return dedup_latest(sent.union(held), keys, time)
+
+
 def windowed(stream: DataFrame, time: str, width: str, delay: str, aggregates: Sequence[Column]) -> DataFrame:
     """Event-time windows; with append output a window appears once the watermark has passed it."""
     return stream.withWatermark(time, delay).groupBy(F.window(time, width).alias("w")).agg(*aggregates).select(
