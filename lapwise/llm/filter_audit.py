@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from lapwise.llm.common import slices, text_or_empty
+from lapwise.session import materialised
 
 # The limits and marks of the five filters; filter E is for copies.
 LETTERS = "ABCDE"
@@ -67,7 +68,9 @@ def text_marks(docs: DataFrame, id_col: str, text_col: str, part_col: str) -> Da
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), fails, digests], names=schema.names)
 
     part = text_or_empty(part_col).alias("part")
-    return docs.select(F.col(id_col).alias("id"), part, text_or_empty(text_col).alias("text")).mapInArrow(run, schema)
+    rows = docs.select(F.col(id_col).alias("id"), part, text_or_empty(text_col).alias("text")).mapInArrow(run, schema)
+    # Read twice below, by id and without one.
+    return materialised(rows, "marks")
 
 
 def failure_counts(marks: DataFrame, labels: DataFrame, id_col: str = "doc_id") -> DataFrame:

@@ -30,11 +30,15 @@ def line_form(line: Column) -> Column:
 
 
 def lines_of(docs: DataFrame, id_col: str, text_col: str, site_col: str) -> DataFrame:
-    """(id, site, at, h1, h2): the 128-bit hash of every line that is not blank."""
-    lines = F.split(text_or_empty(text_col), "\n")
-    rows = docs.select(F.col(id_col).alias("id"), F.col(site_col).cast("string").alias("site"), F.posexplode(lines).alias("at", "line"))
+    """(id, key, site, at, h1, h2): the 128-bit hash of every line that is not blank; `key` is a hash of the whole text.
+
+    Id and key name a row, as ids may repeat or be null. Rows with both equal have the same lines.
+    """
+    text = text_or_empty(text_col)
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("key"), F.col(site_col).cast("string").alias("site"),
+                       F.posexplode(F.split(text, "\n")).alias("at", "line"))
     rows = rows.withColumn("line", line_form(F.col("line"))).filter("line != ''")
-    return rows.select("id", "site", "at", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
+    return rows.select("id", "key", "site", "at", F.xxhash64("line").alias("h1"), F.xxhash64(F.lit(1), "line").alias("h2"))
 
 
 def spread_lines(lines: DataFrame, min_sites: int = MIN_SITES, lg_registers: int = LG_REGISTERS) -> DataFrame:
@@ -64,22 +68,24 @@ def cut_spread_lines(
 
     A line is cut everywhere if it is on `min_sites` distinct sites or more.
     Blank lines are never cut. A null or empty text gives an empty text with
-    one blank line; a null site counts for no line; rows with equal ids lose
-    the lines of either that are spread. An empty table gives no rows.
+    one blank line; a null site counts for no line; rows with equal or null ids
+    are cut each by its own text. An empty table gives no rows.
     """
-    lines = lines_of(docs, id_col, text_col, site_col)
+    # Written once: the sketches, the exact counts and the cuts all read the hashes.
+    lines = materialised(lines_of(docs, id_col, text_col, site_col), "lines")
     spread = materialised(spread_lines(lines, min_sites, lg_registers), "boilerplate")
     uses = spread.agg(F.coalesce(F.sum("uses"), F.lit(0))).first()[0]
     # Fewer than HOT_SHARE lines can have more than that share of the uses, which bounds the broadcast.
     hot = spread.filter(F.col("uses") * HOT_SHARE > uses).select("h1", "h2", F.lit(True).alias("hot"))
     cold = spread.filter(F.col("uses") * HOT_SHARE <= uses).select(F.col("h1").alias("c1"), F.col("h2").alias("c2"))
-    marked = lines.join(F.broadcast(hot), ["h1", "h2"], "left").select("id", "at", "h1", "h2", "hot")
+    marked = lines.join(F.broadcast(hot), ["h1", "h2"], "left").select("id", "key", "at", "h1", "h2", "hot")
     rest = marked.filter("hot IS NULL").join(cold, (F.col("h1") == F.col("c1")) & (F.col("h2") == F.col("c2")), "left_semi")
-    found = marked.filter("hot").select("id", "at").union(rest.select("id", "at"))
+    found = marked.filter("hot").select("id", "key", "at").union(rest.select("id", "key", "at"))
     # A document has no more entries here than lines.
-    cuts = found.groupBy(F.col("id").alias("cut_id")).agg(F.array_sort(F.collect_set("at")).alias("cut"))
-    rows = docs.select(F.col(id_col).alias("id"), text_or_empty(text_col).alias("text"))
-    rows = rows.join(cuts, rows["id"].eqNullSafe(cuts["cut_id"]), "left")
+    cuts = found.groupBy(F.col("id").alias("cut_id"), F.col("key").alias("cut_key")).agg(F.array_sort(F.collect_set("at")).alias("cut"))
+    text = text_or_empty(text_col)
+    rows = docs.select(F.col(id_col).alias("id"), F.xxhash64(text).alias("key"), text.alias("text"))
+    rows = rows.join(cuts, rows["id"].eqNullSafe(cuts["cut_id"]) & (F.col("key") == F.col("cut_key")), "left")
     rows = rows.select("id", F.split("text", "\n").alias("lines"), F.coalesce("cut", F.array().cast("array<int>")).alias("cut"))
     # The runs between neighbouring cuts, so that the work is linear in the lines.
     runs = """flatten(transform(sequence(0, size(cut)), i -> slice(

@@ -95,13 +95,20 @@ def test_few_registers_are_made_good_by_exact_counts(spark):
 
 
 def test_hot_lines_and_odd_rows(spark, monkeypatch):
-    rows = [r for r in H.odd_rows() if r[0] not in (3, 10)] + [(100 + i, "hot\nown " + str(i), f"s{i}") for i in range(30)]
+    rows = H.odd_rows() + [(100 + i, "hot\nown " + str(i), f"s{i}") for i in range(30)]
     monkeypatch.setattr(line_spread, "HOT_SHARE", 2)
     out = line_spread.cut_spread_lines(H.docs(spark, rows), 3)
     H.same([tuple(x) for x in out.collect()], spread(rows, 3))
     assert line_spread.cut_spread_lines(H.docs(spark, [])).count() == 0
 
 
+def test_rows_with_equal_or_null_ids_are_cut_each_by_their_own_text(spark):
+    rows = [(100 + i, f"hot\nown {i}", f"s{i}") for i in range(8)]
+    rows += [(50, "a\nb\nc\nd\nhot", "s1"), (50, "only", "s2"), (51, "hot\nx", "s3"), (51, "keep me\ny", "s3"), (51, "keep me\ny", "s3")]
+    rows += [(None, "hot\nhot\nz", "s1"), (None, "z", None), (None, "one\ntwo\nthree\nhot", "s9"), (None, None, "s1")]
+    H.same([tuple(x) for x in line_spread.cut_spread_lines(H.docs(spark, rows), 5).collect()], spread(rows, 5))
+
+
 def items(spark, texts):
     return spark.createDataFrame([(i, t, 3) for i, t in enumerate(texts)], "item_id long, text string, h int")
 
