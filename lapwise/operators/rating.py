@@ -9,127 +9,268 @@ mean of K * (result - expected). Two modes:
 * "simultaneous": all entrants are updated from the ratings before the
   contest. The result does not depend on any order inside a contest.
 
-A universe (a competition) with little pair work is folded in one task. Larger
-universes run as one Spark job per contest with the ratings kept in a table.
-There the sequential mode needs one contest's field at a time. The
-simultaneous mode needs no field in one place: the expected-score curve is
-summed at a few fixed ratings (a Chebyshev grid), not pair by pair, so its
-work is linear in the field.
+No pairs are formed. The sum of expected scores against a field, as a curve over
+the own rating, is held at a few fixed ratings (a Chebyshev grid) and read off
+for each entrant, so both modes are linear in the field. In the sequential mode
+the curve moves with every entrant.
+
+A universe (a competition) with few rows is folded in one task. Larger ones run
+as one Spark job per contest with the ratings kept in a table; a sequential
+field is then taken in blocks of the finishing order, which hand on the curve.
+Both ways give the same ratings.
+
+`refresh_ratings` keeps versions of the ratings of every universe, so that new
+contests are folded onto the latest version and old ones are not read again.
 """
 
 from __future__ import annotations
 
 import math
+import warnings
 from collections.abc import Sequence
+from functools import reduce
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from lapwise.operators.groups import calendar_join, group_stats, left_enrich
-from lapwise.operators.ordered import BOUNDED, expanding, hot_groups, null_safe_join, split_hot
+from lapwise.operators.ordered import BOUNDED, expanding, hot_groups, null_safe_join, split_hot, with_position
 from lapwise.session import materialised, shared_dir
+from lapwise.sources.scan import read_glob
 
 # Step size, starting rating, rating scale.
 K_FACTOR = 32.0
 START = 1500.0
 SCALE = 400.0
 
-# Pairs that one task may compare: some ten seconds of vectorised work.
-MAX_PAIRS = 2_000_000_000
-# A row counts as this many pairs, which also bounds the rows of one task.
-ROW_COST = 500
+# Rows of a universe that one task folds, and rows of a field in one block of a sequential contest.
+MAX_ROWS = 2_000_000
+BLOCK_ROWS = 1_000_000
 
 # The expected-score curve is analytic within pi * 400 / ln 10 = 546 points of the
 # real axis, so 16 nodes on cells of 200 points leave an error below 1e-14 per opponent.
 CELL = 200.0
 NODES = 16
-
-
-def _contest_deltas(rank: np.ndarray, rating: np.ndarray, k: float, sequential: bool) -> np.ndarray:
-    """Ratings after one contest; entries must be in finishing order."""
-    n = len(rating)
+ANGLES = np.pi * (np.arange(NODES) + 0.5) / NODES
+# Entrants whose scores at all nodes are taken at a time.
+CHUNK = 1 << 14
+
+
+class ScoreCurve:
+    """Sums of expected scores against a field, at the nodes of the cells in which ratings are read."""
+
+    def __init__(self, cells: np.ndarray, sums: np.ndarray):
+        self.cells, self.sums = cells, sums
+        self.nodes = ((cells[:, None] + 0.5) * CELL + np.cos(ANGLES) * CELL / 2).ravel()
+
+    @staticmethod
+    def of(ratings: np.ndarray) -> ScoreCurve:
+        cells = np.unique(np.floor(ratings / CELL))
+        curve = ScoreCurve(cells, np.zeros(len(cells) * NODES))
+        values, counts = np.unique(ratings, return_counts=True)
+        for low in range(0, len(values), CHUNK):
+            curve.sums += counts[low : low + CHUNK] @ curve.scores(values[low : low + CHUNK, None])
+        return curve
+
+    def scores(self, rating: float | np.ndarray) -> np.ndarray:
+        """What the nodes expect against `rating`."""
+        return 1.0 / (1.0 + 10.0 ** ((rating - self.nodes) / SCALE))
+
+    def at(self, ratings: np.ndarray) -> np.ndarray:
+        """Expected scores of `ratings` against the field less themselves, which is one half."""
+        cell = np.floor(ratings / CELL)
+        x = np.clip((ratings - (cell + 0.5) * CELL) / (CELL / 2), -1.0, 1.0)
+        order = np.arange(NODES)
+        weights = np.where(order == 0, 1.0, 2.0) / NODES
+        sums = self.sums.reshape(-1, NODES)[np.searchsorted(self.cells, cell)]
+        series = np.cos(order[:, None] * ANGLES) * weights[:, None]
+        return np.einsum("nm,nm->n", sums @ series.T, np.cos(np.arccos(x)[:, None] * order)) - 0.5
+
+
+def _contest_ratings(ahead: np.ndarray, rating: np.ndarray, n: int, k: float, sequential: bool, curve: ScoreCurve) -> np.ndarray:
+    """Ratings after one contest of n entrants; `ahead` counts those strictly behind. Sequential entries are in finishing order."""
     if n < 2:
         return rating
+    if not sequential:
+        return np.concatenate([
+            rating[low : low + CHUNK] + k * (ahead[low : low + CHUNK] - curve.at(rating[low : low + CHUNK])) / (n - 1)
+            for low in range(0, len(rating), CHUNK)
+        ])
     now = rating.copy()
-    for i in range(n):
-        seen = now if sequential else rating
-        expected = 1.0 / (1.0 + 10.0 ** ((seen - rating[i]) / SCALE))
-        expected[i] = 0.0
-        ahead = float((rank > rank[i]).sum())
-        now[i] = rating[i] + k * (ahead - expected.sum()) / (n - 1)
+    for i, old in enumerate(rating):
+        now[i] = old + k * (ahead[i] - curve.at(rating[i : i + 1])[0]) / (n - 1)
+        curve.sums += curve.scores(now[i]) - curve.scores(old)
     return now
 
 
-def _fold(rows: pd.DataFrame, order: list[str], entity: str, rank: str, k: float, sequential: bool) -> pd.DataFrame:
-    """All contests of one universe in order; each entrant's rating after their previous contest."""
-    ratings: dict = {}
+def _fold(
+    rows: pd.DataFrame, start: pd.DataFrame, order: list[str], entity: str, rank: str, k: float, sequential: bool
+) -> pd.DataFrame:
+    """All contests of one universe in order: each entrant's rating before and after."""
+    ratings: dict = dict(zip(start[entity], start["rating"]))
     rows = rows.sort_values([*order, rank, entity], na_position="last", kind="stable").reset_index(drop=True)
-    before = np.empty(len(rows))
+    before, after = np.empty(len(rows)), np.empty(len(rows))
     contest = rows.groupby(order, sort=False, dropna=False).ngroup().to_numpy()
     for index in np.split(np.arange(len(rows)), np.flatnonzero(np.diff(contest)) + 1):
         names = rows[entity].to_numpy()[index]
         old = np.array([ratings.get(e, START) for e in names])
-        before[index] = old
         ranks = rows[rank].to_numpy(dtype=float)[index]
         done = ~np.isnan(ranks)
         new = old.copy()
-        new[done] = _contest_deltas(ranks[done], old[done], k, sequential)
+        if done.any():
+            # Rows are sorted by rank, so those behind come after.
+            ahead = done.sum() - np.searchsorted(ranks[done], ranks[done], side="right")
+            new[done] = _contest_ratings(ahead, old[done], int(done.sum()), k, sequential, ScoreCurve.of(old[done]))
+        before[index], after[index] = old, new
         ratings.update(zip(names, new))
-    rows["rating"] = before
-    return rows
+    return rows.assign(rating=before, new_rating=after)
 
 
-def elo(
+def rate(
     df: DataFrame, universe: Sequence[str], order: Sequence[str], entity: str, rank: str, k: float = K_FACTOR,
-    mode: str = "sequential", max_pairs: int = MAX_PAIRS,
+    mode: str = "sequential", max_rows: int = MAX_ROWS, start: DataFrame | None = None, block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
-    """Rating of each entrant before each contest, as (universe, order, entity, rating).
+    """Ratings before (rating) and after (new_rating) each contest, as (universe, order, entity, rating, new_rating).
 
-    `df` has one row per universe, contest and entrant; a null `rank` counts for nothing.
+    `df` has one row per universe, contest and entrant; a null `rank` counts for
+    nothing. `start` holds ratings (universe, entity, rating) from before the
+    first contest; others begin at 1500.
     """
     if mode not in ("sequential", "simultaneous"):
         raise ValueError(f"unknown mode {mode}")
-    df = df.select(*universe, *order, entity, rank)
+    universe, order_ = list(universe), list(order)
+    df = df.select(*universe, *order_, entity, rank)
+    state = df.select(*universe, entity).schema.add("rating", "double")
+    start = df.sparkSession.createDataFrame([], state) if start is None else start.select(*universe, entity, "rating")
     sequential = mode == "sequential"
-    order_ = list(order)
-    # Work per universe, from the field sizes.
-    fields = df.groupBy(*universe, *order).agg(F.count(F.lit(1)).cast("double").alias("__n"))
-    hot = hot_groups(fields, universe, F.sum(F.col("__n") * (F.col("__n") + ROW_COST)), max_pairs)
-    small, large = split_hot(df, universe, hot)
+    small, large = split_hot(df, universe, hot_groups(df, universe, F.count(F.lit(1)), max_rows))
     parts = []
     if small is not None:
-        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + ", rating double"
+        schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.schema) + ", rating double, new_rating double"
 
-        def fold(rows: pd.DataFrame) -> pd.DataFrame:
-            return _fold(rows, order_, entity, rank, k, sequential)
+        def fold(rows: pd.DataFrame, held: pd.DataFrame) -> pd.DataFrame:
+            return _fold(rows, held, order_, entity, rank, k, sequential)
 
-        parts.append(small.groupBy(*universe).applyInPandas(fold, schema).drop(rank))
+        # Only the universes that have contests here.
+        held = null_safe_join(start, small.select(*universe).distinct(), universe, "left_semi")
+        parts.append(small.groupBy(*universe).cogroup(held.groupBy(*universe)).applyInPandas(fold, schema).drop(rank))
     if large is not None:
-        if sequential and not fields.filter(F.col("__n") * F.col("__n") > max_pairs).isEmpty():
-            raise ValueError("a sequential rating is one chain per contest and a field is too large for one task; "
-                             "use mode='simultaneous'")
-        parts.append(_elo_by_contest(large, list(universe), order_, entity, rank, k, sequential))
+        parts.append(_rate_by_contest(large, start, universe, order_, entity, rank, k, sequential, block_rows))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
-def _sequential_contest(field: DataFrame, contest: list[str], entity: str, rank: str, k: float) -> DataFrame:
-    """New ratings of one contest's field, entrant after entrant; the caller has checked the field size."""
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in field.schema) + ", new_rating double"
+def elo(
+    df: DataFrame, universe: Sequence[str], order: Sequence[str], entity: str, rank: str, k: float = K_FACTOR,
+    mode: str = "sequential", max_rows: int = MAX_ROWS, block_rows: int = BLOCK_ROWS,
+) -> DataFrame:
+    """Rating of each entrant before each contest, as (universe, order, entity, rating); see `rate`."""
+    return rate(df, universe, order, entity, rank, k, mode, max_rows, block_rows=block_rows).drop("new_rating")
 
-    def update(rows: pd.DataFrame) -> pd.DataFrame:
-        rows = rows.sort_values([rank, entity], na_position="last", kind="stable").reset_index(drop=True)
-        ranks, new = rows[rank].to_numpy(dtype=float), rows["rating"].to_numpy(dtype=float).copy()
-        done = ~np.isnan(ranks)
-        new[done] = _contest_deltas(ranks[done], new[done], k, True)
-        return rows.assign(new_rating=new)
 
-    return field.groupBy(*contest).applyInPandas(update, schema)
+def refresh_ratings(
+    df: DataFrame, store: str, universe: Sequence[str], order: Sequence[str], entity: str, rank: str, k: float = K_FACTOR,
+    mode: str = "sequential", max_rows: int = MAX_ROWS,
+) -> DataFrame:
+    """Fold the contests of `df` that come after those in the store, and return the whole history like `elo`.
+
+    Every call that finds new contests writes one version: their history, and
+    the ratings and the last contest of every universe after them. The second
+    is written last and makes the version count, so a call that fails changes
+    nothing and may be repeated. Contests that come late, before a universe's
+    last one, are not folded in; they are reported as a warning. Contests
+    without a date are not taken.
+    """
+    spark = df.sparkSession
+    universe, order_ = list(universe), list(order)
+    named = lambda columns, extra: ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in df.select(*columns).schema) + extra
+    row_schema = named([*universe, *order_, entity], ", rating double, new_rating double, version bigint")
+    state_schema = named([*universe, entity], ", rating double, version bigint")
+    last_schema = named([*universe, *order_], ", version bigint")
+    done = read_glob(spark, f"{store}/last", last_schema)
+    version = done.agg(F.max("version")).first()[0]
+    history = read_glob(spark, f"{store}/history", row_schema).filter(F.col("version") <= (-1 if version is None else version))
+    state = read_glob(spark, f"{store}/state", state_schema).filter(F.col("version") == version).drop("version")
+    # The last contest of a universe: one row for each.
+    last = done.filter(F.col("version") == version).select(*universe, F.struct(*order_).alias("__last"))
+    dated = reduce(lambda x, y: x & y, [F.col(c).isNotNull() for c in order_])
+    rows = null_safe_join(df.select(*universe, *order_, entity, rank).filter(dated), last, universe)
+    new = rows.filter(F.col("__last").isNull() | (F.struct(*order_) > F.col("__last"))).drop("__last")
+    known = [*universe, *order_, entity]
+    late = null_safe_join(rows.filter(F.struct(*order_) <= F.col("__last")), history.select(*known), known, "left_anti").count()
+    if late:
+        warnings.warn(f"{late} rows belong to contests before the last rated one and were not rated", stacklevel=2)
+    new = materialised(new, "new-contests")
+    if not new.isEmpty():
+        number = 0 if version is None else version + 1
+        rated = rate(new, universe, order_, entity, rank, k, mode, max_rows, state)
+        rated.write.mode("overwrite").parquet(f"{store}/history/version={number}")
+        rated = spark.read.schema(rated.schema).parquet(f"{store}/history/version={number}")
+        moved = rated.groupBy(*universe, entity).agg(F.max_by("new_rating", F.struct(*order_)).alias("rating"))
+        kept = null_safe_join(state, moved, [*universe, entity], "left_anti")
+        kept.unionByName(moved).write.mode("overwrite").parquet(f"{store}/state/version={number}")
+        latest = new.groupBy(*universe).agg(F.max(F.struct(*order_)).alias("__last")).unionByName(last)
+        latest = latest.groupBy(*universe).agg(F.max("__last").alias("l")).select(*universe, "l.*")
+        latest.write.mode("overwrite").parquet(f"{store}/last/version={number}")
+        history = read_glob(spark, f"{store}/history", row_schema).filter(F.col("version") <= number)
+    return history.select(*known, "rating")
+
+
+def latest_ratings(spark: SparkSession, store: str, schema: str) -> DataFrame:
+    """The ratings after the last version of a store, under `schema` (universe, entity, rating)."""
+    state = read_glob(spark, f"{store}/state", schema + ", version bigint")
+    last = read_glob(spark, f"{store}/last", "version bigint").agg(F.max("version")).first()[0]
+    return state.filter(F.col("version") == last).drop("version")
+
+
+def _sequential_contest(
+    field: DataFrame, contest: list[str], entity: str, rank: str, k: float, block_rows: int
+) -> DataFrame:
+    """New ratings of one contest's field, entrant after entrant in blocks of the finishing order.
+
+    A block's task gets the curve that the block before it left; a curve has a
+    few numbers for each 200 points that ratings spread over.
+    """
+    ranked = field.filter(F.col(rank).isNotNull())
+    counts = ranked.groupBy(*contest, rank).agg(F.count(F.lit(1)).alias("__c"))
+    counts = expanding(counts, contest, [rank], {"__reached": ("sum", F.col("__c"))}, through_current=True)
+    placed = group_stats(ranked, contest, {"__n": F.count(F.lit(1))}, calendar=True)
+    placed = null_safe_join(placed, counts.select(*contest, rank, "__reached"), [*contest, rank])
+    placed = with_position(placed, contest, [rank, entity], "__at")
+    placed = materialised(placed.withColumn("__block", F.floor((F.col("__at") - 1) / block_rows)), "blocks", "__block")
+    last = placed.agg(F.max("__block")).first()[0]
+    # One row per contest: its cells, each with the sums at its nodes.
+    sums = F.array(F.col("__cell").cast("double"), *[F.col(f"__f{i}") for i in range(NODES)])
+    curve = _curve_sums(ranked, contest).groupBy(*contest).agg(F.flatten(F.array_sort(F.collect_list(sums))).alias("__curve"))
+    names = [*field.columns, "new_rating", "__curve"]
+    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in field.schema) + ", new_rating double, __curve array<double>"
+
+    def update(rows: pd.DataFrame, curves: pd.DataFrame) -> pd.DataFrame:
+        if not len(rows):
+            return pd.DataFrame(columns=names)
+        table = np.asarray(curves["__curve"].iloc[0], dtype=float).reshape(-1, NODES + 1)
+        own = ScoreCurve(table[:, 0].copy(), table[:, 1:].ravel().copy())
+        rows = rows.sort_values("__at").reset_index(drop=True)
+        ahead, n = (rows["__n"] - rows["__reached"]).to_numpy(dtype=float), int(rows["__n"].iloc[0])
+        new = _contest_ratings(ahead, rows["rating"].to_numpy(dtype=float), n, k, True, own)
+        out = rows.assign(new_rating=new, __curve=None)
+        out.at[0, "__curve"] = np.concatenate([table[:, :1], own.sums.reshape(-1, NODES)], axis=1).ravel()
+        return out[names]
+
+    parts = []
+    for block in range(0 if last is None else last + 1):
+        rows = placed.filter(F.col("__block") == block).drop("__block")
+        done = materialised(rows.groupBy(*contest).cogroup(curve.groupBy(*contest)).applyInPandas(update, schema), "block")
+        curve = done.filter("__curve IS NOT NULL").select(*contest, "__curve")
+        parts.append(done.drop("__curve"))
+    idle = field.filter(F.col(rank).isNull()).withColumn("new_rating", F.col("rating"))
+    return reduce(DataFrame.unionByName, parts, idle)
 
 
-def _elo_by_contest(
-    df: DataFrame, universe: list[str], order: list[str], entity: str, rank: str, k: float, sequential: bool
+def _rate_by_contest(
+    df: DataFrame, state: DataFrame, universe: list[str], order: list[str], entity: str, rank: str, k: float, sequential: bool,
+    block_rows: int,
 ) -> DataFrame:
     """One job per step; step t holds the t-th contest of every universe. The calendar bounds the steps."""
     contests = df.select(*universe, *order).distinct()
@@ -143,7 +284,6 @@ def _elo_by_contest(
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     slot = F.pmod(F.xxhash64(entity), F.lit(max(1, 4 * parts // max(steps, 1))))
     df = materialised(calendar_join(df, contests, [*universe, *order]).repartition(F.col("step"), slot), "contests", "step")
-    state = df.sparkSession.createDataFrame([], df.select(*universe, entity).schema.add("rating", "double"))
     # Every step writes one folder of the result, which is read back in one scan.
     results = shared_dir(df.sparkSession, "contest-ratings")
     for t in range(1, steps + 1):
@@ -151,36 +291,42 @@ def _elo_by_contest(
         field = field.withColumn("rating", F.coalesce("rating", F.lit(START)))
         field = field.drop("step")
         if sequential:
-            after = _sequential_contest(field, [*universe, *order], entity, rank, k)
+            after = _sequential_contest(field, [*universe, *order], entity, rank, k, block_rows)
         else:
             after = _one_contest(field, [*universe, *order], rank, k)
         after.write.parquet(f"{results}/step={t}")
         after = df.sparkSession.read.schema(after.schema).parquet(f"{results}/step={t}")
         moved = after.select(*universe, entity, F.col("new_rating").alias("rating"))
         state = materialised(null_safe_join(state, moved, [*universe, entity], "left_anti").unionByName(moved), f"ratings-{t}")
-    return df.sparkSession.read.parquet(results).select(*universe, *order, entity, "rating")
+    return df.sparkSession.read.parquet(results).select(*universe, *order, entity, "rating", "new_rating")
 
 
 def _expected_at(node: Column, rating: Column) -> Column:
     return 1 / (1 + F.pow(F.lit(10.0), (rating - node) / SCALE))
 
 
+def _curve_sums(ranked: DataFrame, contest: list[str]) -> DataFrame:
+    """(contest, __cell, __f0 ...): sums of expected scores against the field at the nodes of every occupied cell."""
+    cell = F.floor(F.col("rating") / CELL)
+    # Ratings that occur, counted; each is added at every node of every occupied cell.
+    ratings = ranked.groupBy(*contest, "rating").agg(F.count(F.lit(1)).alias("__c"))
+    # Cells are 200 rating points wide, so a contest has a handful of them.
+    cells = ranked.select(*contest, cell.alias("__cell")).distinct()
+    center = (F.col("__cell") + 0.5) * CELL
+    sums = [F.sum(F.col("__c") * _expected_at(center + math.cos(a) * CELL / 2, F.col("rating"))).alias(f"__f{i}")
+            for i, a in enumerate(ANGLES.tolist())]
+    return calendar_join(ratings, cells, contest, "inner").groupBy(*contest, "__cell").agg(*sums)
+
+
 def _one_contest(field: DataFrame, contest: list[str], rank: str, k: float) -> DataFrame:
     """New ratings of one contest's field, without forming pairs."""
     ranked = field.filter(F.col(rank).isNotNull())
     # Entrants strictly behind: field size minus those with the same or a better rank.
     counts = ranked.groupBy(*contest, rank).agg(F.count(F.lit(1)).alias("__c"))
     counts = expanding(counts, contest, [rank], {"__reached": ("sum", F.col("__c"))}, through_current=True)
-    # Ratings that occur, counted; each is added at every node of every occupied cell.
-    cell = F.floor(F.col("rating") / CELL)
-    ratings = ranked.groupBy(*contest, "rating").agg(F.count(F.lit(1)).alias("__c"))
-    cells = ranked.select(*contest, cell.alias("__cell")).distinct()
-    # Cells are 200 rating points wide, so a contest has a handful of them.
-    angles = [math.pi * (i + 0.5) / NODES for i in range(NODES)]
-    center = (F.col("__cell") + 0.5) * CELL
-    sums = [F.sum(F.col("__c") * _expected_at(center + math.cos(a) * CELL / 2, F.col("rating"))).alias(f"__f{i}")
-            for i, a in enumerate(angles)]
-    curve = calendar_join(ratings, cells, contest, "inner").groupBy(*contest, "__cell").agg(*sums)
+    cell, center = F.floor(F.col("rating") / CELL), (F.col("__cell") + 0.5) * CELL
+    curve = _curve_sums(ranked, contest)
+    angles = ANGLES.tolist()
     coefficients = [
         sum((F.col(f"__f{i}") * math.cos(m * a) for i, a in enumerate(angles)), F.lit(0.0)) * ((1.0 if m == 0 else 2.0) / NODES)
         for m in range(NODES)

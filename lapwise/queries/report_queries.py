@@ -9,7 +9,7 @@ from lapwise.operators import quality
 from lapwise.operators.form import rolling_slope, second_difference
 from lapwise.operators.groups import calendar_join, latest_period, row_at_max, top_k, top_rows
 from lapwise.operators.ordered import BOUNDED, rolling, with_rank
-from lapwise.operators.rating import against_field, elo
+from lapwise.operators.rating import against_field, elo, refresh_ratings
 from lapwise.operators.regression import correlations
 from lapwise.plans import gold, history, integrate, questions, reports, silver
 from lapwise.queries.form_queries import CUM_SQL, GOLD_SQL, LAST5, NOW5, RISK_SQL, TARGETS_SQL, TEAM_SQL, VENUE
@@ -644,6 +644,9 @@ def ratings(spark, sf_dir, mode):
     return elo(df, ["universe"], B.RACE, "driver_id", "position", mode=mode).drop("universe")
 
 
+# The last season of the first refresh.
+LAST_RATED = 202402
+
 # A universe is an event type: each of its days is a contest of the users by what they scored.
 RATED_SQL = """
 scores AS (
@@ -686,13 +689,16 @@ FROM rated JOIN people USING (universe, driver_id) JOIN fields USING (universe,
   JOIN c ON c.universe = rated.universe AND c.step = fields.step AND c.j = 1"""
 
 
-def universe_ratings(spark, sf_dir, mode):
+def rated_contests(spark, sf_dir):
     day = F.to_date("ts")
     scores = B.table(spark, sf_dir, "events").groupBy(
         F.col("event_type").alias("universe"), *B.calendar_columns(day), F.col("user_id").alias("driver_id")
     ).agg(F.sum(B.cents("value")).alias("score"))
-    rated = with_rank(scores, ["universe", *B.RACE], "score", "position")
-    return elo(rated, ["universe"], B.RACE, "driver_id", "position", mode=mode)
+    return with_rank(scores, ["universe", *B.RACE], "score", "position")
+
+
+def universe_ratings(spark, sf_dir, mode):
+    return elo(rated_contests(spark, sf_dir), ["universe"], B.RACE, "driver_id", "position", mode=mode)
 
 
 @query("rating_simultaneous", rating_sql("simultaneous"))
@@ -705,6 +711,16 @@ def rating_sequential(spark, sf_dir):
     return rounded(universe_ratings(spark, sf_dir, "sequential"))
 
 
+@query("rating_refreshed", rating_sql("simultaneous"))
+def rating_refreshed(spark, sf_dir):
+    """The first seasons, then the whole table, of which only the new contests are folded."""
+    contests = materialised(rated_contests(spark, sf_dir), "contests")
+    store = shared_dir(spark, "ratings")
+    for part in (contests.filter(F.col("season") <= LAST_RATED), contests):
+        history = refresh_ratings(part, store, ["universe"], B.RACE, "driver_id", "position", mode="simultaneous")
+    return rounded(history)
+
+
 @query(
     "rating_against_field",
     "WITH RECURSIVE " + B.CONTEST_SQL + "," + ELO_SQL + f"""

@@ -4,7 +4,8 @@ import random
 
 import pytest
 
-from lapwise.operators.rating import against_field, elo
+from lapwise.operators.rating import against_field, elo, latest_ratings, refresh_ratings
+from lapwise.session import shared_dir
 
 K, START = 32.0, 1500.0
 
@@ -42,11 +43,13 @@ def rows():
     return out
 
 
-@pytest.mark.parametrize("max_pairs", [10**9, 300, 90])
+@pytest.mark.parametrize("max_rows, block_rows, contests", [(10**9, 10**9, 10), (18, 10**9, 2), (10, 5, 2)])
 @pytest.mark.parametrize("mode", ["sequential", "simultaneous"])
-def test_elo(spark, rows, mode, max_pairs):
+def test_elo(spark, rows, mode, max_rows, block_rows, contests):
+    """In one task, one universe by contest and one in a task, and by contest in blocks of five entrants."""
+    rows = [x for x in rows if x[1] < contests or x[1] == 9]
     d = spark.createDataFrame(rows, "u string, c int, e int, r int")
-    got = elo(d, ["u"], ["c"], "e", "r", mode=mode, max_pairs=max_pairs)
+    got = elo(d, ["u"], ["c"], "e", "r", mode=mode, max_rows=max_rows, block_rows=block_rows)
     got = {(x["u"], x["c"], x["e"]): x["rating"] for x in got.collect()}
     want = brute(rows, mode == "sequential")
     assert got.keys() == want.keys()
@@ -67,12 +70,56 @@ def test_wide_ratings_in_the_linear_form(spark):
         assert got[e] == pytest.approx(rating + K * total / 79, abs=1e-9)
 
 
-def test_too_large_a_field_is_refused(spark, rows):
-    d = spark.createDataFrame(rows, "u string, c int, e int, r int")
-    with pytest.raises(ValueError):
-        elo(d, ["u"], ["c"], "e", "r", mode="sequential", max_pairs=50)
+@pytest.mark.parametrize("sequential", [True, False])
+def test_wide_ratings_in_one_task(sequential):
+    import numpy as np
+
+    from lapwise.operators.rating import ScoreCurve, _contest_ratings
+
+    r = random.Random(9)
+    rating = np.array([r.uniform(200, 3200) for _ in range(90)])
+    rank = np.sort(np.array([r.randint(1, 40) for _ in range(90)]))
+    ahead = np.array([(rank > x).sum() for x in rank])
+    got = _contest_ratings(ahead, rating, 90, K, sequential, ScoreCurve.of(rating))
+    now = rating.copy()
+    for i in range(90):
+        seen = now if sequential else rating
+        total = sum((1.0 if rank[i] < rank[j] else 0.0) - 1 / (1 + 10 ** ((seen[j] - rating[i]) / 400)) for j in range(90) if j != i)
+        now[i] = rating[i] + K * total / 89
+    np.testing.assert_allclose(got, now, atol=1e-9)
+
+
+def test_unknown_mode(spark, rows):
     with pytest.raises(ValueError):
-        elo(d, ["u"], ["c"], "e", "r", mode="other")
+        elo(spark.createDataFrame(rows, "u string, c int, e int, r int"), ["u"], ["c"], "e", "r", mode="other")
+
+
+@pytest.mark.parametrize("mode", ["sequential", "simultaneous"])
+def test_a_continued_history_is_the_refolded_one(spark, rows, mode):
+    store = shared_dir(spark, "ratings")
+    schema = "u string, c int, e int, r int"
+    for upto in (2, 4, 9, 9):
+        d = spark.createDataFrame([x for x in rows if x[1] <= upto], schema)
+        history = refresh_ratings(d, store, ["u"], ["c"], "e", "r", mode=mode)
+    got = {(x["u"], x["c"], x["e"]): x["rating"] for x in history.collect()}
+    want = brute(rows, mode == "sequential")
+    assert got.keys() == want.keys() and all(got[k] == pytest.approx(v, abs=1e-8) for k, v in want.items())
+    # The last call found nothing new and wrote no version.
+    assert spark.read.parquet(f"{store}/last").select("version").distinct().count() == 3
+    # After the last contest of universe a, its ratings stand where a next contest would find them.
+    after = brute([*rows, *[("a", 10, e, None) for e in range(12)]], mode == "sequential")
+    state = {r["e"]: r["rating"] for r in latest_ratings(spark, store, "u string, e int, rating double").filter("u = 'a'").collect()}
+    assert all(state.get(e, START) == pytest.approx(after["a", 10, e], abs=1e-8) for e in range(12))
+
+
+def test_late_contests_are_reported(spark, rows):
+    store = shared_dir(spark, "ratings")
+    schema = "u string, c int, e int, r int"
+    first = [x for x in rows if x[1] != 2]
+    refresh_ratings(spark.createDataFrame(first, schema), store, ["u"], ["c"], "e", "r")
+    with pytest.warns(UserWarning, match="18 rows belong to contests before"):
+        history = refresh_ratings(spark.createDataFrame(rows, schema), store, ["u"], ["c"], "e", "r")
+    assert history.count() == len(first)
 
 
 def test_against_field(spark):
