@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from lapwise.functions.scalars import flag, ratio
@@ -169,13 +169,19 @@ def circuit_risk(df: DataFrame, full_history: bool = False, source: DataFrame |
     """Retirement rate and finish spread of the circuit.
 
     Only earlier races count unless `full_history`, which uses all races and so looks ahead.
-    Race-level sums come first; a circuit then has one row per race.
+    Race-level moments come first; a circuit then has one row per race. The
+    moments are merged around the circuit's centre, which changes no spread but
+    keeps its digits where values are large.
     """
     p = F.col("position").cast("double")
     races = (df if source is None else source).groupBy("circuit_id", *RACE).agg(
         F.sum(flag(F.col("dnf"))).alias("__d"), F.count(F.lit(1)).alias("__n"),
-        F.sum(p).alias("__s"), F.sum(p * p).alias("__q"), F.count(p).alias("__c"),
+        F.avg(p).alias("__m"), (F.var_pop(p) * F.count(p)).alias("__v"), F.count(p).alias("__c"),
     )
+    # One row per race, so the calendar bounds the window.
+    off = F.col("__m") - F.avg("__m").over(Window.partitionBy("circuit_id"))
+    races = races.withColumn("__off", off).withColumn("__s", F.col("__c") * F.col("__off"))
+    races = races.withColumn("__q", F.col("__v") + F.col("__s") * F.col("__off"))
     sums = {c: ("sum", F.col(c)) for c in ("__d", "__n", "__s", "__q", "__c")}
     if full_history:
         by, stats = ["circuit_id"], races.groupBy("circuit_id").agg(*[F.sum(c).alias(f"t{c}") for c in sums])

@@ -324,31 +324,26 @@ def retrain_decision(spark, sf_dir):
 
 # ---- health, hypotheses, briefing ------------------------------------------------
 
-HEALTH_COLUMNS = ["season", "grid", "target_position", "target_podium", "q1_seconds"]
 CURRENT_SEASON = 202406
 
 HEALTH_SQL = f"""
 h AS (
   SELECT count(*) AS n, max(season) AS latest, max(grid) AS g, 100.0 * count(target_position) / count(*) AS tp,
-         100.0 * count(target_podium) / count(*) AS tq, round(100.0 - 100.0 * count(season) / count(*), 1) AS n1,
-         round(100.0 - 100.0 * count(grid) / count(*), 1) AS n2, round(100.0 - 100.0 * count(target_position) / count(*), 1) AS n3,
-         round(100.0 - 100.0 * count(target_podium) / count(*), 1) AS n4,
-         round(100.0 - 100.0 * count(q1_seconds) / count(*), 1) AS n5 FROM gold),
+         100.0 * count(target_podium) / count(*) AS tq FROM gold),
+nulls AS (
+  SELECT column_name, round(100.0 - 100.0 * c / n, 1) AS pct
+  FROM (UNPIVOT (SELECT count(COLUMNS(*)) FROM gold) ON COLUMNS(*) INTO NAME column_name VALUE c), (SELECT count(*) AS n FROM gold)),
 rules AS (
   SELECT 'row_count' AS rule, CAST(n AS DOUBLE) AS observed, CAST(2500 AS DOUBLE) AS threshold, n >= 2500 AS passed FROM h
   UNION ALL SELECT 'latest_season', latest, {CURRENT_SEASON - 1}, latest >= {CURRENT_SEASON - 1} FROM h
   UNION ALL SELECT 'grid_max', g, 25, g <= 25 FROM h
   UNION ALL SELECT 'target_position_coverage', tp, 80, tp >= 80 FROM h
   UNION ALL SELECT 'target_podium_coverage', tq, 80, tq >= 80 FROM h
-  UNION ALL SELECT 'season_nulls', n1, 50, n1 <= 50 FROM h
-  UNION ALL SELECT 'grid_nulls', n2, 50, n2 <= 50 FROM h
-  UNION ALL SELECT 'target_position_nulls', n3, 50, n3 <= 50 FROM h
-  UNION ALL SELECT 'target_podium_nulls', n4, 50, n4 <= 50 FROM h
-  UNION ALL SELECT 'q1_seconds_nulls', n5, 50, n5 <= 50 FROM h)"""
+  UNION ALL SELECT column_name || '_nulls', pct, 50, pct <= 50 FROM nulls)"""
 
 
 def _rules(spark, sf_dir):
-    df = _targets(spark, sf_dir).select(*HEALTH_COLUMNS)
+    df = _targets(spark, sf_dir)
     return quality.health_rules(df, ["target_position", "target_podium"], CURRENT_SEASON)
 
 

@@ -449,13 +449,10 @@ def prior_season_standing(spark, sf_dir):
     "null_and_fill_report",
     "WITH " + B.CONTEST_SQL + """
 SELECT column_name, round(100.0 - 100.0 * c / n, 1) AS null_pct, round(100.0 * c / n, 1) AS fill_pct
-FROM (SELECT count(*) AS n, count(position) AS position, count(q1_seconds) AS q1_seconds, count(q2_seconds) AS q2_seconds,
-             count(q3_seconds) AS q3_seconds, count(grid) AS grid FROM contest)
-UNPIVOT (c FOR column_name IN (position, q1_seconds, q2_seconds, q3_seconds, grid))""",
+FROM (UNPIVOT (SELECT count(COLUMNS(*)) FROM contest) ON COLUMNS(*) INTO NAME column_name VALUE c), (SELECT count(*) AS n FROM contest)""",
 )
 def null_and_fill_report(spark, sf_dir):
-    columns = ["position", "q1_seconds", "q2_seconds", "q3_seconds", "grid"]
-    df = B.contest(spark, sf_dir).select(*columns)
+    df = B.contest(spark, sf_dir)
     return null_percent(df).join(fill_rate(df), "column_name")
 
 
@@ -463,28 +460,22 @@ def null_and_fill_report(spark, sf_dir):
     "sparse_columns",
     "WITH " + B.CONTEST_SQL + """
 SELECT column_name, round(100.0 - 100.0 * c / n, 1) AS null_pct
-FROM (SELECT count(*) AS n, count(position) AS position, count(q1_seconds) AS q1_seconds, count(q2_seconds) AS q2_seconds,
-             count(q3_seconds) AS q3_seconds, count(grid) AS grid FROM contest)
-UNPIVOT (c FOR column_name IN (position, q1_seconds, q2_seconds, q3_seconds, grid))
+FROM (UNPIVOT (SELECT count(COLUMNS(*)) FROM contest) ON COLUMNS(*) INTO NAME column_name VALUE c), (SELECT count(*) AS n FROM contest)
 WHERE round(100.0 - 100.0 * c / n, 1) > 50""",
 )
 def sparse_columns(spark, sf_dir):
-    df = B.contest(spark, sf_dir).select("position", "q1_seconds", "q2_seconds", "q3_seconds", "grid")
-    return null_percent(df, above=50.0)
+    return null_percent(B.contest(spark, sf_dir), above=50.0)
 
 
 @query(
     "sparsely_filled_columns",
     "WITH " + B.CONTEST_SQL + """
 SELECT column_name, round(100.0 * c / n, 1) AS fill_pct
-FROM (SELECT count(*) AS n, count(position) AS position, count(q1_seconds) AS q1_seconds, count(q2_seconds) AS q2_seconds,
-             count(q3_seconds) AS q3_seconds, count(grid) AS grid FROM contest)
-UNPIVOT (c FOR column_name IN (position, q1_seconds, q2_seconds, q3_seconds, grid))
+FROM (UNPIVOT (SELECT count(COLUMNS(*)) FROM contest) ON COLUMNS(*) INTO NAME column_name VALUE c), (SELECT count(*) AS n FROM contest)
 WHERE round(100.0 * c / n, 1) < 50""",
 )
 def sparsely_filled_columns(spark, sf_dir):
-    df = B.contest(spark, sf_dir).select("position", "q1_seconds", "q2_seconds", "q3_seconds", "grid")
-    return fill_rate(df, below=50.0)
+    return fill_rate(B.contest(spark, sf_dir), below=50.0)
 
 
 @query(

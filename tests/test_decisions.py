@@ -233,3 +233,13 @@ def test_season_progress_with_schedule(spark):
 
 def test_pre_race_columns():
     assert gold.pre_race_columns(["grid", "pace_vs_field", "target_winner", "points"]) == ["grid"]
+
+
+def test_spread_of_large_values_keeps_its_digits(spark):
+    rows = [(2024, r, "c", 1e9 + 7 * r + d, False) for r in range(1, 9) for d in (0.0, 0.5, 1.25)]
+    df = spark.createDataFrame(rows, "season int, round int, circuit_id string, position double, dnf boolean")
+    for full in (False, True):
+        got = {r["round"]: r["circuit_chaos_index"] for r in gold.circuit_risk(df, full).collect()}
+        for race in range(2, 9):
+            seen = [x[3] for x in rows if full or x[1] < race]
+            assert got[race] == pytest.approx(pd.Series(seen).std(), abs=1e-9)
