@@ -11,6 +11,11 @@ from lapwise import schemas
 from lapwise.functions import scalars as S
 from lapwise.operators.groups import dedup_latest, group_stats, left_enrich
 from lapwise.operators.ordered import BOUNDED, HotGroups
+from lapwise.session import shared_dir
+from lapwise.sources.sinks import write_bucketed
+
+# Rows of a bucket of the stored tables, on average.
+ROWS_PER_BUCKET = 1_000_000
 
 RACE = ("season", "round")
 ENTRY = (*RACE, "driver_id")
@@ -81,6 +86,21 @@ def race_master(results: DataFrame, quali: DataFrame, stops: DataFrame) -> DataF
     return left_enrich(df, stop_summary(stops), ENTRY, {"num_pit_stops": 0}, hot=BOUNDED)
 
 
+def store_bucketed(results: DataFrame, quali: DataFrame, stops: DataFrame, buckets: int | None = None) -> list[DataFrame]:
+    """The three tables written by entry into the shared folder, each bucketed alike, so that `race_master` needs no exchange.
+
+    Without `buckets` their number follows from the rows of the largest table.
+    """
+    tables = {"results": results, "qualifying": quali, "stops": stops}
+    if buckets is None:
+        buckets = max(1, -(-max(t.count() for t in tables.values()) // ROWS_PER_BUCKET))
+    out = []
+    for name, table in tables.items():
+        path = shared_dir(results.sparkSession, name)
+        out.append(write_bucketed(table, f"{name}_{path[-32:]}", path, ENTRY, buckets))
+    return out
+
+
 def weather_features(samples: DataFrame, keys: Sequence[str] = RACE) -> DataFrame:
     """Per-race weather; sample columns are found by name fragments since sources name them differently."""
     track = S.find_column(samples, "track", "temp")

@@ -10,6 +10,8 @@ from lapwise.operators.quality import fill_rate, null_percent, quality_report
 from lapwise.plans import gold, integrate, silver
 from lapwise.plans.reports import distribution
 from lapwise.queries.registry import query
+from lapwise.session import shared_dir
+from lapwise.sources import sinks
 
 EK = 'season, round, "Driver"'
 
@@ -583,9 +585,7 @@ def silver_pit_stops(spark, sf_dir):
     return S.rounded(df.select(*silver.ENTRY, "stop_number", "duration_seconds", "is_slow_stop", "is_problem_stop"))
 
 
-@query(
-    "silver_race_master",
-    f"""WITH {CLOCK_SQL}, {DELIVERY_SQL},
+MASTER_SQL = f"""WITH {CLOCK_SQL}, {DELIVERY_SQL},
 stop_agg AS (
   SELECT season, round, driver_id, max(stop_number) AS num_pit_stops, avg(duration_seconds) AS avg_pit_duration,
          sum(duration_seconds) AS total_pit_time, CAST(bool_or(coalesce(duration_seconds > 5, false)) AS INTEGER) AS had_slow_stop
@@ -593,14 +593,41 @@ stop_agg AS (
 SELECT season, round, driver_id, grid, position, points, round(least(q1_seconds, q2_seconds), 6) AS best_quali_seconds,
        coalesce(num_pit_stops, 0) AS num_pit_stops, round(avg_pit_duration, 6) AS avg_pit_duration,
        round(total_pit_time, 6) AS total_pit_time, had_slow_stop
-FROM silver_results LEFT JOIN silver_quali USING (season, round, driver_id) LEFT JOIN stop_agg USING (season, round, driver_id)""",
-)
+FROM silver_results LEFT JOIN silver_quali USING (season, round, driver_id) LEFT JOIN stop_agg USING (season, round, driver_id)"""
+
+
+def _silver_tables(spark, sf_dir):
+    return [silver.race_results(_bronze_results(spark, sf_dir)), silver.qualifying(_bronze_quali(spark, sf_dir)),
+            silver.pit_stops(_bronze_stops(spark, sf_dir))]
+
+
+def _master(tables):
+    return S.rounded(silver.race_master(*tables).select(
+        *silver.ENTRY, "grid", "position", "points", "best_quali_seconds", "num_pit_stops", "avg_pit_duration", "total_pit_time", "had_slow_stop"))
+
+
+@query("silver_race_master", MASTER_SQL)
 def silver_race_master(spark, sf_dir):
-    df = silver.race_master(
-        silver.race_results(_bronze_results(spark, sf_dir)), silver.qualifying(_bronze_quali(spark, sf_dir)),
-        silver.pit_stops(_bronze_stops(spark, sf_dir)))
-    return S.rounded(df.select(*silver.ENTRY, "grid", "position", "points", "best_quali_seconds", "num_pit_stops",
-                               "avg_pit_duration", "total_pit_time", "had_slow_stop"))
+    return _master(_silver_tables(spark, sf_dir))
+
+
+@query("silver_race_master_bucketed", MASTER_SQL)
+def silver_race_master_bucketed(spark, sf_dir):
+    """The same from stored tables that are bucketed alike: no exchange above their scans."""
+    return _master(silver.store_bucketed(*_silver_tables(spark, sf_dir)))
+
+
+@query(
+    "observed_write_report",
+    """
+SELECT column_name, n AS rows, n - c AS nulls, round(100.0 * (n - c) / n, 1) AS null_pct, round(100.0 - 100.0 * (n - c) / n, 1) AS fill_pct
+FROM (UNPIVOT (SELECT count(COLUMNS(*)) FROM (SELECT * REPLACE (nullif(event_type, 'error') AS event_type, CASE WHEN value >= 20 THEN value END AS value) FROM events))
+      ON COLUMNS(*) INTO NAME column_name VALUE c), (SELECT count(*) AS n FROM events)""",
+)
+def observed_write_report(spark, sf_dir):
+    events = B.table(spark, sf_dir, "events")
+    events = events.withColumn("event_type", F.expr("nullif(event_type, 'error')")).withColumn("value", F.expr("CASE WHEN value >= 20 THEN value END"))
+    return sinks.write_observed(events, shared_dir(spark, "events"))
 
 
 @query(

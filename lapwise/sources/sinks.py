@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 
@@ -13,6 +13,35 @@ def write_table(df: DataFrame, path: str, partition: Sequence[str] = ("season",)
     df.write.mode("overwrite").option("compression", "snappy").partitionBy(*partition).parquet(path)
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, keys: Sequence[str], buckets: int) -> DataFrame:
+    """A Parquet table at `path`, bucketed and sorted by `keys`, one file per bucket.
+
+    Tables with the same keys and number of buckets join and aggregate on these
+    keys without an exchange.
+    """
+    dealt = df.repartition(buckets, *keys).write.mode("overwrite").format("parquet").option("compression", "snappy")
+    dealt.option("path", path).bucketBy(buckets, *keys).sortBy(*keys).saveAsTable(table)
+    return df.sparkSession.table(table)
+
+
+def write_observed(df: DataFrame, path: str) -> DataFrame:
+    """Write `df` as Parquet and report on every column, from counts taken while writing: no other pass over the data.
+
+    (column_name, rows, nulls, null_pct, fill_pct), the shares in per cent with
+    one digit; they are null for an empty table. The counts are a few numbers
+    per column.
+    """
+    spark = df.sparkSession
+    seen = Observation()
+    nulls = [F.sum(F.col(c).isNull().cast("long")).alias(f"nulls_{k}") for k, c in enumerate(df.columns)]
+    df.observe(seen, F.count(F.lit(1)).alias("rows"), *nulls).write.mode("overwrite").parquet(path)
+    found = seen.get
+    rows = [(c, found["rows"], found[f"nulls_{k}"] or 0) for k, c in enumerate(df.columns)]
+    share = F.lit(100.0) * F.col("nulls") / F.nullif(F.col("rows"), F.lit(0))
+    report = spark.createDataFrame(rows, "column_name string, rows bigint, nulls bigint")
+    return report.select("*", F.round(share, 1).alias("null_pct"), F.round(100.0 - share, 1).alias("fill_pct"))
+
+
 def write_ranked_csv(df: DataFrame, path: str, by: str) -> None:
     """A small report as one CSV file, highest `by` first."""
     df.orderBy(F.col(by).desc(), *[c for c in df.columns if c != by]).coalesce(1).write.mode("overwrite").option(

@@ -152,3 +152,31 @@ def test_best_model_first_wins_ties(spark):
 def test_answers_are_capped(spark):
     d = spark.range(50).select(F.col("id").alias("driver_id"), F.lit(1).alias("target_winner"), F.lit(2024).alias("season"))
     assert questions.ask(d, "most_wins_in_season", season=2024).count() == questions.ROW_CAP
+
+
+def test_bucketed_tables_join_without_an_exchange(spark):
+    from lapwise.plans import silver
+
+    results = spark.range(500).selectExpr("cast(2020 + id % 5 as int) AS season", "cast(id % 10 as int) AS round", "cast(id AS string) AS driver_id",
+                                          "cast(id % 20 as int) AS grid")
+    quali = results.filter("grid < 15").selectExpr("season", "round", "driver_id", *[f"1.0D * grid AS {c}" for c in silver.QUALI_COLUMNS])
+    stops = results.filter("grid > 3").selectExpr("season", "round", "driver_id", "1 AS stop_number", "2.0D AS duration_seconds", "false AS is_slow_stop")
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        stored = silver.race_master(*silver.store_bucketed(results, quali, stops, 3))
+        plan = stored._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin" in plan and "Exchange" not in plan
+        assert rows_of(stored) == rows_of(silver.race_master(results, quali, stops))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_a_write_reports_on_every_column(spark):
+    path = shared_dir(spark, "observed")
+    df = spark.createDataFrame([(1, None, "a"), (2, None, None), (3, 4.0, "c")], "id int, v double, t string")
+    got = {r["column_name"]: (r["rows"], r["nulls"], r["null_pct"], r["fill_pct"]) for r in sinks.write_observed(df, path).collect()}
+    assert got == {"id": (3, 0, 0.0, 100.0), "v": (3, 2, 66.7, 33.3), "t": (3, 1, 33.3, 66.7)}
+    assert spark.read.parquet(path).count() == 3
+    empty = sinks.write_observed(df.limit(0), shared_dir(spark, "observed")).collect()
+    assert [(r["rows"], r["nulls"], r["null_pct"]) for r in empty] == [(0, 0, None)] * 3
