@@ -116,8 +116,8 @@ def _scored(
     clean = sample.filter(is_clean).select("l_id")
     text = text_or_empty(text_col)
     # `labelled_rows` bounds this broadcast.
-    marked = docs.join(F.broadcast(clean), docs[id_col] == clean["l_id"], "left")
-    marked = marked.select(text.alias("text"), F.col("l_id").isNotNull().alias("is_target"))
+    marked = docs.select(F.col(id_col).alias("id"), text.alias("text")).join(F.broadcast(clean), F.col("id") == F.col("l_id"), "left")
+    marked = marked.select("text", F.col("l_id").isNotNull().alias("is_target"))
     ratios = spark.sparkContext.broadcast(log_ratios(gram_counts(marked, buckets), buckets))
     schema = T.StructType(
         [T.StructField("id", docs.schema[id_col].dataType), T.StructField("text_key", T.LongType()),
@@ -179,5 +179,6 @@ def kept_documents(
     scores, kept = _scored(docs, labels, keep_share, id_col, text_col, buckets, labelled_rows, seed)
     scores = scores.filter(kept).select(F.col("id").alias("k_id"), F.col("text_key").alias("k_text"))
     # The hash of the text tells rows with equal ids apart.
-    same = docs[id_col].eqNullSafe(scores["k_id"]) & (F.xxhash64(text_or_empty(text_col)) == scores["k_text"])
-    return docs.join(scores, same, "left_semi")
+    named = docs.withColumn("__text_key", F.xxhash64(text_or_empty(text_col)))
+    same = named[id_col].eqNullSafe(scores["k_id"]) & (named["__text_key"] == scores["k_text"])
+    return named.join(scores, same, "left_semi").drop("__text_key")

@@ -129,15 +129,18 @@ def mixed_documents(
 ) -> DataFrame:
     """The rows of `docs` that the mix takes any words of, with size, source_size, target and taken.
 
-    Rows that agree in id, source and size share the largest `taken` of them.
+    These four take the place of columns of `docs` with the same names; all
+    others stay. Rows that agree in id, source and size share the largest
+    `taken` of them.
     """
     mix = mix_sources(docs, weights, id_col=id_col, source_col=source_col, text_col=text_col, **options)
-    keys = [F.col(id_col).alias("m_id"), F.col("source").alias("m_source"), F.col("size").alias("__size")]
-    mix = mix.groupBy(*keys).agg(F.max("source_size").alias("__source_size"), F.max("target").alias("__target"), F.max("taken").alias("__taken"))
-    same = docs[id_col].eqNullSafe(mix["m_id"]) & docs[source_col].eqNullSafe(mix["m_source"])
-    rows = docs.join(mix.filter("__taken > 0"), same & (word_count(text_col) == mix["__size"])).drop("m_id", "m_source")
-    names = {f"__{c}": c for c in ("size", "source_size", "target", "taken")}
-    return rows.drop(*[c for c in names.values() if c in docs.columns]).withColumnsRenamed(names)
+    made = ("size", "source_size", "target", "taken")
+    keys = [F.col(id_col).alias("__mix_id"), F.col("source").alias("__mix_source"), F.col("size").alias("__mix_size")]
+    mix = mix.groupBy(*keys).agg(*[F.max(c).alias(f"__mix_{c}") for c in made[1:]]).filter("__mix_taken > 0")
+    rows = docs.withColumn("__mix_words", word_count(text_col))
+    same = rows[id_col].eqNullSafe(mix["__mix_id"]) & rows[source_col].eqNullSafe(mix["__mix_source"]) & (rows["__mix_words"] == mix["__mix_size"])
+    own = [rows[c] for c in docs.columns if c not in made]
+    return rows.join(mix, same).select(*own, *[F.col(f"__mix_{c}").alias(c) for c in made])
 
 
 SQL = r"""

@@ -14,6 +14,7 @@ import hashlib
 import struct
 import uuid
 from collections.abc import Iterator
+from urllib.parse import quote, unquote
 
 import pyarrow as pa
 import pyarrow.fs
@@ -37,6 +38,14 @@ DATE = "1970-01-01T00:00:00Z"
 INDEX = "record_id string, page_id string, bundle string, frame long, offset long, length long"
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path with its file system, which is Hadoop's default one if the path names none."""
+    if "://" in path or path.startswith("file:"):
+        return path
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(hadoop).toString()
+
+
 def filesystem(path: str) -> tuple[pa.fs.FileSystem, str]:
     return pa.fs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pa.fs.LocalFileSystem(), path)
 
@@ -47,7 +56,8 @@ def header_line(name: str, value: str) -> str:
 
 
 def record_name(page_id, digest: str) -> str:
-    return f"<urn:page:{'' if page_id is None else page_id}:{digest}>"
+    """Identifiers are percent-encoded, so that any text can be read back from the name."""
+    return f"<urn:page:{'' if page_id is None else quote(str(page_id), safe='')}:{digest}>"
 
 
 def write_record(page_id, url: str | None, payload: bytes, digest: str, refers_to) -> bytes:
@@ -170,11 +180,14 @@ def write_bundles(
 ) -> DataFrame:
     """Write a record per row to bundles below `folder`; returns the index.
 
+    A folder without a file system is one of Hadoop's default file system, as for tables.
+
     Of equal payloads of at least `revisit_bytes` bytes the row with the
     smallest id is a response and rows with other ids revisit it; null ids
     come last. A null html is an empty payload. Repeated rows get a record
     each, of one name. An empty table writes no bundle.
     """
+    folder = qualified(pages.sparkSession, folder)
     body = F.encode(text_or_empty(html_col), "UTF-8")
     digest = F.sha2(body, 256)
     light = pages.select(F.col(id_col).alias("id"), digest.alias("digest"), F.octet_length(body).alias("n"))
@@ -233,7 +246,7 @@ def read_bundles(index: DataFrame, id_type: T.DataType | None = None) -> DataFra
                         stored = headers["warc-type"] == "response"
                         if stored and (len(block) - cut != size or hashlib.sha256(block[cut:]).hexdigest() != name):
                             raise ValueError(f"the payload of {headers['warc-record-id']} is damaged")
-                        ids = [headers.get(h, "<urn:page::>").split(":")[2] or None for h in ("warc-record-id", "warc-refers-to")]
+                        ids = [unquote(headers.get(h, "<urn:page::>").split(":")[2]) or None for h in ("warc-record-id", "warc-refers-to")]
                         out.append((ids[0], size, name, headers["warc-type"], ids[1]))
                 types = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.string()]
                 yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out), types)], names=names)

@@ -95,3 +95,14 @@ def test_mixed_documents_keep_rows(spark):
     out = mixing.mixed_documents(H.docs(spark, H.odd_rows()[:2] + H.odd_rows()[4:8]))
     assert {"doc_id", "text", "h", "size", "target", "taken"} <= set(out.columns)
     assert all(r["taken"] > 0 for r in out.collect()) and out.count() == 3
+
+
+def test_mixed_documents_keep_clashing_columns(spark):
+    names = ["m_id", "m_source", "__size", "o_id", "weight", "bin", "w_id", "l_id", "k_id", "text_key"]
+    rows = H.docs(spark, H.odd_rows()).select("*", *[F.lit(k).alias(c) for k, c in enumerate(names)])
+    out = mixing.mixed_documents(rows)
+    assert out.columns == [*rows.columns, "size", "source_size", "target", "taken"]
+    got = out.collect()
+    assert got and all(r[c] == k for r in got for k, c in enumerate(names))
+    again = mixing.mixed_documents(out.withColumn("taken", F.lit(-1)))
+    assert again.columns == out.columns and again.filter("taken < 0").count() == 0

@@ -193,6 +193,15 @@ def test_frames_are_independent_and_indexed(spark):
     assert back.agg(F.sum("payload_bytes")).first()[0] == sum(len(h) for *_, h in rows)
 
 
+def test_any_text_may_be_an_identifier(spark, tmp_path):
+    rows = [("a:b", "u", "x" * 200), ("a b/%3A", "u", "x" * 200), ("<ü>", "u", "z"), (None, "u", "y")]
+    df = spark.createDataFrame(rows, "page_id string, url string, html string")
+    index = warc_bundles.write_bundles(df, f"{tmp_path}/plain")
+    assert all(r["bundle"].startswith("file:") for r in index.collect())
+    got = {(r["page_id"], r["record_type"], r["refers_to"]) for r in warc_bundles.read_bundles(index, df.schema["page_id"].dataType).collect()}
+    assert got == {("a b/%3A", "response", None), ("a:b", "revisit", "a b/%3A"), ("<ü>", "response", None), (None, "response", None)}
+
+
 def test_damage_is_noticed(spark):
     index = warc_bundles.write_bundles(pages(spark, [(1, "u", "y" * 500)]), shared_dir(spark, "bundles"))
     wrong = index.withColumn("offset", F.col("offset") + 1)

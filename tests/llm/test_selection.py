@@ -64,6 +64,17 @@ def test_odd_rows_and_missing_labels(spark):
     assert importance.resample(H.docs(spark, []), none).count() == 0
 
 
+def test_scores_beside_clashing_columns(spark):
+    names = ["l_id", "quality", "toxic", "k_id", "k_text", "key", "is_target", "text_key"]
+    rows = H.odd_rows()
+    frame = H.docs(spark, rows).select("*", *[F.lit(k).alias(c) for k, c in enumerate(names)])
+    some = labels(spark, [(1, 1, 0), (7, 0, None), (8, 1, 1), (None, 1, 0)])
+    want = sorted(map(repr, importance.resample(H.docs(spark, rows), some).collect()))
+    assert sorted(map(repr, importance.resample(frame, some).collect())) == want
+    kept = importance.kept_documents(frame, some)
+    assert kept.columns == frame.columns and all(r[c] == k for r in kept.collect() for k, c in enumerate(names))
+
+
 def spread(rows, least):
     sites = defaultdict(set)
     for _, t, s in rows:
