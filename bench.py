@@ -25,14 +25,14 @@ HEADLINE = (
     "race_features", "rolling_form", "constructor_form", "circuit_history", "streaks_before", "ewm_form", "ewm_event_value",
     "championship", "rating_simultaneous",
     # integration
-    "lap_features", "tire_degradation", "tire_features", "prior_season_standing", "stints_and_tyre_age",
+    "lap_features", "tire_degradation", "tire_features", "prior_season_standing", "stints_and_tyre_age", "complete_features",
     # checks, discovery, reports
     "health_report", "feature_hypotheses", "regression_metrics", "rank_metrics", "latest_race_summary",
     "driver_season_stats", "ask_top_five_by_rating",
     # sources and streams
     "scan_drifting_schemas", "flatten_results_pages", "stream_landing_to_bronze",
     # training
-    "cross_validated_error", "feature_importances",
+    "cross_validated_error", "feature_importances", "compare_position_models", "searched_settings",
 )
 
 
