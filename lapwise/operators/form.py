@@ -52,7 +52,17 @@ def team_form(
     """
     if mode == "rows":
         return rolling_mean(df, [team], [*order, tie], {name: F.col(value)}, n, hot)
-    races = (df if source is None else source).groupBy(team, *order).agg(F.sum(value).alias("__sum"), F.count(value).alias("__count"))
+    races = form_over_races(team_races(df if source is None else source, team, order, value), team, order, name, n)
+    return left_enrich(df, races, [team, *order], hot=hot)
+
+
+def team_races(df: DataFrame, team: str, order: Sequence[str], value: str) -> DataFrame:
+    """(team, order, __sum, __count): the sum and number of values of each team's races."""
+    return df.groupBy(team, *order).agg(F.sum(value).alias("__sum"), F.count(value).alias("__count"))
+
+
+def form_over_races(races: DataFrame, team: str, order: Sequence[str], name: str, n: int = 10) -> DataFrame:
+    """Mean per entrant over the previous `n` rows of `team_races`."""
     # One row per team and race, so the calendar bounds each team's group.
     races = rolling(
         races, [team], order,
@@ -61,7 +71,7 @@ def team_form(
         },
         -n, -1, BOUNDED,
     )
-    return left_enrich(df, races.select(team, *order, name), [team, *order], hot=hot)
+    return races.select(team, *order, name)
 
 
 def streaks_before(

@@ -165,36 +165,65 @@ def championship(df: DataFrame, hot: HotGroups | None = None, source: DataFrame
     return with_rank(df, RACE, "season_cumulative_points", "championship_position", hot=hot)
 
 
-def circuit_risk(df: DataFrame, full_history: bool = False, source: DataFrame | None = None) -> DataFrame:
-    """Retirement rate and finish spread of the circuit.
+MOMENTS = ("__d", "__n", "__m", "__v", "__c")
 
-    Only earlier races count unless `full_history`, which uses all races and so looks ahead.
-    Race-level moments come first; a circuit then has one row per race. The
-    moments are merged around the circuit's centre, which changes no spread but
-    keeps its digits where values are large.
-    """
+
+def race_moments(df: DataFrame) -> DataFrame:
+    """One row per circuit and race: retirements, entries, and mean, squared deviations and number of finishes."""
     p = F.col("position").cast("double")
-    races = (df if source is None else source).groupBy("circuit_id", *RACE).agg(
+    return df.groupBy("circuit_id", *RACE).agg(
         F.sum(flag(F.col("dnf"))).alias("__d"), F.count(F.lit(1)).alias("__n"),
         F.avg(p).alias("__m"), (F.var_pop(p) * F.count(p)).alias("__v"), F.count(p).alias("__c"),
     )
+
+
+def _around_centre(races: DataFrame) -> DataFrame:
+    """Adds sums and squares of the finishes around the circuit's centre, which can be added up."""
     # One row per race, so the calendar bounds the window.
-    off = F.col("__m") - F.avg("__m").over(Window.partitionBy("circuit_id"))
-    races = races.withColumn("__off", off).withColumn("__s", F.col("__c") * F.col("__off"))
-    races = races.withColumn("__q", F.col("__v") + F.col("__s") * F.col("__off"))
-    sums = {c: ("sum", F.col(c)) for c in ("__d", "__n", "__s", "__q", "__c")}
-    if full_history:
-        by, stats = ["circuit_id"], races.groupBy("circuit_id").agg(*[F.sum(c).alias(f"t{c}") for c in sums])
-    else:
-        by = ["circuit_id", *RACE]
-        stats = expanding(races, ["circuit_id"], ORDER, {f"t{c}": v for c, v in sums.items()}, hot=BOUNDED)
+    centre = F.avg("__m").over(Window.partitionBy("circuit_id"))
+    races = races.withColumn("__centre", centre).withColumn("__s", F.col("__c") * (F.col("__m") - F.col("__centre")))
+    return races.withColumn("__q", F.col("__v") + F.col("__s") * (F.col("__m") - F.col("__centre")))
+
+
+_SUMS = ("__d", "__n", "__s", "__q", "__c")
+
+
+def moments_before(races: DataFrame) -> DataFrame:
+    """The sums over the circuit's earlier races, as t__d, t__n ..., per race."""
+    sums = {f"t{c}": ("sum", F.col(c)) for c in _SUMS}
+    return expanding(_around_centre(races), ["circuit_id"], ORDER, sums, hot=BOUNDED).select("circuit_id", *RACE, *sums)
+
+
+def circuit_moments(races: DataFrame) -> DataFrame:
+    """The sums over all races of a circuit, its centre and its last race."""
+    return _around_centre(races).groupBy("circuit_id").agg(
+        *[F.sum(c).alias(f"t{c}") for c in _SUMS], F.first("__centre").alias("centre"),
+        F.max(F.struct(*RACE)).alias("last"),
+    )
+
+
+def spread_of(stats: DataFrame) -> DataFrame:
+    """Retirement rate and finish spread of summed moments."""
     n, s, q = F.col("t__c"), F.col("t__s"), F.col("t__q")
     variance = F.greatest(ratio(q - ratio(s * s, n), n - 1), F.lit(0.0))
-    stats = stats.select(
-        *by,
+    return stats.select(
+        *[c for c in stats.columns if c in ("circuit_id", *RACE)],
         ratio(F.col("t__d"), F.col("t__n")).alias("circuit_dnf_rate"),
         F.when(n > 1, F.sqrt(variance)).alias("circuit_chaos_index"),
     )
+
+
+def circuit_risk(df: DataFrame, full_history: bool = False, source: DataFrame | None = None) -> DataFrame:
+    """Retirement rate and finish spread of the circuit.
+
+    Only earlier races count unless `full_history`, which uses all races and so looks ahead.
+    Race-level moments come first; a circuit then has one row per race. The
+    moments are merged around the circuit's centre, which changes no spread but
+    keeps its digits where values are large.
+    """
+    races = race_moments(df if source is None else source)
+    stats = circuit_moments(races) if full_history else moments_before(races)
+    stats, by = spread_of(stats), ["circuit_id"] if full_history else ["circuit_id", *RACE]
     # A circuit is used at most once per race, so this table has calendar size.
     out = calendar_join(df, stats, by)
     return out.fillna({"circuit_dnf_rate": DEFAULT_DNF_RATE, "circuit_chaos_index": DEFAULT_CHAOS})

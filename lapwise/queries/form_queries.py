@@ -7,7 +7,9 @@ from lapwise.functions.scalars import rounded
 from lapwise.operators import form
 from lapwise.operators.ordered import BOUNDED, with_rank
 from lapwise.plans import gold
-from lapwise.queries.registry import query
+from lapwise.plans.carried import refresh_gold
+from lapwise.queries.registry import SQL, query
+from lapwise.session import materialised, shared_dir
 
 KEY = ["season", "round", "driver_id"]
 K = "season, round, driver_id"
@@ -370,3 +372,31 @@ gold_table AS (
 def race_features(spark, sf_dir):
     df = gold.race_features(B.contest(spark, sf_dir), B.races_of(spark, sf_dir))
     return rounded(df.drop("first_ts", "classified").withColumn("race_date", F.col("race_date").cast("string")))
+
+
+def _side_by_side(*names):
+    tables = [f"({SQL[name]})" for name in names]
+    return "SELECT * FROM " + tables[0] + "".join(f" JOIN {t} USING (season, round, driver_id)" for t in tables[1:])
+
+
+@query(
+    "gold_refreshed",
+    "SELECT * EXCLUDE (visit_place, visit_count) FROM ("
+    + _side_by_side("race_features", "streaks_before", "ewm_form", "circuit_risk_before", "quali_vs_teammate", "championship",
+                    "team_dominance")
+    + f""") JOIN (SELECT {K}, circuit_avg_position AS visit_place, circuit_races_count AS visit_count, driver_circuit_wins,
+          driver_circuit_podiums FROM ({SQL['circuit_history']})) USING (season, round, driver_id)""",
+)
+def gold_refreshed(spark, sf_dir):
+    """All rounds but the last three at once, then one after the other; each call is given its own rounds only."""
+    master = materialised(B.contest(spark, sf_dir), "master")
+    # Three rows of the calendar.
+    last = master.select(*B.RACE).distinct().orderBy(*[F.col(c).desc() for c in B.RACE]).limit(3).collect()
+    at = F.struct(*B.RACE)
+    this = lambda r: F.struct(*[F.lit(r[c]).cast("int").alias(c) for c in B.RACE])
+    store = shared_dir(spark, "gold")
+    parts = [at < this(last[-1])] if last else [F.lit(True)]
+    for part in [*parts, *[at == this(r) for r in reversed(last)]]:
+        refresh_gold(master.filter(part), store)
+    df = refresh_gold(master.limit(0), store)
+    return rounded(df.drop("first_ts", "classified").withColumn("race_date", F.col("race_date").cast("string")))
