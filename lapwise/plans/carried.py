@@ -18,6 +18,7 @@ new rounds and the number of drivers, teams and circuits, not with history.
 from __future__ import annotations
 
 import warnings
+from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession, Window
 from pyspark.sql import functions as F
@@ -114,9 +115,9 @@ def _before(df: DataFrame, state: DataFrame) -> DataFrame:
     df = with_position(df, ["driver_id"], ORDER, "__at", PER_DRIVER)
     earlier = F.col("__at") - 1
     df = gold.streaks(df)
-    for out in STREAKS:
-        whole = F.when(F.col(out) == earlier, F.col(out) + F.coalesce(f"__{out}", F.lit(0))).otherwise(F.col(out))
-        df = df.withColumn(out, whole)
+    df = df.withColumns({
+        out: F.when(F.col(out) == earlier, F.col(out) + F.coalesce(f"__{out}", F.lit(0))).otherwise(F.col(out)) for out in STREAKS
+    })
 
     weight = F.pow(F.lit(GROW), earlier)
     sums = {}
@@ -125,12 +126,12 @@ def _before(df: DataFrame, state: DataFrame) -> DataFrame:
         sums[f"__w_{out}"] = ("sum", F.when(F.col(value).isNotNull(), weight))
     df = expanding(df, ["driver_id"], ORDER, sums, hot=PER_DRIVER, position="__at")
     # The row before weighs 1; the carried sums are as many rows older as the step has before this row.
+    both = {}
     for out in MEANS:
         for short, long in (("t", "top"), ("w", "weight")):
             own = F.coalesce(f"__{short}_{out}", F.lit(0.0)) / F.pow(F.lit(GROW), earlier - 1)
-            held = F.coalesce(f"__{out}_{long}", F.lit(0.0)) / weight
-            df = df.withColumn(f"__{short}_{out}", own + held)
-        df = df.withColumn(out, ratio(F.col(f"__t_{out}"), F.col(f"__w_{out}")))
+            both[f"__{short}_{out}"] = own + F.coalesce(f"__{out}_{long}", F.lit(0.0)) / weight
+    df = df.withColumns(both).withColumns({out: ratio(F.col(f"__t_{out}"), F.col(f"__w_{out}")) for out in MEANS})
     return df.drop("__at", *[f"__{out}" for out in STREAKS], *[f"__{out}_{s}" for out in MEANS for s in ("top", "weight")])
 
 
@@ -259,9 +260,14 @@ def refresh_gold(df: DataFrame, store: str, step_rounds: int = STEP_ROUNDS) -> D
         rows, after = _step(rounds_after(new, last).filter(upto), state)
         version = 0 if version is None else version + 1
         rows.write.mode("overwrite").partitionBy("season").parquet(f"{store}/gold/version={version}")
-        for name, moved in after.items():
-            kept = null_safe_join(state[name], moved, KEYS[name], "left_anti")
-            kept.unionByName(moved).write.mode("overwrite").parquet(f"{store}/{name}/version={version}")
+
+        def write(name: str) -> None:
+            kept = null_safe_join(state[name], after[name], KEYS[name], "left_anti")
+            kept.unionByName(after[name]).write.mode("overwrite").parquet(f"{store}/{name}/version={version}")
+
+        # Four small jobs that do not wait for each other.
+        with ThreadPoolExecutor(len(after)) as pool:
+            list(pool.map(write, after))
         last = end
         mark = spark.createDataFrame([(end["season"], end["round"])], "season bigint, round bigint")
         mark.coalesce(1).write.mode("overwrite").parquet(f"{store}/last/version={version}")
