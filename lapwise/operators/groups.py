@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -12,8 +13,8 @@ from lapwise.operators.ordered import (
     hot_groups,
     null_safe_join,
     split_hot,
-    with_position,
 )
+from lapwise.session import materialised
 
 
 def dedup_latest(df: DataFrame, keys: Sequence[str], order_col: str | None = None) -> DataFrame:
@@ -124,6 +125,78 @@ def group_stats(
     return calendar_join(df, stats, by) if calendar else spread_join(df, stats, by, hot, null_safe=True)
 
 
+# Rows of a bracket that one task may sort.
+SORTED_ROWS = 100_000
+# Cells a sketch cuts a bracket into.
+CELLS = 64
+
+
+def select_positions(df: DataFrame, by: Sequence[str], value: str, targets: DataFrame, hot: HotGroups) -> DataFrame:
+    """(by, __k, __value): the `__k`-th smallest value of each group, for `targets` (by, __k), without sorting the groups.
+
+    Every round sketches the values between a target's bounds (Spark's mergeable
+    quantile summary), counts exactly how many lie below, at and between the
+    sketched values, and moves the bounds to the two that enclose the target.
+    A bracket shrinks to about a 64th in each round; one with few rows is
+    sorted. A sketched value is a value of the table, so a target that meets
+    one, as many ties do, is found at once. Values must not be null.
+    """
+    finish = min(SORTED_ROWS, hot.limit)
+    bracket = [*by, "__lo", "__hi"]
+    kind = df.schema[value].dataType
+    # Bounds are open, and null where there is none. Both tables have a few rows for each hot group.
+    open_ = targets.select(*by, "__k", *[F.lit(None).cast(kind).alias(c) for c in ("__lo", "__hi")], F.lit(0).cast("long").alias("__below"))
+    open_ = materialised(open_, "targets")
+    rows, done = df.select(*by, F.col(value).alias("__v")), []
+    while True:
+        brackets = open_.select(*bracket).distinct()
+        if not hot.everything:
+            # At most 10,000 listed groups, each with a few targets.
+            brackets = F.broadcast(brackets)
+        inside = null_safe_join(rows, brackets, by, "inner").filter(
+            (F.col("__lo").isNull() | (F.col("__v") > F.col("__lo"))) & (F.col("__hi").isNull() | (F.col("__v") < F.col("__hi"))))
+        # Brackets of a round are equal or disjoint, so the next round reads these rows only.
+        inside = materialised(inside, "bracket")
+        rows = inside.select(*by, "__v")
+        grid = F.percentile_approx("__v", [i / CELLS for i in range(CELLS + 1)], F.lit(10_000))
+        sketch = materialised(inside.groupBy(*bracket).agg(F.count(F.lit(1)).alias("__m"), F.array_distinct(grid).alias("__g")), "sketch")
+
+        small = null_safe_join(inside, sketch.filter(F.col("__m") <= finish).select(*bracket), bracket, "left_semi")
+        sorted_ = small.groupBy(*bracket).agg(F.sort_array(F.collect_list("__v")).alias("__all"))
+        ended = null_safe_join(open_, sorted_, bracket, "inner")
+        place = (F.col("__k") - F.col("__below")).cast("int")
+        done.append(ended.select(*by, "__k", F.element_at("__all", place).alias("__value")))
+        wide = sketch.filter(F.col("__m") > finish)
+        if wide.isEmpty():
+            break
+
+        # Cell 2i - 1 holds the rows at the i-th sketched value, cell 2i those between it and the next.
+        counted = null_safe_join(inside, wide, bracket, "inner")
+        reached = F.size(F.filter("__g", lambda g: g <= F.col("__v")))
+        tie = (reached > 0) & F.get("__g", reached - 1).eqNullSafe(F.col("__v"))
+        cell = (2 * reached - tie.cast("int")).alias("__cell")
+        cells = counted.groupBy(*bracket, cell).agg(F.count(F.lit(1)).alias("__c"))
+        # At most 131 cells in a bracket.
+        before = Window.partitionBy(*bracket).orderBy("__cell").rowsBetween(Window.unboundedPreceding, -1)
+        cells = cells.withColumn("__ahead", F.coalesce(F.sum("__c").over(before), F.lit(0)))
+        cells = null_safe_join(cells, wide, bracket, "inner")
+        local = F.col("__k") - F.col("__below")
+        hit = null_safe_join(open_, cells, bracket, "inner").filter(
+            (local > F.col("__ahead")) & (local <= F.col("__ahead") + F.col("__c")))
+        i = F.floor((F.col("__cell") + 1) / 2).cast("int")
+        exact = F.col("__cell") % 2 == 1
+        hit = materialised(hit.select(
+            *by, "__k", F.when(exact, F.get("__g", i - 1)).alias("__value"), exact.alias("__exact"),
+            F.coalesce(F.get("__g", i - 1), "__lo").alias("__lo"), F.coalesce(F.get("__g", i), "__hi").alias("__hi"),
+            (F.col("__below") + F.col("__ahead")).alias("__below"),
+        ), "targets")
+        done.append(hit.filter("__exact").select(*by, "__k", "__value"))
+        open_ = hit.filter("NOT __exact").select(*bracket[:-2], "__k", "__lo", "__hi", "__below")
+        if open_.isEmpty():
+            break
+    return reduce(DataFrame.unionByName, done)
+
+
 def quantiles(
     df: DataFrame,
     by: Sequence[str],
@@ -131,7 +204,10 @@ def quantiles(
     points: Mapping[str, float],
     hot: HotGroups | None = None,
 ) -> DataFrame:
-    """Exact interpolated quantiles of `value` per group, one column per entry of `points`."""
+    """Exact interpolated quantiles of `value` per group, one column per entry of `points`.
+
+    Ordinary groups use the built-in function, hot ones `select_positions`.
+    """
     df = df.select(*by, value).filter(F.col(value).isNotNull())
     hot = hot_groups(df, by) if hot is None else hot
     cold, big = split_hot(df, by, hot)
@@ -139,16 +215,18 @@ def quantiles(
     if cold is not None:
         parts.append(cold.groupBy(*by).agg(*[F.percentile(value, F.lit(p)).alias(c) for c, p in points.items()]))
     if big is not None:
-        placed = with_position(big, by, [value], "__at", hot)
-        placed = spread_join(placed, placed.groupBy(*by).agg(F.count(F.lit(1)).alias("__size")), by, hot, null_safe=True)
+        sizes = big.groupBy(*by).agg(F.count(F.lit(1)).alias("__size"))
+        at = {c: (F.col("__size") - 1) * F.lit(p) + 1 for c, p in points.items()}
+        wanted = F.array_distinct(F.array(*[f(x) for x in at.values() for f in (F.floor, F.ceil)]))
+        targets = sizes.select(*by, F.explode(wanted).alias("__k"))
+        found = select_positions(big, by, value, targets, hot)
+        found = found.groupBy(*by).agg(F.map_from_entries(F.collect_list(F.struct("__k", "__value"))).alias("__found"))
+        placed = null_safe_join(sizes, found, by, "inner")
         picks = []
-        for c, p in points.items():
-            at = (F.col("__size") - 1) * F.lit(p) + 1
-            low = F.max(F.when(F.col("__at") == F.floor(at), F.col(value)))
-            high = F.max(F.when(F.col("__at") == F.ceil(at), F.col(value)))
-            share = F.max(at - F.floor(at))
-            picks.append((low + (high - low) * share).alias(c))
-        parts.append(placed.groupBy(*by).agg(*picks))
+        for c, x in at.items():
+            low, high = F.col("__found")[F.floor(x)].cast("double"), F.col("__found")[F.ceil(x)].cast("double")
+            picks.append((low + (high - low) * (x - F.floor(x))).alias(c))
+        parts.append(placed.select(*by, *picks))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
