@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from lapwise.sources.scan import run_sql
 
@@ -37,6 +37,21 @@ QUESTIONS = {
 }
 
 
+def store_race_data(race_data: DataFrame, path: str) -> DataFrame:
+    """Write the wide table with one folder per season and read it back.
+
+    Rows of a season are gathered so that it has few files; a large season is
+    split into several. A question that names a season, also by a subquery,
+    then reads that season's files only.
+    """
+    race_data.hint("rebalance", "season").write.mode("overwrite").partitionBy("season").parquet(path)
+    return stored_race_data(race_data.sparkSession, path)
+
+
+def stored_race_data(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.parquet(path)
+
+
 def ask(race_data: DataFrame, name: str, **values) -> DataFrame:
     """Answer one question; at most ROW_CAP rows, as on the ad-hoc page."""
     text = QUESTIONS[name].format(**values)

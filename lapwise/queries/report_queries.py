@@ -758,6 +758,29 @@ def _register(name):
 for _name in questions.QUESTIONS:
     _register(_name)
 
+# Questions that name a season: what they ask about, and the answer.
+SEASON_QUESTIONS = {"most_wins_in_season": ("driver_id", "wins"), "mean_pole_gap_per_team": ("constructor_id", "avg_gap")}
+
+
+@query(
+    "ask_stored_season",
+    "WITH " + ",".join([B.CONTEST_SQL, TEAM_SQL, GOLD_SQL, "race_data AS (SELECT * FROM gold_table)"])
+    + " UNION ALL ".join(
+        f" SELECT '{name}' AS question, CAST({who} AS VARCHAR) AS asked, CAST({what} AS DOUBLE) AS answer FROM (SELECT * FROM ("
+        + questions.QUESTIONS[name].format(season=SEASON) + f") LIMIT {questions.ROW_CAP})"
+        for name, (who, what) in SEASON_QUESTIONS.items()
+    ),
+)
+def ask_stored_season(spark, sf_dir):
+    """The wide table is stored by season once; both questions read the latest season's files."""
+    data = questions.store_race_data(race_data(spark, sf_dir, False), shared_dir(spark, "race-data"))
+    answers = [
+        questions.ask(data, name, season=SEASON).select(
+            F.lit(name).alias("question"), F.col(who).cast("string").alias("asked"), F.col(what).cast("double").alias("answer"))
+        for name, (who, what) in SEASON_QUESTIONS.items()
+    ]
+    return answers[0].unionByName(answers[1])
+
 
 # ---- the wide table ---------------------------------------------------------------
 
