@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from lapwise.functions.scalars import ratio
 from lapwise.operators.groups import calendar_join, row_at_max, top_k, top_rows
 from lapwise.operators.ordered import HotGroups, with_rank
+from lapwise.plans.reports import worst_groups
 
 RACE = ("season", "round")
 
@@ -139,6 +140,42 @@ def retrain_gate(mae: Column, f1: Column) -> Column:
     return F.coalesce(mae > MAX_MAE, F.lit(False)) | F.coalesce(f1 < MIN_F1, F.lit(False))
 
 
+def evaluation_report(scored: DataFrame, position: str, podium: str, call: str, prediction: str, n: int = 3) -> DataFrame:
+    """Model evaluation and failure analysis as one table (section, place, name, value).
+
+    Errors of the position, F1 of the podium calls, the circuits and drivers
+    with the largest mean error, and each reason to train again with the
+    decision (1 or 0). Rows without the label of a part do not count there;
+    without any, its values are null and its lists empty. `scored` is read by
+    every part, so pass a stored table.
+    """
+    errors = regression_metrics(scored, position, prediction).select("mae", F.col("rows").alias("position_rows"))
+    calls = classification_metrics(scored, podium, call).select(
+        F.when(F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn") > 0, F.col("f1")).alias("f1"),
+        (F.col("tp") + F.col("fp") + F.col("fn") + F.col("tn")).alias("podium_rows"),
+    )
+    mae, f1 = F.col("mae"), F.col("f1")
+    lines = [
+        ("position", 1, "mae", mae), ("position", 2, "rows", F.col("position_rows")),
+        ("podium", 1, "f1", f1), ("podium", 2, "rows", F.col("podium_rows")),
+        ("retrain", 1, "mae_too_large", retrain_gate(mae, F.lit(None).cast("double"))),
+        ("retrain", 2, "f1_too_small", retrain_gate(F.lit(None).cast("double"), f1)),
+        ("retrain", 3, "retrain", retrain_gate(mae, f1)),
+    ]
+    line = [F.struct(F.lit(s).alias("section"), F.lit(i).alias("place"), F.lit(m).alias("name"), v.cast("double").alias("value"))
+            for s, i, m, v in lines]
+    # Both aggregates have one row.
+    out = errors.withColumn("k", F.lit(1)).join(calls.withColumn("k", F.lit(1)), "k").select(F.explode(F.array(*line)).alias("l")).select("l.*")
+    off = F.abs(F.col(position) - F.col(prediction))
+    known = scored.filter(off.isNotNull()).withColumn("abs_error", off)
+    for section, by in (("worst_circuits", "circuit_id"), ("worst_drivers", "driver_id")):
+        worst = worst_groups(known, by, n).agg(F.array_sort(F.collect_list(F.struct((-F.col("mean_abs_error")).alias("e"), "name"))).alias("all"))
+        worst = worst.select(F.posexplode("all").alias("at", "w"))
+        out = out.unionByName(worst.select(
+            F.lit(section).alias("section"), (F.col("at") + 1).alias("place"), F.col("w.name").alias("name"), (-F.col("w.e")).alias("value")))
+    return out
+
+
 def long_metrics(wide: DataFrame, task: str, model: str, tried: int, names: Sequence[str]) -> DataFrame:
     """One row per metric."""
     rows = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(m).cast("double").alias("value")) for m in names])

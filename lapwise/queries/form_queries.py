@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from lapwise import bindings as B
 from lapwise.functions.scalars import rounded
 from lapwise.operators import form
-from lapwise.operators.ordered import BOUNDED, with_rank
+from lapwise.operators.ordered import BOUNDED, null_safe_join, with_rank
 from lapwise.plans import gold
 from lapwise.plans.carried import refresh_gold
 from lapwise.queries.registry import SQL, query
@@ -374,6 +374,18 @@ def race_features(spark, sf_dir):
     return rounded(df.drop("first_ts", "classified").withColumn("race_date", F.col("race_date").cast("string")))
 
 
+@query("race_features_with_stops", _sql(" SELECT * FROM gold_table", TEAM_SQL, GOLD_SQL))
+def race_features_with_stops(spark, sf_dir):
+    """The master carries what is known after the race, stop times among them; none of it may reach the gold table."""
+    stops = B.lap_rows(spark, sf_dir).filter(F.col("Compound") == "MEDIUM").groupBy(*B.RACE, F.col("Driver").alias("driver_id")).agg(
+        F.max(F.col("LapTime_seconds") > 500).cast("int").alias("had_slow_stop"), F.sum("LapTime_seconds").alias("total_pit_time"),
+        F.avg("LapTime_seconds").alias("avg_pit_duration"))
+    master = null_safe_join(B.contest(spark, sf_dir), stops, KEY).withColumns(
+        {"status": F.lit("Finished"), "laps_completed": F.lit(1), "finished": ~F.col("dnf"), "position_gained": F.col("grid") - F.col("position")})
+    df = gold.race_features(master, B.races_of(spark, sf_dir))
+    return rounded(df.drop("first_ts", "classified").withColumn("race_date", F.col("race_date").cast("string")))
+
+
 def _side_by_side(*names):
     tables = [f"({SQL[name]})" for name in names]
     return "SELECT * FROM " + tables[0] + "".join(f" JOIN {t} USING (season, round, driver_id)" for t in tables[1:])

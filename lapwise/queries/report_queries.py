@@ -322,6 +322,34 @@ def retrain_decision(spark, sf_dir):
     return rounded(out.withColumn("retrain", evaluate.retrain_gate(F.col("mae"), F.col("f1"))))
 
 
+@query(
+    "evaluation_report",
+    _with(SCORED_SQL) + """
+, test AS (SELECT *, abs(position - prediction) AS err, CASE WHEN prediction <= 20 THEN 1 ELSE 0 END AS call
+           FROM scored WHERE season = (SELECT max(season) FROM scored)),
+m AS (SELECT avg(err) AS mae, CAST(count(err) AS DOUBLE) AS pos_rows, CAST(count(*) AS DOUBLE) AS pod_rows,
+             coalesce(2.0 * sum(target_podium * call) / nullif(sum(target_podium) + sum(call), 0), 0) AS f1 FROM test),
+worst AS (
+  SELECT 'worst_circuits' AS section, CAST(circuit_id AS VARCHAR) AS name, avg(err) AS value FROM test WHERE err IS NOT NULL GROUP BY 2
+  UNION ALL
+  SELECT 'worst_drivers', CAST(driver_id AS VARCHAR), avg(err) FROM test WHERE err IS NOT NULL GROUP BY 2)
+SELECT 'position' AS section, 1 AS place, 'mae' AS name, round(mae, 6) AS value FROM m
+UNION ALL SELECT 'position', 2, 'rows', pos_rows FROM m
+UNION ALL SELECT 'podium', 1, 'f1', round(f1, 6) FROM m
+UNION ALL SELECT 'podium', 2, 'rows', pod_rows FROM m
+UNION ALL SELECT 'retrain', 1, 'mae_too_large', CAST(mae > 4 AS INTEGER) FROM m
+UNION ALL SELECT 'retrain', 2, 'f1_too_small', CAST(f1 < 0.5 AS INTEGER) FROM m
+UNION ALL SELECT 'retrain', 3, 'retrain', CAST(mae > 4 OR f1 < 0.5 AS INTEGER) FROM m
+UNION ALL (SELECT section, CAST(row_number() OVER (PARTITION BY section ORDER BY value DESC, name) AS INTEGER) AS place, name,
+                  round(value, 6) FROM worst QUALIFY place <= 3)""",
+)
+def evaluation_report(spark, sf_dir):
+    """Over the latest season, as the test period."""
+    df = scored(spark, sf_dir).withColumn("podium_call", flag(F.col("prediction") <= 20))
+    test = materialised(latest_period(df, ["season"]), "test-season")
+    return rounded(evaluate.evaluation_report(test, "target_position", "target_podium", "podium_call", "prediction"))
+
+
 # ---- health, hypotheses, briefing ------------------------------------------------
 
 CURRENT_SEASON = 202406
