@@ -8,16 +8,19 @@ driver, so what it holds depends on the settings, not on the data.
 
 Many ensembles over one table grow side by side: each job does the next level of
 all of them. Rounds of boosting follow one another, so a table costs as many jobs
-as its slowest ensemble has levels, however many there are. The sums of a table
-that fits into one partition (`ROWS_PER_TASK` rows) are whole where they are
-made, so its task goes on to the next level by itself; ensembles then grow in
-jobs of their own. Both ways give the same trees.
-
-Tasks remember margins and places in the growing trees between jobs. That saves
-time only: a task without memory starts from the margins stored with the blocks,
-which are brought up to date and checkpointed every few trees, and applies the
-trees grown since. Rows and columns are sampled by hashes, so a lost task makes
-the same choices again.
+as its slowest ensemble has levels, however many there are. Its partitions are as
+many as run at a time, or more if a task would have too many rows, and a task
+joins its blocks, so that a job's sums and the work on them grow with the
+settings and the cores, not with the rows. The sums of a table of up to
+`ROWS_PER_TASK` rows are whole where they are made, so its only task goes on to the
+next level by itself; ensembles then grow in jobs of their own. Both ways give
+the same trees.
+
+Tasks remember margins and places in growing boosted trees between jobs. That
+saves time only: a task without memory starts from the margins stored with
+the blocks, which are brought up to date and checkpointed every few trees, and
+applies the trees grown since. Rows and columns are sampled by hashes, so a lost
+task makes the same choices again.
 """
 
 from __future__ import annotations
@@ -28,7 +31,7 @@ import uuid
 from collections import OrderedDict
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, replace
+from dataclasses import dataclass, field, replace
 from functools import partial
 
 import numpy as np
@@ -44,7 +47,10 @@ from lapwise.session import materialised, shared_dir
 BINS = 64
 # Precision of the bin edges, as the largest relative rank error.
 RANK_ERROR = 1e-4
-ROWS_PER_TASK = 1 << 16
+# Rows that a task takes, at about 100 bytes each; up to so many grow in one task, which is faster than a job for each level.
+ROWS_PER_TASK = 1 << 21
+# Rows of a joined block, and least rows of a task of a larger table.
+BLOCK_ROWS = 1 << 16
 # Sums of one job, which bounds the trees of a forest that grow together, and jobs at a time.
 JOB_BYTES = 64 << 20
 JOBS = 8
@@ -145,12 +151,25 @@ def row_weights(settings: TreeSettings, tree: int, block: int, rows: int) -> np.
     return np.searchsorted(DRAWS, u, side="right").astype(np.float64)
 
 
+def drawn(settings: TreeSettings, columns: int) -> int:
+    """How many features a tree may split on."""
+    return max(1, math.ceil(settings.column_share * columns - 1e-9))
+
+
+def summed_columns(settings: TreeSettings, columns: int, tree: int) -> np.ndarray:
+    """The features whose sums a tree needs: those it may split on, and the first one for the sums of whole nodes."""
+    if settings.column_share >= 1:
+        return np.arange(columns)
+    order = np.argsort(uniforms(settings.seed + 1, tree, np.arange(columns)))
+    return np.unique(np.append(order[: drawn(settings, columns)], 0))
+
+
 def allowed_columns(settings: TreeSettings, columns: int, tree: int, node: int) -> np.ndarray:
     """The features that a node may split on; nodes are numbered 1 for the root, 2k and 2k + 1 for the children of k."""
     if settings.column_share >= 1 and not settings.root_columns:
         return np.ones(columns, bool)
     order = np.argsort(uniforms(settings.seed + 1, tree, np.arange(columns)))
-    kept = order[: max(1, math.ceil(settings.column_share * columns - 1e-9))]
+    kept = order[: drawn(settings, columns)]
     if settings.root_columns:
         kept = kept[np.argsort(uniforms(settings.seed + 2, tree, node, kept))[: max(1, math.isqrt(columns))]]
     mask = np.zeros(columns, bool)
@@ -239,22 +258,47 @@ class Tree:
 
 @dataclass
 class Block:
-    """Rows as a task reads them: codes (feature x row), label, and the margin of every boosted ensemble."""
+    """Rows as a task reads them: codes (feature x row), label, and the margin of every boosted ensemble.
+
+    `pieces` are the stored blocks it is made of, as (number, rows); samples of rows go by these.
+    """
 
     number: int
     codes: np.ndarray
     y: np.ndarray
     margins: dict[int, np.ndarray]
+    pieces: list[tuple[int, int]] = field(default_factory=list)
+
+
+def joined(blocks: Iterable[Block]) -> Iterator[Block]:
+    """The blocks of a partition as few large ones, of up to `BLOCK_ROWS` rows where a block has fewer."""
+    held: list[Block] = []
+    # By number: a partition that is read again may have them in another order.
+    for block in sorted(blocks, key=lambda b: b.number):
+        if held and sum(len(b.y) for b in held) + len(block.y) > BLOCK_ROWS:
+            yield _joined(held)
+            held = []
+        held.append(block)
+    if held:
+        yield _joined(held)
+
+
+def _joined(blocks: list[Block]) -> Block:
+    first = blocks[0]
+    return Block(
+        first.number, np.concatenate([b.codes for b in blocks], axis=1), np.concatenate([b.y for b in blocks]),
+        {e: np.concatenate([b.margins[e] for b in blocks]) for e in first.margins}, [p for b in blocks for p in b.pieces])
 
 
 class Growing:
     """The rows of a block in a tree that grows: the open node of each, its bins, and its gradient, Hessian and weight."""
 
     def __init__(self, block: Block, settings: TreeSettings, margin: np.ndarray | float, tree: int):
-        weight = row_weights(settings, tree, block.number, len(block.y))
+        weight = np.concatenate([row_weights(settings, tree, number, rows) for number, rows in block.pieces])
         rows = np.flatnonzero(weight)
         g, h = settings.gradients(block.y, margin)
         self.tree, self.level = tree, 0
+        self.columns = summed_columns(settings, len(block.codes), tree)
         self.codes = block.codes[:, rows]
         self.planes = np.stack([g[rows] * weight[rows], h[rows] * weight[rows], weight[rows]])
         self.node = np.zeros(len(rows), np.int64)
@@ -274,11 +318,11 @@ class Growing:
         self.level += 1
 
     def sums(self, nodes: int, logistic: bool) -> np.ndarray:
-        """Sums of node x plane x feature x bin."""
+        """Sums of node x plane x feature x bin; zeros for features that the tree does not need."""
         columns = len(self.codes)
-        out = np.empty((3, columns, nodes * BINS))
+        out = np.zeros((3, columns, nodes * BINS))
         base = self.node * BINS
-        for f in range(columns):
+        for f in self.columns.tolist():
             key = base + self.codes[f]
             out[0, f] = np.bincount(key, self.planes[0], nodes * BINS)
             out[2, f] = np.bincount(key, self.planes[2], nodes * BINS)
@@ -300,7 +344,8 @@ class Remembered:
             self.applied += 1
 
     def nbytes(self) -> int:
-        return sum(m.nbytes for m in self.margins.values()) + sum(g.nbytes() for g in self.growing.values()) + self.block.codes.nbytes
+        held = sum(m.nbytes for m in self.margins.values()) + sum(g.nbytes() for g in self.growing.values())
+        return held + self.block.codes.nbytes + self.block.y.nbytes
 
 
 # What this worker process remembers, by run, stored version of the blocks, and block.
@@ -352,21 +397,37 @@ class Request:
 
 
 def _level_sums(
-    run: str, version: int, settings: Sequence[TreeSettings], requests: dict[int, Request], log: Log, blocks: Iterator[Block]
-) -> Iterator[tuple[tuple[int, int], np.ndarray]]:
-    """((ensemble, first node), sums of nodes) of the blocks of a partition."""
+    settings: Sequence[TreeSettings], requests: dict[int, Request], log: Log, memories: Iterable[Remembered]
+) -> dict[int, np.ndarray]:
+    """The sums of the open nodes of every requested tree over some blocks."""
     total: dict[int, np.ndarray] = {}
-    for block in blocks:
-        memory = _remembered(run, version, block)
+    for memory in memories:
         memory.catch_up(log.since)
         for e, request in requests.items():
-            growing = memory.growing.get(e)
+            growing = memory.growing.pop(e, None)
             if growing is None or growing.tree != request.tree or growing.level > len(request.levels):
-                growing = memory.growing[e] = Growing(block, settings[e], memory.margins.get(request.margin, 0.0), request.tree)
+                growing = Growing(memory.block, settings[e], memory.margins.get(request.margin, 0.0), request.tree)
             for splits in request.levels[growing.level :]:
                 growing.descend(splits)
             sums = growing.sums(len(request.nodes), settings[e].boosted and settings[e].logistic)
-            total[e] = total[e] + sums if e in total else sums
+            if e in total:
+                total[e] += sums
+            else:
+                total[e] = sums
+            # A tree's last level is not asked for again, and a tree of a forest finds its way from the root.
+            if settings[e].boosted and len(request.levels) + 1 < settings[e].depth:
+                memory.growing[e] = growing
+    return total
+
+
+def _partition_sums(
+    run: str, version: int, settings: Sequence[TreeSettings], requests: dict[int, Request], log: Log, blocks: Iterator[Block]
+) -> Iterator[tuple[tuple[int, int], np.ndarray]]:
+    """((ensemble, first node), sums of nodes) of the blocks of a partition."""
+    # Blocks are worth remembering if a level follows that needs them.
+    more = any(settings[e].boosted and (r.tree + 1 < settings[e].trees or len(r.levels) + 1 < settings[e].depth) for e, r in requests.items())
+    memories = (_remembered(run, version, block) if more else Remembered(block) for block in blocks)
+    total = _level_sums(settings, requests, log, memories)
     _forget()
     for e, sums in total.items():
         for first in range(0, len(sums), NODES):
@@ -435,17 +496,24 @@ class Matrix:
     mean: float
     stored: DataFrame
 
+    def partitions(self) -> int:
+        """One for a small table; otherwise as many as can run at a time, fewer if they had few rows, and more if they had many."""
+        if self.rows <= ROWS_PER_TASK:
+            return 1
+        cores = self.stored.sparkSession.sparkContext.defaultParallelism
+        return max(-(-self.rows // ROWS_PER_TASK), min(-(-self.rows // BLOCK_ROWS), cores))
+
     def blocks(self, starts: dict[int, float]) -> RDD:
         columns = len(self.edges)
 
         def block(row) -> Block:
             y = np.frombuffer(row["y"])
             codes = np.frombuffer(row["codes"], np.uint8).reshape(columns, len(y))
-            return Block(row["number"], codes, y, {e: np.full(len(y), start) for e, start in starts.items()})
+            return Block(row["number"], codes, y, {e: np.full(len(y), start) for e, start in starts.items()}, [(row["number"], len(y))])
 
-        parts = max(1, -(-self.rows // ROWS_PER_TASK))
+        parts = self.partitions()
         stored = self.stored.repartition(parts) if parts > 1 else self.stored.coalesce(1)
-        return stored.rdd.map(block)
+        return stored.rdd.map(block).mapPartitions(joined)
 
 
 def bin_codes(values: np.ndarray, edges: Sequence[np.ndarray]) -> np.ndarray:
@@ -504,15 +572,16 @@ def _advance(growers: Sequence[Grower], requests: dict[int, Request], found: Ite
             log.tail.append((growers[e].margin, tree.packed()))
 
 
-def _grow_here(run: str, growers: Sequence[Grower], blocks: Iterator[Block]) -> Iterator[list[list[Tree]]]:
+def _grow_here(growers: Sequence[Grower], blocks: Iterator[Block]) -> Iterator[list[list[Tree]]]:
     """All trees of the growers over the blocks of the only partition."""
-    blocks = list(blocks)
+    own = {g.margin for g in growers}
+    held = [Remembered(replace(b, margins={e: m for e, m in b.margins.items() if e in own})) for b in blocks]
     settings = [g.settings for g in growers]
     log = Log(TAIL, [], [])
-    while blocks and not all(g.done for g in growers):
+    while held and not all(g.done for g in growers):
         requests = _requests(growers)
-        sums = _level_sums(run, 0, settings, requests, log, iter(blocks))
-        _advance(growers, requests, [_splits(settings, growers[0].columns, requests, item) for item in sums], log)
+        sums = _level_sums(settings, requests, log, held)
+        _advance(growers, requests, [_splits(settings, growers[0].columns, requests, ((e, 0), whole)) for e, whole in sums.items()], log)
     yield [g.trees for g in growers]
 
 
@@ -523,12 +592,12 @@ def grow(blocks: RDD, growers: Sequence[Grower]) -> None:
     parts = blocks.getNumPartitions()
     run, version, log = uuid.uuid4().hex, 0, Log(TAIL, [], [])
     if parts == 1:
-        for grower, trees in zip(growers, blocks.mapPartitions(partial(_grow_here, run, growers)).collect()[0]):
+        for grower, trees in zip(growers, blocks.mapPartitions(partial(_grow_here, growers)).collect()[0]):
             grower.trees = trees
         return
     while not all(g.done for g in growers):
         requests = _requests(growers)
-        sums = blocks.mapPartitions(partial(_level_sums, run, version, settings, requests, log))
+        sums = blocks.mapPartitions(partial(_partition_sums, run, version, settings, requests, log))
         sums = sums.reduceByKey(np.add, min(parts, sum(-(-len(r.nodes) // NODES) for r in requests.values())))
         _advance(growers, requests, sums.map(partial(_splits, settings, columns, requests)).collect(), log)
         while len(log.tail) >= log.size:
@@ -568,7 +637,7 @@ def fit_ensembles(matrix: Matrix, settings: Sequence[TreeSettings]) -> list[Tree
         spark.sparkContext.setCheckpointDir(shared_dir(spark, "rounds"))
     columns = len(matrix.edges)
     boosted = [(e, Grower(s, columns, e)) for e, s in enumerate(settings) if s.boosted]
-    single = matrix.rows <= ROWS_PER_TASK
+    single = matrix.partitions() == 1
     groups: list[list[tuple[int, Grower]]] = [[b] for b in boosted] if single else [boosted] if boosted else []
     for e, s in enumerate(settings):
         if not s.boosted:

@@ -167,3 +167,26 @@ def test_no_rows_and_one_class(spark):
     one = df.selectExpr("features", "0.0D AS k")
     scores = T.fit_ensembles(T.binned(one, "k", 4), [SETTINGS["first order, logistic"]])[0].scores(np.zeros((1, 4)))
     assert scores[0] < 1e-6
+
+
+def test_partitions_follow_the_cores_and_not_the_rows(spark, monkeypatch):
+    """Many rows a core stay one partition each, so that the exchanged sums do not grow with the table; blocks are joined."""
+    matrix = T.binned(table(spark).repartition(40), "y", 4)
+    assert matrix.blocks({}).getNumPartitions() == 1 and len(matrix.blocks({}).collect()) == 1
+    monkeypatch.setattr(T, "ROWS_PER_TASK", 200)
+    monkeypatch.setattr(T, "BLOCK_ROWS", 20)
+    blocks = matrix.blocks({}).collect()
+    assert matrix.blocks({}).getNumPartitions() == 4
+    assert sum(len(b.y) for b in blocks) == 400 and len(blocks) < 40
+    monkeypatch.setattr(T, "ROWS_PER_TASK", 40)
+    assert matrix.blocks({}).getNumPartitions() == 10
+
+
+def test_tasks_remember_only_what_a_later_job_needs(spark):
+    matrix = T.binned(table(spark), "y", 4)
+    block = matrix.blocks({0: matrix.mean}).collect()
+    one = T.TreeSettings(trees=1, depth=1)
+    forest = SETTINGS["forest"]
+    for s, request in ((one, T.Request(0, 0, [], [1])), (forest, T.Request(-1, 0, [], [1]))):
+        list(T._partition_sums("alone", 0, [s], {0: request}, T.Log(T.TAIL, [], []), iter(block)))
+        assert not [k for k in T._MEMORY if k[0] == "alone"]
