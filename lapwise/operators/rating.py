@@ -15,8 +15,8 @@ for each entrant, so both modes are linear in the field. In the sequential mode
 the curve moves with every entrant.
 
 A universe (a competition) with few rows is folded in one task. Larger ones run
-as one Spark job per contest with the ratings kept in a table; a sequential
-field is then taken in blocks of the finishing order, which hand on the curve.
+contest after contest with the ratings kept in a table; a sequential field is
+then taken in blocks of the finishing order, which hand on the curve.
 Both ways give the same ratings.
 
 `refresh_ratings` keeps versions of the ratings of every universe, so that new
@@ -45,8 +45,9 @@ K_FACTOR = 32.0
 START = 1500.0
 SCALE = 400.0
 
-# Rows of a universe that one task folds, and rows of a field in one block of a sequential contest.
-MAX_ROWS = 2_000_000
+# Rows of a universe that one task folds (a worker holds about 250 bytes of each), and rows of a field in one block of a
+# sequential contest, which is a chain, so that more steps gain little.
+MAX_ROWS = {"sequential": 2_000_000, "simultaneous": 500_000}
 BLOCK_ROWS = 1_000_000
 
 # The expected-score curve is analytic within pi * 400 / ln 10 = 546 points of the
@@ -130,7 +131,7 @@ def _fold(
 
 def rate(
     df: DataFrame, universe: Sequence[str], order: Sequence[str], entity: str, rank: str, k: float = K_FACTOR,
-    mode: str = "sequential", max_rows: int = MAX_ROWS, start: DataFrame | None = None, block_rows: int = BLOCK_ROWS,
+    mode: str = "sequential", max_rows: int | None = None, start: DataFrame | None = None, block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Ratings before (rating) and after (new_rating) each contest, as (universe, order, entity, rating, new_rating).
 
@@ -145,6 +146,7 @@ def rate(
     state = df.select(*universe, entity).schema.add("rating", "double")
     start = df.sparkSession.createDataFrame([], state) if start is None else start.select(*universe, entity, "rating")
     sequential = mode == "sequential"
+    max_rows = MAX_ROWS[mode] if max_rows is None else max_rows
     small, large = split_hot(df, universe, hot_groups(df, universe, F.count(F.lit(1)), max_rows))
     parts = []
     if small is not None:
@@ -163,7 +165,7 @@ def rate(
 
 def elo(
     df: DataFrame, universe: Sequence[str], order: Sequence[str], entity: str, rank: str, k: float = K_FACTOR,
-    mode: str = "sequential", max_rows: int = MAX_ROWS, block_rows: int = BLOCK_ROWS,
+    mode: str = "sequential", max_rows: int | None = None, block_rows: int = BLOCK_ROWS,
 ) -> DataFrame:
     """Rating of each entrant before each contest, as (universe, order, entity, rating); see `rate`."""
     return rate(df, universe, order, entity, rank, k, mode, max_rows, block_rows=block_rows).drop("new_rating")
@@ -171,7 +173,7 @@ def elo(
 
 def refresh_ratings(
     df: DataFrame, store: str, universe: Sequence[str], order: Sequence[str], entity: str, rank: str, k: float = K_FACTOR,
-    mode: str = "sequential", max_rows: int = MAX_ROWS,
+    mode: str = "sequential", max_rows: int | None = None,
 ) -> DataFrame:
     """Fold the contests of `df` that come after those in the store, and return the whole history like `elo`.
 
@@ -272,7 +274,13 @@ def _rate_by_contest(
     df: DataFrame, state: DataFrame, universe: list[str], order: list[str], entity: str, rank: str, k: float, sequential: bool,
     block_rows: int,
 ) -> DataFrame:
-    """One job per step; step t holds the t-th contest of every universe. The calendar bounds the steps."""
+    """One step per contest of every universe: step t holds the t-th of each. The calendar bounds the steps.
+
+    What does not depend on ratings is found for all contests at once. A step
+    is then two jobs: the ratings meet the entrants, and the entrants move.
+    """
+    # Read several times.
+    df = materialised(df, "contest-rows")
     contests = df.select(*universe, *order).distinct()
     # One row per universe and contest of the calendar.
     # A contest without a date comes last, as in `_fold`.
@@ -283,67 +291,80 @@ def _rate_by_contest(
     # One folder per step, so that each job reads its own contests only; several tasks write a large step.
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     slot = F.pmod(F.xxhash64(entity), F.lit(max(1, 4 * parts // max(steps, 1))))
+    if not sequential:
+        df = _with_ahead(df, [*universe, *order], rank)
     df = materialised(calendar_join(df, contests, [*universe, *order]).repartition(F.col("step"), slot), "contests", "step")
+    key, spark = [*universe, entity], df.sparkSession
     # Every step writes one folder of the result, which is read back in one scan.
-    results = shared_dir(df.sparkSession, "contest-ratings")
+    results = shared_dir(spark, "contest-ratings")
     for t in range(1, steps + 1):
-        field = null_safe_join(df.filter(F.col("step") == t), state, [*universe, entity])
-        field = field.withColumn("rating", F.coalesce("rating", F.lit(START)))
-        field = field.drop("step")
+        held = materialised(_meet(df.filter(F.col("step") == t).drop("step"), state, key), "ratings", "__in")
+        field = held.filter("__in").drop("__in")
         if sequential:
             after = _sequential_contest(field, [*universe, *order], entity, rank, k, block_rows)
         else:
             after = _one_contest(field, [*universe, *order], rank, k)
         after.write.parquet(f"{results}/step={t}")
-        after = df.sparkSession.read.schema(after.schema).parquet(f"{results}/step={t}")
-        moved = after.select(*universe, entity, F.col("new_rating").alias("rating"))
-        state = materialised(null_safe_join(state, moved, [*universe, entity], "left_anti").unionByName(moved), f"ratings-{t}")
-    return df.sparkSession.read.parquet(results).select(*universe, *order, entity, "rating", "new_rating")
-
-
-def _expected_at(node: Column, rating: Column) -> Column:
-    return 1 / (1 + F.pow(F.lit(10.0), (rating - node) / SCALE))
+        after = spark.read.schema(after.schema).parquet(f"{results}/step={t}")
+        moved = after.select(*key, F.col("new_rating").alias("rating"))
+        state = held.filter("NOT __in").select(*key, "rating").unionByName(moved)
+    return spark.read.parquet(results).select(*universe, *order, entity, "rating", "new_rating")
+
+
+def _meet(field: DataFrame, state: DataFrame, key: list[str]) -> DataFrame:
+    """The entrants of a step with their ratings (`__in`), and the ratings of all others, as one table."""
+    names = {c: f"__held_{c}" for c in key}
+    entrants, state = field.withColumn("__in", F.lit(True)), state.withColumnsRenamed(names)
+    match = reduce(lambda a, b: a & b, [entrants[c].eqNullSafe(state[names[c]]) for c in key])
+    both = entrants.join(state, match, "full")
+    return both.select(
+        *[F.when(F.col("__in"), F.col(c)).otherwise(F.col(names[c])).alias(c) if c in key else c for c in field.columns],
+        F.coalesce("rating", F.lit(START)).alias("rating"), F.coalesce("__in", F.lit(False)).alias("__in"))
+
+
+def _with_ahead(df: DataFrame, contest: list[str], rank: str) -> DataFrame:
+    """Adds the ranked entrants of the contest (`__n`) and those strictly behind each (`__ahead`); null without a rank."""
+    ranked = df.filter(F.col(rank).isNotNull())
+    # Entrants strictly behind: field size minus those with the same or a better rank.
+    counts = ranked.groupBy(*contest, rank).agg(F.count(F.lit(1)).alias("__c"))
+    counts = expanding(counts, contest, [rank], {"__reached": ("sum", F.col("__c"))}, through_current=True)
+    out = group_stats(ranked, contest, {"__n": F.count(F.lit(1))}, calendar=True)
+    out = null_safe_join(out, counts.select(*contest, rank, "__reached"), [*contest, rank])
+    out = out.select(*df.columns, "__n", (F.col("__n") - F.col("__reached")).alias("__ahead"))
+    return out.unionByName(df.filter(F.col(rank).isNull()), allowMissingColumns=True)
 
 
 def _curve_sums(ranked: DataFrame, contest: list[str]) -> DataFrame:
     """(contest, __cell, __f0 ...): sums of expected scores against the field at the nodes of every occupied cell."""
-    cell = F.floor(F.col("rating") / CELL)
-    # Ratings that occur, counted; each is added at every node of every occupied cell.
-    ratings = ranked.groupBy(*contest, "rating").agg(F.count(F.lit(1)).alias("__c"))
     # Cells are 200 rating points wide, so a contest has a handful of them.
-    cells = ranked.select(*contest, cell.alias("__cell")).distinct()
-    center = (F.col("__cell") + 0.5) * CELL
-    sums = [F.sum(F.col("__c") * _expected_at(center + math.cos(a) * CELL / 2, F.col("rating"))).alias(f"__f{i}")
-            for i, a in enumerate(ANGLES.tolist())]
-    return calendar_join(ratings, cells, contest, "inner").groupBy(*contest, "__cell").agg(*sums)
+    cells = ranked.select(*contest, F.floor(F.col("rating") / CELL).alias("__cell")).distinct()
+    pairs = calendar_join(ranked.select(*contest, "rating"), F.broadcast(cells), contest, "inner")
+    # One power for each cell; the nodes of a cell differ from its center by fixed factors.
+    pairs = pairs.withColumn("__power", F.pow(F.lit(10.0), (F.col("rating") - (F.col("__cell") + 0.5) * CELL) / SCALE))
+    return pairs.groupBy(*contest, "__cell").agg(*[
+        F.expr(f"sum(1D / (1D + __power * {10.0 ** (-math.cos(a) * CELL / 2 / SCALE)!r}D))").alias(f"__f{i}")
+        for i, a in enumerate(ANGLES.tolist())
+    ])
 
 
 def _one_contest(field: DataFrame, contest: list[str], rank: str, k: float) -> DataFrame:
     """New ratings of one contest's field, without forming pairs."""
-    ranked = field.filter(F.col(rank).isNotNull())
-    # Entrants strictly behind: field size minus those with the same or a better rank.
-    counts = ranked.groupBy(*contest, rank).agg(F.count(F.lit(1)).alias("__c"))
-    counts = expanding(counts, contest, [rank], {"__reached": ("sum", F.col("__c"))}, through_current=True)
-    cell, center = F.floor(F.col("rating") / CELL), (F.col("__cell") + 0.5) * CELL
-    curve = _curve_sums(ranked, contest)
+    keep = [c for c in field.columns if c not in ("__n", "__ahead")]
+    if len(keep) == len(field.columns):
+        field = _with_ahead(field, contest, rank)
     angles = ANGLES.tolist()
     coefficients = [
-        sum((F.col(f"__f{i}") * math.cos(m * a) for i, a in enumerate(angles)), F.lit(0.0)) * ((1.0 if m == 0 else 2.0) / NODES)
+        F.expr("(" + " + ".join(f"__f{i} * {math.cos(m * a)!r}D" for i, a in enumerate(angles)) + f") * {(1.0 if m == 0 else 2.0) / NODES!r}D").alias(f"__q{m}")
         for m in range(NODES)
     ]
-    curve = curve.select(*contest, "__cell", *[c.alias(f"__q{m}") for m, c in enumerate(coefficients)])
-    out = group_stats(ranked, contest, {"__n": F.count(F.lit(1))}, calendar=True)
-    out = null_safe_join(out, counts.select(*contest, rank, "__reached"), [*contest, rank])
-    out = calendar_join(out.withColumn("__cell", cell), curve, [*contest, "__cell"])
-    x = F.greatest(F.lit(-1.0), F.least(F.lit(1.0), (F.col("rating") - center) / (CELL / 2)))
-    angle = F.acos(x)
+    curve = _curve_sums(field.filter(F.col(rank).isNotNull()), contest).select(*contest, "__cell", *coefficients)
+    # A few rows for each contest of the step.
+    out = calendar_join(field.withColumn("__cell", F.floor(F.col("rating") / CELL)), F.broadcast(curve), [*contest, "__cell"])
+    out = out.withColumn("__angle", F.expr(f"acos(greatest(-1D, least(1D, (rating - (__cell + 0.5D) * {CELL}D) / {CELL / 2}D)))"))
     # The curve includes the entrant against themselves, which is one half.
-    expected = sum((F.col(f"__q{m}") * F.cos(angle * m) for m in range(NODES)), F.lit(0.0)) - 0.5
-    ahead = F.col("__n") - F.col("__reached")
-    delta = F.when(F.col("__n") > 1, k * (ahead - expected) / (F.col("__n") - 1)).otherwise(F.lit(0.0))
-    out = out.select(*field.columns, (F.col("rating") + delta).alias("new_rating"))
-    idle = field.filter(F.col(rank).isNull()).withColumn("new_rating", F.col("rating"))
-    return out.unionByName(idle)
+    expected = F.expr(" + ".join(f"__q{m} * cos(__angle * {m}D)" for m in range(NODES)) + " - 0.5D")
+    delta = F.when(F.col(rank).isNotNull() & (F.col("__n") > 1), k * (F.col("__ahead") - expected) / (F.col("__n") - 1)).otherwise(F.lit(0.0))
+    return out.select(*keep, (F.col("rating") + delta).alias("new_rating"))
 
 
 def against_field(

@@ -128,3 +128,25 @@ def test_against_field(spark):
     out = against_field(facts, ratings, ["c"], "e")
     got = {r["e"]: (r["driver_elo"], r["elo_vs_field"]) for r in out.collect()}
     assert got == {1: (1600.0, 50.0), 2: (1500.0, -50.0)}
+
+
+def test_ranks_are_counted_once_for_all_contests(spark, rows, monkeypatch):
+    """A step by contest repeats only what depends on the ratings."""
+    from lapwise.operators import rating
+
+    calls, plain = [], rating.expanding
+    monkeypatch.setattr(rating, "expanding", lambda *a, **k: calls.append(1) or plain(*a, **k))
+    d = spark.createDataFrame([x for x in rows if x[1] < 3], "u string, c int, e int, r int")
+    elo(d, ["u"], ["c"], "e", "r", mode="simultaneous", max_rows=5)
+    assert len(calls) == 1
+
+
+def test_one_task_holds_fewer_rows_if_a_contest_can_be_spread(spark, rows, monkeypatch):
+    from lapwise.operators import rating
+
+    limits, plain = [], rating.hot_groups
+    monkeypatch.setattr(rating, "hot_groups", lambda df, by, size, limit: limits.append(limit) or plain(df, by, size, limit))
+    d = spark.createDataFrame(rows, "u string, c int, e int, r int")
+    for mode in ("sequential", "simultaneous"):
+        elo(d, ["u"], ["c"], "e", "r", mode=mode)
+    assert limits == [2_000_000, 500_000]
