@@ -317,17 +317,19 @@ class Growing:
         self.node = child.astype(np.int64)
         self.level += 1
 
-    def sums(self, nodes: int, logistic: bool) -> np.ndarray:
-        """Sums of node x plane x feature x bin; zeros for features that the tree does not need."""
+    def sums(self, nodes: int, settings: TreeSettings) -> np.ndarray:
+        """Sums of node x plane x feature x bin; zeros for features that the tree does not need, and for rows if the Hessian weighs."""
         columns = len(self.codes)
         out = np.zeros((3, columns, nodes * BINS))
         base = self.node * BINS
+        own = settings.boosted and settings.logistic
         for f in self.columns.tolist():
             key = base + self.codes[f]
             out[0, f] = np.bincount(key, self.planes[0], nodes * BINS)
-            out[2, f] = np.bincount(key, self.planes[2], nodes * BINS)
             # Without logistic loss the Hessian is the weight.
-            out[1, f] = np.bincount(key, self.planes[1], nodes * BINS) if logistic else out[2, f]
+            out[1, f] = np.bincount(key, self.planes[1 if own else 2], nodes * BINS)
+            if not settings.newton:
+                out[2, f] = np.bincount(key, self.planes[2], nodes * BINS) if own else out[1, f]
         return out.reshape(3, columns, nodes, BINS).transpose(2, 0, 1, 3)
 
 
@@ -409,7 +411,7 @@ def _level_sums(
                 growing = Growing(memory.block, settings[e], memory.margins.get(request.margin, 0.0), request.tree)
             for splits in request.levels[growing.level :]:
                 growing.descend(splits)
-            sums = growing.sums(len(request.nodes), settings[e].boosted and settings[e].logistic)
+            sums = growing.sums(len(request.nodes), settings[e])
             if e in total:
                 total[e] += sums
             else:

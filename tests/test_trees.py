@@ -190,3 +190,15 @@ def test_tasks_remember_only_what_a_later_job_needs(spark):
     for s, request in ((one, T.Request(0, 0, [], [1])), (forest, T.Request(-1, 0, [], [1]))):
         list(T._partition_sums("alone", 0, [s], {0: request}, T.Log(T.TAIL, [], []), iter(block)))
         assert not [k for k in T._MEMORY if k[0] == "alone"]
+
+
+def test_second_order_trees_do_not_count_rows():
+    """Their splits weigh by the Hessian, so the sums of rows would go unread."""
+    r = np.random.default_rng(4)
+    block = T.Block(0, r.integers(0, T.BINS, (3, 50)).astype(np.uint8), r.integers(0, 2, 50).astype(float), {}, [(0, 50)])
+    settings = replace(NEWTON, logistic=True, column_share=1)
+    growing = T.Growing(block, settings, np.zeros(50), 0)
+    sums = growing.sums(1, settings)
+    assert sums[0, 1, 0].sum() == pytest.approx(growing.planes[1].sum()) and not sums[:, 2].any()
+    # First-order splits still weigh by rows.
+    assert growing.sums(1, replace(settings, newton=False))[0, 2, 0].sum() == growing.planes[2].sum()
