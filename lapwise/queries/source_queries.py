@@ -463,7 +463,8 @@ def stream_latest_on_arrival(spark, sf_dir):
     folder = shared_dir(spark, "arrivals")
     events = B.table(spark, sf_dir, "events").select("event_id", "ts", "user_id", "event_type", "value")
     for part in range(4):
-        events.filter(F.pmod("event_id", F.lit(4)) == part).coalesce(1).write.mode("append").parquet(folder)
+        # One file, which is read and filtered by as many tasks as the table has parts.
+        events.filter(F.pmod("event_id", F.lit(4)) == part).repartition(1).write.mode("append").parquet(folder)
     stream = live.read_landing(spark, folder, "event_id bigint, ts timestamp, user_id bigint, event_type string, value double", 1)
     latest = live.latest_to_table(stream, ["user_id", "event_type"], "ts", "60 days", "latest")
     return latest.select("user_id", "event_type", F.date_format("ts", "yyyy-MM-dd HH:mm:ss").alias("at"), "event_id", "value")

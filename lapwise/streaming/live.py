@@ -68,12 +68,18 @@ def dedup_on_arrival(stream: DataFrame, keys: Sequence[str], time: str, delay: s
     return stream.withWatermark(time, delay).dropDuplicatesWithinWatermark(list(keys))
 
 
+# Parts that the keys of `keep_latest_on_arrival` are spread over; fixed, as state of earlier runs is found by them.
+KEY_PARTS = 2048
+
+
 class KeepLatest(StatefulProcessor):
     """Per key the latest row that has arrived, held until the watermark passes its time; then it is sent on.
 
     Rows compare by time, then by their other columns, nulls first, like the
     batch form. A later row takes the place of the one that is held, and its
-    timer. The first field of `value` is the time, in microseconds.
+    time. Keys come in parts: a part's rows are one state value and its earliest
+    time is one timer, so a batch costs a few calls to the state store for each
+    part, not for each key. The first field of a held row is the time, in microseconds.
     """
 
     def __init__(self, value: T.StructType, columns: Sequence[str], keys: Sequence[str]):
@@ -81,52 +87,89 @@ class KeepLatest(StatefulProcessor):
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.latest = handle.getValueState("latest", self.value)
+        self.latest = handle.getValueState("latest", T.StructType([T.StructField("rows", T.ArrayType(self.value))]))
+        self.at = [self.value.names.index(c) for c in self.keys]
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[Row]:  # noqa: N802, N803
-        held = self.latest.get()
-        best = held = None if held is None else tuple(held)
+        held = self._held()
+        best = {self._key(row): row for row in held}
+        place = [self.columns.index(c) for c in self.value.names]
         for row in rows:
             # By position: names that begin with an underscore do not arrive as they were.
-            at = dict(zip(self.columns, row))
-            row = tuple(at[c] for c in self.value.names)
-            if best is None or _order(row) > _order(best):
-                best = row
-        if best != held:
-            if held is not None:
-                self.handle.deleteTimer(held[0] // 1000 + 1)
-            self.latest.update(best)
-            # Past the row's own time, so that the watermark has passed it.
-            self.handle.registerTimer(best[0] // 1000 + 1)
+            row = tuple(row[i] for i in place)
+            name = self._key(row)
+            if name not in best or _order(row) > _order(best[name]):
+                best[name] = row
+        self._hold(held, list(best.values()))
         return iter(())
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[Row]:  # noqa: N802, N803
-        row = dict(zip(self.value.names, self.latest.get())) | dict(zip(self.keys, key))
-        self.latest.clear()
-        yield Row(**{c: row[c] for c in self.columns})
+        held, mark = self._held(), timerValues.getCurrentWatermarkInMs()
+        # The timer itself is gone.
+        self._hold([], [row for row in held if _due(row) > mark])
+        for row in held:
+            if _due(row) <= mark:
+                at = dict(zip(self.value.names, row))
+                yield Row(**{c: at[c] for c in self.columns})
 
     def close(self) -> None:
         pass
 
+    def _held(self) -> list[tuple]:
+        held = self.latest.get()
+        return [] if held is None else [tuple(row) for row in held[0]]
+
+    def _hold(self, before: list[tuple], rows: list[tuple]) -> None:
+        """Put `rows` in the place of those before, and the timer where the first of them is due."""
+        old, new = (min(map(_due, part), default=None) for part in (before, rows))
+        if old is not None and old != new:
+            self.handle.deleteTimer(old)
+        if new is not None and old != new:
+            self.handle.registerTimer(new)
+        if rows:
+            self.latest.update((rows,))
+        else:
+            self.latest.clear()
+
+    def _key(self, row: tuple) -> tuple:
+        return tuple(_name(row[i]) for i in self.at)
+
+
+def _due(row: tuple) -> int:
+    """The timer of a row: past its own time, so that the watermark has passed it."""
+    return row[0] // 1000 + 1
+
+
+def _name(value: object) -> object:
+    """A key's value such that equal ones, two NaN among them, are equal in Python and can be looked up."""
+    if isinstance(value, (list, tuple, bytearray)):
+        return tuple(map(_name, value))
+    return value if value == value else "NaN"
+
 
 def _order(row: tuple) -> tuple:
     return tuple((False,) if v is None else (True, v) for v in row)
 
 
-def keep_latest_on_arrival(stream: DataFrame, keys: Sequence[str], time: str, delay: str) -> DataFrame:
+def keep_latest_on_arrival(stream: DataFrame, keys: Sequence[str], time: str, delay: str, parts: int | None = None) -> DataFrame:
     """The latest row of each key, sent on once the watermark has passed it; rows behind the watermark are dropped.
 
     A key that comes again after that starts anew, so state holds only the keys
-    of the last `delay`. Rows without a time are left out. Needs the RocksDB state store (see `latest_to_table`).
+    of the last `delay`. Keys are spread over `parts` (`KEY_PARTS`) by hash, and a part is read
+    and written as a whole. Rows without a time are left out. Needs the RocksDB state store (see `latest_to_table`).
     """
     times = [f.name for f in stream.schema if isinstance(f.dataType, T.TimestampType)]
     inside = T.StructType([T.StructField(f.name, T.LongType() if f.name in times else f.dataType) for f in stream.schema])
-    value = T.StructType([inside[c] for c in [time, *[c for c in stream.columns if c not in (time, *keys)]]])
+    others = [c for c in stream.columns if c != time]
+    # Keys last: what orders the rows of a key comes first.
+    value = T.StructType([inside[c] for c in [time, *[c for c in others if c not in keys], *[c for c in others if c in keys]]])
     # Times pass through the state as microseconds, whole and free of zones; the watermark column goes along.
     rows = stream.filter(F.col(time).isNotNull()).withColumn("__event", F.col(time)).withWatermark("__event", delay)
-    rows = rows.select(*[F.unix_micros(c).alias(c) if c in times else c for c in stream.columns], "__event")
+    rows = rows.select(
+        *[F.unix_micros(c).alias(c) if c in times else c for c in stream.columns], "__event",
+        F.pmod(F.xxhash64(*keys), F.lit(parts or KEY_PARTS)).cast("int").alias("__keys"))
     processor = KeepLatest(value, stream.columns, keys)
-    latest = rows.groupBy(*keys).transformWithState(processor, inside, "Append", "EventTime")
+    latest = rows.groupBy("__keys").transformWithState(processor, inside, "Append", "EventTime")
     return latest.select(*[F.timestamp_micros(c).alias(c) if c in times else c for c in stream.columns])
 
 
@@ -150,7 +193,7 @@ def latest_to_table(stream: DataFrame, keys: Sequence[str], time: str, delay: st
         query.awaitTermination()
         _report_late(query, label)
         held = spark.read.format("statestore").option("path", f"{target}-state").option("stateVarName", "latest").load()
-        held = held.select(*[F.col(f"key.{c}" if c in keys else f"value.{c}").alias(c) for c in stream.columns])
+        held = held.select(F.inline("value.rows")).select(*stream.columns)
         held = held.select(*[F.timestamp_micros(f.name).alias(f.name) if isinstance(f.dataType, T.TimestampType) else f.name for f in stream.schema])
         held = materialised(held, label)
     finally:

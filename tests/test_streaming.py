@@ -100,3 +100,44 @@ def test_rows_are_sent_on_when_the_watermark_has_passed(spark):
         got = live.latest_to_table(stream, ["k"], "ts", "10 minutes", "latest")
     # The late row is not in the table: x was settled before it came.
     assert sorted((r["k"], r["a"]) for r in got.collect()) == [("far", 2), ("x", 1), ("y", 2)]
+
+
+def test_keys_share_state_values(spark, monkeypatch):
+    """Thousands of keys cost a few state values and timers; each key still has its own latest row."""
+    src = shared_dir(spark, "src")
+    schema = "k double, n decimal(9,2), d date, ts timestamp, v double, kind string"
+    for part in range(3):
+        d = spark.range(300).select(
+            F.when(F.col("id") % 50 == 7, F.lit(float("nan"))).when(F.col("id") % 50 == 8, F.lit(None)).otherwise(F.col("id") % 50).cast("double").alias("k"),
+            (F.col("id") % 3).cast("decimal(9,2)").alias("n"), F.date_add(F.lit("2024-01-01").cast("date"), (F.col("id") % 2).cast("int")).alias("d"),
+            F.timestamp_seconds(F.pmod(F.col("id") * 37 + part * 11, F.lit(101)) * 60 + 60).alias("ts"), (F.col("id") + part * 0.5).alias("v"),
+            F.concat(F.lit("t"), (F.col("id") % 4).cast("string")).alias("kind"))
+        d.coalesce(1).write.mode("append").parquet(src)
+    monkeypatch.setattr(live, "KEY_PARTS", 3)
+    seen, plain = [], live.materialised
+    monkeypatch.setattr(live, "materialised", lambda df, label: seen.append(df) or plain(df, label))
+    stream = live.read_landing(spark, src, schema, files_per_trigger=1)
+    got = live.latest_to_table(stream, ["k", "n", "d"], "ts", "30 days", "latest")
+    want = dedup_latest(spark.read.schema(schema).parquet(src), ["k", "n", "d"], "ts")
+    shown = lambda df: sorted(map(str, df.collect()))
+    assert shown(got) == shown(want) and got.count() > 100
+    # One value for each part, from which all held rows come.
+    assert seen[0].count() == got.count()
+
+
+def test_rows_of_a_part_are_sent_on_at_their_own_times(spark, monkeypatch):
+    src, out = shared_dir(spark, "src"), shared_dir(spark, "sent")
+    for rows in ([("x", 1, 1, "p"), ("y", 20, 1, "p"), ("z", 40, 1, "p")], [("far", 35, 1, "p")], [("far", 36, 2, "p")], [("x", 37, 3, "again")]):
+        events(spark, src, rows)
+    monkeypatch.setattr(live, "KEY_PARTS", 1)
+    provider = "spark.sql.streaming.stateStore.providerClass"
+    spark.conf.set(provider, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    try:
+        latest = live.keep_latest_on_arrival(live.read_landing(spark, src, EVENTS, files_per_trigger=1), ["k"], "ts", "10 minutes")
+        latest.writeStream.format("parquet").option("path", out).option("checkpointLocation", f"{out}-state").trigger(availableNow=True).start().awaitTermination()
+        held = spark.read.format("statestore").option("path", f"{out}-state").option("stateVarName", "latest").load()
+        assert held.count() == 1
+    finally:
+        spark.conf.unset(provider)
+    # The watermark ends at 30 minutes.
+    assert sorted((r["k"], r["a"]) for r in spark.read.schema(EVENTS).parquet(out).collect()) == [("x", 1), ("y", 1)]
