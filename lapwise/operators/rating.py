@@ -15,9 +15,11 @@ for each entrant, so both modes are linear in the field. In the sequential mode
 the curve moves with every entrant.
 
 A universe (a competition) with few rows is folded in one task. Larger ones run
-contest after contest with the ratings kept in a table; a sequential field is
-then taken in blocks of the finishing order, which hand on the curve.
-Both ways give the same ratings.
+contest after contest. Simultaneous: what a contest does to an entrant follows
+from their own rating and the curve, so entrants stay in blocks with all their
+contests, and a contest is one job that adds up the curve; ratings are never
+shuffled. Sequential: ratings are kept in a table, and a field is taken in blocks
+of the finishing order, which hand on the curve. All ways give the same ratings.
 
 `refresh_ratings` keeps versions of the ratings of every universe, so that new
 contests are folded onto the latest version and old ones are not read again.
@@ -27,13 +29,17 @@ from __future__ import annotations
 
 import math
 import warnings
-from collections.abc import Sequence
-from functools import reduce
+from collections.abc import Iterator, Mapping, Sequence
+from dataclasses import dataclass, replace
+from functools import partial, reduce
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
+from pyspark import RDD, StorageLevel
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from lapwise.operators.groups import calendar_join, group_stats, left_enrich
 from lapwise.operators.ordered import BOUNDED, expanding, hot_groups, null_safe_join, split_hot, with_position
@@ -57,6 +63,8 @@ NODES = 16
 ANGLES = np.pi * (np.arange(NODES) + 0.5) / NODES
 # Entrants whose scores at all nodes are taken at a time.
 CHUNK = 1 << 14
+# Contests after which the ratings of the blocks are stored; a job repeats those since then.
+STORED_STEPS = 16
 
 
 class ScoreCurve:
@@ -67,8 +75,9 @@ class ScoreCurve:
         self.nodes = ((cells[:, None] + 0.5) * CELL + np.cos(ANGLES) * CELL / 2).ravel()
 
     @staticmethod
-    def of(ratings: np.ndarray) -> ScoreCurve:
-        cells = np.unique(np.floor(ratings / CELL))
+    def of(ratings: np.ndarray, cells: np.ndarray | None = None) -> ScoreCurve:
+        """The curve of a field, in the cells that it reaches itself unless others are given."""
+        cells = np.unique(np.floor(ratings / CELL)) if cells is None else cells
         curve = ScoreCurve(cells, np.zeros(len(cells) * NODES))
         values, counts = np.unique(ratings, return_counts=True)
         for low in range(0, len(values), CHUNK):
@@ -158,8 +167,10 @@ def rate(
         # Only the universes that have contests here.
         held = null_safe_join(start, small.select(*universe).distinct(), universe, "left_semi")
         parts.append(small.groupBy(*universe).cogroup(held.groupBy(*universe)).applyInPandas(fold, schema).drop(rank))
-    if large is not None:
-        parts.append(_rate_by_contest(large, start, universe, order_, entity, rank, k, sequential, block_rows))
+    if large is not None and sequential:
+        parts.append(_rate_by_contest(large, start, universe, order_, entity, rank, k, block_rows))
+    elif large is not None:
+        parts.append(_rate_in_blocks(large, start, universe, order_, entity, rank, k))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
@@ -270,29 +281,29 @@ def _sequential_contest(
     return reduce(DataFrame.unionByName, parts, idle)
 
 
+def _calendar(df: DataFrame, universe: list[str], order: list[str]) -> DataFrame:
+    """(universe, order, step): the contests of every universe, numbered from 1."""
+    contests = df.select(*universe, *order).distinct()
+    # One row per universe and contest of the calendar.
+    # A contest without a date comes last, as in `_fold`.
+    step = F.row_number().over(Window.partitionBy(*universe).orderBy(*[F.col(c).asc_nulls_last() for c in order])).alias("step")
+    return materialised(contests.select("*", step), "calendar")
+
+
 def _rate_by_contest(
-    df: DataFrame, state: DataFrame, universe: list[str], order: list[str], entity: str, rank: str, k: float, sequential: bool,
-    block_rows: int,
+    df: DataFrame, state: DataFrame, universe: list[str], order: list[str], entity: str, rank: str, k: float, block_rows: int
 ) -> DataFrame:
     """One step per contest of every universe: step t holds the t-th of each. The calendar bounds the steps.
 
-    What does not depend on ratings is found for all contests at once. A step
-    is then two jobs: the ratings meet the entrants, and the entrants move.
+    A step is one job for the ratings to meet the entrants, and those of `_sequential_contest`.
     """
     # Read several times.
     df = materialised(df, "contest-rows")
-    contests = df.select(*universe, *order).distinct()
-    # One row per universe and contest of the calendar.
-    # A contest without a date comes last, as in `_fold`.
-    step = F.row_number().over(Window.partitionBy(*universe).orderBy(*[F.col(c).asc_nulls_last() for c in order])).alias("step")
-    contests = contests.select("*", step)
-    contests = materialised(contests, "calendar")
+    contests = _calendar(df, universe, order)
     steps = contests.agg(F.max("step")).first()[0] or 0
     # One folder per step, so that each job reads its own contests only; several tasks write a large step.
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     slot = F.pmod(F.xxhash64(entity), F.lit(max(1, 4 * parts // max(steps, 1))))
-    if not sequential:
-        df = _with_ahead(df, [*universe, *order], rank)
     df = materialised(calendar_join(df, contests, [*universe, *order]).repartition(F.col("step"), slot), "contests", "step")
     key, spark = [*universe, entity], df.sparkSession
     # Every step writes one folder of the result, which is read back in one scan.
@@ -300,10 +311,7 @@ def _rate_by_contest(
     for t in range(1, steps + 1):
         held = materialised(_meet(df.filter(F.col("step") == t).drop("step"), state, key), "ratings", "__in")
         field = held.filter("__in").drop("__in")
-        if sequential:
-            after = _sequential_contest(field, [*universe, *order], entity, rank, k, block_rows)
-        else:
-            after = _one_contest(field, [*universe, *order], rank, k)
+        after = _sequential_contest(field, [*universe, *order], entity, rank, k, block_rows)
         after.write.parquet(f"{results}/step={t}")
         after = spark.read.schema(after.schema).parquet(f"{results}/step={t}")
         moved = after.select(*key, F.col("new_rating").alias("rating"))
@@ -311,6 +319,180 @@ def _rate_by_contest(
     return spark.read.parquet(results).select(*universe, *order, entity, "rating", "new_rating")
 
 
+# The curves of contests, by (number of the universe, step).
+Curves = Mapping[tuple[int, int], ScoreCurve]
+
+
+@dataclass
+class Entrants:
+    """A block of entrants: number of the universe and rating of each, and their visits to contests by step.
+
+    A visit has the place of the entrant, the ranked field and those behind; both are NaN without a rank.
+    """
+
+    universe: np.ndarray
+    rating: np.ndarray
+    step: np.ndarray
+    who: np.ndarray
+    field: np.ndarray
+    ahead: np.ndarray
+
+    @staticmethod
+    def of(universe: np.ndarray, rating: np.ndarray, sizes: np.ndarray, step: np.ndarray, field: np.ndarray, ahead: np.ndarray) -> tuple[Entrants, np.ndarray]:
+        """The block of entrants with `sizes` visits each, and the order it has put the visits into."""
+        by_step = np.argsort(step, kind="stable")
+        who = np.repeat(np.arange(len(sizes), dtype=np.int32), sizes)
+        return Entrants(universe, rating, step[by_step], who[by_step], field[by_step], ahead[by_step]), by_step
+
+    def fields(self, step: int) -> Iterator[tuple[int, np.ndarray]]:
+        """(universe, visits) of the ranked entrants of each contest of a step."""
+        low, high = np.searchsorted(self.step, [step, step + 1])
+        visits = np.arange(low, high)[~np.isnan(self.field[low:high])]
+        universe = self.universe[self.who[visits]]
+        for u in np.unique(universe).tolist():
+            yield u, visits[universe == u]
+
+    def moved(self, rating: np.ndarray, step: int, curves: Curves, k: float) -> np.ndarray:
+        """The ratings after the contests of a step, from those before."""
+        rating = rating.copy()
+        for u, visits in self.fields(step):
+            who = self.who[visits]
+            rating[who] = _contest_ratings(self.ahead[visits], rating[who], int(self.field[visits[0]]), k, False, curves[u, step])
+        return rating
+
+    def stored(self, first: int, step: int, curves: Curves, k: float) -> Entrants:
+        """The block with the ratings before `step` in place of those before `first`, without the visits between."""
+        rating = reduce(lambda r, t: self.moved(r, t, curves, k), range(first, step), self.rating)
+        later = self.step >= step
+        return replace(self, rating=rating, step=self.step[later], who=self.who[later], field=self.field[later], ahead=self.ahead[later])
+
+
+# Of some blocks: sums at the nodes of each universe's cells, and the cells that its ratings may be in after the step.
+Found = tuple[dict[int, np.ndarray], dict[int, set[float]]]
+
+
+def _found(first: int, step: int, curves: Curves, cells: Mapping[int, np.ndarray], k: float, blocks: Iterator[Entrants]) -> Iterator[Found]:
+    """What the blocks of a partition add to the curves of a step; `first` is the step that their ratings are from."""
+    sums: dict[int, np.ndarray] = {}
+    reached: dict[int, set[float]] = {}
+    for block in blocks:
+        rating = reduce(lambda r, t: block.moved(r, t, curves, k), range(first, step), block.rating)
+        for u, visits in block.fields(step):
+            own = ScoreCurve.of(rating[block.who[visits]], cells[u]).sums
+            sums[u] = sums[u] + own if u in sums else own
+        # A contest moves a rating by less than k.
+        low, high = (np.floor((rating + d) / CELL) for d in (-abs(k), abs(k)))
+        spans = np.unique(np.stack([block.universe, low, high]), axis=1) if len(rating) else np.empty((3, 0))
+        for u, a, b in spans.T.tolist():
+            reached.setdefault(int(u), set()).update(np.arange(a, b + 1).tolist())
+    yield sums, reached
+
+
+def _added(a: Found, b: Found) -> Found:
+    sums = {u: a[0].get(u, 0.0) + b[0].get(u, 0.0) for u in a[0].keys() | b[0].keys()}
+    return sums, {u: a[1].get(u, set()) | b[1].get(u, set()) for u in a[1].keys() | b[1].keys()}
+
+
+def _visits(column: pa.Array) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Number of visits of each entrant of an Arrow batch, and step, field and ahead of all visits."""
+    flat = column.flatten()
+    values = [flat.field(c).to_numpy(zero_copy_only=False) for c in ("step", "__n", "__ahead")]
+    return np.diff(column.offsets.to_numpy()), values
+
+
+def _rate_in_blocks(
+    df: DataFrame, start: DataFrame, universe: list[str], order: list[str], entity: str, rank: str, k: float
+) -> DataFrame:
+    """Simultaneous contests: one job each, which adds up the curves of the t-th contest of every universe.
+
+    The entrants stay where they are: a job brings the ratings of a block up to date
+    by the curves before. A curve has a few numbers for each 200 points that the
+    ratings of a universe spread over, and only curves reach the driver. Their ratings
+    are stored with the blocks every `STORED_STEPS` contests.
+    """
+    spark = df.sparkSession
+    # Read several times.
+    df = materialised(df, "contest-rows")
+    contests = _calendar(df, universe, order)
+    # One row for each of the large universes.
+    numbers = contests.select(*universe).distinct()
+    numbers = numbers.withColumn("__u", F.row_number().over(Window.orderBy(*universe)) - 1)
+    contests = materialised(calendar_join(contests, numbers, universe), "calendar")
+    steps = contests.agg(F.max("step")).first()[0] or 0
+    rows = calendar_join(_with_ahead(df, [*universe, *order], rank), contests, [*universe, *order])
+    visit = F.struct("step", F.col("__n").cast("double").alias("__n"), F.col("__ahead").cast("double").alias("__ahead"), *order)
+    # An entrant has one visit for each contest of the calendar at most.
+    entrants = rows.groupBy("__u", *universe, entity).agg(F.array_sort(F.collect_list(visit)).alias("__visits"))
+    entrants = null_safe_join(entrants, start, [*universe, entity]).withColumn("rating", F.coalesce("rating", F.lit(START)))
+    entrants = materialised(entrants, "entrants")
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, values = _visits(batch.column(2))
+            block, _ = Entrants.of(*[batch.column(i).to_numpy() for i in (0, 1)], sizes, *values)
+            yield pa.RecordBatch.from_pydict({c: pa.array([v.tobytes()], pa.binary()) for c, v in block.__dict__.items()})
+
+    kinds = {"universe": np.int32, "rating": np.float64, "step": np.int32, "who": np.int32, "field": np.float64, "ahead": np.float64}
+    packed = materialised(
+        entrants.select("__u", "rating", "__visits").mapInArrow(pack, ", ".join(f"{c} binary" for c in kinds)), "entrant-blocks")
+    first_blocks = packed.rdd.map(lambda row: Entrants(**{c: np.frombuffer(row[c], kind) for c, kind in kinds.items()}))
+    first_blocks.persist(StorageLevel.MEMORY_AND_DISK)
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(shared_dir(spark, "rounds"))
+
+    blocks, first = first_blocks, 1
+    curves: dict[tuple[int, int], ScoreCurve] = {}
+    recent: dict[tuple[int, int], ScoreCurve] = {}
+    # Step 0 has no contests: it finds the cells of the starting ratings.
+    cells: dict[int, np.ndarray] = {}
+    for t in range(steps + 1):
+        sums, reached = blocks.mapPartitions(partial(_found, first, t, recent, cells, k)).treeReduce(_added)
+        recent = recent | {(u, t): ScoreCurve(cells[u], own) for u, own in sums.items()}
+        curves.update(recent)
+        cells = {u: np.array(sorted(c)) for u, c in reached.items()}
+        if t + 1 - first >= STORED_STEPS and t < steps:
+            older, blocks = blocks, _with_ratings(blocks, first, t + 1, recent, k)
+            if older is not first_blocks:
+                older.unpersist()
+            first, recent = t + 1, {}
+    for held in (first_blocks, blocks):
+        held.unpersist()
+
+    known = spark.sparkContext.broadcast(curves)
+
+    def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes, values = _visits(batch.column("__visits"))
+            block, by_step = Entrants.of(batch.column("__u").to_numpy(), batch.column("rating").to_numpy(), sizes, *values)
+            rating, before, after = block.rating, np.empty(len(by_step)), np.empty(len(by_step))
+            for t in np.unique(block.step).tolist():
+                at = slice(*np.searchsorted(block.step, [t, t + 1]))
+                before[by_step[at]] = rating[block.who[at]]
+                rating = block.moved(rating, t, known.value, k)
+                after[by_step[at]] = rating[block.who[at]]
+            offsets = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+            made = {c: pa.ListArray.from_arrays(offsets, pa.array(v)) for c, v in (("__before", before), ("__after", after))}
+            batch = batch.select([*universe, entity, "__visits"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, *made.values()], names=[*batch.schema.names, *made])
+
+    schema = entrants.select(*universe, entity, "__visits").schema
+    for c in ("__before", "__after"):
+        schema = schema.add(c, T.ArrayType(T.DoubleType()))
+    rated = entrants.mapInArrow(fold, schema).select(*universe, entity, F.explode(F.arrays_zip("__visits", "__before", "__after")).alias("__v"))
+    rated = rated.select(
+        *universe, *[F.col("__v.__visits")[c].alias(c) for c in order], entity, F.col("__v.__before").alias("rating"),
+        F.col("__v.__after").alias("new_rating"))
+    return materialised(rated, "contest-ratings")
+
+
+def _with_ratings(blocks: RDD, first: int, step: int, curves: Curves, k: float) -> RDD:
+    """The blocks with the ratings before `step`, checkpointed."""
+    out = blocks.map(lambda block: block.stored(first, step, curves, k)).persist(StorageLevel.MEMORY_AND_DISK)
+    out.checkpoint()
+    out.count()
+    return out
+
+
 def _meet(field: DataFrame, state: DataFrame, key: list[str]) -> DataFrame:
     """The entrants of a step with their ratings (`__in`), and the ratings of all others, as one table."""
     names = {c: f"__held_{c}" for c in key}
@@ -348,7 +530,7 @@ def _curve_sums(ranked: DataFrame, contest: list[str]) -> DataFrame:
 
 
 def _one_contest(field: DataFrame, contest: list[str], rank: str, k: float) -> DataFrame:
-    """New ratings of one contest's field, without forming pairs."""
+    """New ratings of the fields of contests, without forming pairs; a contest at a time of what `_rate_in_blocks` does."""
     keep = [c for c in field.columns if c not in ("__n", "__ahead")]
     if len(keep) == len(field.columns):
         field = _with_ahead(field, contest, rank)

@@ -662,8 +662,8 @@ r AS (
 elo AS (SELECT season, round, driver_id, rating FROM entries JOIN r USING (step, driver_id))"""
 
 
-def ratings(spark, sf_dir, mode):
-    df = B.contest(spark, sf_dir).withColumn("universe", F.lit("all"))
+def ratings(spark, sf_dir, mode, contests=None):
+    df = (B.contest(spark, sf_dir) if contests is None else contests).withColumn("universe", F.lit("all"))
     return elo(df, ["universe"], B.RACE, "driver_id", "position", mode=mode).drop("universe")
 
 
@@ -852,7 +852,7 @@ def complete_table(spark, sf_dir):
     tires = integrate.tire_features(integrate.tire_degradation(lap_rows))
     seasons = B.checked(B.daily(spark, sf_dir).select("season", "driver_id").distinct(), sf_dir, "entrants", ["season"])
     return integrate.complete_features(
-        master, silver.weather_features(B.samples(spark, sf_dir)), ratings(spark, sf_dir, "simultaneous"), lap_table, tires,
+        master, silver.weather_features(B.samples(spark, sf_dir)), ratings(spark, sf_dir, "simultaneous", master), lap_table, tires,
         integrate.season_table(master, seasons), B.races_of(spark, sf_dir))
 
 

@@ -150,3 +150,33 @@ def test_one_task_holds_fewer_rows_if_a_contest_can_be_spread(spark, rows, monke
     for mode in ("sequential", "simultaneous"):
         elo(d, ["u"], ["c"], "e", "r", mode=mode)
     assert limits == [2_000_000, 500_000]
+
+
+def test_a_large_contest_is_one_job(spark, monkeypatch):
+    """Many contests by blocks, past a stored rating, are the pairwise ones; each costs one job and no table."""
+    from lapwise.operators import rating
+
+    r = random.Random(5)
+    rows = [(u, c, e, None if r.random() < 0.1 else r.randint(1, 9)) for u in ("a", "b") for c in range(9) for e in r.sample([None, *range(30)], 20)]
+    d = spark.createDataFrame([x for x in rows if x[2] is not None], "u string, c int, e int, r int")
+    written, plain = [], rating.materialised
+    monkeypatch.setattr(rating, "materialised", lambda *a, **k: written.append(1) or plain(*a, **k))
+    monkeypatch.setattr(rating, "STORED_STEPS", 4)
+    got = rating.rate(d, ["u"], ["c"], "e", "r", mode="simultaneous", max_rows=5)
+    got = {(x["u"], x["c"], x["e"]): x["rating"] for x in got.collect()}
+    want = brute([x for x in rows if x[2] is not None], False)
+    assert got.keys() == want.keys() and all(got[key] == pytest.approx(v, abs=1e-8) for key, v in want.items())
+    assert len(written) < 9
+
+
+def test_large_universes_begin_with_given_ratings_far_apart(spark):
+    from lapwise.operators.rating import rate
+
+    r = random.Random(6)
+    rows = [("a", c, e, r.randint(1, 9)) for c in range(3) for e in range(25)]
+    d = spark.createDataFrame(rows, "u string, c int, e int, r int")
+    start = spark.createDataFrame([("a", e, r.uniform(-3000, 6000)) for e in range(20)], "u string, e int, rating double")
+    small, large = (
+        {(x["c"], x["e"]): (x["rating"], x["new_rating"]) for x in rate(d, ["u"], ["c"], "e", "r", 700.0, "simultaneous", n, start).collect()}
+        for n in (10**9, 5))
+    assert small.keys() == large.keys() and all(large[key] == pytest.approx(v, abs=1e-7) for key, v in small.items())
