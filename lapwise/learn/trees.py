@@ -323,11 +323,13 @@ class Growing:
         out = np.zeros((3, columns, nodes * BINS))
         base = self.node * BINS
         own = settings.boosted and settings.logistic
+        # Gradient and Hessian are added up in one pass, as one complex number. Without logistic loss the Hessian is the weight.
+        both = self.planes[0] + 1j * self.planes[1 if own else 2]
         for f in self.columns.tolist():
             key = base + self.codes[f]
-            out[0, f] = np.bincount(key, self.planes[0], nodes * BINS)
-            # Without logistic loss the Hessian is the weight.
-            out[1, f] = np.bincount(key, self.planes[1 if own else 2], nodes * BINS)
+            pair = np.zeros(nodes * BINS, np.complex128)
+            np.add.at(pair, key, both)
+            out[0, f], out[1, f] = pair.real, pair.imag
             if not settings.newton:
                 out[2, f] = np.bincount(key, self.planes[2], nodes * BINS) if own else out[1, f]
         return out.reshape(3, columns, nodes, BINS).transpose(2, 0, 1, 3)
@@ -399,9 +401,9 @@ class Request:
 
 
 def _level_sums(
-    settings: Sequence[TreeSettings], requests: dict[int, Request], log: Log, memories: Iterable[Remembered]
+    settings: Sequence[TreeSettings], requests: dict[int, Request], log: Log, memories: Iterable[Remembered], bagged: bool = False
 ) -> dict[int, np.ndarray]:
-    """The sums of the open nodes of every requested tree over some blocks."""
+    """The sums of the open nodes of every requested tree over some blocks; `bagged` keeps the rows of trees of a forest too."""
     total: dict[int, np.ndarray] = {}
     for memory in memories:
         memory.catch_up(log.since)
@@ -416,8 +418,8 @@ def _level_sums(
                 total[e] += sums
             else:
                 total[e] = sums
-            # A tree's last level is not asked for again, and a tree of a forest finds its way from the root.
-            if settings[e].boosted and len(request.levels) + 1 < settings[e].depth:
+            # A tree's last level is not asked for again, and a tree of a forest finds its way from the root, as many grow side by side.
+            if (settings[e].boosted or bagged) and len(request.levels) + 1 < settings[e].depth:
                 memory.growing[e] = growing
     return total
 
@@ -580,10 +582,13 @@ def _grow_here(growers: Sequence[Grower], blocks: Iterator[Block]) -> Iterator[l
     held = [Remembered(replace(b, margins={e: m for e, m in b.margins.items() if e in own})) for b in blocks]
     settings = [g.settings for g in growers]
     log = Log(TAIL, [], [])
-    while held and not all(g.done for g in growers):
-        requests = _requests(growers)
-        sums = _level_sums(settings, requests, log, held)
-        _advance(growers, requests, [_splits(settings, growers[0].columns, requests, ((e, 0), whole)) for e, whole in sums.items()], log)
+    # Trees of a forest grow one after the other, so that the rows of only one are kept between its levels.
+    together = [[e] for e, s in enumerate(settings) if not s.boosted] + [[e for e, s in enumerate(settings) if s.boosted]]
+    for some in together:
+        while held and not all(growers[e].done for e in some):
+            requests = {e: request for e, request in _requests(growers).items() if e in some}
+            sums = _level_sums(settings, requests, log, held, True)
+            _advance(growers, requests, [_splits(settings, growers[0].columns, requests, ((e, 0), whole)) for e, whole in sums.items()], log)
     yield [g.trees for g in growers]
 
 

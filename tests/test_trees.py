@@ -202,3 +202,30 @@ def test_second_order_trees_do_not_count_rows():
     assert sums[0, 1, 0].sum() == pytest.approx(growing.planes[1].sum()) and not sums[:, 2].any()
     # First-order splits still weigh by rows.
     assert growing.sums(1, replace(settings, newton=False))[0, 2, 0].sum() == growing.planes[2].sum()
+
+
+def test_a_tree_of_a_forest_keeps_its_rows_between_levels(monkeypatch):
+    """In one task each block starts a tree once, and only one tree's rows are held; the trees are those of one level at a time."""
+    r = np.random.default_rng(4)
+    codes, y = r.integers(0, T.BINS, (4, 900)).astype(np.uint8), r.normal(size=900)
+    blocks = [T.Block(k, codes[:, k * 300 : k * 300 + 300], y[k * 300 : k * 300 + 300], {}, [(k, 300)]) for k in range(3)]
+    settings = replace(SETTINGS["forest"], trees=1)
+    started, held, plain = [], [], T._level_sums
+    make = T.Growing
+    monkeypatch.setattr(T, "Growing", lambda *a: started.append(1) or make(*a))
+
+    def sums(settings, requests, log, memories, *bagged):
+        out = plain(settings, requests, log, memories, *bagged)
+        held.append(max(len(m.growing) for m in memories))
+        return out
+
+    monkeypatch.setattr(T, "_level_sums", sums)
+    got = list(T._grow_here([T.Grower(settings, 4, -1, first) for first in range(5)], iter(blocks)))[0]
+    assert len(started) == 5 * len(blocks) and max(held) == 1
+    for first, (tree,) in enumerate(got):
+        grower = T.Grower(settings, 4, -1, first)
+        while not grower.done:
+            requests = {0: grower.request()}
+            whole = plain([settings], requests, T.Log(T.TAIL, [], []), [T.Remembered(b) for b in blocks])
+            T._advance([grower], requests, [T._splits([settings], 4, requests, ((0, 0), whole[0]))], T.Log(T.TAIL, [], []))
+        assert all(np.array_equal(a, b) for a, b in zip(tree.__dict__.values(), grower.trees[0].__dict__.values()))
