@@ -16,21 +16,28 @@ settings and the cores, not with the rows. The sums of a table of up to
 next level by itself; ensembles then grow in jobs of their own. Both ways give
 the same trees.
 
-Tasks remember margins and places in growing boosted trees between jobs. That
-saves time only: a task without memory starts from the margins stored with
-the blocks, which are brought up to date and checkpointed every few trees, and
-applies the trees grown since. Rows and columns are sampled by hashes, so a lost
-task makes the same choices again.
+Tasks keep blocks, margins and places in growing boosted trees in Spark's local
+folders between jobs, as any Python worker of an executor may get a partition's
+next level. A job reads handles of these files, which are cached where the files
+are, and not the rows. That saves time only: where files are missing, a job keeps
+the partition's blocks again and applies the trees grown since the margins that
+came with them, which are checkpointed every few trees. Rows and columns are
+sampled by hashes, so a lost task makes the same choices again.
 """
 
 from __future__ import annotations
 
 import ast
 import math
+import os
+import pickle
+import shutil
+import tempfile
+import threading
 import uuid
-from collections import OrderedDict
 from collections.abc import Callable, Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from contextlib import suppress
 from dataclasses import dataclass, field, replace
 from functools import partial
 
@@ -50,19 +57,23 @@ RANK_ERROR = 1e-4
 # Rows that a task takes, at about 100 bytes each; up to so many grow in one task, which is faster than a job for each level.
 ROWS_PER_TASK = 1 << 21
 # Rows of a joined block, and least rows of a task of a larger table.
-BLOCK_ROWS = 1 << 16
+BLOCK_ROWS = 1 << 18
 # Sums of one job, which bounds the trees of a forest that grow together, and jobs at a time.
 JOB_BYTES = 64 << 20
 JOBS = 8
 # Finished trees that travel with a job; more are broadcast.
 TAIL = 64
 # Trees of each ensemble, on average, between two checkpoints of the margins.
-CHECKPOINT_TREES = 100
-# What a worker may remember of its blocks.
-MEMORY_BYTES = 256 << 20
+CHECKPOINT_TREES = 200
+# Rows of a node in a block from which its sums are those of its parent without its sibling's.
+SIBLING_ROWS = 1 << 14
+# Rows times features that are added up in one call; larger nodes go feature by feature.
+CALL_CODES = 1 << 14
 LEAST_GAIN = 1e-9
 # Nodes whose sums travel together.
 NODES = 32
+# Rows for each node of a tree from which rows find their leaves node by node.
+NODE_ROWS = 256
 
 
 @dataclass(frozen=True)
@@ -242,6 +253,8 @@ class Tree:
         """The values of the leaves that rows of codes (feature x row) fall into."""
         value = np.frombuffer(packed[1])
         feature, cut, left, right = np.frombuffer(packed[0], np.int32).reshape(4, -1)
+        if codes.shape[1] >= NODE_ROWS * len(value):
+            return Tree._values_by_node(feature, cut, left, right, value, codes)
         place = np.zeros(codes.shape[1], np.int32)
         rows = np.arange(codes.shape[1])
         while True:
@@ -255,6 +268,23 @@ class Tree:
             else:
                 place = np.where(codes[feature[place], rows] <= cut[place], left[place], right[place])
 
+    @staticmethod
+    def _values_by_node(feature, cut, left, right, value, codes: np.ndarray) -> np.ndarray:
+        """The same, node by node: faster for many rows."""
+        out = np.full(codes.shape[1], value[0])
+        # The rows of a node; all of them at the root.
+        todo: list[tuple[int, np.ndarray | None]] = [(0, None)]
+        while todo:
+            node, rows = todo.pop()
+            if feature[node] < 0:
+                if rows is not None:
+                    out[rows] = value[node]
+                continue
+            low = (codes[feature[node]] if rows is None else codes[feature[node]].take(rows)) <= cut[node]
+            sides = (np.flatnonzero(low), np.flatnonzero(~low)) if rows is None else (rows[low], rows[~low])
+            todo += zip((left[node], right[node]), sides)
+        return out
+
 
 @dataclass
 class Block:
@@ -291,85 +321,231 @@ def _joined(blocks: list[Block]) -> Block:
 
 
 class Growing:
-    """The rows of a block in a tree that grows: the open node of each, its bins, and its gradient, Hessian and weight."""
+    """The rows of a block in a tree that grows, by open node: their numbers, and gradient and weight as one complex number.
 
-    def __init__(self, block: Block, settings: TreeSettings, margin: np.ndarray | float, tree: int):
-        weight = np.concatenate([row_weights(settings, tree, number, rows) for number, rows in block.pieces])
-        rows = np.flatnonzero(weight)
-        g, h = settings.gradients(block.y, margin)
+    The imaginary part is the Hessian with logistic loss, where a row counts once, and else how often the row counts.
+    """
+
+    def __init__(self, block: Block, settings: TreeSettings, margin: np.ndarray | float, tree: int, state: tuple | None = None):
         self.tree, self.level = tree, 0
         self.columns = summed_columns(settings, len(block.codes), tree)
-        self.codes = block.codes[:, rows]
-        self.planes = np.stack([g[rows] * weight[rows], h[rows] * weight[rows], weight[rows]])
-        self.node = np.zeros(len(rows), np.int64)
+        self.codes = block.codes
+        self.own = settings.boosted and settings.logistic
+        # Sums of the level above, for nodes whose sums follow from them, and the place of each open node's parent.
+        self.above: np.ndarray | None = None
+        self.parents: list[int] = []
+        g, h = settings.gradients(block.y, margin)
+        if state is None:
+            weight = np.concatenate([row_weights(settings, tree, number, rows) for number, rows in block.pieces])
+            rows = [np.flatnonzero(weight)]
+        else:
+            self.level, places, self.above, self.parents, nodes = state
+            rows, weight = [np.flatnonzero(places == k) for k in range(nodes)], None
+        self.nodes = []
+        for some in rows:
+            pairs = np.empty(len(some), np.complex128)
+            # Rows of boosted trees count once.
+            pairs.real, pairs.imag = g.take(some), h.take(some) if self.own or weight is None else weight.take(some)
+            if not settings.boosted:
+                pairs.real *= pairs.imag
+            self.nodes.append((some.astype(np.int32), pairs))
+
+    def state(self) -> tuple:
+        """What another task needs to go on with a boosted tree: level, place of each row's open node, sums of the level, parents, nodes."""
+        places = np.full(self.codes.shape[1], len(self.nodes), np.uint8 if len(self.nodes) < 256 else np.int32)
+        for k, (rows, _) in enumerate(self.nodes):
+            places[rows] = k
+        return self.level, places, self.above, self.parents, len(self.nodes)
 
-    def nbytes(self) -> int:
-        return self.codes.nbytes + self.planes.nbytes + self.node.nbytes
+    @property
+    def planes(self) -> np.ndarray:
+        """Gradient, Hessian and weight of the rows of open nodes."""
+        pairs = np.concatenate([p for _, p in self.nodes])
+        return np.stack([pairs.real, pairs.imag, np.ones(len(pairs)) if self.own else pairs.imag])
 
     def descend(self, splits: np.ndarray) -> None:
         """Move rows from the nodes of a level to theirs of the next; `splits` has (feature, cut, left, right) for each node."""
-        feature, cut, left, right = splits
-        at = self.node
-        child = np.where(self.codes[feature[at], np.arange(len(at))] <= cut[at], left[at], right[at])
-        open_ = child >= 0
-        if not open_.all():
-            self.codes, self.planes, child = self.codes[:, open_], self.planes[:, open_], child[open_]
-        self.node = child.astype(np.int64)
+        following, self.parents = [], []
+        for place, ((rows, pairs), (feature, cut, left, _)) in enumerate(zip(self.nodes, splits.T.tolist())):
+            if left >= 0:
+                low = self.codes[feature].take(rows) <= cut
+                # Children of a node stand side by side.
+                following += [(rows[side], pairs[side]) for side in (low, ~low)]
+                self.parents += [place, place]
+        self.nodes = following
         self.level += 1
 
-    def sums(self, nodes: int, settings: TreeSettings) -> np.ndarray:
-        """Sums of node x plane x feature x bin; zeros for features that the tree does not need, and for rows if the Hessian weighs."""
+    def sums(self, nodes: int, settings: TreeSettings, numbers: Sequence[int] = ()) -> np.ndarray:
+        """Sums of node x plane x feature x bin; zeros for features that the node does not need, and for rows if the Hessian weighs.
+
+        `numbers` are those of the nodes, by which they draw their features.
+        """
         columns = len(self.codes)
-        out = np.zeros((3, columns, nodes * BINS))
-        base = self.node * BINS
-        own = settings.boosted and settings.logistic
-        # Gradient and Hessian are added up in one pass, as one complex number. Without logistic loss the Hessian is the weight.
-        both = self.planes[0] + 1j * self.planes[1 if own else 2]
-        for f in self.columns.tolist():
-            key = base + self.codes[f]
-            pair = np.zeros(nodes * BINS, np.complex128)
-            np.add.at(pair, key, both)
-            out[0, f], out[1, f] = pair.real, pair.imag
-            if not settings.newton:
-                out[2, f] = np.bincount(key, self.planes[2], nodes * BINS) if own else out[1, f]
-        return out.reshape(3, columns, nodes, BINS).transpose(2, 0, 1, 3)
+        out = np.zeros((nodes, 3, columns, BINS))
+        later = []
+        for place, (rows, pairs) in enumerate(self.nodes):
+            needed = self.columns
+            if settings.root_columns and numbers:
+                # The first feature has the sums of whole nodes.
+                needed = np.flatnonzero(allowed_columns(settings, columns, self.tree, numbers[place]) | (np.arange(columns) == 0))
+            elif self.above is not None and len(rows) >= SIBLING_ROWS:
+                sibling = place ^ 1
+                if (len(self.nodes[sibling][0]), sibling) < (len(rows), place):
+                    later.append((place, sibling))
+                    continue
+            self._add(out[place], rows, pairs, needed, not settings.newton)
+        for place, sibling in later:
+            np.subtract(self.above[self.parents[place]], out[sibling], out=out[place])
+        # Nodes of large parents only, in trees whose nodes need the same features.
+        self.above = out if not settings.root_columns and any(len(rows) >= SIBLING_ROWS for rows, _ in self.nodes) else None
+        return out
+
+    def _add(self, out: np.ndarray, rows: np.ndarray, pairs: np.ndarray, needed: np.ndarray, counted: bool) -> None:
+        """Add up the rows of a node: each bin in the order of rows."""
+        if len(rows) * len(needed) <= CALL_CODES:
+            groups = [needed]
+        else:
+            groups = [needed[k : k + 1] for k in range(len(needed))]
+        for some in groups:
+            if len(some) == 1:
+                key, both = self.codes[some[0]].take(rows).astype(np.intp), pairs
+            else:
+                key = (self.codes[some[:, None], rows] + (np.arange(len(some)) * BINS)[:, None]).ravel()
+                both = np.tile(pairs, len(some))
+            sums = np.zeros(len(some) * BINS, np.complex128)
+            np.add.at(sums, key, both)
+            sums = sums.reshape(-1, BINS)
+            out[0, some], out[1, some] = sums.real, sums.imag
+            if counted:
+                out[2, some] = np.bincount(key, minlength=len(some) * BINS).reshape(-1, BINS) if self.own else sums.imag
 
 
 class Remembered:
-    """A block's margins after `applied` trees of the log, and its rows in the trees that grow."""
+    """A block's margins, each after some trees of the log, and its rows in the trees that grow."""
+
+    def __init__(self, block: Block, applied: int = 0):
+        self.block, self.growing = block, {}
+        self._margins = {e: (applied, margin) for e, margin in block.margins.items()}
+
+    def margin(self, e: int, log: Log) -> np.ndarray | float:
+        """The margin after all trees of the log; 0 for trees that are not boosted."""
+        if e not in self._margins:
+            return 0.0
+        applied, margin = self._margins[e]
+        later = [tree for at, tree in log.since(applied) if at == e]
+        for tree in later:
+            margin = margin + Tree.values_of(tree, self.block.codes)
+        if later:
+            self._margins[e] = len(log), margin
+        return margin
+
+    def grown(self, e: int, settings: TreeSettings, request: Request, log: Log) -> Growing | None:
+        """The requested tree as it was at some level above."""
+        growing = self.growing.pop(e, None)
+        return growing if growing is not None and growing.tree == request.tree and growing.level <= len(request.levels) else None
+
+    def keep(self, e: int, growing: Growing) -> None:
+        self.growing[e] = growing
+
+
+@dataclass(frozen=True)
+class Handle:
+    """The folder where an executor keeps a block and what grows on it."""
+
+    folder: str
+
+
+class Files:
+    """Values by ensemble, each in a file that is replaced as a whole."""
 
-    def __init__(self, block: Block):
-        self.block, self.margins, self.applied = block, dict(block.margins), 0
-        self.growing: dict[int, Growing] = {}
+    def __init__(self, folder: str, name: str):
+        self.path = f"{folder}/{name}"
 
-    def catch_up(self, log: Callable[[int], Iterable[tuple[int, tuple[bytes, bytes]]]]) -> None:
-        for margin, tree in log(self.applied):
-            self.margins[margin] = self.margins[margin] + Tree.values_of(tree, self.block.codes)
-            self.applied += 1
+    def __setitem__(self, e: int, value: object) -> None:
+        part = f"{self.path}-{e}.{uuid.uuid4().hex}"
+        with open(part, "wb") as file:
+            pickle.dump(value, file, pickle.HIGHEST_PROTOCOL)
+        # Some file systems write a file to disk at once if it takes the name of another.
+        with suppress(FileNotFoundError):
+            os.remove(f"{self.path}-{e}")
+        os.replace(part, f"{self.path}-{e}")
 
-    def nbytes(self) -> int:
-        held = sum(m.nbytes for m in self.margins.values()) + sum(g.nbytes() for g in self.growing.values())
-        return held + self.block.codes.nbytes + self.block.y.nbytes
+    def __contains__(self, e: int) -> bool:
+        return os.path.exists(f"{self.path}-{e}")
 
+    def __getitem__(self, e: int) -> object:
+        with open(f"{self.path}-{e}", "rb") as file:
+            return pickle.load(file)
 
-# What this worker process remembers, by run, stored version of the blocks, and block.
-_MEMORY: OrderedDict[tuple[str, int, int], Remembered] = OrderedDict()
+    def numbers(self) -> list[int]:
+        folder, name = os.path.split(self.path)
+        return sorted(int(end) for kind, _, end in (f.partition("-") for f in os.listdir(folder)) if kind == name and end.isdigit())
 
 
-def _remembered(run: str, version: int, block: Block) -> Remembered:
-    key = (run, version, block.number)
+class Kept(Remembered):
+    """A block in files of this executor."""
+
+    def __init__(self, handle: Handle):
+        codes, y = (np.asarray(np.load(f"{handle.folder}/{part}.npy", mmap_mode="r")) for part in ("codes", "y"))
+        self.block = Block(0, codes, y, {}, Files(handle.folder, "pieces")[0])
+        self._trees, self._margins = Files(handle.folder, "tree"), Files(handle.folder, "margin")
+
+    def grown(self, e: int, settings: TreeSettings, request: Request, log: Log) -> Growing | None:
+        # A file stays for a task that runs again.
+        if e not in self._trees:
+            return None
+        tree, state = self._trees[e]
+        if tree != request.tree or state[0] > len(request.levels):
+            return None
+        return Growing(self.block, settings, self.margin(request.margin, log), tree, state)
+
+    def keep(self, e: int, growing: Growing) -> None:
+        self._trees[e] = growing.tree, growing.state()
+
+    def margins(self, log: Log) -> dict[int, np.ndarray]:
+        """The margins of all boosted ensembles after the trees of the log."""
+        return {e: self.margin(e, log) for e in self._margins.numbers()}
+
+
+# Blocks in files that this worker has mapped, by run and folder.
+_MEMORY: dict[tuple[str, str], Kept] = {}
+
+
+def _kept(run: str, handle: Handle) -> Kept:
+    key = (run, handle.folder)
     if key not in _MEMORY:
-        for old in [k for k in _MEMORY if k[0] == run and k[1] != version and k[2] == block.number]:
+        for old in [k for k in _MEMORY if k[0] != run]:
             del _MEMORY[old]
-        _MEMORY[key] = Remembered(block)
-    _MEMORY.move_to_end(key)
+        _MEMORY[key] = Kept(handle)
     return _MEMORY[key]
 
 
-def _forget() -> None:
-    size = sum(m.nbytes() for m in _MEMORY.values())
-    while size > MEMORY_BYTES and _MEMORY:
-        size -= _MEMORY.popitem(last=False)[1].nbytes()
+def _kept_folder(run: str) -> str:
+    """This executor's folder for the blocks of a run, which Spark removes when the executor ends."""
+    return os.path.join(os.environ.get("SPARK_LOCAL_DIRS", tempfile.gettempdir()).split(",")[0], "python", f"lapwise-{run}")
+
+
+def _keep(run: str, applied: int, blocks: Iterator[Block]) -> Iterator[Handle]:
+    """Write blocks, whose margins are after `applied` trees, to files of this executor."""
+    for block in blocks:
+        folder = f"{_kept_folder(run)}/{block.number}"
+        os.makedirs(folder, exist_ok=True)
+        for part, values in (("codes", block.codes), ("y", block.y)):
+            written = f"{folder}/{part}.{uuid.uuid4().hex}.npy"
+            np.save(written, np.ascontiguousarray(values))
+            os.replace(written, f"{folder}/{part}.npy")
+        margins = Files(folder, "margin")
+        for e, margin in block.margins.items():
+            margins[e] = applied, margin
+        Files(folder, "pieces")[0] = block.pieces
+        yield Handle(folder)
+
+
+def _drop_kept(run: str, handles: Iterator[Handle]) -> None:
+    for key in [k for k in _MEMORY if k[0] == run]:
+        del _MEMORY[key]
+    for folder in {os.path.dirname(h.folder) for h in handles}:
+        shutil.rmtree(folder, ignore_errors=True)
 
 
 @dataclass
@@ -406,34 +582,36 @@ def _level_sums(
     """The sums of the open nodes of every requested tree over some blocks; `bagged` keeps the rows of trees of a forest too."""
     total: dict[int, np.ndarray] = {}
     for memory in memories:
-        memory.catch_up(log.since)
         for e, request in requests.items():
-            growing = memory.growing.pop(e, None)
-            if growing is None or growing.tree != request.tree or growing.level > len(request.levels):
-                growing = Growing(memory.block, settings[e], memory.margins.get(request.margin, 0.0), request.tree)
+            growing = memory.grown(e, settings[e], request, log)
+            if growing is None:
+                growing = Growing(memory.block, settings[e], memory.margin(request.margin, log), request.tree)
+            if growing.level + 1 != len(request.levels):
+                # The sums that it has are not those of the level above.
+                growing.above = None
             for splits in request.levels[growing.level :]:
                 growing.descend(splits)
-            sums = growing.sums(len(request.nodes), settings[e])
+            sums = growing.sums(len(request.nodes), settings[e], request.nodes)
             if e in total:
                 total[e] += sums
             else:
-                total[e] = sums
+                total[e] = sums.copy()
             # A tree's last level is not asked for again, and a tree of a forest finds its way from the root, as many grow side by side.
             if (settings[e].boosted or bagged) and len(request.levels) + 1 < settings[e].depth:
-                memory.growing[e] = growing
+                memory.keep(e, growing)
     return total
 
 
 def _partition_sums(
-    run: str, version: int, settings: Sequence[TreeSettings], requests: dict[int, Request], log: Log, blocks: Iterator[Block]
+    run: str, version: int, settings: Sequence[TreeSettings], requests: dict[int, Request], log: Log, blocks: Iterator[Block | Handle]
 ) -> Iterator[tuple[tuple[int, int], np.ndarray]]:
-    """((ensemble, first node), sums of nodes) of the blocks of a partition."""
-    # Blocks are worth remembering if a level follows that needs them.
-    more = any(settings[e].boosted and (r.tree + 1 < settings[e].trees or len(r.levels) + 1 < settings[e].depth) for e, r in requests.items())
-    memories = (_remembered(run, version, block) if more else Remembered(block) for block in blocks)
-    total = _level_sums(settings, requests, log, memories)
-    _forget()
-    for e, sums in total.items():
+    """((ensemble, first node), sums of nodes) of the blocks of a partition; (-1, partition) if they are kept elsewhere."""
+    blocks = list(blocks)
+    if any(isinstance(b, Handle) and not os.path.exists(b.folder) for b in blocks):
+        yield (-1, TaskContext.get().partitionId()), np.zeros(0)
+        return
+    memories = (_kept(run, block) if isinstance(block, Handle) else Remembered(block, version) for block in blocks)
+    for e, sums in _level_sums(settings, requests, log, memories).items():
         for first in range(0, len(sums), NODES):
             yield (e, first), sums[first : first + NODES]
 
@@ -559,6 +737,8 @@ def _splits(
 ) -> tuple[int, int, list[Split]]:
     """(ensemble, first node, splits) of the whole sums of some nodes."""
     (e, first), sums = item
+    if e < 0:
+        return e, first, []
     request = requests[e]
     numbers = request.nodes[first : first + len(sums)]
     allowed = np.stack([allowed_columns(settings[e], columns, request.tree, number) for number in numbers])
@@ -592,44 +772,72 @@ def _grow_here(growers: Sequence[Grower], blocks: Iterator[Block]) -> Iterator[l
     yield [g.trees for g in growers]
 
 
-def grow(blocks: RDD, growers: Sequence[Grower]) -> None:
-    """Grow all trees of all growers side by side."""
-    settings = [g.settings for g in growers]
-    columns, first = growers[0].columns, blocks
-    parts = blocks.getNumPartitions()
-    run, version, log = uuid.uuid4().hex, 0, Log(TAIL, [], [])
-    if parts == 1:
+def grow(blocks: RDD, growers: Sequence[Grower], kept: KeptBlocks | None = None) -> None:
+    """Grow all trees of all growers side by side; more than one partition is kept in files."""
+    if kept is None:
         for grower, trees in zip(growers, blocks.mapPartitions(partial(_grow_here, growers)).collect()[0]):
             grower.trees = trees
         return
+    settings, columns = [g.settings for g in growers], growers[0].columns
+    parts, log, stored = blocks.getNumPartitions(), Log(TAIL, [], []), 0
+    boosted = any(s.boosted for s in settings)
     while not all(g.done for g in growers):
         requests = _requests(growers)
-        sums = blocks.mapPartitions(partial(_partition_sums, run, version, settings, requests, log))
-        sums = sums.reduceByKey(np.add, min(parts, sum(-(-len(r.nodes) // NODES) for r in requests.values())))
-        _advance(growers, requests, sums.map(partial(_splits, settings, columns, requests)).collect(), log)
+        pieces = min(parts, sum(-(-len(r.nodes) // NODES) for r in requests.values()))
+
+        def level(handles: RDD) -> list[tuple[int, int, list[Split]]]:
+            sums = handles.mapPartitions(partial(_partition_sums, kept.run, 0, settings, requests, log)).reduceByKey(np.add, pieces)
+            return sums.map(partial(_splits, settings, columns, requests)).collect()
+
+        _advance(growers, requests, kept.read(level), log)
         while len(log.tail) >= log.size:
             log = Log(log.size, [*log.chunks, blocks.context.broadcast(log.tail[: log.size])], log.tail[log.size :])
-        if len(log) >= CHECKPOINT_TREES * len(growers) and not all(g.done for g in growers):
-            older, blocks = blocks, _with_margins(blocks, run, version, log)
-            if older is not first:
-                older.unpersist()
-            version, log = version + 1, Log(TAIL, [], [])
-    if blocks is not first:
-        blocks.unpersist()
+        if boosted and len(log) - stored >= CHECKPOINT_TREES * len(growers) and not all(g.done for g in growers):
+            kept.checkpoint(log)
+            stored = len(log)
 
 
-def _with_margins(blocks: RDD, run: str, version: int, log: Log) -> RDD:
-    """The blocks with the margins after the trees of the log, checkpointed."""
+class KeptBlocks:
+    """The blocks of a table in files of the executors, and the handles of these files, cached where the files are."""
 
-    def moved(block: Block) -> Block:
-        memory = _remembered(run, version, block)
-        memory.catch_up(log.since)
-        return replace(block, margins=memory.margins)
+    def __init__(self, blocks: RDD):
+        self.run, self.blocks, self.applied = uuid.uuid4().hex, blocks, 0
+        self.lock = threading.Lock()
+        self.handles = self._handles()
 
-    out = blocks.map(moved).persist(StorageLevel.MEMORY_AND_DISK)
-    out.checkpoint()
-    out.count()
-    return out
+    def _handles(self) -> RDD:
+        return self.blocks.mapPartitions(partial(_keep, self.run, self.applied)).persist(StorageLevel.MEMORY_AND_DISK)
+
+    def read(self, job: Callable[[RDD], list[tuple]]) -> list[tuple]:
+        """What `job` returns from the handles, run again if a task had no files: they are then written where the tasks run."""
+        while True:
+            handles = self.handles
+            found = job(handles)
+            if all(item[0] >= 0 for item in found):
+                return found
+            with self.lock:
+                if self.handles is handles:
+                    handles.unpersist()
+                    self.handles = self._handles()
+
+    def checkpoint(self, log: Log) -> None:
+        """From now on lost blocks come back with the margins after the trees of the log."""
+
+        def moved(handle: Handle) -> Block:
+            memory = _kept(run, handle)
+            return replace(memory.block, number=int(os.path.basename(handle.folder)), margins=memory.margins(log))
+
+        run, older = self.run, self.blocks
+        blocks = self.handles.map(moved).persist(StorageLevel.MEMORY_AND_DISK)
+        blocks.checkpoint()
+        blocks.count()
+        self.blocks, self.applied = blocks, len(log)
+        older.unpersist()
+
+    def drop(self) -> None:
+        self.handles.foreachPartition(partial(_drop_kept, self.run))
+        self.handles.unpersist()
+        self.blocks.unpersist()
 
 
 def fit_ensembles(matrix: Matrix, settings: Sequence[TreeSettings]) -> list[TreeModel]:
@@ -637,7 +845,8 @@ def fit_ensembles(matrix: Matrix, settings: Sequence[TreeSettings]) -> list[Tree
 
     Boosted ones grow side by side, in one job each if the table has a single
     partition. Trees of bagged ones do not depend on one another and grow in
-    groups whose sums fit into one job. Groups run at the same time.
+    groups whose sums fit into one job. Groups run at the same time, with more
+    partitions after the boosted ones.
     """
     spark = matrix.stored.sparkSession
     if not spark.sparkContext.getCheckpointDir():
@@ -645,19 +854,26 @@ def fit_ensembles(matrix: Matrix, settings: Sequence[TreeSettings]) -> list[Tree
     columns = len(matrix.edges)
     boosted = [(e, Grower(s, columns, e)) for e, s in enumerate(settings) if s.boosted]
     single = matrix.partitions() == 1
-    groups: list[list[tuple[int, Grower]]] = [[b] for b in boosted] if single else [boosted] if boosted else []
+    bagged: list[list[tuple[int, Grower]]] = []
     for e, s in enumerate(settings):
         if not s.boosted:
             each = max(1, JOB_BYTES // (3 * 8 * columns * BINS * 2 ** (s.depth - 1)))
             alone = [(e, Grower(replace(s, trees=1), columns, -1, first)) for first in range(s.trees)]
-            groups += [alone[k : k + each] for k in range(0, len(alone), each)]
+            bagged += [alone[k : k + each] for k in range(0, len(alone), each)]
+    turns = [[[b] for b in boosted] + bagged] if single else [[boosted] if boosted else [], bagged]
     blocks = matrix.blocks({e: s.start(matrix.mean) for e, s in enumerate(settings) if s.boosted}).persist(StorageLevel.MEMORY_AND_DISK)
-    with ThreadPoolExecutor(JOBS) as pool:
-        run = inheritable_thread_target(spark)(lambda group: grow(blocks, [g for _, g in group]))
-        list(pool.map(run, groups if matrix.rows else []))
-    blocks.unpersist()
+    kept = None if single else KeptBlocks(blocks)
+    try:
+        for groups in turns if matrix.rows else []:
+            with ThreadPoolExecutor(JOBS) as pool:
+                run = inheritable_thread_target(spark)(lambda group: grow(blocks, [g for _, g in group], kept))
+                list(pool.map(run, groups))
+    finally:
+        if kept is not None:
+            kept.drop()
+        blocks.unpersist()
     trees: list[list[Tree]] = [[] for _ in settings]
-    for group in groups:
+    for group in [group for groups in turns for group in groups]:
         for e, grower in group:
             trees[e] += grower.trees
     return [TreeModel(s, matrix.edges, s.start(matrix.mean), t) for s, t in zip(settings, trees)]

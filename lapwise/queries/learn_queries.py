@@ -1,7 +1,9 @@
 """Training, validation, search and scoring on the gold table of the contest, all with the full settings of `lapwise.learn.models`."""
 
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import replace
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import functions as F
 
 from lapwise import bindings as B
@@ -218,9 +220,10 @@ def model_facts(spark, sf_dir):
     """What must hold of every model: its trees and their depth, importances that sum to 1, and scores that storing does not change."""
     df = training_table(spark, sf_dir)
     train, test = time_split(df, LAST_TRAIN)
-    out = []
-    for task in MODEL_TASKS:
+
+    def facts(task):
         settings = models.regressors() if task == "target_position" else models.classifiers(task)
+        out = []
         for name, trained in models.fit_all(train, _features(df), settings, task).items():
             folder = shared_dir(spark, "model")
             trained.model.save(folder)
@@ -233,6 +236,11 @@ def model_facts(spark, sf_dir):
                 F.lit(task).alias("task"), F.lit(name).alias("model"), F.lit(len(again.trees)).alias("trees"),
                 F.lit(max(tree.depth() for tree in again.trees) <= settings[name].depth).alias("within_depth"),
                 F.lit(abs(total - split) < 1e-9).alias("importances_whole"), "scored_rows", "stored_difference"))
+        return out
+
+    # A boosted ensemble over a table of one partition grows in one task, so the tasks are trained at the same time.
+    with ThreadPoolExecutor(len(MODEL_TASKS)) as pool:
+        out = [row for rows in pool.map(inheritable_thread_target(spark)(facts), MODEL_TASKS) for row in rows]
     return rounded(union_by_name(out))
 
 

@@ -1,5 +1,7 @@
 """Histogram trees against a plain recursion over the same bins and samples."""
 
+import os
+import shutil
 from dataclasses import replace
 
 import numpy as np
@@ -229,3 +231,98 @@ def test_a_tree_of_a_forest_keeps_its_rows_between_levels(monkeypatch):
             whole = plain([settings], requests, T.Log(T.TAIL, [], []), [T.Remembered(b) for b in blocks])
             T._advance([grower], requests, [T._splits([settings], 4, requests, ((0, 0), whole[0]))], T.Log(T.TAIL, [], []))
         assert all(np.array_equal(a, b) for a, b in zip(tree.__dict__.values(), grower.trees[0].__dict__.values()))
+
+
+def grown_here(settings, codes, y, size=300):
+    blocks = [T.Block(k, codes[:, k : k + size], y[k : k + size], {0: np.full(len(y[k : k + size]), settings.start(y.mean()))}, [(k, len(y[k : k + size]))])
+              for k in range(0, len(y), size)]
+    growers = [T.Grower(settings, len(codes), 0)] if settings.boosted else [
+        T.Grower(replace(settings, trees=1), len(codes), -1, first) for first in range(settings.trees)]
+    return [tree for trees in next(T._grow_here(growers, iter(blocks))) for tree in trees]
+
+
+@pytest.mark.parametrize("name", list(SETTINGS))
+def test_only_smaller_children_are_added_up(monkeypatch, name):
+    """Sums of a large node's sibling follow from their parent; the trees are those of whole sums."""
+    r = np.random.default_rng(6)
+    codes = r.integers(0, T.BINS, (5, 900)).astype(np.uint8)
+    y = (codes[0] > 20) + 0.02 * codes[1] + r.normal(size=900)
+    y = (y > 1.5).astype(float) if SETTINGS[name].logistic else y
+    added, add = [], T.Growing._add
+    monkeypatch.setattr(T.Growing, "_add", lambda self, out, rows, *a: added.append(len(rows)) or add(self, out, rows, *a))
+    plain, whole = grown_here(SETTINGS[name], codes, y), sum(added)
+    added.clear()
+    monkeypatch.setattr(T, "SIBLING_ROWS", 1)
+    quick = grown_here(SETTINGS[name], codes, y)
+    for a, b in zip(plain, quick, strict=True):
+        assert a.feature.tolist() == b.feature.tolist() and a.cut.tolist() == b.cut.tolist()
+        np.testing.assert_allclose(a.value, b.value, atol=1e-9)
+    # Nodes of a tree that draw their own features have nothing in common with their parents.
+    assert sum(added) == whole if SETTINGS[name].root_columns else sum(added) < 0.8 * whole
+
+
+def test_nodes_sum_only_the_features_they_draw(monkeypatch):
+    r = np.random.default_rng(6)
+    codes, y = r.integers(0, T.BINS, (16, 600)).astype(np.uint8), r.integers(0, 2, 600).astype(float)
+    block = T.Block(0, codes, y, {}, [(0, 600)])
+    settings = SETTINGS["forest of classes"]
+    sums = T.Growing(block, settings, 0.0, 0).sums(1, settings, [1])
+    drawn = T.allowed_columns(settings, 16, 0, 1)
+    drawn[0] = True
+    assert drawn.sum() <= 5 and (sums[0, 2].any(axis=1) == drawn).all()
+
+
+def test_rows_find_their_leaves_node_by_node(monkeypatch):
+    r = np.random.default_rng(6)
+    codes, y = r.integers(0, T.BINS, (5, 900)).astype(np.uint8), r.normal(size=900)
+    for tree in grown_here(SETTINGS["forest"], codes, y):
+        plain = T.Tree.values_of(tree.packed(), codes)
+        with monkeypatch.context() as m:
+            m.setattr(T, "NODE_ROWS", 1)
+            assert (T.Tree.values_of(tree.packed(), codes) == plain).all()
+    one = T.Tree(*[np.array([-1])] * 4, np.array([0.5]), np.array([0.0]))
+    assert T.Tree.values_of(one.packed(), codes).tolist() == [0.5] * 900
+
+
+def test_a_level_reads_files_and_writes_lost_ones_again(spark, monkeypatch):
+    """Jobs go by handles, whichever worker they meet; files that are gone come back with the margins they need."""
+    monkeypatch.setattr(T, "ROWS_PER_TASK", 150)
+    matrix = T.binned(table(spark).repartition(3), "k", 4)
+    settings = replace(SETTINGS["first order, logistic"], trees=4, row_share=0.7)
+    blocks = matrix.blocks({0: settings.start(matrix.mean)})
+    whole = T.fit_ensembles(matrix, [settings])[0].trees
+    kept = T.KeptBlocks(blocks)
+    folders = [h.folder for h in kept.handles.collect()]
+    assert len(folders) == 3 and all(os.path.exists(f"{f}/codes.npy") for f in folders)
+    grower = T.Grower(settings, 4, 0)
+    advance, levels = T._advance, []
+
+    def lose(*args):
+        advance(*args)
+        levels.append(len(args[0][0].trees))
+        if len(levels) == 3:
+            shutil.rmtree(folders[1])
+
+    monkeypatch.setattr(T, "_advance", lose)
+    T.grow(blocks, [grower], kept)
+    assert len(levels) > 3 and [t.feature.tolist() for t in grower.trees] == [t.feature.tolist() for t in whole]
+    np.testing.assert_allclose(np.concatenate([t.value for t in grower.trees]), np.concatenate([t.value for t in whole]), atol=1e-9)
+    kept.drop()
+    assert not any(os.path.exists(f) for f in folders)
+
+
+def test_a_boosted_tree_goes_on_in_another_task(tmp_path):
+    """From its file a tree has the rows, sums and parents that it had."""
+    r = np.random.default_rng(6)
+    codes, y = r.integers(0, T.BINS, (5, 900)).astype(np.uint8), r.integers(0, 2, 900).astype(float)
+    settings = replace(SETTINGS["first order, logistic"], row_share=0.7, depth=4)
+    margin = r.normal(size=900)
+    block = T.Block(0, codes, y, {}, [(0, 900)])
+    growing = T.Growing(block, settings, margin, 2)
+    growing.sums(1, settings)
+    growing.descend(np.array([[1], [30], [0], [1]]))
+    growing.sums(2, settings)
+    again = T.Growing(block, settings, margin, 2, growing.state())
+    assert again.level == growing.level == 1 and again.parents == [0, 0]
+    for (a, b), (c, d) in zip(growing.nodes, again.nodes, strict=True):
+        assert (a == c).all() and (b == d).all()
