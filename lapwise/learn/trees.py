@@ -2,9 +2,12 @@
 
 Features are cut into at most 64 bins once and kept as bytes in blocks of rows.
 For every level, tasks sum the gradient, the Hessian and the rows per (tree,
-node, feature, bin) of their blocks; the sums are added up by (tree, node), and
-the best split of each node is found where its sums meet. Only splits reach the
-driver, so what it holds depends on the settings, not on the data.
+node, feature, bin) of their blocks, of large siblings only the smaller one, as
+the other's sums are their parent's without it. The sums are added up by (tree,
+node), and the best split of each node is found where its sums meet: on the
+driver if those of all partitions take up to `DRIVER_BYTES`, which saves an
+exchange, else in tasks. So what the driver holds depends on the settings and
+the partitions, not on the rows.
 
 Many ensembles over one table grow side by side: each job does the next level of
 all of them. Rounds of boosting follow one another, so a table costs as many jobs
@@ -39,7 +42,7 @@ from collections.abc import Callable, Iterable, Iterator, Sequence
 from concurrent.futures import ThreadPoolExecutor
 from contextlib import suppress
 from dataclasses import dataclass, field, replace
-from functools import partial
+from functools import lru_cache, partial
 
 import numpy as np
 import pandas as pd
@@ -61,6 +64,8 @@ BLOCK_ROWS = 1 << 18
 # Sums of one job, which bounds the trees of a forest that grow together, and jobs at a time.
 JOB_BYTES = 64 << 20
 JOBS = 8
+# Sums of a level, over all partitions, that the driver adds up; more are exchanged.
+DRIVER_BYTES = 16 << 20
 # Finished trees that travel with a job; more are broadcast.
 TAIL = 64
 # Trees of each ensemble, on average, between two checkpoints of the margins.
@@ -70,6 +75,8 @@ SIBLING_ROWS = 1 << 14
 # Rows times features that are added up in one call; larger nodes go feature by feature.
 CALL_CODES = 1 << 14
 LEAST_GAIN = 1e-9
+# Stored blocks whose draws are at hand: about those of a joined block.
+SAME_DRAWS = 64
 # Nodes whose sums travel together.
 NODES = 32
 # Rows for each node of a tree from which rows find their leaves node by node.
@@ -152,11 +159,17 @@ def uniforms(*parts: int | np.ndarray) -> np.ndarray:
 DRAWS = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(16)])
 
 
+@lru_cache(SAME_DRAWS)
+def row_draws(seed: int, tree: int, block: int, rows: int) -> np.ndarray:
+    """A number in [0, 1) for each row of a stored block; the ensembles of a search that grow the same tree share them."""
+    return uniforms(seed, tree, block, np.arange(rows))
+
+
 def row_weights(settings: TreeSettings, tree: int, block: int, rows: int) -> np.ndarray:
     """How often each row of a block counts in a tree."""
     if settings.boosted and settings.row_share >= 1:
         return np.ones(rows)
-    u = uniforms(settings.seed, tree, block, np.arange(rows))
+    u = row_draws(settings.seed, tree, block, rows)
     if settings.boosted:
         return (u < settings.row_share).astype(np.float64)
     return np.searchsorted(DRAWS, u, side="right").astype(np.float64)
@@ -784,10 +797,17 @@ def grow(blocks: RDD, growers: Sequence[Grower], kept: KeptBlocks | None = None)
     while not all(g.done for g in growers):
         requests = _requests(growers)
         pieces = min(parts, sum(-(-len(r.nodes) // NODES) for r in requests.values()))
+        few = parts * sum(len(r.nodes) for r in requests.values()) * 3 * 8 * columns * BINS <= DRIVER_BYTES
 
         def level(handles: RDD) -> list[tuple[int, int, list[Split]]]:
-            sums = handles.mapPartitions(partial(_partition_sums, kept.run, 0, settings, requests, log)).reduceByKey(np.add, pieces)
-            return sums.map(partial(_splits, settings, columns, requests)).collect()
+            sums = handles.mapPartitions(partial(_partition_sums, kept.run, 0, settings, requests, log))
+            own = partial(_splits, settings, columns, requests)
+            if not few:
+                return sums.reduceByKey(np.add, pieces).map(own).collect()
+            whole: dict[tuple[int, int], np.ndarray] = {}
+            for key, part in sums.collect():
+                whole[key] = whole[key] + part if key in whole else part
+            return [own(item) for item in whole.items()]
 
         _advance(growers, requests, kept.read(level), log)
         while len(log.tail) >= log.size:

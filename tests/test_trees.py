@@ -326,3 +326,31 @@ def test_a_boosted_tree_goes_on_in_another_task(tmp_path):
     assert again.level == growing.level == 1 and again.parents == [0, 0]
     for (a, b), (c, d) in zip(growing.nodes, again.nodes, strict=True):
         assert (a == c).all() and (b == d).all()
+
+
+def test_ensembles_of_a_search_share_the_draws_of_rows(monkeypatch):
+    """Eight settings that grow the same tree hash the rows of a block once."""
+    r = np.random.default_rng(6)
+    codes, y = r.integers(0, T.BINS, (5, 900)).astype(np.uint8), r.integers(0, 2, 900).astype(float)
+    block = T.Block(0, codes, y, {e: np.zeros(900) for e in range(8)}, [(77, 900)])
+    settings = [replace(NEWTON, row_share=0.1 * (e + 1), seed=4711) for e in range(8)]
+    hashed, plain = [], T.uniforms
+    monkeypatch.setattr(T, "uniforms", lambda *parts: hashed.append(len(parts)) or plain(*parts))
+    requests = {e: T.Request(e, 3, [], [1]) for e in range(8)}
+    sums = T._level_sums(settings, requests, T.Log(T.TAIL, [], []), [T.Remembered(block)])
+    # A row is drawn by seed, tree, block and number.
+    assert hashed.count(4) == 1
+    shares = [sums[e][0, 1, 0].sum() for e in range(8)]
+    assert shares == sorted(shares) and shares[0] < shares[-1]
+
+
+def test_small_sums_are_added_up_by_the_driver(spark, monkeypatch):
+    """With and without an exchange, the trees are the same."""
+    monkeypatch.setattr(T, "ROWS_PER_TASK", 150)
+    matrix = T.binned(table(spark).repartition(3), "k", 4)
+    settings = [replace(SETTINGS["second order, logistic"], trees=2), SETTINGS["forest of classes"]]
+    few = T.fit_ensembles(matrix, settings)
+    monkeypatch.setattr(T, "DRIVER_BYTES", 0)
+    for a, b in zip(few, T.fit_ensembles(matrix, settings)):
+        assert [t.feature.tolist() for t in a.trees] == [t.feature.tolist() for t in b.trees]
+        np.testing.assert_allclose(np.concatenate([t.value for t in a.trees]), np.concatenate([t.value for t in b.trees]), atol=1e-9)
